@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, decontamination, html_extraction, packing, quality_ledger, sharding
+from . import arc_to_warc, decontamination, html_extraction, packing, quality_ledger, sharding, suffix_index, toxicity_crf
 from .common import table
 
 
@@ -15,10 +15,19 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
 
+def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_crf.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "n_spans")
+
+
 def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = arc_to_warc.archive_pages(table(spark, sf_dir, "pages"))
     return read.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
@@ -39,7 +48,7 @@ def op10_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op4_jump_sharding, op6_arc_to_warc, op7_quality_ledger, op9_positional_index, op10_power_of_two_packing)}
+    return {f.__name__: f for f in (op1_html_extraction, op3_suffix_levels, op4_jump_sharding, op5_toxicity_crf, op6_arc_to_warc, op7_quality_ledger, op9_positional_index, op10_power_of_two_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
