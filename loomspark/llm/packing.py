@@ -11,6 +11,7 @@ rows are packed row by row. An empty table gives an empty result. Other columns
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,14 +22,14 @@ from pyspark.sql import functions as F
 
 CONTEXT = 4096
 END = 2
-#: Distinct words whose ids a Python worker remembers at most; beyond, it starts anew.
-WORDS_KEPT = 400_000
+#: Distinct words whose ids a Python worker remembers; beyond, the older half goes.
+WORDS_KEPT = 500_000
 
-#: Punctuation that the pre-tokenizer always parts from letters before it.
-_TRAILING = ".,!?|;:%$#&*"
-
-#: What str.split takes for white space and the tokenizer doesn't.
-_CONTROLS = frozenset("\x1c\x1d\x1e\x1f")
+#: Punctuation at a word's end: its letters or digits before are other pre-tokens. No apostrophes, which may
+#: begin a contraction, and no underscore before, which would be one pre-token with it.
+_TRAILING = re.compile(r"(?<=[^\W_])([.,!?|;:%$#&*]+)(?!\S)")
+#: What str.split takes for white space and the tokenizer doesn't, and what begins a special token.
+_ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, piece int"
 
@@ -52,41 +53,41 @@ class WordCoder:
 
         self.model = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    @staticmethod
-    def _split(word: str) -> tuple[str, str] | None:
-        """A word of letters alone, lower-cased if that is safe, and the punctuation after it."""
-        body = word.rstrip(_TRAILING)
-        if not body.isalpha():
-            return None
-        return (body.lower() if body.isascii() else body), word[len(body) :]
-
     def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > WORDS_KEPT:
-            self.words, self.parts = {}, {}
-        cut = {w: self._split(w) for w in words}
-        fresh = list({x[0] for x in cut.values() if x} - self.parts.keys())
+        """Put the words into the younger cache; what the older has isn't encoded again."""
+        known, older = self.words, self.older
+        fresh = []
+        for w in words:
+            if w in older:
+                known[w] = older[w]
+            elif w.isalpha():
+                fresh.append(w)
+            else:
+                known[w] = self._encode(w)
         for i in range(0, len(fresh), 2000):
             some = fresh[i : i + 2000]
             found = self.model.encode(" ".join(some), add_special_tokens=False)
-            raw = np.array(found.ids, dtype="<u4").tobytes()
-            at = np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))
-            if found.word_ids[-1] == len(some) - 1:
-                self.parts.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, at, at[1:], strict=False))
+            of = found.word_ids
+            if of[-1] == len(some) - 1:
+                raw = np.array(found.ids, dtype="<u4").tobytes()
+                at = (4 * np.searchsorted(np.array(of), np.arange(len(some) + 1))).tolist()
+                for w, a, b in zip(some, at, at[1:], strict=False):
+                    known[w] = raw[a:b]
             else:
-                self.parts.update((w, self._encode(w)) for w in some)
-        for word, x in cut.items():
-            if x is None:
-                self.words[word] = self._encode(word)
-                continue
-            body, tail = x
-            if tail and tail not in self.parts:
-                self.parts[tail] = self._encode(tail)
-            self.words[word] = self.parts[body] + self.parts[tail] if tail else self.parts[body]
+                for w in some:
+                    known[w] = self._encode(w)
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        """White-space-separated words, punctuation behind a letter or digit parted from it as the tokenizer does."""
+        if "\u03a3" not in text:  # lower-cased by its place in the word here, but not there
+            text = text.lower()
+        return _TRAILING.sub(r" \1", text).split()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -96,13 +97,13 @@ class WordCoder:
             yield from self.encode(texts[:half])
             yield from self.encode(texts[half:])
             return
-        odd = {i: self._encode(t) for i, t in enumerate(texts) if not _CONTROLS.isdisjoint(t)}
-        split = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        unknown = {w for ws in split for w in ws if w not in self.words}
+        if len(self.words) > WORDS_KEPT:
+            self.words, self.older = {}, self.words
+        odd = {i: self._encode(t) for i, t in enumerate(texts) if any(c in t for c in _ODD)}
+        split = [[] if i in odd else self._split(t) for i, t in enumerate(texts)]
+        unknown = set().union(*split).difference(self.words)
         if unknown:
             self._learn(unknown)
-        if any(w not in self.words for ws in split for w in ws):  # the cache was emptied meanwhile
-            self._learn({w for ws in split for w in ws})
         for i, ws in enumerate(split):
             yield odd[i] if i in odd else b"".join(map(self.words.__getitem__, ws))
 
