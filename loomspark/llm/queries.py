@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, decontamination, html_extraction, packing, quality_ledger, sharding, suffix_index, toxicity_crf
+from . import arc_to_warc, decontamination, html_extraction, order_minhash, packing, quality_ledger, sharding, suffix_index, toxicity_crf
 from .common import table
 
 
@@ -38,6 +38,10 @@ def op7_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -48,7 +52,7 @@ def op10_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op3_suffix_levels, op4_jump_sharding, op5_toxicity_crf, op6_arc_to_warc, op7_quality_ledger, op9_positional_index, op10_power_of_two_packing)}
+    return {f.__name__: f for f in (op1_html_extraction, op3_suffix_levels, op4_jump_sharding, op5_toxicity_crf, op6_arc_to_warc, op7_quality_ledger, op8_order_minhash, op9_positional_index, op10_power_of_two_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
