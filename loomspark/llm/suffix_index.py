@@ -32,14 +32,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-
 LENGTH = 50
-GRAM = 12
+GRAM = 8
 #: Text that a bucket stands for. The number of buckets follows the input.
 BUCKET_BYTES = 6_000_000
-#: Text that a map task anchors at a time.
-CHUNK_BYTES = 3_000_000
+#: Text whose suffixes a map task deals out together, and text that it anchors at a time.
+CHUNK_BYTES = 8_000_000
+PART_BYTES = 1_000_000
 #: Suffixes of a batch.
 BATCH_ROWS = 1 << 16
 
@@ -144,7 +143,7 @@ def _groups(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 # ---- blobs between tasks
 
 
-_FAST = zstandard.ZstdCompressor(level=3)
+_FAST = zstandard.ZstdCompressor(level=6)
 _OPEN = zstandard.ZstdDecompressor()
 
 
@@ -328,23 +327,40 @@ def _blob_batches(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordB
         yield out()
 
 
+def _sampled(rows: list[tuple[int, int, bytes, int]], base: int) -> tuple[np.ndarray, ...] | None:
+    """Keys, text numbers from base on, starts, windows, bytes before the anchor and gram hashes of some texts' suffixes."""
+    ends = np.cumsum([len(r[2]) for r in rows])
+    data = np.frombuffer(b"".join(r[2] for r in rows) + b"\0" * (_KEY + 16), dtype=np.uint8)
+    text, first, count, anchor, gram = anchors(data, ends)
+    if not len(first):
+        return None
+    start = first - np.append(0, ends[:-1])[text] + np.array([r[3] for r in rows], dtype=np.int64)[text]
+    return suffix_keys(data, first, count), text + base, start, count.astype(np.uint8), (anchor - first).astype(np.uint8), gram
+
+
 def _suffix_blobs(buckets: int, shards: int):
     """Map side: kind 1 are suffixes by bucket, kind 0 stretches that copies within the chunk lose."""
 
     def chunk(rows: list[tuple[int, int, bytes, int]]) -> Iterator[tuple[int, int, bytes]]:
         ids = np.array([r[0] for r in rows], dtype=np.int64)
         hashes = np.array([r[1] for r in rows], dtype=np.int64)
-        ends = np.cumsum([len(r[2]) for r in rows])
-        data = np.frombuffer(b"".join(r[2] for r in rows) + b"\0" * (_KEY + 16), dtype=np.uint8)
-        text, first, count, anchor, gram = anchors(data, ends)
-        if not len(first):
+        found, at = [], 0
+        while at < len(rows):
+            to, size = at, 0
+            while to < len(rows) and (to == at or size + len(rows[to][2]) <= PART_BYTES):
+                size += len(rows[to][2])
+                to += 1
+            found.append(_sampled(rows[at:to], at))
+            at = to
+        found = [x for x in found if x]
+        if not found:
             return
-        keys = suffix_keys(data, first, count)
-        start = first - np.append(0, ends[:-1])[text] + np.array([r[3] for r in rows], dtype=np.int64)[text]
+        keys, text, start, count, before, gram = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
         order, heads = _groups(keys, ids[text])
         head = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
         copy = order[ids[text[order]] > ids[text[head]]]
-        yield from _span_blobs(hashes[text[copy]], ids[text[copy]], start[copy], start[copy] + count[copy] + LENGTH - 1, shards)
+        yield from _span_blobs(hashes[text[copy]], ids[text[copy]], start[copy], start[copy] + count[copy].astype(np.int64) + LENGTH - 1, shards)
         left = order[ids[text[order]] == ids[text[head]]]
         bucket = (_mix(gram[left]) % np.uint64(buckets)).astype(np.int64)
         left = left[np.argsort(bucket, kind="stable")]
@@ -357,7 +373,7 @@ def _suffix_blobs(buckets: int, shards: int):
             own = own[np.argsort(start[own] + text[own] * (np.int64(1) << 32))]
             texts, number = np.unique(text[own], return_inverse=True)
             packed = flat[own][:, :_WIDE][wide < flat[own][:, -1][:, None]]
-            yield int(bucket[a]), 1, _pack(packed, count[own].astype(np.uint8), (anchor[own] - first[own]).astype(np.uint8), number.astype("<u2"), ids[texts], hashes[texts], start[own].astype("<i4"))
+            yield int(bucket[a]), 1, _pack(packed, count[own], before[own], number.astype("<u2"), ids[texts], hashes[texts], start[own].astype("<i4"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple[int, int, bytes]]:
@@ -380,8 +396,8 @@ def _suffix_blobs(buckets: int, shards: int):
 
 def _pieces_of(doc: int, row: int, data: bytes) -> Iterator[tuple[int, int, bytes, int]]:
     """A text in pieces that fit a chunk's 24-bit places; every window lies in one of them."""
-    for at in range(0, len(data), 2 * CHUNK_BYTES):
-        piece = data[at : at + 2 * CHUNK_BYTES + LENGTH - 1]
+    for at in range(0, len(data), 4 * PART_BYTES):
+        piece = data[at : at + 4 * PART_BYTES + LENGTH - 1]
         if len(piece) >= LENGTH:
             yield doc, row, piece, at
 
@@ -406,7 +422,10 @@ def _bucket_runs(shards: int):
         def each() -> Iterator[tuple[int, int, bytes]]:
             now, held = None, []
             for batch in batches:
-                for b, p in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                for b, kind, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                    if kind == 0:
+                        yield b, 0, p.as_py()
+                        continue
                     if b != now and held:
                         yield from solve(held)
                         held = []
@@ -421,17 +440,49 @@ def _bucket_runs(shards: int):
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+_TEXTS = "u1 <i8 <i8 <i8 u1 <i8 u1"  # whether there is an id, ids, row hashes, lengths, the bytes end to end; the same of what is carried along
+_OUT = pa.schema([("doc_id", pa.int64()), ("data", pa.binary()), ("spans", _SPAN), ("rest", pa.string())])
+
+
+def _text_blobs(shards: int):
+    """Whole rows by shard, kind 2."""
+
+    def chunk(rows: list[tuple[int | None, int, bytes, bytes]]) -> Iterator[tuple[int, int, bytes]]:
+        shard = np.array([r[1] for r in rows], dtype=np.int64) % shards
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
+        for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+            own = [rows[i] for i in order[a:b]]
+            numbers = (np.array([f(r) for r in own], dtype=np.int64) for f in (lambda r: r[0] or 0, lambda r: r[1], lambda r: len(r[2])))
+            rest = np.array([len(r[3]) for r in own], dtype=np.int64), np.frombuffer(b"".join(r[3] for r in own), dtype=np.uint8)
+            yield int(shard[order[a]]), 2, _pack(np.array([r[0] is not None for r in own], dtype=np.uint8), *numbers, np.frombuffer(b"".join(r[2] for r in own), dtype=np.uint8), *rest)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[tuple[int, int, bytes]]:
+            held, size = [], 0
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    held.append(tuple(batch.column(k)[i].as_py() for k in range(4)))
+                    size += len(held[-1][2])
+                    if size > CHUNK_BYTES:
+                        yield from chunk(held)
+                        held, size = [], 0
+            if held:
+                yield from chunk(held)
+
+        return _blob_batches(each())
+
+    return run
 
 
 def _apply_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's stretches come first, then its rows."""
     now, blobs, lost = None, [], None
     for batch in batches:
-        out = []
-        for b, kind, payload, doc, row in zip(*(batch.column(i) for i in range(5)), strict=True):
-            if b.as_py() != now:
-                now, blobs, lost = b.as_py(), [], None
-            if kind.as_py() == 0:
+        for b, kind, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if b != now:
+                now, blobs, lost = b, [], None
+            if kind == 0:
                 blobs.append(payload.as_py())
                 continue
             if lost is None:
@@ -440,13 +491,17 @@ def _apply_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 order = np.lexsort((table[2], table[1], table[0]))
                 lost = [x[order] for x in table]
                 blobs = []
-            out.append((doc.as_py(), row.as_py(), payload.as_py(), _stretches(lost, doc.as_py(), row.as_py())))
-        if out:
-            doc, row, data, spans = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(data, pa.binary()), pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], _SPAN)],
-                names=["doc_id", "row_hash", "data", "spans"],
-            )
+            named, ids, rows, sizes, data, more, rest = _unpack(payload.as_py(), _TEXTS)
+            docs = [i if n else None for i, n in zip(ids.tolist(), named.tolist(), strict=True)]
+            texts, carried = _slices(data, sizes), [x.decode() or None for x in _slices(rest, more)]
+            cut = [[{"start": a, "stop": b} for a, b in _stretches(lost, d, r)] for d, r in zip(docs, rows.tolist(), strict=True)]
+            columns = (docs, texts, cut, carried)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _OUT, strict=True)], schema=_OUT)
+
+
+def _slices(data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    raw, ends = data.tobytes(), np.cumsum(sizes)
+    return [raw[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
 def _stretches(lost: list[np.ndarray], doc: int | None, row: int) -> list[tuple[int, int]]:
@@ -462,21 +517,21 @@ def _stretches(lost: list[np.ndarray], doc: int | None, row: int) -> list[tuple[
     return out
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_hash, data, spans) of every row of docs(doc_id, text): UTF-8 bytes, and stretches to remove."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data"))
-    rows = rows.select("doc_id", F.xxhash64("doc_id", "data").alias("row_hash"), "data")
+def spans(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, data, spans, rest) of every row of docs(doc_id, text): UTF-8 bytes, and stretches to remove.
+
+    rest holds the columns to carry as JSON, so that no join has to bring them back.
+    """
+    rest = F.to_json(F.struct(*carry)) if carry else F.lit("")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data"), rest.cast("binary").alias("rest"))
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "data").alias("row_hash"), "data", "rest")
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = max(12, total // BUCKET_BYTES)
-    first = rows.filter("doc_id IS NOT NULL").mapInArrow(_suffix_blobs(buckets, buckets), _BLOB)
-    blobs = stored(first, "suffixes")
-    solved = blobs.filter("kind = 1").repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_bucket_runs(buckets), _BLOB)
-    lost = blobs.filter("kind = 0").unionByName(solved)
-    shard = F.pmod(F.col("row_hash"), F.lit(buckets))
-    both = lost.select("bucket", "kind", "payload", F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("row_hash")).unionByName(
-        rows.select(shard.alias("bucket"), F.lit(1).alias("kind"), F.col("data").alias("payload"), "doc_id", "row_hash")
-    )
-    return both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_apply_spans, "doc_id bigint, row_hash bigint, data binary, spans array<struct<start:int,stop:int>>")
+    suffixes = rows.filter("doc_id IS NOT NULL").select("doc_id", "row_hash", "data").mapInArrow(_suffix_blobs(buckets, buckets), _BLOB)
+    lost = suffixes.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_bucket_runs(buckets), _BLOB)
+    texts = rows.mapInArrow(_text_blobs(buckets), _BLOB)
+    both = lost.unionByName(texts).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    return both.mapInArrow(_apply_spans, "doc_id bigint, data binary, spans array<struct<start:int,stop:int>>, rest string")
 
 
 def _kept(data: bytes, cut: list[dict]) -> bytes:
@@ -504,12 +559,22 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def remove(docs: DataFrame) -> DataFrame:
-    """doc_id, row_hash and the text that is left of every row; bytes of split code points are left out."""
-    schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("text", pa.string())])
+    """docs with the text that is left of every row; bytes of split code points are left out.
+
+    Rows that lose all their bytes go.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("rest", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_kept(d.as_py(), s).decode("utf-8", "ignore") for d, s in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], schema=schema)
-
-    return spans(docs).mapInArrow(run, "doc_id bigint, row_hash bigint, text string")
+            cut = batch.column(2).to_pylist()
+            texts = [_kept(d.as_py(), s).decode("utf-8", "ignore") for d, s in zip(batch.column(1), cut, strict=True)]
+            kept = [i for i, t in enumerate(texts) if t or not cut[i]]
+            columns = (batch.column(0).take(pa.array(kept, pa.int64())), pa.array([texts[i] for i in kept], pa.string()), batch.column(3).take(pa.array(kept, pa.int64())))
+            yield pa.RecordBatch.from_arrays(list(columns), schema=schema)
+
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    left = spans(docs, others).mapInArrow(run, "doc_id bigint, text string, rest string")
+    if others:
+        left = left.withColumn("rest", F.from_json("rest", docs.select(*others).schema))
+    return left.select(*(F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns))
