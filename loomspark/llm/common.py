@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,3 +56,28 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     if not pa.types.is_binary(column.type):
         column = column.cast(pa.binary())
     return [x or b"" for x in column.to_pylist()]
+
+
+#: What empties the caches that a Python worker keeps from task to task, by the operator that they belong to.
+caches: dict[str, Callable[[], None]] = {}
+
+
+def lean(run: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iterator], Iterator]:
+    """run, for a Python worker that serves many operators in turn.
+
+    Other operators' caches are emptied before, and freed memory goes back to the system behind.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        for name, empty in caches.items():
+            if name != owner:
+                empty()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task

@@ -10,9 +10,10 @@ labelled shingles are different within a text, it is the longest rising run of m
 is as wide as a pair of the least similarity can need, so it loses nothing. The similarity is aligned
 shingles over all shingles of either text, and links are pairs with THRESHOLD or more.
 
-Equal token sequences are one text from the start. In each bucket every text is first aligned with the
-bucket's least id; where a bucket then still holds several classes, all its pairs across classes that
-their lengths and alignments with that id allow are aligned too, so no candidate link is lost.
+Equal token sequences are one text from the start. In each bucket every text is first aligned with
+the bucket's hub, the text that meets most others in its buckets; where a bucket then still holds
+several classes, all its pairs across classes that their lengths and alignments with the hub allow are
+aligned too, so no candidate link is lost.
 
 With 4 picks of 24 samples a pair of similarity s is a candidate with probability 1 - (1 - s^4)^24,
 0.99999 at 0.8.
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import lean, stored
 from .graph import components
 
 WORDS = 5
@@ -58,7 +59,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Labelled shingle hashes of texts; word hashes are remembered."""
 
-    KEPT = 300_000
+    KEPT = 200_000
 
     def __init__(self):
         self.words: dict[str, int] = {}
@@ -163,7 +164,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 keys.append(samples(labelled))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "n_shingles", "samples"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SIGNED)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(lean(run), SIGNED)
 
 
 VERIFIED = "a bigint, b bigint, n_a int, n_b int, matched int"
@@ -200,7 +201,7 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             counts = list(zip(*rows, strict=True)) if rows else [[], [], []]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int32()) for c in counts)], names=["a", "b", "n_a", "n_b", "matched"])
 
-    return both.mapInArrow(run, VERIFIED)
+    return both.mapInArrow(lean(run), VERIFIED)
 
 
 def _similar(threshold: float):
@@ -213,8 +214,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ids = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     texts = stored(ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("samples").alias("samples"), F.first("n_shingles").alias("n")), "texts")
     drawn = texts.select("rep", "n", F.explode(F.array_distinct("samples")).alias("key"))
-    shared = drawn.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub")).filter("size > 1")
-    members = stored(drawn.join(shared, "key").select("key", "hub", F.col("rep").alias("doc"), "n"), "buckets")
+    shared = drawn.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    placed = stored(drawn.join(shared, "key").select("key", F.col("rep").alias("doc"), "n", "size"), "buckets")
+    # what copies were made from meets most of them: the text that shares most buckets with most others
+    ranked = placed.join(placed.groupBy("doc").agg(F.sum("size").alias("meets")), "doc")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("meets", (-F.col("doc")).alias("least"))).alias("h")).select("key", (-F.col("h.least")).alias("hub"))
+    members = stored(placed.join(hubs, "key").select("key", "hub", "doc", "n"), "buckets")
     first = stored(verify(members.filter("doc != hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct(), docs), "aligned").withColumn("indel", F.col("n_a") + F.col("n_b") - 2 * F.col("matched"))
     links = first.filter(_similar(threshold)).select("a", "b")
     class_of = stored(components(links), "classes")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import caches, lean
+
 CONTEXT = 4096
 END = 2
 #: Distinct words whose ids a Python worker remembers; beyond, the older half goes.
@@ -109,6 +111,7 @@ class WordCoder:
 
 
 _coders: dict[str, WordCoder] = {}
+caches["packing"] = _coders.clear
 
 
 def coder(path: str) -> WordCoder:
@@ -152,7 +155,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, context: int = CONTEXT
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    found = slim.mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
+    found = slim.mapInArrow(lean(cut, "packing"), PIECES + ", ids array<int>" * with_ids)
     return found.select(*(c for c in found.columns if c != "piece"), F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
 
 

@@ -32,6 +32,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 LENGTH = 50
 GRAM = 8
 #: Text that a bucket stands for. The number of buckets follows the input.
@@ -527,11 +529,11 @@ def spans(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     rows = rows.select("doc_id", F.xxhash64("doc_id", "data").alias("row_hash"), "data", "rest")
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = max(12, total // BUCKET_BYTES)
-    suffixes = rows.filter("doc_id IS NOT NULL").select("doc_id", "row_hash", "data").mapInArrow(_suffix_blobs(buckets, buckets), _BLOB)
-    lost = suffixes.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_bucket_runs(buckets), _BLOB)
-    texts = rows.mapInArrow(_text_blobs(buckets), _BLOB)
+    suffixes = rows.filter("doc_id IS NOT NULL").select("doc_id", "row_hash", "data").mapInArrow(lean(_suffix_blobs(buckets, buckets)), _BLOB)
+    lost = suffixes.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lean(_bucket_runs(buckets)), _BLOB)
+    texts = rows.mapInArrow(lean(_text_blobs(buckets)), _BLOB)
     both = lost.unionByName(texts).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    return both.mapInArrow(_apply_spans, "doc_id bigint, data binary, spans array<struct<start:int,stop:int>>, rest string")
+    return both.mapInArrow(lean(_apply_spans), "doc_id bigint, data binary, spans array<struct<start:int,stop:int>>, rest string")
 
 
 def _kept(data: bytes, cut: list[dict]) -> bytes:
@@ -555,7 +557,7 @@ def digests(docs: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return spans(docs).select("doc_id", "data", "spans").mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return spans(docs).select("doc_id", "data", "spans").mapInArrow(lean(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def remove(docs: DataFrame) -> DataFrame:
@@ -574,7 +576,7 @@ def remove(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(columns), schema=schema)
 
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    left = spans(docs, others).mapInArrow(run, "doc_id bigint, text string, rest string")
+    left = spans(docs, others).mapInArrow(lean(run), "doc_id bigint, text string, rest string")
     if others:
         left = left.withColumn("rest", F.from_json("rest", docs.select(*others).schema))
     return left.select(*(F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns))
