@@ -32,6 +32,8 @@ MIN_SHARE = 0.2
 #: Template hashes that may be sent to every task; beyond, pages are joined to them by a shuffle.
 BROADCAST_HASHES = 500_000
 SALTS = 32
+#: Elements nested deeper become siblings, as in browsers.
+DEPTH = 256
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe svg xmp noembed noframes".split())
@@ -106,7 +108,8 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append(node)
+        if len(stack) < DEPTH:
+            stack.append(node)
     return root
 
 
