@@ -12,8 +12,9 @@ shingles over all shingles of either text, and links are pairs with THRESHOLD or
 
 Equal token sequences are one text from the start. In each bucket every text is first aligned with
 the bucket's hub, the text that meets most others in its buckets; where a bucket then still holds
-several classes, all its pairs across classes that their lengths and alignments with the hub allow are
-aligned too, so no candidate link is lost.
+several classes, the pairs across classes are aligned too, so no candidate link is lost: in small
+buckets those that lengths and alignments with the hub allow, in large ones those that share one of
+their rarest shingles, as all pairs of the least similarity do.
 
 With 4 picks of 24 samples a pair of similarity s is a candidate with probability 1 - (1 - s^4)^24,
 0.99999 at 0.8.
@@ -41,6 +42,10 @@ WORDS = 5
 SAMPLES = 24
 PICKS = 4
 THRESHOLD = 0.8
+#: Members of a bucket up to which its pairs are enumerated; larger ones are searched by their rarest shingles.
+FEW = 16
+#: Texts up to which a shingle is rare in that search.
+RARE = 32
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _SEEDS = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -208,6 +213,36 @@ def _similar(threshold: float):
     return (F.col("matched") > 0) & (F.col("matched") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("matched")))
 
 
+def prefix_pairs(texts: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of texts(doc, class) of different classes that may be similar, from all pairs that are.
+
+    Two texts of n and m shingles that share enough of them share one among the n - ceil(threshold n) + 1
+    and the m - ceil(threshold m) + 1 rarest; only these are joined, and of them those that occur twice.
+    The rarest one that they share is among them. So if it is a common one (in more than RARE texts),
+    all that they share is common, and either text must have that many common shingles.
+    """
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text")).join(texts, "doc").select("doc", "class", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            found = [shingler.labelled(shingler.tokens(t.as_py())).view(np.int64) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc", "class", "shingles"])
+
+    held = stored(own.mapInArrow(lean(run), "doc bigint, class bigint, shingles array<bigint>"), "shingles")
+    rows = held.select("doc", "class", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    ranked = rows.join(often, "s").groupBy("doc", "class", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("r"))
+    rare = F.slice("r", F.lit(1), (F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1).cast("int"))
+    common = F.size(F.filter("r", lambda x: x.f > RARE)).alias("c")
+    heads = stored(ranked.select("doc", "class", "n", common, F.explode(F.filter(rare, lambda x: x.f > 1)).alias("x")).select("doc", "class", "n", "c", (F.col("x.f") <= RARE).alias("rare"), F.col("x.s").alias("s")), "prefixes")
+    a = heads.withColumnsRenamed({"doc": "a", "class": "class_a", "n": "n_a", "c": "c_a"})
+    b = heads.drop("rare").withColumnsRenamed({"doc": "b", "class": "class_b", "n": "n_b", "c": "c_b"})
+    need = threshold / (1 + threshold) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    fits = (F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & (F.least("n_a", "n_b") >= need) & (F.col("rare") | (F.least("c_a", "c_b") >= need))
+    return a.join(b, "s").filter(fits).select("a", "b").distinct()
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, n_links) of every row: the least id of its class, and its text's links to other texts."""
     signed = stored(signatures(docs), "signatures")
@@ -223,17 +258,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = stored(verify(members.filter("doc != hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct(), docs), "aligned").withColumn("indel", F.col("n_a") + F.col("n_b") - 2 * F.col("matched"))
     links = first.filter(_similar(threshold)).select("a", "b")
     class_of = stored(components(links), "classes")
-    # buckets that hold several classes: their pairs across classes, as far as lengths and alignments allow
+    # buckets that hold several classes: pairs across classes, as far as lengths and alignments allow
     known = members.join(class_of.withColumnsRenamed({"node": "doc", "component": "class"}), "doc", "left").withColumn("class", F.coalesce("class", "doc"))
-    mixed = known.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo != hi").select("key")
-    known = known.join(mixed, "key").filter("doc != hub").join(first.select(F.col("a").alias("doc"), F.col("b").alias("hub"), "indel"), ["doc", "hub"], "left")
-    left = known.select("key", F.col("doc").alias("a"), F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("indel").alias("d_a"))
-    right = known.select("key", F.col("doc").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("indel").alias("d_b"))
+    mixed = stored(known.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo != hi").select("key", "size"), "mixed")
+    few = known.join(mixed.filter(F.col("size") <= FEW), "key").filter("doc != hub").join(first.select(F.col("a").alias("doc"), F.col("b").alias("hub"), "indel"), ["doc", "hub"], "left")
+    left = few.select("key", F.col("doc").alias("a"), F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("indel").alias("d_a"))
+    right = few.select("key", F.col("doc").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("indel").alias("d_b"))
     # similar texts differ by at most this share of their shingles together
     far = (1 - threshold) / (1 + threshold)
     near = (F.abs(F.col("n_a") - F.col("n_b")) <= far * (F.col("n_a") + F.col("n_b"))) & (F.abs(F.col("d_a") - F.col("d_b")) <= far * (F.col("n_a") + F.col("n_b")))
-    across = left.join(right, "key").filter((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & near)
-    second = stored(verify(across.select("a", "b").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), docs), "aligned")
+    across = left.join(right, "key").filter((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & near).select("a", "b")
+    many = known.join(mixed.filter(F.col("size") > FEW), "key").select("doc", "class").distinct()
+    pairs = across.unionByName(prefix_pairs(many, docs, threshold)).distinct()
+    second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), docs), "aligned")
     more = second.filter(_similar(threshold)).select("a", "b")
     all_links = stored(links.unionByName(more).distinct(), "links")
     final = components(all_links)
