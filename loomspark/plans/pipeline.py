@@ -20,7 +20,7 @@ from .providers import ExtractiveProvider, Provider, ask, ask_with_fallback
 
 SUMMARY_INSTRUCTIONS = "Summarise the chunk. " + prompts.SENTIMENT_TAIL
 ROLLUP_INSTRUCTIONS = "Summarise the whole conversation from its parts. " + prompts.SENTIMENT_TAIL
-CHUNK_KEYS = ["conversation_id", "chunk_number", "turn_start", "turn_end"]
+KEYS = ["conversation_id", "chunk_number", "turn_start", "turn_end", "rel_path"]
 
 
 class Pipeline:
@@ -56,10 +56,13 @@ class Pipeline:
     def chunk(self) -> bool:
         threads = self.table("threads")
         if self._done("chunks"):
-            threads = threads.join(self.table("chunks").select("conversation_id"), "conversation_id", "left_anti")
+            threads = threads.join(self.table("chunks").select("file_name"), "file_name", "left_anti")
             if not threads.filter("size(messages) > 0").limit(1).count():
                 return False
-        made = turns.chunks(threads, self.c.target_turns, self.decided).join(threads.select("conversation_id", "file_name"), "conversation_id")
+        # conversations may share an id; their file names are their own
+        names = threads.select("file_name", F.col("conversation_id").alias("_id"))
+        made = turns.chunks(threads.withColumn("conversation_id", F.col("file_name")), self.c.target_turns, self.decided)
+        made = made.withColumnRenamed("conversation_id", "file_name").join(names, "file_name").withColumnRenamed("_id", "conversation_id")
         self._save(made.withColumn("rel_path", turns.chunk_path(F.col("file_name"))), "chunks", append=self._done("chunks"))
         return True
 
@@ -81,11 +84,11 @@ class Pipeline:
         for i, batch in enumerate(cuts):
             said = G.excerpt(glossary, self.c.glossary_max_terms).first()[0]
             own = todo.filter(batch)
-            full, short = (prompts.chunk_prompts(own, said, most, tools) for most, tools in ((prompts.CHUNK_BYTES, True), (prompts.CHUNK_RETRY_BYTES, False)))
-            keyed = own.select(*CHUNK_KEYS, "rel_path", "thread_start_time")
+            full, short = (prompts.chunk_prompts(own, said, most, tools, ("rel_path",)) for most, tools in ((prompts.CHUNK_BYTES, True), (prompts.CHUNK_RETRY_BYTES, False)))
+            keyed = own.select(*KEYS, "thread_start_time")
             for name, payload, words in (("summaries", schemas.SUMMARY_PAYLOAD + ", glossary_additions array<struct<term:string,definition:string>>", SUMMARY_INSTRUCTIONS), ("sentiments", schemas.SENTIMENT_PAYLOAD, prompts.sentiment_instructions(header))):
-                answers = ask_with_fallback(self.provider, full, short, CHUNK_KEYS, payload, words)
-                self._save(keyed.join(answers, CHUNK_KEYS).filter("status = 'ok'").drop("status").withColumn("batch", F.lit(i)), name, append=not (fresh and i == 0))
+                answers = ask_with_fallback(self.provider, full, short, KEYS, payload, words)
+                self._save(keyed.join(answers, KEYS).filter("status = 'ok'").drop("status").withColumn("batch", F.lit(i)), name, append=not (fresh and i == 0))
             new = self.table("summaries").join(own.select("rel_path"), "rel_path", "left_semi").withColumn("seq", F.dense_rank().over(_by_path()))
             self._save(G.merge(G.additions_of(new), glossary), f"glossary/batch={i:06d}")
             glossary = self.table(f"glossary/batch={i:06d}")
@@ -122,7 +125,7 @@ class Pipeline:
                 continue
             did = True
             made = self._rollup(rows.select(*schemas.names(schemas.CHUNK_KEYS), *schemas.names(payload)), name, payload, makers, said)
-            titles = self.table("threads").select("conversation_id", "title")
+            titles = self.table("threads").groupBy("conversation_id").agg(F.min_by("title", "file_name").alias("title"))
             self._save(made.join(titles, "conversation_id").select(*schemas.names(schemas.THREAD_KEYS), *schemas.names(payload)), name, append=there)
         if did:
             self._thread_indexes()

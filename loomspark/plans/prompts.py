@@ -50,12 +50,13 @@ def _glossary(excerpt: str) -> str:
     return f"glossary:\n{excerpt}\n" if excerpt else ""
 
 
-def chunk_prompts(chunks: DataFrame, excerpt: str = "", most: int = CHUNK_BYTES, tool_text: bool = True) -> DataFrame:
-    """(conversation_id, chunk_number, turn_start, turn_end, prompt) of chunk rows."""
-    keys = ["conversation_id", "chunk_number", "turn_start", "turn_end"]
+def chunk_prompts(chunks: DataFrame, excerpt: str = "", most: int = CHUNK_BYTES, tool_text: bool = True, more: tuple[str, ...] = ()) -> DataFrame:
+    """(conversation_id, chunk_number, turn_start, turn_end, prompt) of chunk rows; more: further key columns."""
+    own = ["conversation_id", "chunk_number", "turn_start", "turn_end"]
+    keys = [*own, *more]
     rows = chunks.select(*keys, F.posexplode_outer("messages").alias("i", "m")).select(*keys, "i", "m.*")
     lines = prefix_text(rows.filter("i IS NOT NULL"), keys, ["i"], transcript_line(tool_text), most or CHUNK_BYTES, "... [transcript truncated]\n", "_lines")
-    head = F.format_string("chunk_metadata:\nconversation_id=%s\nchunk_number=%d\nturn_range=%d..%d\n\n", *keys)
+    head = F.format_string("chunk_metadata:\nconversation_id=%s\nchunk_number=%d\nturn_range=%d..%d\n\n", *own)
     empty = chunks.select(*keys)
     full = empty.join(lines.select(*keys, "_lines"), keys, "left")
     return full.select(*keys, F.concat(head, F.lit(_glossary(excerpt) + "transcript:\n"), F.coalesce("_lines", F.lit(""))).alias("prompt"))

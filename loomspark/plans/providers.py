@@ -31,7 +31,8 @@ class ExtractiveProvider:
     """Offline and deterministic: answers are stretches of the prompt. JVM expressions only."""
 
     def complete(self, requests: DataFrame) -> DataFrame:
-        lines = F.filter(F.split("prompt", "\n"), lambda x: F.startswith(x, F.lit("- ")) | F.startswith(x, F.lit("  ")))
+        fields = F.filter(F.split("prompt", "\n"), lambda x: F.startswith(x, F.lit("  ")))
+        lines = F.when(F.size(fields) > 0, fields).otherwise(F.filter(F.split("prompt", "\n"), lambda x: F.startswith(x, F.lit("- "))))
         said = F.transform(lines, lambda x: F.regexp_replace(x, r"^(- [^:=]*[:=] ?|  [a-z_]+=)", ""))
         said = F.filter(said, lambda x: x != "")
         words = F.filter(F.split(F.array_join(said, " "), r"[^\p{L}]+"), lambda w: F.length(w) >= 7)

@@ -21,7 +21,7 @@ def archive(spark: SparkSession, path: str, field: str | None = None) -> DataFra
     """
     if field is None and _starts_with_array(spark, path):
         return spark.read.schema(schemas.RAW_CONVERSATION).option("multiLine", True).json(path)
-    return wrapped(spark.read.option("wholetext", True).text(path), field)
+    return wrapped(spark.read.text(path, wholetext=True), field)
 
 
 def _starts_with_array(spark: SparkSession, path: str) -> bool:
@@ -31,8 +31,8 @@ def _starts_with_array(spark: SparkSession, path: str) -> bool:
 
 def wrapped(texts: DataFrame, field: str | None = None) -> DataFrame:
     """Raw conversations of objects in the column value; an error if an object holds no array."""
-    fields = F.lit(field) if field else F.element_at(F.filter(F.json_object_keys("value"), lambda k: _is_array(k)), 1)
-    body = F.get_json_object(F.col("value"), F.concat(F.lit("$['"), F.col("_field"), F.lit("']")))
+    fields = F.lit(field) if field else F.try_element_at(F.filter(F.json_object_keys("value"), lambda k: _is_array(k)), F.lit(1))
+    body = F.call_function("get_json_object", F.col("value"), F.concat(F.lit("$['"), F.col("_field"), F.lit("']")))
     rows = texts.withColumn("_field", fields).withColumn("_body", body)
     checked = rows.filter(F.assert_true(F.col("_body").isNotNull(), F.lit("the archive has no array of conversations")).isNull())
     kind = f"array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in schemas.struct(schemas.RAW_CONVERSATION))}>>"
@@ -100,7 +100,7 @@ def glossary(spark: SparkSession, path: str) -> DataFrame:
 
 def prompt_header(spark: SparkSession, path: str) -> str:
     """The text of a header file; an error if it is blank."""
-    text = spark.read.option("wholetext", True).text(path).first()
+    text = spark.read.text(path, wholetext=True).first()
     if text is None or not text.value.strip():
         raise ValueError(f"{path} is empty")
     return text.value.strip()
