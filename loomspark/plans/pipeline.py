@@ -175,6 +175,29 @@ class Pipeline:
         return True
 
 
+    def stats(self) -> dict[str, int]:
+        """Rows of each table that is there, and bytes of the threads' texts."""
+        names = [n for n in ("quarantine", "threads", "chunks", "summaries", "sentiments", "thread_summaries", "thread_sentiments", "packed") if readers.exists(self.spark, self.path(n))]
+        out = {n: self.table(n).count() for n in names}
+        if "threads" in names:
+            texts = F.aggregate(F.coalesce(F.col("messages.text"), F.array().cast("array<string>")), F.lit(0).cast("bigint"), lambda a, t: a + F.octet_length(t))
+            out["text_bytes"] = self.table("threads").agg(F.sum(texts)).first()[0] or 0
+        return out
+
+    def export(self, path: str, pretty: bool = False) -> None:
+        """Threads, chunks and summaries as one JSON file each, named by thread and chunk as the tables' paths say."""
+        stem = F.regexp_replace("rel_path", r"\.json$", "")
+        thread = file_component("conversation_id")
+        for name, schema, file in (
+            ("threads", schemas.THREAD, F.concat("file_name", F.lit(".json"))), ("chunks", schemas.CHUNK, F.col("rel_path")),
+            ("summaries", schemas.CHUNK_SUMMARY, F.concat(stem, F.lit(readers.SUMMARY))), ("sentiments", schemas.CHUNK_SENTIMENT, F.concat(stem, F.lit(readers.SENTIMENT))),
+            ("thread_summaries", schemas.THREAD_SUMMARY, F.concat(thread, F.lit(readers.THREAD_SUMMARY))), ("thread_sentiments", schemas.THREAD_SENTIMENT, F.concat(thread, F.lit(readers.THREAD_SENTIMENT))),
+        ):
+            if readers.exists(self.spark, self.path(name)):
+                rows = self.table(name).withColumns({"_file": file, "_json": writers.pretty_json(self.table(name), schemas.names(schema), pretty)})
+                writers.documents(rows, f"{path.rstrip('/')}/{name}", "_file", "_json", self.c.overwrite)
+
+
 def _by_path():
     from pyspark.sql import Window as W
 

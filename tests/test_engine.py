@@ -216,6 +216,20 @@ def test_pipeline_end_to_end_and_resume(spark, archive, tmp_path):
     assert all(r.value.startswith("# Memory Shard 0") for r in shards) and sum(r.value.count("<a id=") for r in shards) == len(ids)
     assert readers.glossary(spark, p.path("glossary.json")).count() > 0 and readers.glossary(spark, p.path("nothing")).count() == 0
     assert Pipeline(spark, c).run() == []
+    assert p.stats()["threads"] == 6 and p.stats()["text_bytes"] > 0
+    p.export(str(tmp_path / "files"))
+    back = spark.read.schema(schemas.CHUNK).json(str(tmp_path / "files" / "chunks"))
+    assert back.count() == chunks and {r.conversation_id for r in back.collect()} == ids
+
+
+def test_command_line():
+    from loomspark.__main__ import parse
+
+    c = parse(["--archive", "a", "--base-dir", "b", "--target-turns", "7", "--no-resume", "--only-stage", "pack"])
+    assert (c.target_turns, c.resume, c.stages()) == (7, False, ["pack"])
+    with pytest.raises(SystemExit) as e:
+        parse(["--archive", "a", "--base-dir", "b", "--only-stage", "nothing"])
+    assert e.value.code == 2
 
 
 def test_file_readers_by_suffix(spark, tmp_path):
