@@ -29,28 +29,25 @@ def pack_order() -> list[Column]:
     return [F.coalesce(F.col("thread_start_time"), F.lit(0.0)), F.col("conversation_id")]
 
 
-def _heads(sizes: np.ndarray, first: int, most: int, header: int) -> tuple[int, int]:
-    """(shards begun, bytes of the last) when a new shard begins at section first."""
-    ends = np.cumsum(sizes)
-    n, at, count, last = len(sizes), first, 0, 0
-    while at < n:
-        before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + most - header, side="right")))
-        count, last = count + 1, header + int(ends[to - 1] - before)
-        at = to
-    return count, last
-
-
 def _exits(sizes: np.ndarray, most: int, header: int) -> pd.DataFrame:
-    """For each first section that an incoming shard may leave out: the bytes before it, shards begun, last bytes."""
+    """For each first section that an incoming shard may leave out: the bytes upto its end, shards begun, last bytes.
+
+    From the last section on: a shard that begins at a section ends where the bytes say, and goes on as
+    the shard that begins there.
+    """
     ends = np.cumsum(sizes)
-    reach = min(len(sizes), int(np.searchsorted(ends, most, side="right")) + 1)
-    after: dict[int, tuple[int, int]] = {}
-    rows = []
-    for j in range(reach):
-        count, last = after.setdefault(j, _heads(sizes, j, most, header)) if j < 64 or j == reach - 1 else _heads(sizes, j, most, header)
-        rows.append((int(ends[j - 1]) if j else 0, int(ends[j]), count, last))
-    return pd.DataFrame(rows, columns=["before", "upto", "begun", "last"])
+    n = len(sizes)
+    begin = ends - sizes
+    to = np.maximum(np.searchsorted(ends, begin + most - header, side="right"), np.arange(n) + 1)
+    begun, last = np.ones(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    for i in range(n - 1, -1, -1):
+        k = to[i]
+        if k >= n:
+            last[i] = header + ends[-1] - begin[i]
+        else:
+            begun[i], last[i] = begun[k] + 1, last[k]
+    reach = min(n, int(np.searchsorted(ends, most, side="right")) + 1)
+    return pd.DataFrame({"upto": ends[:reach], "begun": begun[:reach], "last": last[:reach]})
 
 
 def next_fit(sections: DataFrame, size: str, order: list[str], most: int = DEFAULT_BYTES, header: int = 0, name: str = "shard_no") -> DataFrame:
@@ -70,11 +67,11 @@ def next_fit(sections: DataFrame, size: str, order: list[str], most: int = DEFAU
         return out.assign(_task=keys[0], total=int(sizes.sum()))
 
     # a partition's table has as many rows as sections fit a shard at most
-    tables = ranged.groupBy("_task").applyInPandas(table, "before bigint, upto bigint, begun bigint, last bigint, _task int, total bigint").toPandas()
+    tables = ranged.groupBy("_task").applyInPandas(table, "upto bigint, begun bigint, last bigint, _task int, total bigint").toPandas()
     state, number, starts = 0, 0, []
     for task, own in sorted(tables.groupby("_task"), key=lambda x: x[0]):
         starts.append((int(task), state, number))
-        own = own.sort_values("before")
+        own = own.sort_values("upto", kind="stable")
         over = own[state + own["upto"].to_numpy() > most] if state else own
         if state and not len(over):
             state += int(own["total"].iloc[0])
