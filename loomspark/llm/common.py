@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -68,7 +67,6 @@ def lean(run: Callable[[Iterator], Iterator], owner: str = "") -> Callable[[Iter
     Other operators' caches are emptied before, and freed memory goes back to the system behind.
     """
 
-    @functools.wraps(run)
     def task(batches: Iterator) -> Iterator:
         for name, empty in caches.items():
             if name != owner:

@@ -273,7 +273,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), docs), "aligned")
     more = second.filter(_similar(threshold)).select("a", "b")
     all_links = stored(links.unionByName(more).distinct(), "links")
-    final = components(all_links)
+    final = class_of
+    if more.limit(1).count():  # only the classes that the further links join are looked at again
+        of = class_of.withColumnsRenamed({"component": "class"})
+        ends = more.join(of.withColumnRenamed("node", "a"), "a", "left").withColumn("x", F.coalesce("class", "a")).drop("class").join(of.withColumnRenamed("node", "b"), "b", "left").withColumn("y", F.coalesce("class", "b"))
+        joined = stored(components(ends.select("x", "y"), "x", "y").withColumnsRenamed({"node": "class", "component": "of"}), "joined")
+        final = of.unionByName(joined.select(F.col("class").alias("node"), "class")).distinct().join(joined, "class", "left").select("node", F.coalesce("of", "class").alias("component"))
     degree = all_links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     per_text = texts.select("digest", "rep").join(final.withColumnsRenamed({"node": "rep", "component": "class_id"}), "rep", "left").join(degree, "rep", "left")
     named = signed.select("doc_id", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest")).join(per_text, "digest", "left")

@@ -24,7 +24,7 @@ are not read by ``spans``; ``remove`` keeps them.
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -519,10 +519,14 @@ def _stretches(lost: list[np.ndarray], doc: int | None, row: int) -> list[tuple[
     return out
 
 
-def spans(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+SPANS = "doc_id bigint, data binary, spans array<struct<start:int,stop:int>>, rest string"
+
+
+def spans(docs: DataFrame, carry: list[str] | None = None, then: Callable[[Iterator], Iterator] | None = None, ddl: str = SPANS) -> DataFrame:
     """(doc_id, data, spans, rest) of every row of docs(doc_id, text): UTF-8 bytes, and stretches to remove.
 
-    rest holds the columns to carry as JSON, so that no join has to bring them back.
+    rest holds the columns to carry as JSON, so that no join has to bring them back. then: a function of
+    the batches that goes on in the same Python worker, whose rows (ddl) are returned instead.
     """
     rest = F.to_json(F.struct(*carry)) if carry else F.lit("")
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("data"), rest.cast("binary").alias("rest"))
@@ -533,7 +537,7 @@ def spans(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     lost = suffixes.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lean(_bucket_runs(buckets)), _BLOB)
     texts = rows.mapInArrow(lean(_text_blobs(buckets)), _BLOB)
     both = lost.unionByName(texts).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    return both.mapInArrow(lean(_apply_spans), "doc_id bigint, data binary, spans array<struct<start:int,stop:int>>, rest string")
+    return both.mapInArrow(lean(_apply_spans if then is None else lambda batches: then(_apply_spans(batches))), ddl)
 
 
 def _kept(data: bytes, cut: list[dict]) -> bytes:
@@ -557,7 +561,7 @@ def digests(docs: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return spans(docs).select("doc_id", "data", "spans").mapInArrow(lean(run), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return spans(docs, None, run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def remove(docs: DataFrame) -> DataFrame:
@@ -576,7 +580,7 @@ def remove(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(columns), schema=schema)
 
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    left = spans(docs, others).mapInArrow(lean(run), "doc_id bigint, text string, rest string")
+    left = spans(docs, others, run, "doc_id bigint, text string, rest string")
     if others:
         left = left.withColumn("rest", F.from_json("rest", docs.select(*others).schema))
     return left.select(*(F.col(c) if c in ("doc_id", "text") else F.col("rest")[c].alias(c) for c in docs.columns))
