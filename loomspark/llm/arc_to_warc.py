@@ -39,8 +39,8 @@ ARCHIVED = "20200101000000"
 PAGE_HEADER = "X-Page-Id"
 #: Rows of a lookup that may be sent to every task; a row is a few dozen bytes.
 BROADCAST_ROWS = 200_000
-#: Pages a partition writes to one archive file at most.
-FILE_PAGES = 4000
+#: Records of an archive file at most, its version block included: files are read whole.
+FILE_RECORDS = 4000
 
 PARSED = "page_id bigint, url string, archived string, mime string, http string, payload binary"
 _PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("archived", pa.string()), ("mime", pa.string()), ("http", pa.string()), ("payload", pa.binary())])
@@ -147,15 +147,25 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
         from pyspark import TaskContext
 
         name = f"part-{TaskContext.get().partitionId():06d}.arc"
-        first = [arc_version_block(version, name)]
+        written = 0
         for batch in batches:
-            ids, urls, payloads = batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2))
-            out = first + [arc_record(version, u, i, p, name) for i, u, p in zip(ids, urls, payloads, strict=True)]
-            first = []
+            out = []
+            for i, u, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
+                if written % FILE_RECORDS == 0:  # the writer begins a file here
+                    out.append(arc_version_block(version, name))
+                    written += 1
+                out.append(arc_record(version, u, i, p, name))
+                written += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     slim = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string").cast("binary"))
-    slim.mapInArrow(rows, "value binary").select(F.col("value").cast("string")).write.option("compression", "gzip").option("lineSep", "\n").text(path)
+    _write(slim.mapInArrow(rows, "value binary"), path, "\n")
+
+
+def _write(records: DataFrame, path: str, end: str) -> None:
+    """Gzipped files of records, each with the format's end behind it. Fast compression: archives are markup."""
+    out = records.select(F.col("value").cast("string")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    out.option("maxRecordsPerFile", FILE_RECORDS).option("lineSep", end).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -270,7 +280,7 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     values = marked.select("page_id", "url", "archived", "http", "payload", "refers_to").mapInArrow(rows, "value binary")
-    values.select(F.col("value").cast("string")).write.option("compression", "gzip").option("lineSep", "\r\n\r\n").text(warc)
+    _write(values, warc, "\r\n\r\n")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:

@@ -151,6 +151,12 @@ def test_archive_round_trip(spark, version):
     assert arc_to_warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_archives_of_many_files(spark, monkeypatch):
+    monkeypatch.setattr(arc_to_warc, "FILE_RECORDS", 7)
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://a").alias("url"), F.concat(F.lit("p"), (F.col("id") % 9).cast("string")).alias("html")).coalesce(2)
+    check_archive(pages.collect(), arc_to_warc.archive_pages(pages).collect())
+
+
 def test_archive_null_ids_and_repeated_rows(spark):
     pages = spark.createDataFrame([(None, "u", "a", ""), (3, "u", "a", ""), (3, "u", "a", ""), (None, "u", "b", "")], PAGE)
     got = sorted((r.page_id or 0, r.warc_type, r.refers_to or 0) for r in arc_to_warc.archive_pages(pages).collect())
