@@ -13,6 +13,10 @@ that share half a window's bytes with another one, so that a part of their windo
 window's start sorted into a second, dense array, scanned the same way. Then both arrays join their
 families as level 0, and levels of like size merge, so each suffix is merged O(log n) times.
 
+An anchor gram that stands in very many different suffixes would fill a bucket. Such grams are counted
+beforehand, and their suffixes are cut in two, by whether most of a window lies before or behind the
+anchor, and dealt out by the bytes there that all windows of the part share.
+
 Bytes are compared, not hashes; hashes only deal out the work. Copies within one map task are found
 there, so a group of copies costs a row a task, however large it is.
 
@@ -41,6 +45,8 @@ BUCKET_BYTES = 6_000_000
 #: Text whose suffixes a map task deals out together, and text that it anchors at a time.
 CHUNK_BYTES = 8_000_000
 PART_BYTES = 1_000_000
+#: Least share of all suffixes that makes a gram frequent; so at most this many are sent to all tasks.
+LEAST_SHARE = 1e-5
 #: Suffixes of a batch.
 BATCH_ROWS = 1 << 16
 
@@ -340,7 +346,79 @@ def _sampled(rows: list[tuple[int, int, bytes, int]], base: int) -> tuple[np.nda
     return suffix_keys(data, first, count), text + base, start, count.astype(np.uint8), (anchor - first).astype(np.uint8), gram
 
 
-def _suffix_blobs(buckets: int, shards: int):
+def _frequent(buckets: int):
+    """(gram, n) of the grams that are frequent in a chunk; a null gram has the number of the chunk's suffixes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: list[np.ndarray]) -> pa.RecordBatch:
+            grams, n = np.unique(np.concatenate(found), return_counts=True)
+            often = n >= max(16, n.sum() * max(1 / buckets, 2 * LEAST_SHARE) / 4)
+            names = [None, *grams[often].view(np.int64).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([int(n.sum()), *n[often].tolist()], pa.int64())], names=["gram", "n"])
+
+        held, found, size, total = [], [], 0, 0
+        for batch in batches:
+            for text in batch.column(0):
+                for _, _, piece, _ in _pieces_of(0, 0, text.as_py()):
+                    held.append(piece)
+                    size += len(piece)
+                    if size >= PART_BYTES:
+                        found.append(_grams(held))
+                        total, held, size = total + size, [], 0
+                if total >= CHUNK_BYTES:
+                    yield out(found)
+                    found, total = [], 0
+        if held:
+            found.append(_grams(held))
+        if found:
+            yield out(found)
+
+    return run
+
+
+def _grams(texts: list[bytes]) -> np.ndarray:
+    return anchors(np.frombuffer(b"".join(texts) + b"\0" * 16, dtype=np.uint8), np.cumsum([len(t) for t in texts]))[4]
+
+
+def frequent_grams(rows: DataFrame, buckets: int) -> np.ndarray:
+    """Hashes of the grams that would fill more than half a bucket, sorted: at most 1 / LEAST_SHARE."""
+    counts = rows.select("data").mapInArrow(lean(_frequent(buckets)), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    total = counts.filter("gram IS NULL").first()
+    if total is None:
+        return np.zeros(0, dtype=np.uint64)
+    least = total.n * max(0.5 / buckets, LEAST_SHARE)
+    found = counts.filter("gram IS NOT NULL").filter(F.col("n") >= least).select("gram").collect()
+    return np.sort(np.array([r.gram for r in found], dtype=np.int64).view(np.uint64))
+
+
+def _cut(keys: np.ndarray, width: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Parts of suffixes, as keys."""
+    flat = np.append(np.frombuffer(keys.tobytes(), dtype=np.uint8), np.zeros(_KEY, dtype=np.uint8))
+    out = np.zeros((len(keys), _KEY), dtype=np.uint8)
+    out[:, :_WIDE] = _take(flat, np.arange(len(keys)) * _KEY + at, _WIDE)
+    out[:, :_WIDE][np.arange(_WIDE) >= width[:, None]] = 0
+    out[:, -1] = width
+    return out.view(f"S{_KEY}").ravel()
+
+
+def _halves(keys: np.ndarray, count: np.ndarray, before: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Numbers of the suffixes, keys, windows, bytes before the anchor, bytes left out in front, and a hash of
+    the bytes that all windows share: first of the parts behind the anchor, then of those before it."""
+    flat = np.append(np.frombuffer(keys.tobytes(), dtype=np.uint8), np.zeros(_KEY, dtype=np.uint8))
+    count, before = count.astype(np.int64), before.astype(np.int64)
+    skip = np.maximum(0, before - _HALF)
+    for own, first, n, shift, width in (
+        (np.flatnonzero(count > skip), skip, count - skip, 0, _PROBE),
+        (np.flatnonzero(skip > 0), np.zeros_like(skip), np.minimum(count, skip), _HALF + 1, _HALF + 1 + GRAM),
+    ):
+        wide = -(-width // 8) * 8
+        probe = np.zeros((len(own), wide), dtype=np.uint8)
+        probe[:, :width] = _take(flat, own * _KEY + before[own] - shift, width)
+        shared = _digest(probe.view(f"S{wide}").ravel()) if len(own) else np.zeros(0, dtype=np.uint64)
+        yield own, _cut(keys[own], n[own] + LENGTH - 1, first[own]), n[own].astype(np.uint8), (before - first)[own].astype(np.uint8), first[own], shared
+
+
+def _suffix_blobs(buckets: int, shards: int, frequent: np.ndarray):
     """Map side: kind 1 are suffixes by bucket, kind 0 stretches that copies within the chunk lose."""
 
     def chunk(rows: list[tuple[int, int, bytes, int]]) -> Iterator[tuple[int, int, bytes]]:
@@ -364,9 +442,17 @@ def _suffix_blobs(buckets: int, shards: int):
         copy = order[ids[text[order]] > ids[text[head]]]
         yield from _span_blobs(hashes[text[copy]], ids[text[copy]], start[copy], start[copy] + count[copy].astype(np.int64) + LENGTH - 1, shards)
         left = order[ids[text[order]] == ids[text[head]]]
-        bucket = (_mix(gram[left]) % np.uint64(buckets)).astype(np.int64)
-        left = left[np.argsort(bucket, kind="stable")]
-        bucket = np.sort(bucket)
+        wide = np.isin(gram[left], frequent)
+        split = [(left[~wide], keys[left[~wide]], count[left[~wide]], before[left[~wide]], start[left[~wide]], _mix(gram[left[~wide]]))]
+        left = left[wide]
+        for own, part, n, ahead, skipped, shared in _halves(keys[left], count[left], before[left]) if len(left) else ():
+            split.append((left[own], part, n, ahead, start[left[own]] + skipped, _mix(shared)))
+        left, keys, count, before, start, dealt = (np.concatenate(x) for x in zip(*split, strict=True))
+        split.clear()
+        text = text[left]
+        bucket = (dealt % np.uint64(buckets)).astype(np.int64)
+        left = np.argsort(bucket, kind="stable")
+        bucket = bucket[left]
         cuts = np.flatnonzero(np.append(True, np.diff(bucket) != 0))
         flat = keys.view(np.uint8).reshape(-1, _KEY)
         wide = np.arange(_WIDE)
@@ -533,7 +619,8 @@ def spans(docs: DataFrame, carry: list[str] | None = None, then: Callable[[Itera
     rows = rows.select("doc_id", F.xxhash64("doc_id", "data").alias("row_hash"), "data", "rest")
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = max(12, total // BUCKET_BYTES)
-    suffixes = rows.filter("doc_id IS NOT NULL").select("doc_id", "row_hash", "data").mapInArrow(lean(_suffix_blobs(buckets, buckets)), _BLOB)
+    named = rows.filter("doc_id IS NOT NULL").select("doc_id", "row_hash", "data")
+    suffixes = named.mapInArrow(lean(_suffix_blobs(buckets, buckets, frequent_grams(named, buckets))), _BLOB)
     lost = suffixes.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(lean(_bucket_runs(buckets)), _BLOB)
     texts = rows.mapInArrow(lean(_text_blobs(buckets)), _BLOB)
     both = lost.unionByName(texts).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
