@@ -59,5 +59,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_extraction, op2_pitman_yor, op3_suffix_levels, op4_jump_sharding, op5_toxicity_crf, op6_arc_to_warc, op7_quality_ledger, op8_order_minhash, op9_positional_index, op10_power_of_two_packing)}
 
 
+_WORDS = r"[^\x20\x09-\x0D]+"
+_TERMS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+QUALITY_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM d WHERE len(w) >= 8),
+twice AS (SELECT doc_id, g FROM g GROUP BY ALL HAVING count(*) > 1),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM g JOIN twice USING (doc_id, g)) GROUP BY 1),
+m AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS l, coalesce(r.n, 0) AS n_repeat_words,
+length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper FROM d LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, len(l) - len(list_distinct(l)) AS n_dup_lines FROM m),
+f AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END + CASE WHEN 10 * n_symbols > 4 * n_words THEN 4 ELSE 0 END
++ CASE WHEN 100 * n_dup_lines > 50 * len(l) THEN 8 ELSE 0 END + CASE WHEN n_words > 0 AND NOT 2 * word_chars BETWEEN 3 * n_words AND 60 * n_words THEN 16 ELSE 0 END
++ CASE WHEN letters >= 20 AND 10 * upper > 7 * letters THEN 32 ELSE 0 END AS bits FROM b)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+bits & 3 <> 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS fail_bits FROM f"""
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CONTAMINATION_SQL = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '{_TERMS}') AS w FROM documents),
+b AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, regexp_extract_all({_LOW}, '{_TERMS}') AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM b),
+occ AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (SELECT doc_id, s, n, item_id FROM occ JOIN win USING (n, g)),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_quality_ledger": QUALITY_SQL, "op9_positional_index": CONTAMINATION_SQL}
