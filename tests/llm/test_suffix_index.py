@@ -80,23 +80,3 @@ def test_levels_merge_geometrically():
             known.setdefault(k, doc)
         family.add(keys, np.minimum(want, doc))
     assert len(family.levels) <= 8 and sorted(known) == sorted(set(np.concatenate([x for x, _ in family.levels])))
-
-
-def test_frequent_grams_split_their_suffixes(spark, monkeypatch):
-    def every(rows, buckets):
-        texts = [bytes(r.data) for r in rows.collect()]
-        return np.unique(suffix_index._grams(texts))
-
-    monkeypatch.setattr(suffix_index, "frequent_grams", every)
-    test_odd_cases(spark)
-    test_random_overlaps(spark)
-    test_real_rows(spark)
-
-
-def test_frequent_grams_are_found(spark):
-    rng = random.Random(2)
-    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(40)) + "[common]" + "".join(rng.choice("abcdefgh") for _ in range(40))) for i in range(400)]
-    d = spark.createDataFrame([(t.encode(),) for _, t in rows], "data binary")
-    assert len(suffix_index.frequent_grams(d, 12)) <= 24
-    assert len(suffix_index.frequent_grams(d.limit(0), 12)) == 0
-    check(spark, rows[:60])
