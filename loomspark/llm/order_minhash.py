@@ -1,14 +1,15 @@
 """Near-duplicates by Order MinHash.
 
-A text's shingles of WORDS words are labelled with their occurrence number, so a repeated shingle is
-several elements. Each of SAMPLES hash functions draws the PICKS least of them, which are kept in the
+For the sketch, a text's shingles of WORDS words are labelled with their occurrence number, so a repeated
+shingle is several elements. Each of SAMPLES hash functions draws the PICKS least of them, which are kept in the
 order in which they stand in the text: texts agree in a sample if they share the elements and their
 order, so the chance falls with edits and moves alike. Texts that agree in any sample are candidates.
 
-A candidate pair is verified by an alignment of its shingle sequences in a band about the diagonal: as
-labelled shingles are different within a text, it is the longest rising run of matching places. The band
-is as wide as a pair of the least similarity can need, so it loses nothing. The similarity is aligned
-shingles over all shingles of either text, and links are pairs with THRESHOLD or more.
+A candidate pair is verified by an alignment of its unlabelled shingle sequences, their longest common
+subsequence: a repeated shingle may align with any of its places in the other text, so a lost or gained
+repeat costs its own shingles and no others. Where a least similarity is given, the alignment keeps to a
+band about the diagonal that is as wide as such a pair can need, so it loses nothing. The similarity is
+aligned shingles over all shingles of either text, and links are pairs with THRESHOLD or more.
 
 Equal token sequences are one text from the start. In each bucket every text is first aligned with
 the bucket's hub, the text that meets most others in its buckets; where a bucket then still holds
@@ -62,7 +63,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Labelled shingle hashes of texts; word hashes are remembered."""
+    """Shingle hashes of texts, plain or labelled; word hashes are remembered."""
 
     KEPT = 200_000
 
@@ -72,7 +73,7 @@ class Shingler:
     def tokens(self, text: str | None) -> list[str]:
         return (text or "").lower().split()
 
-    def labelled(self, tokens: list[str]) -> np.ndarray:
+    def plain(self, tokens: list[str]) -> np.ndarray:
         n = len(tokens)
         if not n:
             return np.zeros(0, dtype=np.uint64)
@@ -86,7 +87,10 @@ class Shingler:
         out = np.zeros(n - k + 1, dtype=np.uint64)
         for j in range(k):
             out += h[j : n - k + 1 + j] * _PLACES[j]
-        out = _mix(out + np.uint64(k))
+        return _mix(out + np.uint64(k))
+
+    def labelled(self, tokens: list[str]) -> np.ndarray:
+        out = self.plain(tokens)
         order = np.argsort(out, kind="stable")
         ranked = out[order]
         same = ranked[1:] == ranked[:-1]
@@ -133,20 +137,63 @@ def longest_rising(values: np.ndarray) -> int:
     return len(tails)
 
 
+def common_bits(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer."""
+    where: dict[int, list[int]] = {}
+    for i, x in enumerate(a.tolist()):
+        where.setdefault(x, []).append(i)
+    masks: dict[int, int] = {}
+    for x, places in where.items():
+        flags = np.zeros(len(a), dtype=np.uint8)
+        flags[places] = 1
+        masks[x] = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+    full = (1 << len(a)) - 1
+    row = full
+    for x in b.tolist():
+        hit = row & masks.get(x, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
-    """Shingles that a banded alignment of two labelled sequences matches; 0 if too few can."""
+    """Shingles that a banded alignment of two sequences matches, repeated ones at any of their places; 0 if too few can."""
     n, m = len(a), len(b)
     need = -(-(n + m) * threshold // (1 + threshold)) if threshold else 0
     if min(n, m) < need - 1e-9:
         return 0
-    _, at, of = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if len(at) < need - 1e-9:
+    # what both begin and end with is matched as it stands
+    least = min(n, m)
+    other = np.flatnonzero(a[:least] != b[:least])
+    head = int(other[0]) if len(other) else least
+    a, b, least = a[head:], b[head:], least - head
+    other = np.flatnonzero(a[len(a) - least :] != b[len(b) - least :])
+    tail = least - 1 - int(other[-1]) if len(other) else least
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    same = head + tail
+    if not len(a) or not len(b):
+        return same
+    at = np.flatnonzero(np.isin(a, b))
+    of = np.flatnonzero(np.isin(b, a))
+    if same + min(len(at), len(of)) < need - 1e-9:
         return 0
+    if not len(at):
+        return same
+    x, y = a[at], b[of]
+    order = np.argsort(y, kind="stable")
+    ranked = y[order]
+    first = np.searchsorted(ranked, x, "left")
+    times = np.searchsorted(ranked, x, "right") - first
+    matches = int(times.sum())
+    # all matches of many repeats cost more than the table's rows as bits
+    if matches > 4 * len(x) + len(x) * len(y) // 1000:
+        return same + common_bits(x, y)
+    # each place of a with its places of b backwards, so a rising run takes one of them at most
+    left = np.repeat(np.arange(len(x)), times)
+    nth = np.arange(matches) - np.repeat(np.cumsum(times) - times, times)
+    right = order[np.repeat(first + times - 1, times) - nth]
     # before a match and behind it, the unmatched of either text shift the diagonal at most so far
     band = max(n, m) - need + 1
-    near = np.abs(at - of) <= band
-    at, of = at[near], of[near]
-    return longest_rising(of[np.argsort(at, kind="stable")])
+    return same + longest_rising(of[right[np.abs(at[left] - of[right]) <= band]])
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -192,7 +239,7 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             if doc in recent:
                 recent.move_to_end(doc)
             else:
-                recent[doc] = shingler.labelled(shingler.tokens(column[i].as_py()))
+                recent[doc] = shingler.plain(shingler.tokens(column[i].as_py()))
                 if len(recent) > 64:
                     recent.popitem(last=False)
             return recent[doc]
@@ -216,8 +263,9 @@ def _similar(threshold: float):
 def prefix_pairs(texts: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """(a, b) of texts(doc, class) of different classes that may be similar, from all pairs that are.
 
-    Two texts of n and m shingles that share enough of them share one among the n - ceil(threshold n) + 1
-    and the m - ceil(threshold m) + 1 rarest; only these are joined, and of them those that occur twice.
+    As many labelled shingles are shared as any alignment of the plain ones can match at most, so the
+    bounds hold for it. Two texts of n and m shingles that share enough of them share one among the
+    n - ceil(threshold n) + 1 and the m - ceil(threshold m) + 1 rarest; only these are joined, and of them those that occur twice.
     The rarest one that they share is among them. So if it is a common one (in more than RARE texts),
     all that they share is common, and either text must have that many common shingles.
     """

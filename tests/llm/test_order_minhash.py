@@ -97,6 +97,36 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or -1) for r in order_minhash.keep(d).collect()) == [-1, 5]
     assert order_minhash.classes(d.limit(0)).count() == 0
 
+def test_a_lost_repeat_costs_only_itself(spark):
+    rng = random.Random(17)
+    s, rows, links = order_minhash.Shingler(), [], []
+    for n, (line, own, times) in enumerate(((12, 40, 20), (20, 60, 10))):
+        refrain = [f"r{n}x{i}" for i in range(line)]
+        parts = [[f"o{n}x{rng.randrange(100000)}" for _ in range(own)] for _ in range(times)]
+        words = [w for p in parts for w in refrain + p]
+        a, b = s.plain(words), s.plain(words[line:])
+        links.append(lcs(a.tolist(), b.tolist()) / len(a))
+        assert order_minhash.similarity(a, b) == pytest.approx(links[-1]) and links[-1] > 0.97
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(words[line:]))]
+    d = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOC)
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(d).collect()} == {0: 0, 1: 0, 2: 2, 3: 2}
+    assert sorted(r.doc_id for r in order_minhash.keep(d).collect()) == [0, 2]
+
+
+def test_alignment_of_repeated_shingles():
+    rng = random.Random(23)
+    for k in range(300):
+        alphabet = rng.choice((1, 2, 5, 30, 200))
+        a = [rng.randrange(alphabet) for _ in range(rng.randint(0, 60))]
+        b = list(a)
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 4)] = [rng.randrange(alphabet) for _ in range(rng.randint(0, 4))]
+        x, y, m = np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64), lcs(a, b)
+        assert order_minhash.aligned(x, y, 0.0) == order_minhash.common_bits(x, y) == m, k
+        if m >= 0.8 * (len(a) + len(b) - m):
+            assert order_minhash.aligned(x, y) == m, k
+
 
 def test_components(spark):
     rng = random.Random(5)
