@@ -1,7 +1,7 @@
 """Main text of web pages: site templates are found by hashing element subtrees per host.
 
 Every element's subtree (tag, text, children) is hashed; Spark counts on how many pages of a host with
-different main content each hash recurs, and subtrees that recur on many of them are deleted, beside
+different main content each hash recurs, and subtrees that recur on enough of them are deleted, beside
 elements whose tag, role or class says that they aren't the article. What remains of the article (or,
 without one, of the body) is joined block by block.
 
@@ -17,21 +17,23 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
-#: A subtree is template if it recurs on so many different pages of its host, and this share of them.
+#: A subtree is template if it recurs on so many different pages of its host and on no other host,
 MIN_PAGES = 5
+#: or, where other hosts have it too, on this share of its host's pages.
 MIN_SHARE = 0.2
-#: Template hashes that may be sent to every task; beyond, pages are joined to them by a shuffle.
+#: Template hashes that may be sent to every task; beyond, each page is joined to its own by a shuffle.
 BROADCAST_HASHES = 500_000
-SALTS = 32
 #: Elements nested deeper become siblings, as in browsers.
 DEPTH = 256
 
@@ -254,55 +256,79 @@ def main_text(page: str | None, template: set[int] | frozenset[int] = frozenset(
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, mains, all_hashes = [], [], []
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        mains, all_hashes = [], []
+        for page in batch.column(2):
             main, found = subtrees(page.as_py() or "")
-            hosts.append(host)
             mains.append(main)
             all_hashes.append(found)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(mains, pa.int64()), pa.array(all_hashes, pa.list_(pa.int64()))], names=["host", "main", "hashes"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(mains, pa.int64()), pa.array(all_hashes, pa.list_(pa.int64()))], names=["host", "digest", "main", "hashes"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, hashes): the subtrees that recur on many different pages of each host.
+def subtree_hashes(pages: DataFrame) -> DataFrame:
+    """(host, digest, main, hashes) of every row of pages."""
+    return stored(pages.select(_host(), _digest(), F.col("html").cast("string")).mapInArrow(_hash_batches, "host string, digest string, main bigint, hashes array<bigint>"), "subtrees")
 
-    A hash must recur on a share of its host's pages, so a host has at most the mean number of subtrees
-    a page over that share of them, however many pages it has.
+
+def templates(own: DataFrame) -> DataFrame:
+    """(host, hash): the subtrees of own (of subtree_hashes) that recur on different pages of each host.
+
+    What one host alone has is template from MIN_PAGES pages on, however many pages the host has, so
+    a section's template counts in full. What stands on other hosts too may be a shared passage and is
+    template only with a share of its host's pages.
     """
-    own = stored(pages.select(_host(), F.col("html").cast("string")).mapInArrow(_hash_batches, "host string, main bigint, hashes array<bigint>"), "subtrees")
     different = own.groupBy("host", "main").agg(F.first("hashes").alias("hashes"))
     n = different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    often = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").count().filter(F.col("count") >= MIN_PAGES)
-    return often.join(n, "host").filter(F.col("count") >= MIN_SHARE * F.col("n_pages")).groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))
+    counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("hash", "host").count()
+    # of a hash: its hosts, and those with enough pages
+    per_hash = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("n_hosts"), F.collect_list(F.when(F.col("count") >= MIN_PAGES, F.struct("host", "count"))).alias("often"))
+    often = per_hash.select("hash", "n_hosts", F.explode("often").alias("x")).select("hash", "n_hosts", "x.host", "x.count")
+    return often.join(n, "host").filter((F.col("n_hosts") == 1) | (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
+
+
+def _digest():
+    return F.md5(F.col("html").cast("string").cast("binary")).alias("digest")
 
 
 def _host():
     return F.lower(F.coalesce(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))).alias("host")
 
 
-def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets: dict[str, frozenset[int]] = {}
-    for batch in batches:
-        ids, urls, hosts = (batch.column(i) for i in range(3))
-        texts = []
-        for i, host in enumerate(hosts.to_pylist()):
-            if host not in sets:
-                if len(sets) > 1000:
-                    sets.clear()
-                sets[host] = frozenset(batch.column(4)[i].as_py() or ())
-            texts.append(main_text(batch.column(3)[i].as_py(), sets[host]))
-        yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+TEXTS = "page_id bigint, url string, text string, n_chars bigint"
+
+
+def _text_batches(of_hosts: Broadcast | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts of (page_id, url, host, html), given the template hashes of all hosts, or with the page's own as a fifth column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[str, frozenset[int]] = {}
+        for batch in batches:
+            ids, urls, hosts = (batch.column(i) for i in range(3))
+            texts = []
+            for i, host in enumerate(hosts.to_pylist()):
+                if of_hosts is None:
+                    template = frozenset(batch.column(4)[i].as_py() or ())
+                else:
+                    if host not in sets:
+                        sets[host] = frozenset(of_hosts.value.get(host, array("q")))
+                    template = sets[host]
+                texts.append(main_text(batch.column(3)[i].as_py(), template))
+            yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    return run
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of pages(page_id, url, html)."""
     pages = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
-    found = stored(templates(pages), "templates")
-    size = found.agg(F.sum(F.size("hashes") + 8)).first()[0] or 0
+    own = subtree_hashes(pages)
+    found = stored(templates(own), "templates")
     rows = pages.withColumn("host", _host())
-    if size <= BROADCAST_HASHES:
-        joined = rows.join(F.broadcast(found), "host", "left")
-    else:
-        salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
-    return joined.select("page_id", "url", "host", "html", "hashes").mapInArrow(_text_batches, "page_id bigint, url string, text string, n_chars bigint")
+    if found.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES:
+        of_hosts: dict[str, array] = {}
+        for host, value in found.toLocalIterator():
+            of_hosts.setdefault(host, array("q")).append(value)
+        return rows.select("page_id", "url", "host", "html").mapInArrow(_text_batches(pages.sparkSession.sparkContext.broadcast(of_hosts)), TEXTS)
+    once = own.dropDuplicates(["host", "digest"]).select("host", "digest", F.explode("hashes").alias("hash"))
+    of_page = once.join(found, ["host", "hash"]).groupBy("host", "digest").agg(F.collect_list("hash").alias("hashes"))
+    joined = rows.withColumn("digest", _digest()).join(of_page, ["host", "digest"], "left")
+    return joined.select("page_id", "url", "host", "html", "hashes").mapInArrow(_text_batches(None), TEXTS)

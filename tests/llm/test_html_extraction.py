@@ -53,6 +53,19 @@ def test_shared_passages_of_articles_stay(spark):
     assert got[60] == "Copied whole.\n\nboxed"
 
 
+def test_template_of_a_section_on_a_large_host(spark, monkeypatch):
+    page = "<article><h1>H {0}</h1>{1}<p>End {0}</p></article>"
+    rows = [(i, "http://big.example/", page.format(i, "<div><p>Section notice</p></div>" if i < 10 else ""), None) for i in range(100)]
+    shared = "<div><p>Quoted on many hosts</p></div>"
+    rows += [(1000 + i, f"http://{'ab'[i % 2]}.example/", page.format(i, shared if i < 20 else ""), None) for i in range(120)]
+    d = spark.createDataFrame(rows, PAGE)
+    for limit in (H.BROADCAST_HASHES, 0):
+        monkeypatch.setattr(H, "BROADCAST_HASHES", limit)
+        got = {r.page_id: r.text for r in H.extract(d).collect()}
+        assert len(got) == 220 and got[3] == "H 3\n\nEnd 3" and got[50] == "H 50\n\nEnd 50"
+        assert got[1004] == "H 4\n\nQuoted on many hosts\n\nEnd 4"
+
+
 def test_broken_markup_and_depth():
     assert H.main_text("<p>a<p>b<i>c") == "a\n\nbc"
     assert H.main_text("x < y & z &lt;b&gt; &#233; &unknown;") == "x < y & z <b> é &unknown;"
