@@ -1,12 +1,14 @@
 """Main text of web pages: site templates are found by hashing element subtrees per host.
 
-Every element's subtree (tag, text, children) is hashed; Spark counts on how many pages of a host with
-different main content each hash recurs, and subtrees that recur on enough of them are deleted, beside
-elements whose tag, role or class says that they aren't the article. What remains of the article (or,
-without one, of the body) is joined block by block.
+Every subtree of the body (tag, text, children) is hashed; Spark counts on how many pages of a host with
+different main content each hash recurs. Subtrees that recur on enough of them are deleted first; then
+the article is looked for in what is left, and elements whose tag, role or class says that they aren't
+the article go. What remains of the article (or, without one, of the body) is joined block by block.
 
-Inside an article, prose blocks are never deleted for recurring: passages that many articles share
-are content. There only containers such as lists and boxes can be template.
+Inside an article, prose blocks that recur may be passages that articles share. Those that other hosts
+have too are content; those of one host are template where they stand before or behind all of the
+article's own text, and content between parts of it. Inline elements and the cells and items of
+tables and lists go with what holds them.
 
 Defined results: a null or empty html has the empty text. A url without a host counts under the empty
 host. Repeated rows are extracted row by row; copies of a page count once for recurrence. An empty table
@@ -52,7 +54,9 @@ _MARKS = re.compile(
 )
 _HEADER_MARKS = re.compile(r"header|masthead|topbar", re.I)
 _CONTENT_MARKS = re.compile(r"article|content|main|entry|post|story|body", re.I)
-_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dd dt figcaption b i em strong a span code br".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
+#: What inside an article is no subtree by itself.
+_PARTS = frozenset("li td th dd dt tr tbody thead tfoot b i em strong a span code br".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|<[!?][^>]*>", re.S)
 _ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -146,7 +150,7 @@ def unwanted(node: Node, inside: bool) -> bool:
 
 
 def measure(node: Node) -> None:
-    """Hash of every subtree, and the characters of text below it."""
+    """Hash of every subtree, an even number, and the characters of text below it."""
     parts, n = [node.tag], 0
     for c in node.children:
         if isinstance(c, str):
@@ -158,28 +162,28 @@ def measure(node: Node) -> None:
             n += c.n_text
             parts.append(f"\0{c.hash}")
     node.n_text = n
-    node.hash = xxhash.xxh3_64_intdigest("\1".join(parts).encode("utf-8", "replace")) - (1 << 63)
+    node.hash = xxhash.xxh3_64_intdigest("\1".join(parts).encode("utf-8", "replace")) - (1 << 63) & ~1
 
 
-def _find(node: Node, out: list[Node]) -> None:
+def _find(node: Node, out: list[Node], template: frozenset[int] | set[int] = frozenset()) -> None:
     for c in node.children:
-        if isinstance(c, Node):
+        if isinstance(c, Node) and c.hash not in template:
             if (c.tag in ("article", "main") or "role" in c.attrs and attributes(c).get("role") in ("main", "article")) and not unwanted(c, False):
                 out.append(c)
             elif not unwanted(c, False):
-                _find(c, out)
+                _find(c, out, template)
 
 
-def article(root: Node) -> Node | None:
-    """The element that holds the article, if one is marked as such."""
+def article(root: Node, template: frozenset[int] | set[int] = frozenset()) -> Node | None:
+    """The element that holds the article, if one is marked as such and isn't template."""
     found: list[Node] = []
-    _find(root, found)
+    _find(root, found, template)
     if not found:
         return None
     best = max(found, key=lambda x: x.n_text)
     inner: list[Node] = []
     if best.tag != "article":
-        _find(best, inner)
+        _find(best, inner, template)
     inner = [x for x in inner if x.n_text * 2 >= best.n_text]
     return max(inner, key=lambda x: x.n_text) if inner else best
 
@@ -193,10 +197,37 @@ def body(root: Node) -> Node:
     return root
 
 
+def edges(node: Node, template: frozenset[int] | set[int]) -> set[int]:
+    """Ids of the recurring prose blocks of an article before or behind all of its own text."""
+    units: list[int] = []  # 0 stands for own text
+
+    def walk(x: Node) -> None:
+        for c in x.children:
+            if isinstance(c, str):
+                if c.strip():
+                    units.append(0)
+            elif unwanted(c, True) or not c.n_text:
+                continue
+            elif c.tag in _PROSE and c.hash | 1 in template:
+                units.append(id(c))
+            elif c.tag in _PROSE or c.tag in _PARTS or c.hash not in template:
+                walk(c)
+
+    walk(node)
+    own = [i for i, u in enumerate(units) if not u]
+    return set(units[: own[0]] + units[own[-1] + 1 :]) if own else set()
+
+
 def blocks(node: Node, inside: bool, template: frozenset[int] | set[int]) -> list[str]:
     """Texts of the blocks under node that are neither unwanted nor template."""
     out: list[str] = []
     line: list[str] = []
+    outer = edges(node, template) if inside and template else set()
+
+    def recurs(c: Node) -> bool:
+        if inside and c.tag in _PROSE:
+            return id(c) in outer
+        return c.hash in template and not (inside and c.tag in _PARTS)
 
     def flush() -> None:
         text = " ".join("".join(line).split())
@@ -210,7 +241,7 @@ def blocks(node: Node, inside: bool, template: frozenset[int] | set[int]) -> lis
                 line.append(c)
             elif c.tag == "br":
                 line.append(" ")
-            elif unwanted(c, inside) or c.hash in template and not (inside and c.tag in _PROSE):
+            elif unwanted(c, inside) or recurs(c):
                 continue
             elif c.tag in _BLOCK:
                 flush()
@@ -225,22 +256,21 @@ def blocks(node: Node, inside: bool, template: frozenset[int] | set[int]) -> lis
 
 
 def subtrees(page: str) -> tuple[int, list[int]]:
-    """Hash of the page's main content, and the different hashes of the subtrees that may be template."""
+    """Hash of the page's main content, and the different hashes of the subtrees that may be template; odd ones are an article's prose."""
     root = parse(page)
     measure(root)
     main = article(root)
-    inside = main is not None
-    main = main or body(root)
     found: set[int] = set()
 
-    def walk(x: Node) -> None:
+    def walk(x: Node, inside: bool) -> None:
         for c in x.children:
-            if isinstance(c, Node) and c.n_text and not unwanted(c, inside):
-                if not (inside and c.tag in _PROSE):
-                    found.add(c.hash)
-                walk(c)
+            if isinstance(c, Node) and c.n_text:
+                if not (inside and c.tag in _PARTS):
+                    found.add(c.hash | (inside and c.tag in _PROSE))
+                walk(c, inside or c is main or c.tag in ("article", "main"))
 
-    walk(main)
+    main = main or body(root)
+    walk(body(root), False)
     return main.hash, list(found)
 
 
@@ -250,7 +280,7 @@ def main_text(page: str | None, template: set[int] | frozenset[int] = frozenset(
         return ""
     root = parse(page)
     measure(root)
-    main = article(root)
+    main = article(root, template) or article(root)
     return "\n\n".join(blocks(main or body(root), main is not None, template))
 
 
@@ -274,7 +304,7 @@ def templates(own: DataFrame) -> DataFrame:
 
     What one host alone has is template from MIN_PAGES pages on, however many pages the host has, so
     a section's template counts in full. What stands on other hosts too may be a shared passage and is
-    template only with a share of its host's pages.
+    template only with a share of its host's pages, and never as an article's prose.
     """
     different = own.groupBy("host", "main").agg(F.first("hashes").alias("hashes"))
     n = different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
@@ -282,7 +312,7 @@ def templates(own: DataFrame) -> DataFrame:
     # of a hash: its hosts, and those with enough pages
     per_hash = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("n_hosts"), F.collect_list(F.when(F.col("count") >= MIN_PAGES, F.struct("host", "count"))).alias("often"))
     often = per_hash.select("hash", "n_hosts", F.explode("often").alias("x")).select("hash", "n_hosts", "x.host", "x.count")
-    return often.join(n, "host").filter((F.col("n_hosts") == 1) | (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
+    return often.join(n, "host").filter((F.col("n_hosts") == 1) | (F.col("hash").bitwiseAND(1) == 0) & (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
 
 
 def _digest():

@@ -66,6 +66,23 @@ def test_template_of_a_section_on_a_large_host(spark, monkeypatch):
         assert got[1004] == "H 4\n\nQuoted on many hosts\n\nEnd 4"
 
 
+def test_unmarked_template_around_a_marked_article(spark):
+    teaser = "<article><h2>Teaser of the site</h2></article>"
+    page = "<body><div>{2}</div>" + teaser + "<article><p>Read us daily.</p><h1>H {0}</h1><p>Shared within.</p><p>End {0}</p><p>{1}</p><p>Write to the desk.</p></article></body>"
+    rows = [(i, "http://one.example/", page.format(i, "A passage of many hosts.", "menu"), None) for i in range(40)]
+    rows = [(i, u, h if i < 8 else h.replace("<p>A passage of many hosts.</p>", ""), t) for i, u, h, t in rows]
+    rows += [(100, "http://two.example/", "<article><p>A passage of many hosts.</p></article>", None)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got[30] == "H 30\n\nShared within.\n\nEnd 30"
+    assert got[5] == "H 5\n\nShared within.\n\nEnd 5\n\nA passage of many hosts."
+    assert got[100] == "A passage of many hosts."
+    _, hashes = H.subtrees("<body><header><i>a</i></header><nav>b</nav><article><p>c</p></article><footer>d</footer></body>")
+    assert len(hashes) == 6
+    short = "<article>" + teaser[9:-10] + "</article><article>Own</article>"
+    template = set(H.subtrees(teaser)[1])
+    assert H.main_text(short, template) == "Own"
+
+
 def test_broken_markup_and_depth():
     assert H.main_text("<p>a<p>b<i>c") == "a\n\nbc"
     assert H.main_text("x < y & z &lt;b&gt; &#233; &unknown;") == "x < y & z <b> é &unknown;"
