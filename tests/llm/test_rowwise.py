@@ -221,11 +221,25 @@ def test_contamination_odd_cases(spark):
 
 
 def test_proximity(spark):
-    b = spark.createDataFrame([(1, "alpha beta gamma")], "item_id bigint, text string")
+    b = spark.createDataFrame([(1, "alpha beta gamma"), (2, "gamma, beta")], "item_id bigint, text string")
     d = docs(spark, ["gamma x x alpha x beta", "alpha beta", "alpha " + "x " * 40 + "beta gamma"])
-    index, anchored = decontamination.prepare(d, b)
-    assert {r.doc_id for r in decontamination.proximity_matches(index, anchored).collect()} == {0}
-    assert decontamination.phrase_matches(index, anchored).count() == 0
+    near = {(r.doc_id, tuple(r.items)) for r in decontamination.proximity_matches(d, b).collect()}
+    assert {i for i, items in near if 1 in items} == {0} and {i for i, items in near if 2 in items} == {0, 2}
+    assert not any(r.n_hit for r in decontamination.contamination(d, b).collect())
+
+
+@pytest.mark.parametrize("most", [0, 16_000_000])
+def test_contamination_of_null_and_repeated_ids(spark, monkeypatch, most):
+    """Every row is judged by its own text, also where all tables are joined by a shuffle."""
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", most)
+    bad, good = " ".join(f"w{i}" for i in range(30)), " ".join(f"own{i}" for i in range(900))
+    b = spark.createDataFrame([(1, bad), (None, bad)], "item_id bigint, text string")
+    texts = [(None, bad), (None, good), (None, None), (None, bad), (7, good), (7, bad + " " + good), (7, bad), (7, bad), (8, good + " " + " ".join(bad.split()[3:20]))]
+    d = spark.createDataFrame([(i, t, str(k), "win", 5) for k, (i, t) in enumerate(texts)], "doc_id bigint, text string, w string, `row` string, hits int")
+    got = sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontamination.contamination(d, b).collect())
+    assert got == sorted([(0, 30, 30, 1, True), (0, 900, 0, 0, False), (0, 0, 0, 0, False), (0, 30, 30, 1, True), (7, 900, 0, 0, False), (7, 930, 30, 1, False), (7, 30, 30, 1, True), (7, 30, 30, 1, True), (8, 917, 17, 1, False)])
+    left = decontamination.clean(d, b)
+    assert left.columns == d.columns and sorted(r.w for r in left.collect()) == ["1", "2", "4", "5", "8"]
 
 
 def test_native_plan_has_no_python(spark):
