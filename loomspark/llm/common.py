@@ -22,13 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) a local one is set.
+    Only where the session names none and all tasks run in the driver's own process, as in tests, a local
+    one is set; on a cluster it would be another folder on each machine.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomspark-"))
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomspark-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
@@ -43,11 +46,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder written by fresh_path, on whatever store it lies."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    """Remove a folder, on whatever store it lies."""
+    where, store = _path(spark, path)
+    store.delete(where, True)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    where, store = _path(spark, path + "/_SUCCESS")
+    return store.exists(where)
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:
