@@ -35,15 +35,45 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Folders that fresh_path has named and nobody has released yet.
+_named: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _named.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: cuts lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what stored() wrote for these frames, once nothing reads them any more."""
+    for df in frames:
+        path = getattr(df, "_stored_at", None)
+        if path in _named:
+            _named.remove(path)
+            drop_path(df.sparkSession, path)
+
+
+def mark() -> int:
+    """What release() takes to mean that everything named from now on may go."""
+    return len(_named)
+
+
+def release(spark: SparkSession, since: int = 0, but: str | None = None) -> None:
+    """Remove what was stored since a mark, except one folder. Frames that read the rest are void then."""
+    gone = [p for p in _named[since:] if p != but]
+    _named[since:] = [p for p in _named[since:] if p == but]
+    for path in gone:
+        drop_path(spark, path)
 
 
 def _path(spark: SparkSession, path: str):

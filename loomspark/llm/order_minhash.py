@@ -20,23 +20,28 @@ their rarest shingles, as all pairs of the least similarity do.
 With 4 picks of 24 samples a pair of similarity s is a candidate with probability 1 - (1 - s^4)^24,
 0.99999 at 0.8.
 
+Very short texts, of which a sample holds nearly all shingles, also meet in keys of their shingles
+without one each, so 4 shingles find the 5 that hold them.
+
+A text is known by its digest, so rows that share an id are told apart by their texts.
+
 Defined results: texts without words (null, empty, white space) link to nothing and are their own
-class; texts of fewer than WORDS words have one shingle, the whole. A null doc_id has a null class. Rows
-that repeat an id have its class. Ties go to the least id. Empty tables give empty results. ``keep``
-passes other columns through.
+class; texts of fewer than WORDS words have one shingle, the whole. A null doc_id has a null class and
+links to nothing. Rows that repeat an id have the class of their own text, so an id may have several. The
+class is the least id of its rows. Empty tables give empty results. ``keep`` passes all columns through
+and keeps of rows that are alike in id and text one.
 """
 
 import bisect
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, stored
+from .common import discard, lean, stored
 from .graph import components
 
 WORDS = 5
@@ -53,7 +58,10 @@ _SEEDS = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 _FACTORS = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _rng.integers(0, 1 << 63, max(WORDS, PICKS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-SIGNED = "doc_id bigint, digest binary, n_shingles int, samples array<bigint>"
+#: Rows of a hub that one task aligns with it at a time.
+PART_ROWS = 256
+
+SIGNED = "doc_id bigint, raw bigint, digest binary, n_shingles int, samples array<bigint>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -120,6 +128,11 @@ def samples(labelled: np.ndarray) -> np.ndarray:
         for j in range(take):
             key += _mix(chosen[:, j]) * _PLACES[j]
         keys[at : at + step] = _mix(key ^ _SEEDS[at : at + step])
+    if PICKS <= n <= PICKS + 1:
+        # all of them, or all but one each
+        for out in range(n) if n > PICKS else (n,):
+            rest = np.delete(labelled, out) if out < n else labelled
+            keys = np.append(keys, _mix(np.add.reduce(_mix(rest) * _PLACES[:PICKS]) ^ _FACTORS[0]))
     return keys.view(np.int64)
 
 
@@ -201,8 +214,14 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return m / (len(a) + len(b) - m) if m else 0.0
 
 
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, text, raw) of docs: raw is a hash of the text as it stands."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("raw"), *more)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n_shingles, samples) of every row of docs(doc_id, text)."""
+    """(doc_id, raw, digest, n_shingles, samples) of every row of docs(doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -214,132 +233,153 @@ def signatures(docs: DataFrame) -> DataFrame:
                 digests.append(xxhash.xxh3_128_digest(" ".join(tokens).encode("utf-8", "replace")))
                 counts.append(len(labelled))
                 keys.append(samples(labelled))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "n_shingles", "samples"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(counts, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "raw", "digest", "n_shingles", "samples"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(lean(run), SIGNED)
+    return _keyed(docs).mapInArrow(lean(run), SIGNED)
 
 
 VERIFIED = "a bigint, b bigint, n_a int, n_b int, matched int"
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """pairs(a, b) with their shingle counts and how many align.
+def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """pairs(a, b) with their shingle counts and how many align; 0 where the band shows that too few do.
 
-    The side that recurs (b) meets its text first, in slim rows that skew handling can split; the
-    rows that carry its text are then dealt out by the other side.
+    texts: (node, text). The side that recurs (b) has its text sent once for each PART_ROWS of its pairs,
+    in front of the texts of the other side, and no pair carries two.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("t"))
-    with_b = pairs.join(texts.withColumnsRenamed({"id": "b", "t": "text_b"}), "b")
-    both = with_b.join(texts.withColumnsRenamed({"id": "a", "t": "text_a"}), "a").select("a", "b", "text_a", "text_b")
+    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts"))
+    dealt = stored(pairs.join(parts, "b").select("a", "b", F.expr("pmod(xxhash64(a), parts)").alias("part")), "pairs")
+    left = dealt.withColumnRenamed("a", "node").join(texts, "node").select("b", "part", F.lit(1).alias("kind"), F.col("node").alias("a"), "text")
+    heads = dealt.select(F.col("b").alias("node"), "part").distinct().join(texts, "node").select(F.col("node").alias("b"), "part", F.lit(0).alias("kind"), F.col("node").alias("a"), "text")
+    rows = heads.unionByName(left).repartition("b", "part").sortWithinPartitions("b", "part", "kind").select("b", "kind", "a", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, recent = Shingler(), OrderedDict()
-
-        def of(doc: int, column: pa.Array, i: int) -> np.ndarray:
-            if doc in recent:
-                recent.move_to_end(doc)
-            else:
-                recent[doc] = shingler.plain(shingler.tokens(column[i].as_py()))
-                if len(recent) > 64:
-                    recent.popitem(last=False)
-            return recent[doc]
-
+        shingler, hub, y = Shingler(), None, None
         for batch in batches:
-            left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = []
-            for i, (a, b) in enumerate(zip(left, right, strict=True)):
-                x, y = of(a, batch.column(2), i), of(b, batch.column(3), i)
-                rows.append((len(x), len(y), aligned(x, y, 0.0)))
-            counts = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int32()) for c in counts)], names=["a", "b", "n_a", "n_b", "matched"])
+            found = []
+            for b, kind, a, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if kind == 0:
+                    if b != hub:
+                        hub, y = b, shingler.plain(shingler.tokens(text.as_py()))
+                    continue
+                x = shingler.plain(shingler.tokens(text.as_py()))
+                found.append((a, b, len(x), len(y), aligned(x, y, threshold)))
+            columns = list(zip(*found, strict=True)) if found else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["a", "b", "n_a", "n_b", "matched"])
 
-    return both.mapInArrow(lean(run), VERIFIED)
+    return rows.mapInArrow(lean(run), VERIFIED)
 
 
 def _similar(threshold: float):
     return (F.col("matched") > 0) & (F.col("matched") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("matched")))
 
 
-def prefix_pairs(texts: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of texts(doc, class) of different classes that may be similar, from all pairs that are.
+def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of members(node, class) of different classes that may be similar, from all pairs that are.
 
     As many labelled shingles are shared as any alignment of the plain ones can match at most, so the
     bounds hold for it. Two texts of n and m shingles that share enough of them share one among the
-    n - ceil(threshold n) + 1 and the m - ceil(threshold m) + 1 rarest; only these are joined, and of them those that occur twice.
-    The rarest one that they share is among them. So if it is a common one (in more than RARE texts),
-    all that they share is common, and either text must have that many common shingles.
+    n - ceil(threshold n) + 1 and the m - ceil(threshold m) + 1 rarest; only these are joined, and of them
+    those that occur in several classes. The rarest one that they share is among them. So if it is a common
+    one (in more than RARE texts), all that they share is common: only texts that consist of common
+    shingles by the threshold's share are looked up by one. A shingle's largest class isn't joined with
+    itself, and texts only with those of like length.
     """
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text")).join(texts, "doc").select("doc", "class", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
             found = [shingler.labelled(shingler.tokens(t.as_py())).view(np.int64) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["doc", "class", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["node", "class", "shingles"])
 
-    held = stored(own.mapInArrow(lean(run), "doc bigint, class bigint, shingles array<bigint>"), "shingles")
-    rows = held.select("doc", "class", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
-    ranked = rows.join(often, "s").groupBy("doc", "class", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("r"))
+    own = members.join(texts, "node").select("node", "class", "text")
+    held = stored(own.mapInArrow(lean(run), "node bigint, class bigint, shingles array<bigint>"), "shingles")
+    rows = held.select("node", "class", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+    ranked = rows.join(often.select("s", "f", (F.col("lo") != F.col("hi")).alias("mixed")), "s").groupBy("node", "class", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s", "mixed"))).alias("r"))
     rare = F.slice("r", F.lit(1), (F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1).cast("int"))
     common = F.size(F.filter("r", lambda x: x.f > RARE)).alias("c")
-    heads = stored(ranked.select("doc", "class", "n", common, F.explode(F.filter(rare, lambda x: x.f > 1)).alias("x")).select("doc", "class", "n", "c", (F.col("x.f") <= RARE).alias("rare"), F.col("x.s").alias("s")), "prefixes")
-    a = heads.withColumnsRenamed({"doc": "a", "class": "class_a", "n": "n_a", "c": "c_a"})
-    b = heads.drop("rare").withColumnsRenamed({"doc": "b", "class": "class_b", "n": "n_b", "c": "c_b"})
-    need = threshold / (1 + threshold) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    fits = (F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & (F.least("n_a", "n_b") >= need) & (F.col("rare") | (F.least("c_a", "c_b") >= need))
-    return a.join(b, "s").filter(fits).select("a", "b").distinct()
-
-
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row: the least id of its class, and its text's links to other texts."""
+    heads = ranked.select("node", "class", "n", common, F.explode(F.filter(rare, lambda x: x.mixed)).alias("x")).select("node", "class", "n", "c", (F.col("x.f") <= RARE).alias("rare"), F.col("x.s").alias("s"))
+    # lengths of similar texts fall into one class of lengths or two neighbouring ones
+    length = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold)) + 1e-9)
+    heads = stored(heads.filter(F.col("rare") | (F.col("c") >= threshold * F.col("n") - 1e-6)).withColumn("length", length), "prefixes")
+    largest = heads.groupBy("s", "class").count().groupBy("s").agg(F.max(F.struct("count", "class")).alias("l")).select("s", F.col("l.class").alias("largest"))
+    near = F.explode(F.array(F.col("length") - 1, F.col("length"), F.col("length") + 1)).alias("length")
+    a = heads.join(largest, "s").filter("class != largest").select("s", F.col("node").alias("x"), F.col("class").alias("class_x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), near)
+    b = heads.select("s", F.col("node").alias("y"), F.col("class").alias("class_y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), "rare", "length")
+    need = threshold / (1 + threshold) * (F.col("n_x") + F.col("n_y")) - 1e-6
+    fits = (F.col("class_x") != F.col("class_y")) & (F.least("n_x", "n_y") >= need) & (F.col("rare") | (F.least("c_x", "c_y") >= need))
+    found = stored(a.join(b, ["s", "length"]).filter(fits).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "prefix-pairs")
+    discard(held, heads)
+    return found
+
+
+def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, raw, class_id, class_raw, n_verified_links) of every row; class_id and class_raw name the document that stands for the class."""
     signed = stored(signatures(docs), "signatures")
     ids = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    texts = stored(ids.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("samples").alias("samples"), F.first("n_shingles").alias("n")), "texts")
-    drawn = texts.select("rep", "n", F.explode(F.array_distinct("samples")).alias("key"))
+    by_text = ids.groupBy("digest").agg(F.min(F.struct("doc_id", "raw")).alias("rep"), F.first("samples").alias("samples"), F.first("n_shingles").alias("n"))
+    nodes = stored(by_text.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("rep.doc_id").alias("doc_id"), F.col("rep.raw").alias("raw"), "samples", "n"), "texts")
+    source = _keyed(docs)
+    if ids.groupBy("doc_id", "raw").count().filter("count > 1").limit(1).count():
+        source = source.dropDuplicates(["doc_id", "raw"])
+    texts = nodes.select("node", "doc_id", "raw").join(source, ["doc_id", "raw"]).select("node", "text")
+    drawn = nodes.select("node", "n", F.explode(F.array_distinct("samples")).alias("key"))
     shared = drawn.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    placed = stored(drawn.join(shared, "key").select("key", F.col("rep").alias("doc"), "n", "size"), "buckets")
+    placed = stored(drawn.join(shared, "key").select("key", "node", "n", "size"), "buckets")
     # what copies were made from meets most of them: the text that shares most buckets with most others
-    ranked = placed.join(placed.groupBy("doc").agg(F.sum("size").alias("meets")), "doc")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("meets", (-F.col("doc")).alias("least"))).alias("h")).select("key", (-F.col("h.least")).alias("hub"))
-    members = stored(placed.join(hubs, "key").select("key", "hub", "doc", "n"), "buckets")
-    first = stored(verify(members.filter("doc != hub").select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct(), docs), "aligned").withColumn("indel", F.col("n_a") + F.col("n_b") - 2 * F.col("matched"))
+    ranked = placed.join(placed.groupBy("node").agg(F.sum("size").alias("meets")), "node")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("meets", (-F.col("node")).alias("least"))).alias("h")).select("key", (-F.col("h.least")).alias("hub"))
+    members = stored(placed.join(hubs, "key").select("key", "hub", "node", "n"), "buckets")
+    first = stored(verify(members.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold), "aligned")
+    # the distance to the hub, where the band was wide enough for it
+    first = first.withColumn("indel", F.when(F.col("matched") > 0, F.col("n_a") + F.col("n_b") - 2 * F.col("matched")))
     links = first.filter(_similar(threshold)).select("a", "b")
     class_of = stored(components(links), "classes")
     # buckets that hold several classes: pairs across classes, as far as lengths and alignments allow
-    known = members.join(class_of.withColumnsRenamed({"node": "doc", "component": "class"}), "doc", "left").withColumn("class", F.coalesce("class", "doc"))
+    known = members.join(class_of.withColumnsRenamed({"component": "class"}), "node", "left").withColumn("class", F.coalesce("class", "node"))
     mixed = stored(known.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo != hi").select("key", "size"), "mixed")
-    few = known.join(mixed.filter(F.col("size") <= FEW), "key").filter("doc != hub").join(first.select(F.col("a").alias("doc"), F.col("b").alias("hub"), "indel"), ["doc", "hub"], "left")
-    left = few.select("key", F.col("doc").alias("a"), F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("indel").alias("d_a"))
-    right = few.select("key", F.col("doc").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("indel").alias("d_b"))
+    few = known.join(mixed.filter(F.col("size") <= FEW), "key").filter("node != hub").join(first.select(F.col("a").alias("node"), F.col("b").alias("hub"), "indel"), ["node", "hub"], "left")
+    left = few.select("key", F.col("node").alias("a"), F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("indel").alias("d_a"))
+    right = few.select("key", F.col("node").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("indel").alias("d_b"))
     # similar texts differ by at most this share of their shingles together
-    far = (1 - threshold) / (1 + threshold)
-    near = (F.abs(F.col("n_a") - F.col("n_b")) <= far * (F.col("n_a") + F.col("n_b"))) & (F.abs(F.col("d_a") - F.col("d_b")) <= far * (F.col("n_a") + F.col("n_b")))
+    far = (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b"))
+    near = (F.abs(F.col("n_a") - F.col("n_b")) <= far) & F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= far, F.lit(True))
     across = left.join(right, "key").filter((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & near).select("a", "b")
-    many = known.join(mixed.filter(F.col("size") > FEW), "key").select("doc", "class").distinct()
-    pairs = across.unionByName(prefix_pairs(many, docs, threshold)).distinct()
-    second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), docs), "aligned")
+    many = known.join(mixed.filter(F.col("size") > FEW), "key").select("node", "class").distinct()
+    pairs = across.unionByName(prefix_pairs(many, texts, threshold)).distinct()
+    second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, threshold), "aligned")
     more = second.filter(_similar(threshold)).select("a", "b")
-    all_links = stored(links.unionByName(more).distinct(), "links")
+    all_links = links.unionByName(more).distinct()
     final = class_of
     if more.limit(1).count():  # only the classes that the further links join are looked at again
         of = class_of.withColumnsRenamed({"component": "class"})
         ends = more.join(of.withColumnRenamed("node", "a"), "a", "left").withColumn("x", F.coalesce("class", "a")).drop("class").join(of.withColumnRenamed("node", "b"), "b", "left").withColumn("y", F.coalesce("class", "b"))
         joined = stored(components(ends.select("x", "y"), "x", "y").withColumnsRenamed({"node": "class", "component": "of"}), "joined")
-        final = of.unionByName(joined.select(F.col("class").alias("node"), "class")).distinct().join(joined, "class", "left").select("node", F.coalesce("of", "class").alias("component"))
-    degree = all_links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    per_text = texts.select("digest", "rep").join(final.withColumnsRenamed({"node": "rep", "component": "class_id"}), "rep", "left").join(degree, "rep", "left")
-    named = signed.select("doc_id", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest")).join(per_text, "digest", "left")
-    return named.select("doc_id", F.coalesce("class_id", "rep", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+        final = stored(of.unionByName(joined.select(F.col("class").alias("node"), "class")).distinct().join(joined, "class", "left").select("node", F.coalesce("of", "class").alias("component")), "classes")
+    degree = all_links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    linked = nodes.select("node", "digest", "doc_id", "raw").join(final, "node", "left").join(degree, "node", "left")
+    stands = linked.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "raw")).alias("c"))
+    per_text = linked.join(stands, "component", "left").select("digest", F.coalesce("c", F.struct("doc_id", "raw")).alias("c"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    per_text = stored(per_text.select("digest", F.col("c.doc_id").alias("class_id"), F.col("c.raw").alias("class_raw"), "n_links"), "text-classes")
+    discard(nodes, placed, members, mixed, second)
+    named = signed.select("doc_id", "raw", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest")).join(per_text, "digest", "left")
+    return named.select("doc_id", "raw", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_raw", "raw").alias("class_raw"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_verified_links"))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, n_verified_links) of every row: the least id of its class, and how many links of its text to other texts were verified."""
+    return _grouped(docs, threshold).select("doc_id", "class_id", "n_verified_links")
 
 
 def keep(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of docs for each class; rows with a null id stay."""
-    found = stored(classes(docs, threshold), "near-duplicates")
-    gone = found.filter("doc_id != class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    again = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    found = stored(_grouped(docs, threshold), "near-duplicates")
+    gone = found.filter("doc_id != class_id OR raw != class_raw").select("doc_id", "raw").distinct()
+    rows = _keyed(docs, F.struct("*").alias("row")).drop("text")
+    left = rows.join(gone, ["doc_id", "raw"], "left_anti")
+    again = found.filter("doc_id IS NOT NULL").groupBy("doc_id", "raw").count().filter("count > 1").select("doc_id", "raw")
     if not again.limit(1).count():
-        return left
-    once = left.join(again, left["doc_id"] == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, left["doc_id"] == F.col("_again"), "left_anti").unionByName(once)
+        return left.select("row.*")
+    once = left.join(again, ["doc_id", "raw"], "left_semi").dropDuplicates(["doc_id", "raw"])
+    return left.join(again, ["doc_id", "raw"], "left_anti").unionByName(once).select("row.*")

@@ -35,30 +35,55 @@ def test_alignment_is_the_longest_common_subsequence():
         m = lcs(a.tolist(), b.tolist())
         assert order_minhash.aligned(a, b, 0.0) == m
         sim = m / (len(a) + len(b) - m)
-        assert order_minhash.similarity(a, b) == pytest.approx(sim if sim >= 0.8 else order_minhash.similarity(a, b))
-        assert sim < 0.8 or order_minhash.similarity(a, b) == pytest.approx(sim)
+        assert order_minhash.aligned(a, b) in ((m,) if sim >= 0.8 else (0, *range(1, m + 1)))
         assert order_minhash.longest_rising(np.array([3, 1, 2, 2, 5])) == 3
 
 
-def brute(rows):
-    s = order_minhash.Shingler()
-    lab = {i: s.labelled(s.tokens(t)) for i, t in rows}
-    parent = {i: i for i, _ in rows}
+def shingled(text):
+    """Plain five-word shingles, read apart from the operator's hashes."""
+    w = (text or "").lower().split()
+    return [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+
+
+def common(a, b):
+    """Longest common subsequence, by a table; what both begin and end with is matched first."""
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    a, b = a[n:], b[n:]
+    while a and b and a[-1] == b[-1]:
+        a, b, n = a[:-1], b[:-1], n + 1
+    return n + (lcs(a, b) if a and b else 0)
+
+
+def brute(rows, by_row=False):
+    """Class of each id, from all pairs of texts."""
+    rows = [(i, shingled(t)) for i, t in rows]
+    parent = list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    ids = sorted(lab)
-    for n, i in enumerate(ids):
-        for j in ids[:n]:
-            if len(lab[i]) and len(lab[j]):
-                m = order_minhash.aligned(lab[i], lab[j], 0.0)
-                if m >= 0.8 * (len(lab[i]) + len(lab[j]) - m) and m:
-                    a, b = sorted((find(i), find(j)))
-                    parent[b] = a
-    return {i: find(i) for i in ids}
+    seen = {}
+    for k, (i, s) in enumerate(rows):
+        for j, other in seen.items():
+            if find(j) == find(k) or not s or not other or min(len(s), len(other)) < 0.79 * max(len(s), len(other)):
+                continue
+            if s != other and len(set(s) & set(other)) * 2.5 < min(len(set(s)), len(set(other))):  # far below what 0.8 needs
+                continue
+            m = common(s, other)
+            if m >= 0.8 * (len(s) + len(other) - m):
+                parent[find(k)] = find(j)
+        if s and i is not None:
+            seen[k] = s
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    out = [least.get(find(k)) for k in range(len(rows))]
+    return out if by_row else {i: c for (i, _), c in zip(rows, out, strict=True)}
 
 
 def test_classes_match_brute_force(spark):
@@ -91,11 +116,42 @@ def test_real_rows_recall(spark):
 
 
 def test_odd_rows(spark):
-    d = spark.createDataFrame([(None, "a b c d e f", None, None, None), (5, "a b c d e f", None, None, None), (5, "a b c d e f", None, None, None), (9, "a b c d e f", None, None, None), (5, "other words stand here now ok", None, None, None)], DOC)
+    """An id of two different texts has a class for each, and neither text is lost."""
+    rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (9, "A b c d e  f"), (5, "other words stand here now ok"), (None, "a b c d e f"), (6, None), (6, None), (4, "other words stand here now OK")]
+    d = spark.createDataFrame([(i, t, str(k), None, k) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, `raw` string, class_id string, node int")
     got = sorted((r.doc_id or -1, r.class_id or -1) for r in order_minhash.classes(d).collect())
-    assert got == [(-1, -1), (5, 5), (5, 5), (5, 5), (9, 5)]
-    assert sorted((r.doc_id or -1) for r in order_minhash.keep(d).collect()) == [-1, 5]
-    assert order_minhash.classes(d.limit(0)).count() == 0
+    assert got == [(-1, -1), (-1, -1), (4, 4), (5, 4), (5, 5), (5, 5), (6, 6), (6, 6), (9, 5)]
+    left = order_minhash.keep(d)
+    assert left.columns == d.columns and sorted((r.doc_id or -1, r.text or "") for r in left.collect()) == [(-1, "a b c d e f"), (-1, "a b c d e f"), (4, "other words stand here now OK"), (5, "a b c d e f"), (6, "")]
+    assert order_minhash.classes(d.limit(0)).count() == order_minhash.keep(d.limit(0)).count() == 0
+
+
+def test_short_texts_meet_exactly(spark):
+    """Four shingles within five are a link of 0.8, and none is left to chance."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(300):
+        words = [f"s{k}x{i}" for i in range(9)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[1:] if rng.random() < 0.5 else words[:-1]))]
+    d = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOC)
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(d).collect()} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_buckets_of_many_classes(spark, monkeypatch):
+    """Texts of common lines in many variants: large mixed buckets, searched by their rarest shingles."""
+    monkeypatch.setattr(order_minhash, "FEW", 3)
+    monkeypatch.setattr(order_minhash, "RARE", 4)
+    monkeypatch.setattr(order_minhash, "PART_ROWS", 5)
+    rng = random.Random(8)
+    lines = [" ".join(f"l{k}x{i}" for i in range(rng.randint(6, 14))) for k in range(14)]
+    rows = []
+    for i in range(160):
+        some = rng.sample(range(14), rng.randint(6, 12)) if i % 3 else [k for k in range(14) if rng.random() < 0.85]
+        rows.append((i, " ".join(lines[k] for k in some) + f" own{i} tail{i % 7}"))
+    d = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOC)
+    want = brute(rows)
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(d).collect()} == want and 3 < len(set(want.values())) < 160
+
 
 def test_a_lost_repeat_costs_only_itself(spark):
     rng = random.Random(17)
