@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_path, lean, stored, table_exists
+from .common import discard, drop_path, lean, stored, table_exists
 
 LENGTH = 50
 GRAM = 8
@@ -439,12 +439,13 @@ def _grams(texts: list[bytes]) -> np.ndarray:
 
 def frequent_grams(rows: DataFrame, buckets: int) -> np.ndarray:
     """Hashes of the grams that would fill more than half a bucket, sorted: at most 1 / LEAST_SHARE."""
-    counts = rows.select("data").mapInArrow(lean(_frequent(buckets)), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    counts = stored(rows.select("data").mapInArrow(lean(_frequent(buckets)), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")), "frequent-grams")
     total = counts.filter("gram IS NULL").first()
     if total is None:
         return np.zeros(0, dtype=np.uint64)
     least = total.n * max(0.5 / buckets, LEAST_SHARE)
     found = counts.filter("gram IS NOT NULL").filter(F.col("n") >= least).select("gram").collect()
+    discard(counts)
     return np.sort(np.array([r.gram for r in found], dtype=np.int64).view(np.uint64))
 
 
