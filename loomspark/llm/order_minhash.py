@@ -241,17 +241,22 @@ def signatures(docs: DataFrame) -> DataFrame:
 VERIFIED = "a bigint, b bigint, n_a int, n_b int, matched int"
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _with_text(rows: DataFrame, nodes: DataFrame, source: DataFrame) -> DataFrame:
+    """rows(node, ..) with their text: only slim rows are dealt out before the texts are."""
+    return rows.join(nodes.select("node", "doc_id", "raw"), "node").join(source, ["doc_id", "raw"]).drop("doc_id", "raw")
+
+
+def verify(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """pairs(a, b) with their shingle counts and how many align; 0 where the band shows that too few do.
 
-    texts: (node, text). The side that recurs (b) has its text sent once for each PART_ROWS of its pairs,
-    in front of the texts of the other side, and no pair carries two.
+    nodes: (node, doc_id, raw); source: (doc_id, raw, text). The side that recurs (b) has its text sent once
+    for each PART_ROWS of its pairs, in front of the texts of the other side, and no pair carries two.
     """
     parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts"))
     dealt = stored(pairs.join(parts, "b").select("a", "b", F.expr("pmod(xxhash64(a), parts)").alias("part")), "pairs")
-    left = dealt.withColumnRenamed("a", "node").join(texts, "node").select("b", "part", F.lit(1).alias("kind"), F.col("node").alias("a"), "text")
-    heads = dealt.select(F.col("b").alias("node"), "part").distinct().join(texts, "node").select(F.col("node").alias("b"), "part", F.lit(0).alias("kind"), F.col("node").alias("a"), "text")
-    rows = heads.unionByName(left).repartition("b", "part").sortWithinPartitions("b", "part", "kind").select("b", "kind", "a", "text")
+    left = dealt.select(F.col("a").alias("node"), "b", "part", F.lit(1).alias("kind"))
+    heads = dealt.select(F.col("b").alias("node"), "b", "part", F.lit(0).alias("kind")).distinct()
+    rows = _with_text(heads.unionByName(left), nodes, source).repartition("b", "part").sortWithinPartitions("b", "part", "kind").select("b", "kind", F.col("node").alias("a"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, hub, y = Shingler(), None, None
@@ -274,7 +279,7 @@ def _similar(threshold: float):
     return (F.col("matched") > 0) & (F.col("matched") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("matched")))
 
 
-def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def prefix_pairs(members: DataFrame, nodes: DataFrame, source: DataFrame, threshold: float) -> DataFrame:
     """(a, b) of members(node, class) of different classes that may be similar, from all pairs that are.
 
     As many labelled shingles are shared as any alignment of the plain ones can match at most, so the
@@ -292,11 +297,12 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> Data
             found = [shingler.labelled(shingler.tokens(t.as_py())).view(np.int64) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["node", "class", "shingles"])
 
-    own = members.join(texts, "node").select("node", "class", "text")
+    own = _with_text(members, nodes, source).select("node", "class", "text")
     held = stored(own.mapInArrow(lean(run), "node bigint, class bigint, shingles array<bigint>"), "shingles")
     rows = held.select("node", "class", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
-    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f"), F.min("class").alias("lo"), F.max("class").alias("hi"))
-    ranked = rows.join(often.select("s", "f", (F.col("lo") != F.col("hi")).alias("mixed")), "s").groupBy("node", "class", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s", "mixed"))).alias("r"))
+    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f"), F.min("class").alias("lo"), F.max("class").alias("hi")).filter("f > 1")
+    often = stored(often.select("s", "f", (F.col("lo") != F.col("hi")).alias("mixed")), "shingle-counts")
+    ranked = rows.join(often, "s", "left").withColumns({"f": F.coalesce("f", F.lit(1)), "mixed": F.coalesce("mixed", F.lit(False))}).groupBy("node", "class", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s", "mixed"))).alias("r"))
     rare = F.slice("r", F.lit(1), (F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1).cast("int"))
     common = F.size(F.filter("r", lambda x: x.f > RARE)).alias("c")
     heads = ranked.select("node", "class", "n", common, F.explode(F.filter(rare, lambda x: x.mixed)).alias("x")).select("node", "class", "n", "c", (F.col("x.f") <= RARE).alias("rare"), F.col("x.s").alias("s"))
@@ -304,13 +310,14 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, threshold: float) -> Data
     length = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold)) + 1e-9)
     heads = stored(heads.filter(F.col("rare") | (F.col("c") >= threshold * F.col("n") - 1e-6)).withColumn("length", length), "prefixes")
     largest = heads.groupBy("s", "class").count().groupBy("s").agg(F.max(F.struct("count", "class")).alias("l")).select("s", F.col("l.class").alias("largest"))
+    largest = stored(largest, "largest-classes")
     near = F.explode(F.array(F.col("length") - 1, F.col("length"), F.col("length") + 1)).alias("length")
     a = heads.join(largest, "s").filter("class != largest").select("s", F.col("node").alias("x"), F.col("class").alias("class_x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), near)
     b = heads.select("s", F.col("node").alias("y"), F.col("class").alias("class_y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), "rare", "length")
     need = threshold / (1 + threshold) * (F.col("n_x") + F.col("n_y")) - 1e-6
     fits = (F.col("class_x") != F.col("class_y")) & (F.least("n_x", "n_y") >= need) & (F.col("rare") | (F.least("c_x", "c_y") >= need))
     found = stored(a.join(b, ["s", "length"]).filter(fits).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "prefix-pairs")
-    discard(held, heads)
+    discard(held, often, heads, largest)
     return found
 
 
@@ -323,7 +330,6 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     source = _keyed(docs)
     if ids.groupBy("doc_id", "raw").count().filter("count > 1").limit(1).count():
         source = source.dropDuplicates(["doc_id", "raw"])
-    texts = nodes.select("node", "doc_id", "raw").join(source, ["doc_id", "raw"]).select("node", "text")
     drawn = nodes.select("node", "n", F.explode(F.array_distinct("samples")).alias("key"))
     shared = drawn.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     placed = stored(drawn.join(shared, "key").select("key", "node", "n", "size"), "buckets")
@@ -331,7 +337,7 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     ranked = placed.join(placed.groupBy("node").agg(F.sum("size").alias("meets")), "node")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("meets", (-F.col("node")).alias("least"))).alias("h")).select("key", (-F.col("h.least")).alias("hub"))
     members = stored(placed.join(hubs, "key").select("key", "hub", "node", "n"), "buckets")
-    first = stored(verify(members.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), texts, threshold), "aligned")
+    first = stored(verify(members.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), nodes, source, threshold), "aligned")
     # the distance to the hub, where the band was wide enough for it
     first = first.withColumn("indel", F.when(F.col("matched") > 0, F.col("n_a") + F.col("n_b") - 2 * F.col("matched")))
     links = first.filter(_similar(threshold)).select("a", "b")
@@ -347,8 +353,8 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     near = (F.abs(F.col("n_a") - F.col("n_b")) <= far) & F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= far, F.lit(True))
     across = left.join(right, "key").filter((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & near).select("a", "b")
     many = known.join(mixed.filter(F.col("size") > FEW), "key").select("node", "class").distinct()
-    pairs = across.unionByName(prefix_pairs(many, texts, threshold)).distinct()
-    second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), texts, threshold), "aligned")
+    pairs = across.unionByName(prefix_pairs(many, nodes, source, threshold)).distinct()
+    second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), nodes, source, threshold), "aligned")
     more = second.filter(_similar(threshold)).select("a", "b")
     all_links = links.unionByName(more).distinct()
     final = class_of
