@@ -58,7 +58,8 @@ _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 #: What inside an article is no subtree by itself.
 _PARTS = frozenset("li td th dd dt tr tbody thead tfoot b i em strong a span code br".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|<[!?][^>]*>", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
@@ -69,23 +70,81 @@ class Node:
         self.tag, self.attrs, self.children, self.hash, self.n_text = tag, attrs, [], 0, 0
 
 
+class _Tags:
+    """Comments and tags of a page, each place looked at a bounded number of times however broken the markup is.
+
+    A tag ends at the first > outside quotes. One whose quotes never close, or that has no end, is text.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.name_end = self.special = -1  # the first ones behind the last place asked about
+        self.dead: set[int] = set()  # quotes and ends of chains of quotes that lead to no >
+
+    def _end(self, at: int) -> int:
+        """Place of the > that ends a tag whose name ends at a place; -1 without one."""
+        seen = []
+        while at <= self.last:
+            if self.special < at or seen:
+                m = _SPECIAL.search(self.page, at, self.last + 1)
+                found = m.start()
+                if not seen:
+                    self.special = found
+            else:
+                found = self.special
+            if self.page[found] == ">":
+                return found
+            if found in self.dead:
+                break
+            seen.append(found)
+            close = self.page.find(self.page[found], found + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.dead.update(seen)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str | None, bool, str, bool] | None:
+        """The next comment or tag from a place on: its begin and end, and a tag's name, whether it closes, its attributes and whether it closes itself."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            first = page[at + 1 : at + 2]
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, end + 3 if end >= 0 else len(page), None, False, "", False
+            if at < self.last:
+                if first in ("!", "?"):
+                    return at, page.index(">", at) + 1, None, False, "", False
+                closes = first == "/"
+                begin = at + 1 + closes
+                letter = page[begin : begin + 1]
+                if letter.isascii() and letter.isalpha():
+                    if self.name_end <= begin:
+                        self.name_end = _NAME_END.search(page, begin, self.last + 1).start()
+                    end = self._end(self.name_end)
+                    if end >= 0:
+                        alone = page[end - 1] == "/"
+                        return at, end + 1, page[begin : self.name_end].lower(), closes, page[self.name_end : end - alone], alone
+            at += 1
+        return None
+
+
 def parse(page: str) -> Node:
     """The page's element tree; text nodes are str with character references decoded."""
-    root = Node("#root")
+    root, tags = Node("#root"), _Tags(page)
     stack, at = [root], 0
     while at < len(page):
-        m = _TOKEN.search(page, at)
+        m = tags.next(at)
         if m is None:
             stack[-1].children.append(entities.unescape(page[at:]))
             break
-        if m.start() > at:
-            stack[-1].children.append(entities.unescape(page[at : m.start()]))
-        at = m.end()
-        name = m[2]
-        if name is None:
+        begin, end, tag, closes, attrs, alone = m
+        if begin > at:
+            stack[-1].children.append(entities.unescape(page[at:begin]))
+        at = end
+        if tag is None:
             continue
-        tag = name.lower()
-        if m[1]:
+        if closes:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
@@ -106,13 +165,13 @@ def parse(page: str) -> Node:
                         break
                 elif stack[i].tag in _LIST_STOP and not (tag == "tr" and stack[i].tag in ("td", "th")):
                     break
-        node = Node(tag, m[3])
+        node = Node(tag, attrs)
         stack[-1].children.append(node)
-        if tag in _VOID or m[4]:
+        if tag in _VOID or alone:
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at, max(at, tags.last + 1))
+            at = close.end() if close else len(page)
             continue
         if len(stack) < DEPTH:
             stack.append(node)

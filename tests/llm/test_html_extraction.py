@@ -94,3 +94,72 @@ def test_broken_markup_and_depth():
 
 def test_empty_table(spark):
     assert H.extract(spark.createDataFrame([], PAGE)).count() == 0
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    for page in ("<a " * 350_000, "<a<" * 350_000, '<a "' * 250_001 + ">", "<a " * 330_000 + '">', "<" * 1_000_000, "<!--" * 250_000, "<script>" + "</script " * 110_000, "<p \"'" * 160_000 + ">", "<li>" * 200_000):
+        began = time.process_time()
+        H.main_text(page)
+        assert time.process_time() - began < 4, page[:9]
+
+
+def test_tags_and_quotes():
+    assert H.main_text("<p title='a > b' x=\"1 > 0\">kept</p>") == "kept"
+    assert H.main_text('<p>a</p><b "never closed <i>c</i>') == 'a\n\n<b "never closed c'
+    assert H.main_text("a < b <c") == "a < b <c"
+    assert H.main_text("<IMG/><P/>x<br/>y") == "x y"
+    assert H.main_text("<p>a<!-- <p>b</p> -->c<!DOCTYPE x><?php y ?></p>") == "ac"
+
+
+def signatures(page):
+    """Main content of a page and its subtrees with text, as nested tuples, read apart from the hashes."""
+    root = H.parse(page)
+
+    def sign(x):
+        return (x.tag, *(" ".join(c.split()) if isinstance(c, str) else sign(c) for c in x.children))
+
+    def words(x):
+        return any(c.strip() if isinstance(c, str) else words(c) for c in x.children)
+
+    H.measure(root)
+    main, found = H.article(root) or H.body(root), {}
+
+    def walk(x, inside):
+        for c in x.children:
+            if not isinstance(c, str) and words(c):
+                if not (inside and c.tag in ("li", "td", "th", "dd", "dt", "tr", "tbody", "thead", "tfoot", "b", "i", "em", "strong", "a", "span", "code", "br")):
+                    prose = inside and c.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figcaption")
+                    found[(sign(c), prose)] = c.hash | prose
+                walk(c, inside or c is main or c.tag in ("article", "main"))
+
+    walk(H.body(root), False)
+    return sign(main), found
+
+
+def test_templates_match_counts_by_brute_force(spark):
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(6)
+    shared = [f"<div><p>Everywhere {k}</p><ul><li>x{k}</ul></div>" for k in range(6)]
+    rows = []
+    for i in range(420):
+        host = f"h{min(rng.randrange(9), rng.randrange(9))}"
+        own = "".join(f"<section><h2>{host} box {k}</h2><p>text {k}</p></section>" for k in range(8) if rng.random() < k / 10)
+        some = "".join(x for k, x in enumerate(shared) if rng.random() < 0.05 + k * 0.06)
+        inner = "".join(f"<p>{host} line {k}</p>" for k in range(4) if rng.random() < 0.2)
+        rows.append((i, f"https://u@{host.upper()}.example:80/x", f"<body><nav>{host}</nav>{own}<article><p>{i % 390}</p>{inner}{some}</article><footer>f</footer>", None))
+    pages, counts, hosts, of_hash = defaultdict(set), defaultdict(set), defaultdict(set), {}
+    for _, url, page, _ in rows:
+        host = url.split("@")[1].split(":")[0].lower()
+        main, found = signatures(page)
+        pages[host].add(main)
+        for key, h in found.items():
+            assert of_hash.setdefault(h, key) == key
+            counts[host, key].add(main)
+            hosts[key].add(host)
+    want = {(h, k) for (h, k), mains in counts.items() if len(mains) >= 5 and (len(hosts[k]) == 1 or not k[1] and len(mains) >= 0.2 * len(pages[h]))}
+    got = {(r.host, of_hash[r.hash]) for r in H.templates(H.subtree_hashes(spark.createDataFrame(rows, PAGE))).collect()}
+    assert got == want and 20 < len(want) < len(counts)
