@@ -1,17 +1,22 @@
 """Legacy web archives: ARC files are parsed and rewritten as WARC files.
 
-``write_arc`` lays pages down in the older format (version 1 or 2), ``convert`` parses each record's
-header line by its version's field list, takes the declared number of bytes, and synthesises the WARC
-identifiers, timestamps, types and digests; ``read_warc`` parses the result by declared lengths.
+``write_arc`` lays pages down in the older format, ``convert`` parses each record's header line by its
+version's field list, takes the declared number of bytes, and synthesises the WARC identifiers,
+timestamps, types and digests; ``read_warc`` parses the result by declared lengths. A record that is an
+HTTP message becomes a response, or a revisit where another has its payload; any other becomes a
+resource. The address, result code, checksum and location of the header line go along as named fields,
+and the version block as the archive's warcinfo record.
 
 Files go through Spark's own text and binaryFile sources, so they can lie on any store. A text row is
-a record and the line separator is what the format puts after a record.
+a whole file of at most FILE_BYTES, or of one record that is larger; so no file is too long to be read as
+one row, and none is held twice in memory.
 
 Defined results: a null html is an empty payload. Of records with equal payloads that with the largest
 page_id is the response and the others are revisits of it; rows that repeat this id are responses too.
 A null page_id is kept as null: it revisits if the payload has a response with an id, else it is a
 response. A null url is written as ``unknown:``. Empty tables give empty archives. Further columns of
-pages are not read.
+pages are not read. A header or a length that the format doesn't allow stops the job, or, with
+``strict=False``, leaves out the rest of its file, which ``faults`` lists.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import base64
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 from urllib.parse import quote
 
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, text_bytes
+from .common import drop_path, fresh_path, stored
 
 #: Field lists of the two header lines (fixed values of the format).
 ARC_FIELDS = {
@@ -39,17 +44,23 @@ ARCHIVED = "20200101000000"
 PAGE_HEADER = "X-Page-Id"
 #: Rows of a lookup that may be sent to every task; a row is a few dozen bytes.
 BROADCAST_ROWS = 200_000
-#: Records of an archive file at most, its version block included: files are read whole.
-FILE_RECORDS = 4000
+#: Bytes of an archive file before compression, unless one record has more: files are read whole.
+FILE_BYTES = 16_000_000
 
-PARSED = "page_id bigint, url string, archived string, mime string, http string, payload binary"
-_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("archived", pa.string()), ("mime", pa.string()), ("http", pa.string()), ("payload", pa.binary())])
+PARSED = "page_id bigint, url string, archived string, mime string, http string, extra string, payload binary"
+_PARSED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("archived", pa.string()), ("mime", pa.string()), ("http", pa.string()), ("extra", pa.string()), ("payload", pa.binary())])
+#: WARC fields that keep what an ARC header line says besides (the first is the standard's own).
+KEPT_FIELDS = {"IP-address": "WARC-IP-Address", "Result-code": "X-ARC-Result-Code", "Checksum": "X-ARC-Checksum", "Location": "X-ARC-Location"}
 READ = "page_id bigint, url string, warc_type string, warc_date string, record_id string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
 _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("warc_type", pa.string()), ("warc_date", pa.string()), ("record_id", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
 
 
 class BadArchive(ValueError):
-    """A header or a declared length that the format doesn't allow."""
+    """A header or a declared length that the format doesn't allow. at: the byte where its record begins."""
+
+    def __init__(self, why: str, at: int = 0):
+        super().__init__(why)
+        self.at = at
 
 
 def sha1_base32(payload: bytes) -> str:
@@ -93,8 +104,8 @@ def arc_record(version: int, url: str | None, page_id: int | None, payload: byte
 
 
 def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record of one archive file."""
-    at, fields = 0, None
+    """Header fields and block of each record of one archive file; "version" is that of the block before it."""
+    at, fields, version = 0, None, 0
     while True:
         while data[at : at + 1] in (b"\n", b"\r"):
             at += 1
@@ -102,29 +113,31 @@ def parse_arc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             return
         end = data.find(b"\n", at)
         if end < 0:
-            raise BadArchive("a header line has no end")
+            raise BadArchive("a header line has no end", at)
         line = data[at:end].decode("utf-8", "replace").rstrip("\r")
         parts = line.split(" ")
         try:
             length = int(parts[-1])
         except ValueError:
-            raise BadArchive(f"no declared length: {line[:80]}") from None
-        block = data[end + 1 : end + 1 + length]
+            raise BadArchive(f"no declared length: {line[:80]}", at) from None
+        block = data[end + 1 : end + 1 + length] if length >= 0 else b""
         if length < 0 or len(block) < length:
-            raise BadArchive(f"declared {length} bytes, found {len(block)}")
-        at = end + 1 + length
+            raise BadArchive(f"declared {length} bytes, found {len(block)}", at)
         if line.startswith("filedesc://"):
             first, _, rest = block.decode("utf-8", "replace").partition("\n")
-            version = int(first.split(" ")[0])
+            number = first.split(" ")[0]
+            version = int(number) if number.isdigit() else 0
             fields = ARC_FIELDS.get(version)
             if fields is None or rest.split("\n")[0].split(" ") != list(fields):
-                raise BadArchive(f"unknown version block: {first}")
+                raise BadArchive(f"unknown version block: {first}", at)
+            at = end + 1 + length
             continue
         if fields is None:
-            raise BadArchive("no version block before the first record")
+            raise BadArchive("no version block before the first record", at)
         if len(parts) != len(fields):
-            raise BadArchive(f"{len(parts)} fields instead of {len(fields)}: {line[:80]}")
-        yield dict(zip(fields, parts, strict=True)), block
+            raise BadArchive(f"{len(parts)} fields instead of {len(fields)}: {line[:80]}", at)
+        yield dict(zip(fields, parts, strict=True)) | {"version": str(version)}, block
+        at = end + 1 + length
 
 
 def split_http(block: bytes) -> tuple[str, bytes]:
@@ -140,36 +153,79 @@ def http_header(head: str, name: str) -> str | None:
     return m[1] if m else None
 
 
-def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
-    """pages(page_id, url, html) as gzipped ARC files of one version."""
+def write_arc(pages: DataFrame, path: str, version: int | None = None) -> None:
+    """pages(page_id, url, html) as gzipped ARC files of one version; without one, files take turns."""
+    most = FILE_BYTES
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        name = f"part-{TaskContext.get().partitionId():06d}.arc"
-        written = 0
+        task = TaskContext.get().partitionId()
+        number = task
+
+        def begin() -> bytes:
+            nonlocal number, now, name
+            now, name = version or 1 + number % 2, f"part-{task:06d}-{number - task:06d}.arc"
+            number += 1
+            return arc_version_block(now, name)
+
+        now, name = 0, ""
+        files = _Files(b"\n", begin, most)
         for batch in batches:
-            out = []
-            for i, u, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
-                if written % FILE_RECORDS == 0:  # the writer begins a file here
-                    out.append(arc_version_block(version, name))
-                    written += 1
-                out.append(arc_record(version, u, i, p, name))
-                written += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            for i, u, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                payload = p.as_py() or b""
+                files.room(len(payload))
+                yield from files.add(arc_record(now, u, i, payload, name))
+        yield from files.rest()
 
     slim = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string").cast("binary"))
     _write(slim.mapInArrow(rows, "value binary"), path, "\n")
 
 
-def _write(records: DataFrame, path: str, end: str) -> None:
-    """Gzipped files of records, each with the format's end behind it. Fast compression: archives are markup."""
-    out = records.select(F.col("value").cast("string")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-    out.option("maxRecordsPerFile", FILE_RECORDS).option("lineSep", end).text(path)
+class _Files:
+    """Records gathered to files of so many bytes at most, each as one row."""
+
+    def __init__(self, end: bytes, begin: Callable[[], bytes], most: int):
+        self.end, self.begin, self.most = end, begin, most
+        self.held: list[bytes] = []
+        self.full: list[bytes] = []
+        self.size = 0
+
+    def room(self, more: int) -> None:
+        """Begin a file, or another one, if the next record needs it."""
+        if self.held and self.size + more > self.most:
+            self._close()
+        if not self.held:
+            self.held.append(self.begin())
+            self.size = len(self.held[0])
+
+    def add(self, record: bytes) -> Iterator[pa.RecordBatch]:
+        self.held.append(record)
+        self.size += len(record) + len(self.end)
+        yield from self._out()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            self._close()
+        yield from self._out()
+
+    def _close(self) -> None:
+        self.full.append(self.end.join(self.held))
+        self.held = []
+
+    def _out(self) -> Iterator[pa.RecordBatch]:
+        while self.full:
+            yield pa.RecordBatch.from_arrays([pa.array([self.full.pop(0)], pa.binary())], names=["value"])
+
+
+def _write(files: DataFrame, path: str, end: str) -> None:
+    """Gzipped files, one for each row, with the format's end of a record behind it. Fast compression: archives are markup."""
+    out = files.select(F.col("value").cast("string")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    out.option("maxRecordsPerFile", 1).option("lineSep", end).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
 def _inflate(data: bytes) -> bytes:
@@ -194,37 +250,68 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of the ARC files under path."""
+def read_arc(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """A row for each record of the ARC files under path. Not strict: a file is read up to its first fault."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
             for batch in batches:
-                for data in batch.column(0):
-                    for head, block in parse_arc(_inflate(data.as_py())):
-                        http, payload = split_http(block)
-                        page = http_header(http, PAGE_HEADER)
-                        yield int(page) if page else None, head["URL"], head["Archive-date"], head["Content-type"], http, payload
+                for data in batch.column(1):
+                    try:
+                        for head, block in parse_arc(_inflate(data.as_py())):
+                            http, payload = split_http(block)
+                            page = http_header(http, PAGE_HEADER)
+                            extra = "".join(f"{name}: {head[field]}\r\n" for field, name in KEPT_FIELDS.items() if head.get(field, "-") not in ("-", "0.0.0.0", ""))
+                            yield int(page) if page else None, head["URL"], head["Archive-date"], head["Content-type"], http, extra + f"X-ARC-Version: {head['version']}\r\n", payload
+                    except BadArchive:
+                        if strict:
+                            raise
 
         return _in_batches(each(), _PARSED)
 
     return _files(spark, path).mapInArrow(rows, PARSED)
 
 
+def faults(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, why) of the first fault of each ARC file under path that has one."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for file, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                try:
+                    for _ in parse_arc(_inflate(data.as_py())):
+                        pass
+                except BadArchive as e:
+                    found.append({"file": file, "at": e.at, "why": str(e)})
+            yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("file", pa.string()), ("at", pa.int64()), ("why", pa.string())]))
+
+    return _files(spark, path).mapInArrow(rows, "file string, at bigint, why string")
+
+
 # ---- WARC
 
 
-def warc_record(kind: str, url: str, date: str, record: str, digest: str, http: str, payload: bytes, refers: str | None = None) -> bytes:
+def warc_record(kind: str, url: str, date: str, record: str, digest: str, http: str, payload: bytes, refers: str | None = None, extra: str = "", mime: str = "text/html") -> bytes:
     block = http.encode("latin-1") + b"\r\n\r\n" * bool(http) + (b"" if kind == "revisit" else payload)
-    mime = "application/http; msgtype=response" if http else "text/html"
+    mime = "application/http; msgtype=response" if http else mime
     more = f"WARC-Refers-To: <urn:uuid:{refers}>\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n" if refers else ""
+    if kind == "revisit" and not http:
+        more += f"X-Payload-Length: {len(payload)}\r\n"
     head = (
         f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{record}>\r\nWARC-Date: {date}\r\nWARC-Target-URI: {url}\r\n"
-        f"WARC-Payload-Digest: sha1:{digest}\r\nWARC-Block-Digest: sha1:{sha1_base32(block)}\r\n{more}Content-Type: {mime}\r\nContent-Length: {len(block)}\r\n\r\n"
+        f"WARC-Payload-Digest: sha1:{digest}\r\nWARC-Block-Digest: sha1:{sha1_base32(block)}\r\n{extra}{more}Content-Type: {mime}\r\nContent-Length: {len(block)}\r\n\r\n"
     )
     return head.encode() + block
 
 
+def warcinfo_record(name: str) -> bytes:
+    """What stands for the version block at the begin of a file."""
+    block = f"software: loomspark\r\nformat: WARC File Format 1.1\r\ndescription: converted from ARC\r\nfilename: {name}\r\n".encode()
+    record = uuid.uuid5(uuid.NAMESPACE_URL, name)
+    return f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{record}>\r\nWARC-Date: {warc_date(ARCHIVED)}\r\nWARC-Filename: {name}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block
+
+
 def warc_date(arc_date: str) -> str:
     """ISO 8601 of an ARC date of 12 or 14 digits."""
     digits = re.sub(r"\D", "", arc_date).ljust(14, "0")[:14]
@@ -248,66 +335,78 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 8 + length
 
 
-def responses(records: DataFrame) -> DataFrame:
-    """(page_id, refers_to) of each record that repeats another's payload.
+def responses(digests: DataFrame) -> DataFrame:
+    """(page_id, refers_to, digest) of each of digests(page_id, digest) that repeats another's payload.
 
     Digests are summed up before they are dealt out, so a payload that fills a third of the archive
     costs one row a task; the losers alone are joined to their response.
     """
-    digests = records.select("page_id", F.sha1("payload").alias("digest"))
     best = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND refers_to IS NOT NULL")
-    return digests.join(best.drop("n"), "digest").filter("NOT page_id <=> refers_to").select("page_id", "refers_to", "digest").distinct()
+    best = stored(best.drop("n"), "repeated-payloads")
+    return digests.join(best, "digest").filter("NOT page_id <=> refers_to").select("page_id", "refers_to", "digest").distinct()
 
 
-def convert(spark: SparkSession, arc: str, warc: str) -> None:
-    """ARC files under arc, rewritten as gzipped WARC files under warc."""
-    records = read_arc(spark, arc)
-    losers = responses(records)
-    loser_path = fresh_path(spark, "revisits")
-    losers.write.parquet(loser_path)
-    losers = spark.read.parquet(loser_path)
-    with_digest = records.withColumn("digest", F.sha1("payload"))
+def convert(spark: SparkSession, arc: str, warc: str, strict: bool = True) -> None:
+    """ARC files under arc, rewritten as gzipped WARC files under warc. They are parsed twice: for the digests, and to be written."""
+    records = read_arc(spark, arc, strict).withColumn("digest", F.sha1("payload"))
+    losers = stored(responses(stored(records.select("page_id", "digest"), "digests")), "revisits")
     side = F.broadcast(losers) if losers.count() <= BROADCAST_ROWS else losers
-    marked = with_digest.join(side.withColumnsRenamed({"page_id": "_page", "digest": "_digest"}), (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page")), "left")
+    marked = records.join(side.withColumnsRenamed({"page_id": "_page", "digest": "_digest"}), (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page")), "left")
+    most = FILE_BYTES
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, number = TaskContext.get().partitionId(), 0
+
+        def begin() -> bytes:
+            nonlocal number
+            number += 1
+            return warcinfo_record(f"part-{task:06d}-{number:06d}.warc")
+
+        files = _Files(b"\r\n\r\n", begin, most)
         for batch in batches:
-            out = []
-            for page, url, date, http, payload, refers in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            heads = zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5, 7)), strict=True)
+            for (page, url, date, mime, http, extra, refers), payload in zip(heads, batch.column(6), strict=True):
+                payload = payload.as_py()
                 digest = sha1_base32(payload)
-                kind = "response" if refers is None else "revisit"
-                out.append(warc_record(kind, url, warc_date(date), record_uuid(page, digest, url), digest, http, payload, None if refers is None else record_uuid(refers, digest, url)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                kind = ("response" if http else "resource") if refers is None else "revisit"
+                files.room(len(payload))
+                yield from files.add(warc_record(kind, url, warc_date(date), record_uuid(page, digest, url), digest, http, payload, None if refers is None else record_uuid(refers, digest, url), extra, mime))
+        yield from files.rest()
 
-    values = marked.select("page_id", "url", "archived", "http", "payload", "refers_to").mapInArrow(rows, "value binary")
+    values = marked.select("page_id", "url", "archived", "mime", "http", "extra", "payload", "refers_to").mapInArrow(rows, "value binary")
     _write(values, warc, "\r\n\r\n")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of the WARC files under path; a revisit's payload is null, its size and digest are the full payload's."""
+    """A row for each record of the WARC files under path but the warcinfo ones; a revisit's payload is null, its size and digest are the full payload's."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[tuple]:
             for batch in batches:
-                for data in batch.column(0):
+                for data in batch.column(1):
                     for head, block in parse_warc(_inflate(data.as_py())):
+                        if head["warc-type"] == "warcinfo":
+                            continue
                         http, payload = split_http(block)
                         page, revisit = http_header(http, PAGE_HEADER), head["warc-type"] == "revisit"
                         digest = head["warc-payload-digest"].removeprefix("sha1:")
                         if not revisit and sha1_base32(payload) != digest:
                             raise BadArchive(f"digest of {head['warc-record-id']}")
-                        size = int(http_header(http, "Content-Length") or 0) if revisit else len(payload)
-                        yield (int(page) if page else None, head["warc-target-uri"], head["warc-type"], head["warc-date"], head["warc-record-id"], page_of_uuid(head.get("warc-refers-to")) if revisit else None, size, digest, None if revisit else payload)
+                        size = int(head.get("x-payload-length") or http_header(http, "Content-Length") or 0) if revisit else len(payload)
+                        yield (int(page) if page else page_of_uuid(head["warc-record-id"]), head["warc-target-uri"], head["warc-type"], head["warc-date"], head["warc-record-id"], page_of_uuid(head.get("warc-refers-to")) if revisit else None, size, digest, None if revisit else payload)
 
         return _in_batches(each(), _READ)
 
     return _files(spark, path).mapInArrow(rows, READ)
 
 
-def archive_pages(pages: DataFrame, version: int = 1) -> DataFrame:
+def archive_pages(pages: DataFrame, version: int | None = None) -> DataFrame:
     """pages through ARC and WARC files in the shared folder, as read back."""
     spark = pages.sparkSession
     arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
     write_arc(pages, arc, version)
     convert(spark, arc, warc)
+    drop_path(spark, arc)
     return read_warc(spark, warc)
