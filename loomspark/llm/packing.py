@@ -87,8 +87,8 @@ class WordCoder:
     @staticmethod
     def _split(text: str) -> list[str]:
         """White-space-separated words, punctuation behind a letter or digit parted from it as the tokenizer does."""
-        if "\u03a3" not in text:  # lower-cased by its place in the word here, but not there
-            text = text.lower()
+        # a capital sigma is lower-cased by its place in the word here, but not there
+        text = text.replace("\u03a3", "\u03c3").lower()
         return _TRAILING.sub(r" \1", text).split()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -131,7 +131,8 @@ def binary_pieces(tokens: int, context: int = CONTEXT) -> list[int]:
 def pieces(docs: DataFrame, tokenizer: str | None = None, context: int = CONTEXT, end: int = END, with_ids: bool = False) -> DataFrame:
     """Every piece of every row of docs(doc_id, text); with_ids adds the piece's ids as array<int>.
 
-    A narrow transformation: nothing is shuffled. sequence_id is unique among the result's rows.
+    A narrow transformation: nothing is shuffled. sequence_id is unique among the result's rows; bucket is
+    the length's power of two.
     """
     path = tokenizer or default_tokenizer()
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("piece", pa.int32())] + [("ids", pa.list_(pa.int32()))] * with_ids)
@@ -156,7 +157,13 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, context: int = CONTEXT
 
     slim = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     found = slim.mapInArrow(lean(cut, "packing"), PIECES + ", ids array<int>" * with_ids)
-    return found.select(*(c for c in found.columns if c != "piece"), F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    bucket = F.log2("length").cast("int").alias("bucket")
+    return found.select(*(c for c in found.columns if c != "piece"), F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"), bucket)
+
+
+def write_buckets(packed: DataFrame, path: str) -> None:
+    """Pieces by their length, a folder for each power of two: a loader reads batches of equal length from one."""
+    packed.write.partitionBy("length").parquet(path)
 
 
 def buckets(packed: DataFrame) -> DataFrame:
