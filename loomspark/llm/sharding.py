@@ -4,8 +4,9 @@ A row's key alone and the number of shards decide its shard. Appending a shard m
 of the rows, all of them into the new shard; no ring table is kept.
 
 Defined results: a null key hashes like the constant seed, so such rows share one shard. Repeated keys
-land together. Slots number the rows of a shard without gaps, in no order that means anything.
-An empty table gives an empty result. Columns other than the key pass through untouched.
+land together, repeated rows each have a slot. A null text has size 1. Slots number the rows of a shard
+without gaps, by rising doc_id (null first), size and checksum. An empty table gives an empty result. ``with_slots`` passes
+all columns through, whatever they are called.
 """
 
 from collections.abc import Iterator
@@ -57,15 +58,15 @@ def with_slots(df: DataFrame, shard: str = "shard", slot: str = "slot") -> DataF
     Each task counts its own rows of a shard; what earlier tasks hold is added afterwards from one
     small row for each task and shard. No shard is ever gathered in one task.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("_task", T.IntegerType()), T.StructField("_at", T.LongType())])
-    place = [f.name for f in df.schema].index(shard)
+    packed = df.select(F.struct("*").alias("row"), F.col(shard).cast("int").alias("shard"))
+    schema = T.StructType([*packed.schema.fields, T.StructField("task", T.IntegerType()), T.StructField("at", T.LongType())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
-            shards = batch.column(place).to_numpy(zero_copy_only=False)
+            shards = batch.column(1).to_numpy(zero_copy_only=False)
             at = np.zeros(len(shards), dtype=np.int64)
             for s in np.unique(shards):
                 own = np.flatnonzero(shards == s)
@@ -73,15 +74,13 @@ def with_slots(df: DataFrame, shard: str = "shard", slot: str = "slot") -> DataF
                 seen[int(s)] = seen.get(int(s), 0) + len(own)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.full(len(shards), task, dtype=np.int32)), pa.array(at)],
-                names=[*batch.schema.names, "_task", "_at"],
+                names=["row", "shard", "task", "at"],
             )
 
-    own = stored(df.mapInArrow(number, schema), "slots")
-    before = own.groupBy(shard, "_task").count().withColumn(
-        "_before",
-        F.coalesce(F.sum("count").over(W.partitionBy(shard).orderBy("_task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
-    )  # tasks x shards rows
-    return own.join(before.drop("count"), [shard, "_task"]).withColumn(slot, F.col("_before") + F.col("_at")).drop("_task", "_at", "_before")
+    own = stored(packed.mapInArrow(number, schema), "slots")
+    earlier = W.partitionBy("shard").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    before = own.groupBy("shard", "task").count().select("shard", "task", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))  # tasks x shards rows
+    return own.join(before, ["shard", "task"]).select("row.*", (F.col("before") + F.col("at")).alias(slot))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
@@ -95,4 +94,7 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         jump_shard(key, shards).alias("shard"),
         jump_shard(key, shards + 1).alias("grown_shard"),
     )
-    return with_slots(slim)
+    # in order of their ids and texts, so that a shard's slots are the same however often they are made;
+    # rows that are alike in all are interchangeable, and dealt out at random
+    order = ["shard", "doc_id", "size", "text_crc32", "any"]
+    return with_slots(slim.withColumn("any", F.rand(0)).repartitionByRange(*order).sortWithinPartitions(*order).drop("any"))
