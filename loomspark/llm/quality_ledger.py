@@ -1,24 +1,25 @@
 """Quality rules: a ledger of rule bits and measurements, policies over it, ablations.
 
 Every rule is evaluated once for each document. Its failure sets one bit of ``fail_bits``; the
-measurements stand beside it. A policy is a version and a mask of the bits that reject, so a new
-policy, or the effect of leaving a rule out, needs no second look at the texts.
+measurements stand beside it, and the ledger is written to a table. A policy is a version and a mask of
+the bits that reject, so a new policy, or the effect of leaving a rule out, needs no second look at the
+texts: it reads the table.
 
 Defined results: a null text has no words; an empty text fails ``few_words`` only. Repeated rows and
-repeated ids are measured row by row. An empty table gives an empty ledger. Of the input only
-``doc_id`` and ``text`` are read, so further columns cannot clash.
+repeated ids are measured row by row, a null doc_id too. An empty table gives an empty ledger. Of the
+input only ``doc_id`` and ``text`` are read, so further columns cannot clash; ``keep`` passes all through.
 """
 
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ASCII_SPACE
+from .common import ASCII_SPACE, lean, stored
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -126,7 +127,22 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def ledger(docs: DataFrame) -> DataFrame:
     """One row of measurements and failure bits for each row of docs(doc_id, text)."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_measure_batches, LEDGER_DDL)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(lean(_measure_batches), LEDGER_DDL)
+
+
+def _measure_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, doc_id, text) as (row, ledger)."""
+    for batch in batches:
+        own = pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], names=["doc_id", "text"])
+        for book in _measure_batches(iter([own])):
+            yield pa.RecordBatch.from_arrays([batch.column(0), book.to_struct_array()], names=["row", "ledger"])
+
+
+def annotate(docs: DataFrame) -> DataFrame:
+    """(row, ledger): every row of docs as a struct beside its row of the ledger, so that no join brings them together."""
+    slim = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([slim.schema["row"], T.StructField("ledger", T.StructType.fromDDL(LEDGER_DDL))])
+    return slim.mapInArrow(lean(_measure_rows), schema)
 
 
 def with_verdict(book: DataFrame, policy: Policy = POLICIES[CURRENT]) -> DataFrame:
@@ -155,11 +171,17 @@ def ablation(book: DataFrame, policy: Policy = POLICIES[CURRENT]) -> DataFrame:
 def keep(docs: DataFrame, policy: Policy = POLICIES[CURRENT]) -> DataFrame:
     """Rows of docs that the policy keeps, with their own columns only.
 
-    The bits are computed beside each row, so no join brings them back.
+    The rules run once: rows and ledger are written together, and the policy reads the bits from there.
     """
-    bits = F.pandas_udf(_fail_bits, "bigint")
-    return docs.filter(bits(F.col("text")).bitwiseAND(policy.mask | BASE_MASK) == 0)
+    return apply_policy(stored(annotate(docs), "annotated"), policy)
+
+
+def apply_policy(annotated: DataFrame, policy: Policy) -> DataFrame:
+    """Rows that a policy keeps, of rows that stand beside their ledger."""
+    return annotated.filter(F.col("ledger.fail_bits").bitwiseAND(policy.mask | BASE_MASK) == 0).select("row.*")
 
 
-def _fail_bits(texts: pd.Series) -> pd.Series:
-    return pd.Series([measure(t)[-1] for t in texts], dtype="int64")
+def compare(book: DataFrame, old: Policy, new: Policy) -> DataFrame:
+    """Documents that two policies keep or reject alike or not, counted over the bits of a ledger."""
+    verdict = lambda p: F.col("fail_bits").bitwiseAND(p.mask | BASE_MASK) == 0
+    return book.groupBy(verdict(old).alias("old_kept"), verdict(new).alias("new_kept")).agg(F.count(F.lit(1)).alias("n_docs"))
