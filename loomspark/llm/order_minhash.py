@@ -252,8 +252,9 @@ def verify(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold: flo
     nodes: (node, doc_id, raw); source: (doc_id, raw, text). The side that recurs (b) has its text sent once
     for each PART_ROWS of its pairs, in front of the texts of the other side, and no pair carries two.
     """
-    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts"))
-    dealt = stored(pairs.join(parts, "b").select("a", "b", F.expr("pmod(xxhash64(a), parts)").alias("part")), "pairs")
+    pairs = stored(pairs, "pairs")
+    parts = stored(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts")).filter("parts > 1"), "parts")
+    dealt = stored(pairs.join(parts, "b", "left").select("a", "b", F.expr("coalesce(pmod(xxhash64(a), parts), 0)").alias("part")), "pairs")
     left = dealt.select(F.col("a").alias("node"), "b", "part", F.lit(1).alias("kind"))
     heads = dealt.select(F.col("b").alias("node"), "b", "part", F.lit(0).alias("kind")).distinct()
     rows = _with_text(heads.unionByName(left), nodes, source).repartition("b", "part").sortWithinPartitions("b", "part", "kind").select("b", "kind", F.col("node").alias("a"), "text")
