@@ -77,6 +77,35 @@ def test_sharding_law_slots_and_growth(spark):
         assert (by[3000 + i].size, by[3000 + i].text_crc32) == (len((t or "").encode()) + 1, zlib.crc32((t or "").encode()))
 
 
+def test_sharding_of_null_and_repeated_ids(spark):
+    rows = [(None, "a"), (None, "b"), (None, "a"), (7, "x"), (7, "x"), (7, None), (8, ""), (9, "é" * 200_000)]
+    d = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], "doc_id bigint, text string, task int, at int, shard int, `row` int")
+    got = sharding.shard_documents(d, 8).collect()
+    assert sorted((r.doc_id or 0, r.size) for r in got) == sorted((i or 0, len((t or "").encode()) + 1) for i, t in rows)
+    assert len({r.shard for r in got if r.doc_id is None}) == len({r.shard for r in got if r.doc_id == 7}) == 1
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    again = {tuple(r) for r in sharding.shard_documents(d.repartition(3), 8).collect()}
+    assert again == {tuple(r) for r in got}
+    assert sharding.shard_documents(d.limit(0)).count() == 0
+    kept = sharding.with_slots(d)
+    assert kept.columns == [*d.columns, "slot"] and kept.count() == len(rows)
+
+
+def test_quality_of_null_and_repeated_ids(spark):
+    good = " ".join(f"word{i}" for i in range(30))
+    rows = [(None, good), (None, good), (None, None), (5, good), (5, "short"), (5, good), (6, " ".join(["spam eggs ham"] * 40)), (7, " ".join(f"w{i}" for i in range(200_000)))]
+    d = spark.createDataFrame([(i, t, 1.5, k, "x") for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, fail_bits double, `row` int, ledger string")
+    left = quality_ledger.keep(d)
+    assert left.columns == d.columns and sorted(r.row for r in left.collect()) == [0, 1, 3, 5, 7]
+    assert quality_ledger.ledger(d).count() == len(rows) and quality_ledger.keep(d.limit(0)).count() == 0
+    book = quality_ledger.ledger(d)
+    pairs = {(r.old_kept, r.new_kept): r.n_docs for r in quality_ledger.compare(book, quality_ledger.POLICIES[1], quality_ledger.POLICIES[2]).collect()}
+    assert sum(pairs.values()) == len(rows) and pairs[True, True] == 5
+
+
 def test_jump_hash_matches_the_published_loop():
     import numpy as np
 
@@ -104,6 +133,7 @@ def test_packing_matches_the_tokenizer(spark):
         texts = {r.doc_id: r.text for r in d.collect()}
         got = defaultdict(list)
         rows = packing.pieces(d).collect()
+        assert all(1 << r.bucket == r.length for r in rows)
         for r in rows:
             got[r.doc_id].append(r)
         assert len({r.sequence_id for r in rows}) == len(rows) and {r.offset for r in rows} == {0}
@@ -118,6 +148,33 @@ def test_packing_matches_the_tokenizer(spark):
             assert at == len(ids)
 
 
+def test_words_are_lower_cased_as_by_the_tokenizer():
+    import random
+
+    from tokenizers import Tokenizer
+
+    model, rng = Tokenizer.from_file(packing.default_tokenizer()), random.Random(9)
+    some = [*"ab σςΣİIßéÉ²½ǅΩ&.,!|_'9-", "\u0307", "\u0301", "\u212a", "\u2126", "i\u0307", "ΟΔΟΣ", " Σ.", "İ&", "'S", "\u00a0"]
+    texts = ["²σΣßİ&", "ΣİX.Y", *("".join(rng.choice(some) for _ in range(rng.randint(1, 14))) for _ in range(6000))]
+    code = packing.WordCoder(packing.default_tokenizer())
+    for text, raw in zip(texts, code.encode(texts), strict=True):
+        assert raw == struct.pack(f"<{len(raw) // 4}I", *model.encode(text, add_special_tokens=False).ids), text
+
+
+def test_packing_of_null_and_repeated_ids_and_long_texts(spark, tmp_path, monkeypatch):
+    rows = [(None, "a b"), (None, "a b"), (4, None), (4, ""), (4, "one two three " * 5000), (4, "one two three " * 5000)]
+    d = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id bigint, text string, length int, ids int")
+    got = packing.pieces(d)
+    assert sorted((r.doc_id or 0, r.doc_tokens) for r in got.filter("start = 0").collect()) == [(0, 3), (0, 3), (4, 1), (4, 1), (4, 15001), (4, 15001)]
+    assert got.agg(F.sum("length")).first()[0] == 3 + 3 + 1 + 1 + 15001 * 2
+    packing.write_buckets(packing.pieces(d, with_ids=True), str(tmp_path / "b"))
+    back = spark.read.parquet(str(tmp_path / "b"))
+    assert {(r.length, r.n_sequences) for r in packing.buckets(got).collect()} == {(r.length, r["count"]) for r in back.groupBy("length").count().collect()}
+    one = spark.read.parquet(str(tmp_path / "b" / "length=4096"))
+    assert {len(r.ids) for r in one.collect()} == {4096} and one.count() == 6
+    assert packing.pieces(d.limit(0)).count() == 0
+
+
 def test_binary_pieces():
     assert packing.binary_pieces(4096 * 2 + 5) == [4096, 4096, 4, 1]
     assert packing.binary_pieces(1) == [1]
@@ -140,7 +197,7 @@ def check_archive(pages, rows):
         assert (r.warc_type, r.refers_to) == (("response", None) if best[b] == r.page_id else ("revisit", best[b]))
 
 
-@pytest.mark.parametrize("version", [1, 2])
+@pytest.mark.parametrize("version", [1, 2, None])
 def test_archive_round_trip(spark, version):
     tricky = "WARC/1.1\r\n\r\n\r\nfiledesc://x\nhttp://a 1 2 3 4\n"
     rows = [(1, "http://a/ b?é", "<p>x</p>", "e"), (2, None, None, None), (-5, "u", "", None), (9, "http://a", tricky, None), (1 << 62, "http://b", "<p>x</p>", None), (7, "http://c", "\n\n", None)]
@@ -151,10 +208,40 @@ def test_archive_round_trip(spark, version):
     assert arc_to_warc.archive_pages(pages.limit(0)).count() == 0
 
 
-def test_archives_of_many_files(spark, monkeypatch):
-    monkeypatch.setattr(arc_to_warc, "FILE_RECORDS", 7)
-    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://a").alias("url"), F.concat(F.lit("p"), (F.col("id") % 9).cast("string")).alias("html")).coalesce(2)
+def test_archives_of_many_files(spark, monkeypatch, tmp_path):
+    """Files are bounded by their bytes, take turns in their versions, and all records come back."""
+    monkeypatch.setattr(arc_to_warc, "FILE_BYTES", 3000)
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://a").alias("url"), F.when(F.col("id") == 7, F.repeat(F.lit("long "), 4000)).otherwise(F.concat(F.lit("p"), F.repeat((F.col("id") % 9).cast("string"), 300))).alias("html")).coalesce(2)
     check_archive(pages.collect(), arc_to_warc.archive_pages(pages).collect())
+    path = str(tmp_path / "arc")
+    arc_to_warc.write_arc(pages, path)
+    files = [arc_to_warc._inflate(bytes(r.content)) for r in arc_to_warc._files(spark, path).collect()]
+    assert len(files) > 5 and sum(len(f) > 3600 for f in files) == 1
+    assert {next(arc_to_warc.parse_arc(f))[0]["version"] for f in files} == {"1", "2"}
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Records that are no HTTP messages, other header fields, and files with a fault."""
+    import gzip
+
+    one = arc_to_warc.arc_version_block(1, "x") + b"\ndns:a.example 10.0.0.1 19970101120000 text/dns 4\n1.2.\n" + b"http://a/ 10.0.0.2 199701011200 text/html 31\nHTTP/1.0 200 OK\r\nA: b\r\n\r\nbody\n!\n"
+    two = arc_to_warc.arc_version_block(2, "y") + b"\nhttp://b/ 0.0.0.0 20010203040506 text/html 301 abc http://c/ 99 y 3\nxyz\nhttp://broken/ 0 1 text/html 9\n"
+    (tmp_path / "part-1.arc").write_bytes(one)
+    (tmp_path / "part-2.arc.gz").write_bytes(gzip.compress(two))
+    out = str(tmp_path / "warc")
+    with pytest.raises(Exception, match="declared 9 bytes"):
+        arc_to_warc.convert(spark, str(tmp_path), str(tmp_path / "no"))
+    arc_to_warc.convert(spark, str(tmp_path), out, strict=False)
+    got = {r.url: r for r in arc_to_warc.read_warc(spark, out).collect()}
+    assert {u: (r.warc_type, r.warc_date, bytes(r.payload)) for u, r in got.items()} == {
+        "dns:a.example": ("resource", "1997-01-01T12:00:00Z", b"1.2."),
+        "http://a/": ("response", "1997-01-01T12:00:00Z", b"body\n!"),
+        "http://b/": ("resource", "2001-02-03T04:05:06Z", b"xyz"),
+    }
+    raw = b"".join(arc_to_warc._inflate(bytes(r.content)) for r in arc_to_warc._files(spark, out).collect())
+    assert raw.count(b"WARC-Type: warcinfo") >= 1 and b"WARC-IP-Address: 10.0.0.1\r\n" in raw and b"X-ARC-Location: http://c/\r\n" in raw and b"X-ARC-Result-Code: 301\r\n" in raw
+    bad = arc_to_warc.faults(spark, str(tmp_path)).collect()
+    assert len(bad) == 1 and bad[0].file.endswith("part-2.arc.gz") and two[bad[0].at :].startswith(b"http://broken/")
 
 
 def test_archive_null_ids_and_repeated_rows(spark):
