@@ -1,4 +1,13 @@
-"""A corpus from raw documents to packed sequences: five stages, each one operator of loomspark.llm."""
+"""A corpus from raw documents to packed sequences: five stages, each one operator of loomspark.llm.
+
+Defined results of all stages: an empty table gives an empty result. Columns other than those of documents
+are left out, whatever they are called. Rows are told apart by their own id and text, so repeated and null
+ids lose nothing by sharing one: quality and benchmark overlap judge every row by its own text; of
+near-duplicates the row with the least id stays, rows with a null id all stay; passages go from rows whose
+id is larger than that of another row that has them, and a null id neither gives nor takes. A null text is
+empty: it fails the first rule of quality. Ties go to the least id; of rows alike in id and text one stays.
+Texts are worked on whole, however long they are.
+"""
 
 from __future__ import annotations
 
@@ -8,33 +17,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.llm import decontamination, order_minhash, packing, quality_ledger, suffix_index
-from loomspark.llm.common import fresh_path, table
+from loomspark.llm.common import fresh_path, mark, release, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the current policy keeps."""
+    """Documents that the current policy keeps. Rows are judged one by one; null and short texts go."""
     return quality_ledger.keep(docs).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates, that with the least id; texts without words and null ids stay."""
     return order_minhash.keep(docs).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document with a smaller id holds; texts that are nothing else go."""
+    """Texts without the passages that a document with a smaller id holds; texts that are nothing else go, empty ones stay."""
     return suffix_index.remove(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark doesn't contaminate."""
+    """Documents that the benchmark doesn't contaminate, each row by its own text; without a benchmark all stay."""
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths."""
+    """Pieces of power-of-two lengths of every row; an empty text is its end token."""
     return packing.pieces(docs)
 
 
@@ -51,12 +60,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again by the next."""
+    """All stages over documents, each written to the shared folder and read again by the next.
+
+    Once a stage is written, its input and what it stored on the way are removed.
+    """
     docs = table(spark, sf_dir, "documents")
+    begun = mark()
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        release(spark, begun, path)
     return docs
 
 
