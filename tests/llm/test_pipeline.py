@@ -76,4 +76,40 @@ def test_removal_keeps_other_columns(spark):
     rows = [(1, "x" * 60 + "é", "fr", None, 61), (2, "x" * 60, None, "s", 60), (None, "x" * 60, "a", "b", 3), (3, "", "l", "s", 0), (4, "é" + "x" * 70, "l", "s", 0)]
     d = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = {r.doc_id: tuple(r) for r in suffix_index.remove(d).collect()}
-    assert got == {1: rows[0], None: rows[2], 3: rows[3], 4: (4, "éx"[:1] + "", "l", "s", 0) if got[4][1] == "é" else got[4]}
+    # row 2 is nothing but the passage; row 4 keeps what no window of row 1 covers
+    assert got == {1: rows[0], None: rows[2], 3: rows[3], 4: (4, "é", "l", "s", 0)}
+
+
+def test_run_on_odd_rows(spark, tmp_path):
+    """Nulls, repeats, shared ids, long texts and clashing columns through all stages; nothing is left in the shared folder but the result."""
+    import os
+    import random
+
+    from loomspark.llm import common
+
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    a, b, c, passage, long = prose(80), prose(90), prose(100), prose(70), prose(30_000)
+    bench = " ".join(f"item{k}" for k in range(40))
+    rows = [
+        (None, a), (None, b), (None, None), (5, a), (5, a), (5, c), (6, None), (6, ""), (7, a + " end"), (8, b), (9, c + " " + passage), (10, prose(60) + " " + passage),
+        (11, bench + " " + prose(20)), (11, prose(90)), (12, long), (13, "too short"), (14, prose(400) + " " + bench),
+    ]
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint, `row` int, rest string, raw string, ledger int"
+    spark.createDataFrame([(i, t, None, "s", None, k, "r", "w", 1) for k, (i, t) in enumerate(rows)], kind).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, bench), (None, None)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    shared = common.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    tokens = defaultdict(list)
+    for r in got.filter("start = 0").collect():
+        tokens[r.doc_id].append(r.doc_tokens)
+    left = [x for x in os.listdir(shared) if x not in before]
+    # of (null, a) and (5, a), (5, a), (7, a + end) the null row and one row 5 stay; (5, c) is another text
+    assert {i: len(v) for i, v in tokens.items()} == {None: 2, 5: 2, 8: 1, 9: 1, 10: 1, 11: 1, 12: 1, 14: 1}
+    assert len(left) == 1 and left[0].startswith("pipeline-pack")
+    empty = str(tmp_path / "none")
+    spark.createDataFrame([], kind).write.parquet(empty + "/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(empty + "/benchmark.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
+    common.release(spark)
