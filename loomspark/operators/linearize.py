@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from ..functions import jsonx, text
+from .order import nth_of
 
 
 def best_leaf(mapping: Column) -> Column:
@@ -16,22 +18,37 @@ def best_leaf(mapping: Column) -> Column:
     return F.array_max(ranked).id
 
 
-def walk(mapping: Column, leaf: Column) -> Column:
-    """struct(path, err): ids from the root to leaf; err says 'missing node' or 'cycle', else is null.
+_WALKED = T.StructType([T.StructField("path", T.ArrayType(T.IntegerType())), T.StructField("err", T.StringType())])
 
-    A fold over as many steps as there are nodes; it stops changing at the root or at an error.
-    """
-    start = F.struct(F.nullif(leaf, F.lit("")).alias("cur"), F.array().cast("array<string>").alias("path"), F.lit(None).cast("string").alias("err"))
 
-    def step(s: Column, _: Column) -> Column:
-        missing, cycle = ~F.map_contains_key(mapping, s.cur), F.array_contains(s.path, s.cur)
-        done = s.cur.isNull() | s.err.isNotNull()
-        bad = F.when(cycle, F.lit("cycle")).when(missing, F.lit("missing node"))
-        onward = F.struct(F.nullif(F.element_at(mapping, s.cur).parent, F.lit("")).alias("cur"), F.array_prepend(s.path, s.cur).alias("path"), F.lit(None).cast("string").alias("err"))
-        stopped = F.struct(s.cur.alias("cur"), s.path.alias("path"), bad.alias("err"))
-        return F.when(done, s).when(bad.isNotNull(), stopped).otherwise(onward)
+def _paths(keys: pa.Array, parents: pa.Array, leaves: pa.Array) -> pa.Array:
+    out = []
+    for own, above, leaf in zip(keys, parents, leaves, strict=True):
+        place = {k: i for i, k in enumerate(own.as_py() or ())}
+        above = above.as_py() or ()
+        path, seen, err, now = [], set(), None, leaf.as_py()
+        while now:
+            i = place.get(now)
+            if i is None:
+                err = "missing node"
+                break
+            if i in seen:
+                err = "cycle"
+                break
+            seen.add(i)
+            path.append(i)
+            now = above[i]
+        out.append({"path": path[::-1], "err": err})
+    return pa.array(out, pa.struct([("path", pa.list_(pa.int32())), ("err", pa.string())]))
+
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(mapping) + 1), start, step)
+def walk(mapping: Column, leaf: Column) -> Column:
+    """struct(path, err): places in the mapping from the root to leaf; err says 'missing node' or 'cycle', else is null.
+
+    Nodes are looked up by a dictionary of each row, in Arrow batches of ids alone, so a thread of n
+    nodes takes n steps.
+    """
+    return F.arrow_udf(_paths, _WALKED)(F.map_keys(mapping), F.transform(F.map_values(mapping), lambda n: n.parent), leaf)
 
 
 def message(raw: Column) -> Column:
@@ -62,7 +79,7 @@ def threads(raw: DataFrame) -> DataFrame:
     mapping = F.col("mapping")
     leaf = F.coalesce(F.nullif("current_node", F.lit("")), best_leaf(mapping))
     walked = project(raw).withColumn("_walk", F.when(F.size(mapping) > 0, walk(mapping, leaf)))
-    found = F.filter(F.transform(F.col("_walk.path"), lambda i: message(F.element_at(mapping, i).message)), lambda m: m.isNotNull())
+    found = F.filter(F.transform(F.col("_walk.path"), lambda i: message(F.get(F.map_values(mapping), i).message)), lambda m: m.isNotNull())
     return walked.select(
         "conversation_id", F.coalesce("title", F.lit("")).alias("title"), "create_time", "update_time",
         F.when(F.col("_walk.err").isNull(), found).alias("messages"), F.coalesce("err", F.col("_walk.err")).alias("err"),
@@ -82,11 +99,10 @@ def quarantine(found: DataFrame) -> DataFrame:
 
 
 def numbered_names(rows: DataFrame, raw: str, order: str, name: str = "file_name") -> DataFrame:
-    """Sanitised file names; the n-th repeat of a name gets -n, blank ones are 'thread'."""
+    """Sanitised file names; the n-th repeat of a name gets -n, blank ones are 'thread'. One name may stand for all rows."""
     base = F.coalesce(F.nullif(text.file_component(raw), F.lit("")), F.lit("thread"))
-    nth = F.row_number().over(W.partitionBy("_base").orderBy(order))
-    rows = rows.withColumn("_base", base).withColumn("_nth", nth)
-    return rows.withColumn(name, F.when(F.col("_nth") == 1, F.col("_base")).otherwise(F.concat("_base", F.lit("-"), F.col("_nth").cast("string")))).drop("_base", "_nth")
+    found = nth_of(rows, base, [F.col(order)], "__nth")
+    return found.withColumn(name, F.when(F.col("__nth") == 1, base).otherwise(F.concat(base, F.lit("-"), F.col("__nth").cast("string")))).drop("__nth")
 
 
 def messages(threads_: DataFrame) -> DataFrame:

@@ -8,16 +8,18 @@ number their sections. No task sees all sections, and texts stay out of it.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions.text import distinct_strings, iso8601, trim, truncate_bytes
-from .render import anchor_of, sentiment_section, thread_section
+from ..shared import stored
+from .order import dealt, numbered
+from .render import END, anchor_of, sentiment_section, thread_section
 
 DEFAULT_BYTES = 102_400
 MEMORY_HEADER, SENTIMENT_HEADER = "# Memory Shard {}\n\n", "# Sentiment Memory Shard {}\n\n"
@@ -29,71 +31,90 @@ def pack_order() -> list[Column]:
     return [F.coalesce(F.col("thread_start_time"), F.lit(0.0)), F.col("conversation_id")]
 
 
-def _exits(sizes: np.ndarray, most: int, header: int) -> pd.DataFrame:
+def _ends(sizes: np.ndarray, most: int, header: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes up to and with each section, and for a shard that begins at each the first section that it leaves out."""
+    ends = np.cumsum(sizes)
+    begin = ends - sizes
+    return ends, np.maximum(np.searchsorted(ends, begin + most - header, side="right"), np.arange(len(sizes)) + 1)
+
+
+def _exits(sizes: np.ndarray, most: int, header: int) -> dict[str, np.ndarray]:
     """For each first section that an incoming shard may leave out: the bytes upto its end, shards begun, last bytes.
 
-    From the last section on: a shard that begins at a section ends where the bytes say, and goes on as
-    the shard that begins there.
+    Sections that end at the same byte can only be left out with the first of them, so there are at most
+    as many as an open shard has bytes. Shards are followed from all of them at once.
     """
-    ends = np.cumsum(sizes)
+    ends, to = _ends(sizes, most, header)
     n = len(sizes)
-    begin = ends - sizes
-    to = np.maximum(np.searchsorted(ends, begin + most - header, side="right"), np.arange(n) + 1)
-    begun, last = np.ones(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    for i in range(n - 1, -1, -1):
-        k = to[i]
-        if k >= n:
-            last[i] = header + ends[-1] - begin[i]
-        else:
-            begun[i], last[i] = begun[k] + 1, last[k]
     reach = min(n, int(np.searchsorted(ends, most, side="right")) + 1)
-    return pd.DataFrame({"upto": ends[:reach], "begun": begun[:reach], "last": last[:reach]})
+    first = np.flatnonzero(np.append(True, ends[1:reach] != ends[: reach - 1])) if reach else np.zeros(0, dtype=np.int64)
+    now, begun = first.copy(), np.ones(len(first), dtype=np.int64)
+    on = to[now] < n
+    while on.any():
+        now[on] = to[now[on]]
+        begun[on] += 1
+        on = to[now] < n
+    last = header + ends[-1] - (ends[now] - sizes[now]) if n else first
+    return {"upto": ends[first], "begun": begun, "last": last}
+
+
+def _assign(sizes: np.ndarray, most: int, header: int, state: int, number: int) -> np.ndarray:
+    """Shard number of each section, given the bytes of the open shard and its number."""
+    ends, to = _ends(sizes, most, header)
+    out = np.empty(len(sizes), dtype=np.int64)
+    at = int(np.searchsorted(ends, most - state, side="right")) if state else 0
+    out[:at] = number
+    while at < len(sizes):
+        number += 1
+        out[at : to[at]] = number
+        at = int(to[at])
+    return out
 
 
 def next_fit(sections: DataFrame, size: str, order: list[str], most: int = DEFAULT_BYTES, header: int = 0, name: str = "shard_no") -> DataFrame:
     """sections with the number (from 1) of the shard that each falls into.
 
-    size: column of bytes; order: columns that fix the sequence, together unique.
+    size: column of bytes, null counts as 0; order: columns that fix the sequence. The driver follows one
+    shard from task to task, and holds one task's table at a time.
     """
     most = most if most > 0 else DEFAULT_BYTES
-    slim = sections.select(*order, F.col(size).cast("bigint").alias("_size"))
-    parts = max(1, int(sections.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = slim.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_task", F.spark_partition_id())
-    ranged = ranged.checkpoint() if sections.sparkSession.sparkContext.getCheckpointDir() else ranged.cache()
-
-    def table(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sizes = rows.sort_values(order)["_size"].to_numpy()
+    bytes_ = F.coalesce(F.col(size).cast("bigint"), F.lit(0))
+    ranged = dealt(sections.select("*", bytes_.alias("__bytes")), [F.col(c) for c in order])
+    slim = ranged.select("task", "at", F.col("row.__bytes").alias("size"))
+    state_of = pa.schema([("task", pa.int32()), ("upto", pa.int64()), ("begun", pa.int64()), ("last", pa.int64()), ("total", pa.int64())])
+
+    def sizes_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        at = rows.column("at").to_numpy()
+        rank = np.argsort(at)
+        return at[rank], rows.column("size").to_numpy()[rank]
+
+    def table(keys: tuple, rows: pa.Table) -> pa.Table:
+        _, sizes = sizes_of(rows)
         out = _exits(sizes, most, header)
-        return out.assign(_task=keys[0], total=int(sizes.sum()))
-
-    # a partition's table has as many rows as sections fit a shard at most
-    tables = ranged.groupBy("_task").applyInPandas(table, "upto bigint, begun bigint, last bigint, _task int, total bigint").toPandas()
-    state, number, starts = 0, 0, []
-    for task, own in sorted(tables.groupby("_task"), key=lambda x: x[0]):
-        starts.append((int(task), state, number))
-        own = own.sort_values("upto", kind="stable")
-        over = own[state + own["upto"].to_numpy() > most] if state else own
-        if state and not len(over):
-            state += int(own["total"].iloc[0])
+        n = len(out["upto"])
+        return pa.table({"task": np.full(n, keys[0].as_py(), dtype=np.int32), **out, "total": np.full(n, sizes.sum())}, schema=state_of)
+
+    tables = stored(slim.groupBy("task").applyInArrow(table, "task int, upto bigint, begun bigint, last bigint, total bigint"), "shard-exits")
+    begin, state, number = {}, 0, 0
+    for task, own in itertools.groupby(tables.orderBy("task", "upto").toLocalIterator(), key=lambda r: r.task):
+        begin[task] = (state, number)
+        chosen, total = None, 0
+        for r in own:
+            total = r.total
+            if chosen is None and (not state or state + r.upto > most):
+                chosen = r
+        if chosen is None:
+            state += total
         else:
-            first = over.iloc[0]
-            number, state = number + int(first["begun"]), int(first["last"])
-    begin = {t: (s, n) for t, s, n in starts}
-
-    def assign(keys: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        state, number = begin[int(keys[0])]
-        out = np.empty(len(rows), dtype=np.int64)
-        for i, s in enumerate(rows["_size"].to_numpy()):
-            if state == 0 or state + s > most:
-                number, state = number + 1, header
-            state += s
-            out[i] = number
-        return rows[order].assign(**{name: out})
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.select(*order).schema)
-    numbered = ranged.groupBy("_task").applyInPandas(assign, f"{kinds}, {name} bigint")
-    return sections.join(numbered, order)
+            number, state = number + chosen.begun, chosen.last
+
+    def assign(keys: tuple, rows: pa.Table) -> pa.Table:
+        at, sizes = sizes_of(rows)
+        state, number = begin[keys[0].as_py()]
+        return pa.table({"task": np.full(len(at), keys[0].as_py(), dtype=np.int32), "at": at, "shard": _assign(sizes, most, header, state, number)})
+
+    shards = slim.groupBy("task").applyInArrow(assign, "task int, at bigint, shard bigint")
+    return ranged.join(shards, ["task", "at"]).select("row.*", F.col("shard").alias(name)).drop("__bytes")
 
 
 def _packed(threads: DataFrame, section: Column, header: str, file: str, most: int) -> DataFrame:
@@ -159,4 +180,12 @@ def shard_sizes(packed: DataFrame, header: int) -> DataFrame:
 
 def position(rows: DataFrame) -> DataFrame:
     """pos of each row in the pack order, over all rows."""
-    return rows.withColumn("pos", F.row_number().over(W.orderBy(*pack_order())))
+    return numbered(rows, pack_order(), "pos")
+
+
+def with_shards(index: DataFrame, shards: DataFrame) -> DataFrame:
+    """Index rows beside the text of their own section: joined by their shard file, found there by their anchor."""
+    tag = F.concat(F.lit('<a id="'), "anchor", F.lit('"></a>'))
+    rest = F.substring("content", F.instr("content", tag), F.length("content"))
+    stop = F.instr(rest, F.lit(END + '<a id="'))
+    return index.join(shards, "shard_file").withColumn("section", F.when(stop > 0, F.substring(rest, F.lit(1), stop + len(END) - 1)).otherwise(rest)).drop("content")
