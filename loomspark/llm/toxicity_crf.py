@@ -19,12 +19,12 @@ read.
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +34,8 @@ FOLDS = 5
 BITS = 18
 PREFIXES = (3, 4, 5, 6, 7)
 WORDS_KEPT = 300_000
+#: Tokens whose marginals are taken together.
+PART_TOKENS = 200_000
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _WORD = re.compile(r"\S+")
 
@@ -141,13 +143,32 @@ def marginals(scores: np.ndarray, starts: np.ndarray, arcs: np.ndarray, pairs: b
 # ---- learning
 
 
-def toxic_forms(docs: list[list[str]], labels: np.ndarray, least: int = 4, odds: float = 8.0) -> set[str]:
-    """Words and prefixes that stand in many more of the toxic documents than in the others."""
-    bad, good = Counter(), Counter()
-    for words, y in zip(docs, labels, strict=True):
-        (bad if y else good).update({f for w in set(words) for f in forms(w)})
+def toxic_forms(words: list[str], codes: np.ndarray, owner: np.ndarray, labels: np.ndarray, least: int = 4, odds: float = 8.0) -> np.ndarray:
+    """Which words, by themselves or a prefix, stand in many more of the toxic documents than in the others.
+
+    codes: words of documents end to end, owner: their documents. Forms are known by their hashes, and
+    documents are counted some at a time.
+    """
+    table = [[xxhash.xxh3_64_intdigest(f.encode("utf-8", "replace")) for f in forms(w)] for w in words]
+    each = np.array([len(t) for t in table], dtype=np.int64)
+    begin = np.cumsum(each) - each
+    _, of = np.unique(np.fromiter((h for t in table for h in t), dtype=np.uint64, count=int(each.sum())), return_inverse=True)
+    del table
+    n_forms = int(of.max()) + 1 if len(of) else 0
+    counts = np.zeros((2, n_forms), dtype=np.int64)
+    for at in range(0, len(labels), 200):
+        lo, hi = np.searchsorted(owner, [at, at + 200])
+        pair = np.unique(owner[lo:hi] * len(words) + codes[lo:hi])
+        doc, word = pair // max(1, len(words)), pair % max(1, len(words))
+        n = each[word]
+        place = np.repeat(begin[word], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        pair = np.unique(np.repeat(doc, n) * max(1, n_forms) + of[place])
+        bad = labels[pair // max(1, n_forms)] == 1
+        for kind, own in enumerate((pair[~bad], pair[bad])):
+            counts[kind] += np.bincount(own % max(1, n_forms), minlength=n_forms)
     share = max(1, int((labels == 0).sum())) / max(1, int(labels.sum()))
-    return {f for f, n in bad.items() if n >= least and n * share >= odds * (good[f] + 0.5)}
+    toxic = (counts[1] >= least) & (counts[1] * share >= odds * (counts[0] + 0.5))
+    return np.logical_or.reduceat(toxic[of], begin) if len(words) else np.zeros(0, dtype=bool)
 
 
 def fit(texts: list[str], labels: list[int], toxic_share: float, rounds: int = 60) -> Model:
@@ -157,27 +178,32 @@ def fit(texts: list[str], labels: list[int], toxic_share: float, rounds: int = 6
     if not len(y) or y.min() == y.max():
         flat = math.log(max(toxic_share, 1e-6) / max(1 - toxic_share, 1e-6))
         return Model(np.zeros(size), np.zeros(size), np.zeros(size), -12.0, np.zeros((2, 2)), np.array([flat, 0, 0, 0]))
-    docs = [[core(w) for w in t.lower().split()] for t in texts]
-    known: dict[str, int] = {}
-    codes = np.array([known.setdefault(w, len(known)) for d in docs for w in d], dtype=np.int64)
-    lengths = np.array([len(d) for d in docs])
-    own_doc = np.repeat(np.arange(len(docs)), lengths)
     # the curve is fitted to documents that the chain has not seen
     late = np.array([zlib.crc32(t.encode("utf-8", "replace")) % 4 == 0 for t in texts])
-    seeds = toxic_forms([d for d, x in zip(docs, late, strict=True) if not x], y[~late])
+    known: dict[str, int] = {}
+    coded = [np.array([known.setdefault(core(w), len(known)) for w in t.lower().split()], dtype=np.int64) for t in texts]
+    lengths = np.array([len(d) for d in coded])
+    codes = np.concatenate(coded)
+    del coded
+    own_doc = np.repeat(np.arange(len(texts)), lengths)
     words = list(known)
-    seed_word = np.array([any(f in seeds for f in forms(w)) for w in words], dtype=bool)
+    del known
+    early = ~late[own_doc]
+    seed_word = toxic_forms(words, codes[early], (np.cumsum(~late) - 1)[own_doc[early]], y[~late])
     tags = (seed_word[codes] & (y[own_doc] == 1)).astype(float)
     table = [slots(w) for w in words]
     flat, owner = np.array([s for t in table for s in t]), np.repeat(np.arange(len(words)), [len(t) for t in table])
     whole = np.array([t[0] for t in table])
-    use = ~late[own_doc]
-    c, tag = codes[use], tags[use]
-    docs_used = own_doc[use]
-    starts = np.flatnonzero(np.append(True, docs_used[1:] != docs_used[:-1]))
+    del table
+    c, tag = codes[early], tags[early]
+    docs_used = own_doc[early]
+    starts = np.flatnonzero(np.append(True, docs_used[1:] != docs_used[:-1]))[: len(c)]
     first = np.zeros(len(c), dtype=bool)
     first[starts] = True
     left, right = np.where(first, -1, np.roll(c, 1)), np.where(np.append(first[1:], True), -1, np.roll(c, -1))
+    # marginals are taken some documents at a time, which bounds what they hold
+    cuts = [0, *(int(k) for k in starts[np.flatnonzero(np.diff(starts // PART_TOKENS)) + 1]), len(c)]
+    parts = [(a, b, starts[np.searchsorted(starts, a) : np.searchsorted(starts, b)] - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
     m = Model(np.zeros(size), np.zeros(size), np.zeros(size), -6.0, np.zeros((2, 2)), np.zeros(4))
     seen = [np.full(size, 1e-3) for _ in range(3)] + [np.full(1, 1e-3), np.full((2, 2), 1e-3)]
     observed = np.zeros((2, 2))
@@ -193,8 +219,11 @@ def fit(texts: list[str], labels: list[int], toxic_share: float, rounds: int = 6
     for _ in range(rounds):
         by_word = np.bincount(owner, m.own[flat], n_words)
         score = by_word[c] + bias[0] + np.where(left >= 0, m.before[whole[left]], 0) + np.where(right >= 0, m.after[whole[right]], 0)
-        p, arcs = marginals(score, starts, m.arcs, pairs=True)
-        rest = tag - p
+        rest, arcs = tag.copy(), np.zeros((2, 2))
+        for a, b, own in parts:
+            p, some = marginals(score[a:b], own, m.arcs, pairs=True)
+            rest[a:b] -= p
+            arcs += some
         g = np.bincount(flat, np.bincount(c, rest, n_words)[owner], size)
         step(weights[0], g - 0.01 * m.own, seen[0], 0.5)
         for w, side, s in ((m.before, left, seen[1]), (m.after, right, seen[2])):
@@ -203,7 +232,9 @@ def fit(texts: list[str], labels: list[int], toxic_share: float, rounds: int = 6
         step(bias, np.array([rest.sum()]), seen[3], 0.5)
         step(m.arcs, observed - arcs - 0.01 * m.arcs, seen[4], 0.1)
     m.bias = float(bias[0])
-    m.curve = _curve(m, docs, y, late, toxic_share)
+    pick = late if y[late].any() and not y[late].all() else np.ones(len(y), dtype=bool)
+    ends = np.cumsum(lengths)
+    m.curve = _curve(m, [[words[k] for k in codes[e - n : e]] for e, n in zip(ends[pick], lengths[pick], strict=True)], y[pick], toxic_share)
     return m
 
 
@@ -220,12 +251,10 @@ def _summary(p: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarr
     return out
 
 
-def _curve(m: Model, docs: list[list[str]], y: np.ndarray, late: np.ndarray, share: float) -> np.ndarray:
+def _curve(m: Model, docs: list[list[str]], t: np.ndarray, share: float) -> np.ndarray:
     """Logistic regression by Newton steps, rows weighted to the labels' true shares."""
-    pick = late if y[late].any() and not y[late].all() else np.ones(len(y), dtype=bool)
-    own = [d for d, x in zip(docs, pick, strict=True) if x]
-    p, starts, lengths = Scorer(m).probabilities(own)
-    x, t = _summary(p, starts, lengths), y[pick]
+    p, starts, lengths = Scorer(m).probabilities(docs)
+    x = _summary(p, starts, lengths)
     share = min(max(share, 1e-3), 1 - 1e-3)
     w = np.where(t == 1, share / max(1, t.sum()), (1 - share) / max(1, (1 - t).sum())) * len(t)
     b = np.zeros(4)
@@ -312,7 +341,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_by
     text = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = text.join(ids, "doc_id").filter(F.octet_length("text") <= max_bytes).select("doc_id", "text", "toxic").limit(4 * per_class).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
-    return fit([r.text for r in rows], [r.toxic for r in rows], shares.get(1, 0) / total)
+    texts, marks = [r.text for r in rows], [r.toxic for r in rows]
+    del rows
+    return fit(texts, marks, shares.get(1, 0) / total)
 
 
 def score(docs: DataFrame, model: Model, folds: int = FOLDS) -> DataFrame:
