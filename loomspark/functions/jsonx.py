@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,12 +94,22 @@ def decode(s: Column, schema: T.StructType) -> Column:
     return F.when(lenient_object(s).isNotNull(), F.from_json(lenient_object(s), schema))
 
 
+#: What an error message says: the kind, and a pattern over its lower-cased text; the first that fits holds.
+ERROR_KINDS = (
+    ("rate_limit", r"\b429\b|rate.?limit|too many requests"),
+    ("server", r"\b5\d\d\b|internal server|server_error|bad gateway|service unavailable"),
+    ("truncated", r"truncat|unexpected e(nd|of)"),
+)
+
+
 def error_class(message: Column) -> Column:
     """'rate_limit', 'server', 'truncated' or 'other' by what an error message says."""
-    m = F.lower(F.coalesce(message, F.lit("")))
-    return (
-        F.when(m.rlike(r"\b429\b|rate.?limit|too many requests"), F.lit("rate_limit"))
-        .when(m.rlike(r"\b5\d\d\b|internal server|bad gateway|service unavailable"), F.lit("server"))
-        .when(m.rlike(r"truncat|unexpected e(nd|of)"), F.lit("truncated"))
-        .otherwise(F.lit("other"))
-    )
+    m, found = F.lower(F.coalesce(message, F.lit(""))), F.lit("other")
+    for kind, pattern in reversed(ERROR_KINDS):
+        found = F.when(m.rlike(pattern), F.lit(kind)).otherwise(found)
+    return found
+
+
+def error_kind(message: str) -> str:
+    """error_class of one message, where it is met."""
+    return next((kind for kind, pattern in ERROR_KINDS if re.search(pattern, message.lower())), "other")

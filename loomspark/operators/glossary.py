@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import blank, key, trim
+from .order import numbered
 
 ENTRY = ["term", "definition", "count", "first_seen_at", "last_seen_at"]
 
@@ -57,6 +58,11 @@ def cull(glossary: DataFrame, least: int) -> DataFrame:
     return glossary if least <= 1 else glossary.filter(F.col("count") >= least)
 
 
+def placed(glossary: DataFrame, name: str = "pos") -> DataFrame:
+    """The whole glossary with each entry's place in its order."""
+    return numbered(glossary, [-F.col("count"), F.lower("term"), F.col("term")], name)
+
+
 def ordered(glossary: DataFrame) -> DataFrame:
     return glossary.orderBy(F.desc("count"), F.lower("term"), "term")
 

@@ -5,6 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 STAGES = ("split", "chunk", "summarize", "rollup", "pack")
+MODES = ("semantic", "sentiment", "both")
+#: Which setting says where a table lies, by the first part of its name.
+FOLDERS = {
+    "threads": "threads_dir", "quarantine": "threads_dir", "chunks": "chunks_dir", "summaries": "summaries_dir", "sentiments": "summaries_dir", "glossary": "summaries_dir", "glossary.json": "summaries_dir",
+    "thread_summaries": "thread_summaries_dir", "thread_sentiments": "thread_summaries_dir", "thread_summaries_parts": "thread_summaries_dir", "thread_sentiments_parts": "thread_summaries_dir",
+    "packed": "memory_dir", "packed_sentiment": "memory_dir", "memory": "memory_dir", "sentiment_memory": "memory_dir", "memory_glossary.json": "memory_dir",
+}
 
 
 @dataclass
@@ -32,6 +39,14 @@ class Config:
     overwrite: bool = False
     from_stage: str = ""
     only_stage: str = ""
+    #: What pack packs: semantic, sentiment, or both.
+    mode: str = "both"
+    #: Folders of single stages; below base_dir where not given.
+    threads_dir: str = ""
+    chunks_dir: str = ""
+    summaries_dir: str = ""
+    thread_summaries_dir: str = ""
+    memory_dir: str = ""
 
     def validate(self) -> None:
         for name in ("archive", "base_dir"):
@@ -45,9 +60,15 @@ class Config:
                 raise ValueError(f"{name} must be >= 0")
         if self.from_stage and self.only_stage:
             raise ValueError("use only one of from_stage and only_stage")
+        if self.mode not in MODES:
+            raise ValueError(f"unknown mode {self.mode}")
         if self.only_stage and self.only_stage not in STAGES:
             raise ValueError(f"unknown stage {self.only_stage}")
 
+    def path(self, name: str) -> str:
+        """Where a table or file of the run lies."""
+        return f"{(getattr(self, FOLDERS.get(name.split('/')[0], ''), '') or self.base_dir).rstrip('/')}/{name}"
+
     def stages(self) -> list[str]:
         """The stages to run; an unknown from_stage means all."""
         if self.only_stage:

@@ -13,23 +13,36 @@ from .. import schemas
 from ..functions.text import file_component
 from ..operators import glossary as G
 from ..operators import index, linearize, pack, rollup, turns
+from ..operators.budget import fixed_windows
+from ..operators.order import numbered
+from ..operators.stats import thread_counters
+from ..shared import stored
 from ..sources import readers, writers
 from . import prompts
 from .config import Config
-from .providers import ExtractiveProvider, Provider, ask, ask_with_fallback
+from .deciders import Decider
+from .providers import ExtractiveProvider, Provider, ask_with_fallback, recoverable
 
 SUMMARY_INSTRUCTIONS = "Summarise the chunk. " + prompts.SENTIMENT_TAIL
 ROLLUP_INSTRUCTIONS = "Summarise the whole conversation from its parts. " + prompts.SENTIMENT_TAIL
 KEYS = ["conversation_id", "chunk_number", "turn_start", "turn_end", "rel_path"]
+#: Output tokens of the first and the second try (fixed values).
+CHUNK_TOKENS, ROLLUP_TOKENS = (2500, 2500), (2600, 4500)
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, config: Config, provider: Provider | None = None, decided: DataFrame | None = None):
+    """decider: what splits a thread into chunks; without one every target_turns-th turn does.
+
+    What a model doesn't answer is listed in ``errors`` and left undone, so the next run asks for it again;
+    with ``strict`` it ends the run. Nothing is made from a part of its input.
+    """
+
+    def __init__(self, spark: SparkSession, config: Config, provider: Provider | None = None, decider: Decider | None = None):
         config.validate()
-        self.spark, self.c, self.provider, self.decided = spark, config, provider or ExtractiveProvider(), decided
+        self.spark, self.c, self.provider, self.decider = spark, config, provider or ExtractiveProvider(), decider
 
     def path(self, name: str) -> str:
-        return f"{self.c.base_dir.rstrip('/')}/{name}"
+        return self.c.path(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -37,6 +50,15 @@ class Pipeline:
     def _save(self, df: DataFrame, name: str, append: bool = False) -> None:
         df.write.mode("append" if append else "overwrite").parquet(self.path(name))
 
+    def _answered(self, answers: DataFrame, stage: str, keys: list[str]) -> DataFrame:
+        """Rows with a payload; the others go to the errors table."""
+        failed = answers.filter("status != 'ok'").select(F.lit(stage).alias("stage"), F.to_json(F.struct(*keys)).alias("request"), "status")
+        if failed.limit(1).count():
+            self._save(failed, "errors", append=True)
+            if self.c.strict:
+                raise RuntimeError(f"{stage}: {failed.first().status}")
+        return answers.filter("status = 'ok'").drop("status")
+
     def _done(self, *names: str) -> bool:
         return not self.c.overwrite and all(readers.exists(self.spark, self.path(f"{n}/_SUCCESS")) for n in names)
 
@@ -61,7 +83,12 @@ class Pipeline:
                 return False
         # conversations may share an id; their file names are their own
         names = threads.select("file_name", F.col("conversation_id").alias("_id"))
-        made = turns.chunks(threads.withColumn("conversation_id", F.col("file_name")), self.c.target_turns, self.decided)
+        own, decided = threads.withColumn("conversation_id", F.col("file_name")), None
+        if self.decider is not None:
+            decided = stored(self.decider.decide(own, self.c.target_turns), "breakpoints")
+            decided = self._answered(decided, "chunk", ["conversation_id"])
+            own = own.join(decided.select("conversation_id"), "conversation_id", "left_semi")
+        made = turns.chunks(own, self.c.target_turns, decided)
         made = made.withColumnRenamed("conversation_id", "file_name").join(names, "file_name").withColumnRenamed("_id", "conversation_id")
         self._save(made.withColumn("rel_path", turns.chunk_path(F.col("file_name"))), "chunks", append=self._done("chunks"))
         return True
@@ -73,31 +100,46 @@ class Pipeline:
             chunks = chunks.orderBy("rel_path").limit(self.c.max_chunks)
         fresh = not self._done("summaries", "sentiments")
         todo = chunks if fresh or not self.c.resume else rollup.pending_chunks(chunks, self.table("summaries"), self.table("sentiments"))
-        todo = todo.withColumn("seq", F.xxhash64("rel_path"))
-        size = self.c.batch_size or 25
-        n = todo.count()
-        if not n:
+        if not todo.limit(1).count():
             return False
-        cuts = _batches(todo, n, size)
+        size = self.c.batch_size or 25
+        # each round reads its own batch alone
+        begun = 0 if fresh else self.table("summaries").agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
+        batched = numbered(todo, [F.col("rel_path")], "_place", "bigint").withColumn("batch", (F.floor((F.col("_place") - 1) / size) + begun).cast("int")).drop("_place")
+        path = self.path("chunks_todo")
+        batched.repartition("batch").write.mode("overwrite").partitionBy("batch").parquet(path)
+        batches = [r.batch for r in self.spark.read.parquet(path).select("batch").distinct().orderBy("batch").collect()]
         glossary = self._glossary() if not fresh else self.spark.createDataFrame([], schemas.GLOSSARY_ENTRY)
         header = readers.prompt_header(self.spark, self.c.sentiment_header_file) if self.c.sentiment_header_file else ""
-        for i, batch in enumerate(cuts):
+        kind = todo.schema
+        for i in batches:
             said = G.excerpt(glossary, self.c.glossary_max_terms).first()[0]
-            own = todo.filter(batch)
+            own = self.spark.read.schema(kind).parquet(f"{path}/batch={i}")
             full, short = (prompts.chunk_prompts(own, said, most, tools, ("rel_path",)) for most, tools in ((prompts.CHUNK_BYTES, True), (prompts.CHUNK_RETRY_BYTES, False)))
             keyed = own.select(*KEYS, "thread_start_time")
             for name, payload, words in (("summaries", schemas.SUMMARY_PAYLOAD + ", glossary_additions array<struct<term:string,definition:string>>", SUMMARY_INSTRUCTIONS), ("sentiments", schemas.SENTIMENT_PAYLOAD, prompts.sentiment_instructions(header))):
-                answers = ask_with_fallback(self.provider, full, short, KEYS, payload, words)
-                self._save(keyed.join(answers, KEYS).filter("status = 'ok'").drop("status").withColumn("batch", F.lit(i)), name, append=not (fresh and i == 0))
-            new = self.table("summaries").join(own.select("rel_path"), "rel_path", "left_semi").withColumn("seq", F.dense_rank().over(_by_path()))
+                answers = ask_with_fallback(self.provider, full, short, KEYS, payload, words, CHUNK_TOKENS)
+                good = keyed.join(self._answered(answers, name, KEYS), KEYS)
+                if not fresh and self._done(name):  # a chunk that lacks one of the two has the other already
+                    good = good.join(self.table(name).select("rel_path"), "rel_path", "left_anti")
+                good.write.mode("overwrite").parquet(self.path(f"{name}/batch={i}"))
+            new = self.spark.read.parquet(self.path(f"summaries/batch={i}")).withColumn("seq", F.dense_rank().over(_by_path()))
             self._save(G.merge(G.additions_of(new), glossary), f"glossary/batch={i:06d}")
             glossary = self.table(f"glossary/batch={i:06d}")
+        for name in ("summaries", "sentiments"):
+            self._commit(name)
         kept = G.cull(glossary, self.c.glossary_min_count)
         self._save(kept, "glossary/final")
         writers.glossary(kept, self.path("glossary.json"))
         self._chunk_indexes()
         return True
 
+    def _commit(self, name: str) -> None:
+        """Say that a table of batches is there as a whole."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(self.path(f"{name}/_SUCCESS"))
+        where.getFileSystem(conf).create(where, True).close()
+
     def _glossary(self) -> DataFrame:
         return self.table("glossary/final") if readers.exists(self.spark, self.path("glossary/final")) else self.spark.createDataFrame([], schemas.GLOSSARY_ENTRY)
 
@@ -125,30 +167,51 @@ class Pipeline:
                 continue
             did = True
             made = self._rollup(rows.select(*schemas.names(schemas.CHUNK_KEYS), *schemas.names(payload)), name, payload, makers, said)
-            titles = self.table("threads").groupBy("conversation_id").agg(F.min_by("title", "file_name").alias("title"))
-            self._save(made.join(titles, "conversation_id").select(*schemas.names(schemas.THREAD_KEYS), *schemas.names(payload)), name, append=there)
+            self._save(made.select(*schemas.names(schemas.THREAD_KEYS), *schemas.names(payload)), name, append=there)
         if did:
             self._thread_indexes()
         return did
 
+    def _ask_twice(self, asked: DataFrame, keys: list[str], payload: str, stage: str) -> DataFrame:
+        """Answers cut off or without JSON are asked for once more, with more room."""
+        answers = ask_with_fallback(self.provider, asked, asked, keys, payload, ROLLUP_INSTRUCTIONS, ROLLUP_TOKENS, recoverable())
+        return self._answered(answers, stage, keys)
+
     def _rollup(self, rows: DataFrame, name: str, payload: str, makers: tuple, said: str) -> DataFrame:
-        """Threads of up to max_chunks_per_thread chunks at once, longer ones through written parts."""
-        from ..operators.budget import fixed_windows
-
-        part = F.concat_ws("\x1f", "conversation_id", F.col("part").cast("string"))
-        cut = fixed_windows(rows, ["conversation_id"], rollup.ORDER, self.c.max_chunks_per_thread, "part")
-        keyed = cut.withColumn("_thread", F.col("conversation_id")).withColumn("conversation_id", part)
-        starts = keyed.groupBy("conversation_id", "_thread", "part").agg(F.min("thread_start_time").alias("thread_start_time"))
-        parts = ask(self.provider, makers[0](keyed, said), ["conversation_id"], payload, ROLLUP_INSTRUCTIONS).filter("status = 'ok'").drop("status")
-        self._save(parts.join(starts, "conversation_id").withColumn("conversation_id", F.col("_thread")).drop("_thread"), f"{name}_parts")
-        parts = self.table(f"{name}_parts")
-        sizes = parts.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_parts"), F.min("thread_start_time").alias("_start"))
-        parts = parts.join(sizes, "conversation_id")
-        columns = ["conversation_id", "thread_start_time", *schemas.names(payload)]
-        one = parts.filter("n_parts = 1").select(*columns)
+        """Threads of up to max_chunks_per_thread chunks at once, longer ones through written parts.
+
+        Parts that an earlier run wrote from the same chunks are read again; a thread is merged when all
+        its parts are there.
+        """
+        fields = schemas.names(payload)
+        named = rows.filter(F.coalesce("conversation_id", F.lit("")) != "")
+        cut = fixed_windows(named, ["conversation_id"], rollup.ORDER, self.c.max_chunks_per_thread, "part")
+        of = ["conversation_id", "part"]
+        print_ = F.xxhash64(F.array_sort(F.collect_list(F.struct(*rollup.ORDER, F.xxhash64(*fields)))))
+        plan = stored(cut.groupBy(*of).agg(F.min("thread_start_time").alias("thread_start_time"), print_.alias("inputs")), "rollup-plan")
+        parts_path = f"{name}_parts"
+        known = self.c.resume and readers.exists(self.spark, self.path(f"{parts_path}/_SUCCESS"))
+        todo = plan.join(self.table(parts_path).select(*of, "inputs"), [*of, "inputs"], "left_anti") if known else plan
+        todo = stored(todo, "rollup-todo")
+        if todo.limit(1).count():
+            joined = F.concat_ws("\x1f", "conversation_id", F.col("part").cast("string"))
+            keyed = cut.join(todo.select(*of), of, "left_semi").withColumn("conversation_id", joined)
+            answers = self._ask_twice(makers[0](keyed, said), ["conversation_id"], payload, parts_path)
+            split = F.split("conversation_id", "\x1f")
+            back = answers.withColumns({"part": F.element_at(split, -1).cast("int"), "conversation_id": F.regexp_replace("conversation_id", "\x1f[0-9]+$", "")})
+            self._save(back.join(todo, of).select(*of, "thread_start_time", "inputs", *fields), parts_path, append=known)
+        if not readers.exists(self.spark, self.path(f"{parts_path}/_SUCCESS")):
+            return self.spark.createDataFrame([], f"{schemas.THREAD_KEYS}, {payload}")
+        titles = self.table("threads").groupBy("conversation_id").agg(F.min_by("title", "file_name").alias("title"))
+        sizes = plan.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_parts"), F.min("thread_start_time").alias("_start")).join(titles, "conversation_id", "left").withColumn("title", F.coalesce("title", F.lit("")))
+        there = self.table(parts_path).join(plan.select(*of, "inputs"), [*of, "inputs"], "left_semi").dropDuplicates([*of, "inputs"]).drop("inputs")
+        whole = there.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("n_parts"))
+        parts = there.join(sizes.join(whole, ["conversation_id", "n_parts"]), "conversation_id")
+        columns = ["conversation_id", "title", "thread_start_time", *fields]
         many = parts.filter("n_parts > 1")
-        merged = ask(self.provider, makers[1](many.withColumn("title", F.lit("")), said), ["conversation_id"], payload, ROLLUP_INSTRUCTIONS).filter("status = 'ok'")
-        return one.unionByName(merged.join(sizes.withColumnRenamed("_start", "thread_start_time"), "conversation_id").select(*columns))
+        merged = self._ask_twice(makers[1](many, said), ["conversation_id"], payload, name)
+        merged = merged.join(sizes.withColumnRenamed("_start", "thread_start_time"), "conversation_id")
+        return parts.filter("n_parts = 1").select(*columns).unionByName(merged.select(*columns))
 
     def _thread_indexes(self) -> None:
         c, stem = self.c, file_component("conversation_id")
@@ -159,29 +222,32 @@ class Pipeline:
             writers.index_lines(writers.without_empty(index.thread_sentiment_index(b, c.index_summary_bytes, c.index_tags_max, c.index_terms_max), ("emotional_summary",)), self.path("index/thread_sentiments"), "thread_sentiment_summary_path")
 
     def pack(self) -> bool:
-        if self._done("packed"):
-            return False
-        packed = pack.memory_shards(self.table("thread_summaries"), self.c.max_shard_bytes, self.c.include_key_points, self.c.include_tags)
-        self._save(packed, "packed")
-        packed = self.table("packed")
-        writers.documents(pack.shard_files(packed), self.path("memory"), "shard_file", "content", overwrite=True)
-        writers.index_lines(writers.without_empty(pack.memory_index(packed, self.c.index_summary_bytes), ("summary",)), self.path("index/memory"), "shard_file")
-        if readers.exists(self.spark, self.path("thread_sentiments")):
-            self._save(pack.sentiment_shards(self.table("thread_sentiments"), self.c.max_shard_bytes), "packed_sentiment")
-            packed = self.table("packed_sentiment")
-            writers.documents(pack.shard_files(packed, pack.SENTIMENT_HEADER), self.path("sentiment_memory"), "shard_file", "content", overwrite=True)
-            writers.index_lines(writers.without_empty(pack.sentiment_index(packed, self.c.index_summary_bytes), ("emotional_summary",)), self.path("index/sentiment_memory"), "shard_file")
-        writers.copy_if_exists(self.spark, self.path("glossary.json"), self.path("memory_glossary.json"), self.c.overwrite)
-        return True
-
+        """Shards and index of thread summaries, of sentiments, or of both."""
+        did = False
+        kinds = (
+            ("semantic", "thread_summaries", "packed", "memory", "summary", lambda t: pack.memory_shards(t, self.c.max_shard_bytes, self.c.include_key_points, self.c.include_tags), pack.MEMORY_HEADER, pack.memory_index),
+            ("sentiment", "thread_sentiments", "packed_sentiment", "sentiment_memory", "emotional_summary", lambda t: pack.sentiment_shards(t, self.c.max_shard_bytes), pack.SENTIMENT_HEADER, pack.sentiment_index),
+        )
+        for kind, source, table, folder, text, shards, header, rows in kinds:
+            if self.c.mode not in (kind, "both") or self._done(table) or not readers.exists(self.spark, self.path(source)):
+                continue
+            did = True
+            self._save(shards(self.table(source)), table)
+            packed = self.table(table)
+            writers.documents(pack.shard_files(packed, header), self.path(folder), "shard_file", "content", overwrite=True)
+            writers.index_lines(writers.without_empty(rows(packed, self.c.index_summary_bytes), (text,)), self.path(f"index/{folder}"), "shard_file")
+        if did:
+            writers.copy_if_exists(self.spark, self.path("glossary.json"), self.path("memory_glossary.json"), self.c.overwrite)
+        return did
 
     def stats(self) -> dict[str, int]:
         """Rows of each table that is there, and bytes of the threads' texts."""
         names = [n for n in ("quarantine", "threads", "chunks", "summaries", "sentiments", "thread_summaries", "thread_sentiments", "packed") if readers.exists(self.spark, self.path(n))]
         out = {n: self.table(n).count() for n in names}
+        if readers.exists(self.spark, self.path("errors")):
+            out["errors"] = self.table("errors").count()
         if "threads" in names:
-            texts = F.aggregate(F.coalesce(F.col("messages.text"), F.array().cast("array<string>")), F.lit(0).cast("bigint"), lambda a, t: a + F.octet_length(t))
-            out["text_bytes"] = self.table("threads").agg(F.sum(texts)).first()[0] or 0
+            out["text_bytes"] = thread_counters(self.table("threads")).first().n_bytes
         return out
 
     def export(self, path: str, pretty: bool = False) -> None:
@@ -202,24 +268,3 @@ def _by_path():
     from pyspark.sql import Window as W
 
     return W.orderBy("rel_path")
-
-
-def _batches(todo: DataFrame, n: int, size: int) -> list:
-    """Filters that cut the chunks into runs of about ``size`` in the order of their paths.
-
-    Only the paths at the cuts come to the driver.
-    """
-    if n <= size:
-        return [F.lit(True)]
-    shares = [i * size / n for i in range(1, -(-n // size))]
-    ranked = todo.select("rel_path").orderBy("rel_path").withColumn("_i", F.monotonically_increasing_id())
-    per = ranked.withColumn("_t", F.spark_partition_id()).groupBy("_t").agg(F.count(F.lit(1)).alias("c")).orderBy("_t").collect()
-    before, offsets = 0, {}
-    for r in per:
-        offsets[r["_t"]], before = before, before + r.c
-    place = F.create_map(*(x for t, o in offsets.items() for x in (F.lit(t), F.lit(o))))
-    at = ranked.withColumn("_at", place[F.spark_partition_id()] + F.col("_i").bitwiseAND((1 << 33) - 1)).filter((F.col("_at") % size == 0) & (F.col("_at") > 0))
-    cuts = [r.rel_path for r in at.orderBy("_at").select("rel_path").collect()]
-    assert len(cuts) == len(shares)
-    edges = [None, *cuts, None]
-    return [(F.lit(True) if a is None else F.col("rel_path") >= a) & (F.lit(True) if b is None else F.col("rel_path") < b) for a, b in zip(edges, edges[1:], strict=False)]

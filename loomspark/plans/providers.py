@@ -1,4 +1,6 @@
-"""Models behind one interface: requests(request_id, instructions, prompt) in, (request_id, response, error) out.
+"""Models behind one interface: requests(request_id, instructions, prompt, schema, max_tokens) in, (request_id, response, error) out.
+
+schema is the JSON schema of the answer, max_tokens what it may cost (0: no limit).
 
 Requests are answered where they lie: a provider is a narrow transformation or a join. Results of calls
 that cost money belong in a written table before anything else reads them.
@@ -6,17 +8,23 @@ that cost money belong in a written table before anything else reads them.
 
 from __future__ import annotations
 
+import json
+import os
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import jsonx
 from ..functions.text import distinct_strings, first_n, truncate_bytes
+from ..schemas import response_schema
+from ..shared import stored
 
 #: Seconds before each further try (fixed values).
 RATE_LIMIT_WAITS, SERVER_WAITS = (65, 100), (5, 30)
@@ -77,11 +85,54 @@ class CallableProvider:
         return requests.select("request_id", "instructions", "prompt").repartition(self.tasks).mapInPandas(run, ANSWER)
 
 
-def classify(message: str) -> str:
-    m = message.lower()
-    if "429" in m or "rate limit" in m or "too many requests" in m:
-        return "rate_limit"
-    return "server" if any(x in m for x in ("500", "502", "503", "504", "internal server", "bad gateway", "service unavailable")) else "other"
+class HttpProvider:
+    """A service that takes a JSON request by POST: instructions, input, the answer's schema, and a limit of tokens.
+
+    The key is read on the executors, from the environment variable that ``key_env`` names; it is no part
+    of the plan. ``post`` may stand in for the network.
+    """
+
+    def __init__(self, url: str, model: str, key_env: str = "MODEL_API_KEY", tasks: int = 6, timeout: float = 300, waits: tuple = (RATE_LIMIT_WAITS, SERVER_WAITS), sleep: Callable[[float], None] = time.sleep):
+        self.url, self.model, self.key_env, self.tasks, self.timeout, self.waits, self.sleep = url, model, key_env, tasks, timeout, waits, sleep
+
+    def complete(self, requests: DataFrame) -> DataFrame:
+        url, model, key_env, timeout, waits, sleep = self.url, self.model, self.key_env, self.timeout, self.waits, self.sleep
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                answers = []
+                for r in batch.itertuples():
+                    body = request_body(model, r.instructions, r.prompt, r.schema, int(r.max_tokens))
+                    answers.append(retried(lambda *_, body=body: post(url, body, os.environ.get(key_env, ""), timeout), "", "", waits, sleep))
+                yield pd.DataFrame({"request_id": batch["request_id"], "response": [a for a, _ in answers], "error": [e for _, e in answers]})
+
+        return requests.select("request_id", "instructions", "prompt", "schema", "max_tokens").repartition(self.tasks).mapInPandas(run, ANSWER)
+
+
+def request_body(model: str, instructions: str, prompt: str, schema: str, max_tokens: int) -> dict:
+    body = {"model": model, "instructions": instructions, "input": prompt}
+    if max_tokens > 0:
+        body["max_output_tokens"] = max_tokens
+    if schema:
+        body["text"] = {"format": {"type": "json_schema", "name": "answer", "strict": True, "schema": json.loads(schema)}}
+    return body
+
+
+def post(url: str, body: dict, key: str, timeout: float) -> str:
+    """The text of the service's answer; its status and reason as an error otherwise."""
+    head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, json.dumps(body).encode(), head), timeout=timeout) as r:
+            return answer_text(json.load(r))
+    except urllib.error.HTTPError as e:
+        raise RuntimeError(f"HTTP {e.code} {e.reason}: {e.read(500).decode('utf-8', 'replace')}") from None
+
+
+def answer_text(answer: dict) -> str:
+    """All text parts of an answer, in order."""
+    if "output_text" in answer:
+        return answer["output_text"]
+    return "".join(part.get("text", "") for item in answer.get("output", ()) for part in item.get("content") or ())
 
 
 def retried(call: Callable[[str, str], str], instructions: str, prompt: str, waits: tuple, sleep: Callable[[float], None]) -> tuple[str | None, str | None]:
@@ -92,25 +143,33 @@ def retried(call: Callable[[str, str], str], instructions: str, prompt: str, wai
             return call(instructions, prompt), None
         except Exception as e:  # the error becomes a column, the row isn't lost
             error = str(e) or type(e).__name__
-            kind = classify(error)
-            if kind == "other" or attempt == len(waits[0]):
+            kind = jsonx.error_kind(error)
+            if kind not in ("rate_limit", "server") or attempt == len(waits[0]):
                 break
             sleep(waits[kind == "server"][attempt])
     return None, error
 
 
-def ask(provider: Provider, prompts: DataFrame, keys: list[str], payload: str, instructions: str) -> DataFrame:
-    """keys, the decoded payload's columns, and status: 'ok' or why there is no payload."""
-    rows = prompts.withColumn("request_id", F.sha2(F.to_json(F.struct(*keys)), 256)).withColumn("instructions", F.lit(instructions))
-    answers = provider.complete(rows.select("request_id", "instructions", "prompt"))
+def ask(provider: Provider, prompts: DataFrame, keys: list[str], payload: str, instructions: str, max_tokens: int = 0) -> DataFrame:
+    """keys, the decoded payload's columns, and status: 'ok' or why there is no payload. Answers are written before they are read."""
+    closed = json.dumps(response_schema(payload))
+    rows = prompts.withColumns({"request_id": F.sha2(F.to_json(F.struct(*keys)), 256), "instructions": F.lit(instructions), "schema": F.lit(closed), "max_tokens": F.lit(max_tokens)})
+    rows = stored(rows.select("request_id", *keys, "instructions", "prompt", "schema", "max_tokens"), "requests")
+    answers = stored(provider.complete(rows.drop(*keys)), "answers")
     both = rows.select("request_id", *keys).join(answers, "request_id")
     status = F.when(F.col("error").isNotNull(), F.concat(F.lit("error: "), F.col("error"))).otherwise(jsonx.decode_status(F.col("response")))
     schema = T.StructType.fromDDL(payload)
     return both.withColumns({"status": status, "_p": jsonx.decode(F.col("response"), schema)}).select(*keys, *(F.col("_p")[c].alias(c) for c in schema.fieldNames()), "status")
 
 
-def ask_with_fallback(provider: Provider, first: DataFrame, second: DataFrame, keys: list[str], payload: str, instructions: str) -> DataFrame:
-    """As ask; rows that fail are asked again with the smaller prompts of second."""
-    tried = ask(provider, first, keys, payload, instructions)
-    again = second.join(tried.filter("status != 'ok'").select(*keys), keys, "left_semi")
-    return tried.filter("status = 'ok'").unionByName(ask(provider, again, keys, payload, instructions))
+def ask_with_fallback(provider: Provider, first: DataFrame, second: DataFrame, keys: list[str], payload: str, instructions: str, max_tokens: tuple[int, int] = (0, 0), again: Column | None = None) -> DataFrame:
+    """As ask; rows that fail, or those of them that again says, are asked again with the prompts of second. The last status holds."""
+    tried = ask(provider, first, keys, payload, instructions, max_tokens[0])
+    failed = tried.filter("status != 'ok'") if again is None else tried.filter((F.col("status") != "ok") & again)
+    more = ask(provider, second.join(failed.select(*keys), keys, "left_semi"), keys, payload, instructions, max_tokens[1])
+    return tried.join(failed.select(*keys), keys, "left_anti").unionByName(more)
+
+
+def recoverable() -> Column:
+    """Whether an answer was there, but cut off or no JSON: more room may help. Errors of calls have had their tries."""
+    return F.col("status").isin("truncated", "invalid", "empty")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import schemas
 from .functions import jsonx, text
-from .operators import budget, glossary, index, linearize, pack, render, rollup, turns
+from .operators import budget, glossary, index, linearize, pack, render, rollup, stats, turns
 from .plans import prompts
+from .shared import shared_dir, stored
+from .sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +23,11 @@ TARGET, BUDGET, SHARD_BYTES = 2, 1500, 4000
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196) || chr(8197) || chr(8198) || chr(8199) || chr(8200) || chr(8201) || chr(8202) || chr(8232) || chr(8233) || chr(8239) || chr(8287) || chr(12288)"
 
 
+def cut(s: str, most: int) -> str:
+    """SQL of a trimmed text cut to so many bytes."""
+    return f"CASE WHEN strlen({s}) > {most} THEN left({s}, CAST(list_max(list_filter(range({most // 4}, {most + 1}), lambda i: strlen(left({s}, CAST(i AS INTEGER))) <= {most})) AS INTEGER)) || '…' ELSE {s} END"
+
+
 def query(sql: str | None) -> Callable[[Query], Query]:
     def keep(f: Query) -> Query:
         QUERIES[f.__name__] = f
@@ -228,11 +237,11 @@ def fixed_format(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("conversation_id", text.fixed3("thread_start_time").alias("fixed"), text.padded(F.col("conversation_id").cast("bigint") % 10000, 4).alias("padded"))
 
 
-WORDS = "SELECT doc_id, string_split(text, ' ')[1:12] AS w FROM documents"
+WORDS = "SELECT doc_id, string_split(text, ' ') AS w FROM documents"
 
 
-def _words(spark: SparkSession, d: str, n: int = 12) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.slice(F.split("text", " "), 1, n).alias("w"))
+def _words(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", F.split("text", " ").alias("w"), "text")
 
 
 @query(f"""WITH w AS ({WORDS}), x AS (SELECT doc_id, trim(unnest(w), {WS}) AS s, generate_subscripts(w, 1) AS i FROM w),
@@ -248,12 +257,13 @@ def array_limit(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.array_join(text.first_n(w, 5), "|").alias("five"), F.size(text.first_n(w, 0)).alias("n_all"))
 
 
-@query("SELECT doc_id, source || '.summary.json' AS out_path, regexp_replace(source || '/a.b.json', '\\.json$', '.sentiment.summary.json') AS sentiment_path, array_to_string(string_split(text, ' ')[1:3], '; ') AS joined FROM documents")
+@query("SELECT doc_id, source || '.summary.json' AS out_path, regexp_replace(source || '/a.b.json', '\\.json$', '.sentiment.summary.json') AS sentiment_path, array_to_string(string_split(text, ' '), '; ') AS joined, 'b/' || source || '.json' AS inner_path FROM documents")
 def path_functions(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents")
     return rows.select(
         "doc_id", text.swap_suffix(F.concat("source", F.lit(".json")), ".json", ".summary.json").alias("out_path"),
-        text.swap_suffix(F.concat("source", F.lit("/a.b.json")), ".json", ".sentiment.summary.json").alias("sentiment_path"), F.array_join(F.slice(F.split("text", " "), 1, 3), "; ").alias("joined"),
+        text.swap_suffix(F.concat("source", F.lit("/a.b.json")), ".json", ".sentiment.summary.json").alias("sentiment_path"), F.array_join(F.split("text", " "), "; ").alias("joined"),
+        text.relative_path(F.concat(F.lit("file:///root/a.x/b/"), "source", F.lit(".json")), "/root/a.x/").alias("inner_path"),
     )
 
 
@@ -261,14 +271,14 @@ def path_functions(spark: SparkSession, d: str) -> DataFrame:
 
 
 ADDITIONS = f"""a AS (SELECT doc_id AS seq, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS DOUBLE) END AS seen_at, i AS pos, trim(s, {WS}) AS term, CASE WHEN i % 2 = 0 THEN left(s, 3) || source ELSE '' END AS definition
-FROM (SELECT doc_id, source, unnest(string_split(text, ' ')[1:6]) AS s, generate_subscripts(string_split(text, ' ')[1:6], 1) AS i FROM documents)),
+FROM (SELECT doc_id, source, unnest(string_split(text, ' ')) AS s, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents)),
 o AS (SELECT *, lower(term) AS k, row_number() OVER (PARTITION BY lower(term), seq ORDER BY pos) AS r FROM a WHERE term <> ''),
 g AS (SELECT arg_min(term, seq) AS term, coalesce(arg_max(trim(definition, {WS}), row(strlen(trim(definition, {WS})), -seq)) FILTER (trim(definition, {WS}) <> ''), '') AS definition, CAST(count(*) AS INTEGER) AS count,
 arg_min(seen_at, seq) FILTER (seen_at IS NOT NULL) AS first_seen_at, arg_max_null(seen_at, seq) AS last_seen_at FROM o WHERE r = 1 GROUP BY k)"""
 
 
 def _additions(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select("doc_id", "source", F.posexplode(F.slice(F.split("text", " "), 1, 6)).alias("p", "s"))
+    rows = table(spark, d, "documents").select("doc_id", "source", F.posexplode(F.split("text", " ")).alias("p", "s"))
     i = F.col("p") + 1
     return rows.select(F.col("doc_id").alias("seq"), F.when(F.col("doc_id") % 5 != 0, F.col("doc_id").cast("double")).alias("seen_at"), i.alias("pos"), F.col("s").alias("term"), F.when(i % 2 == 0, F.concat(F.left("s", F.lit(3)), "source")).otherwise(F.lit("")).alias("definition"))
 
@@ -288,17 +298,24 @@ def glossary_topk(spark: SparkSession, d: str) -> DataFrame:
     return glossary.excerpt(glossary.merge(_additions(spark, d)), 40)
 
 
-@query(f"WITH {ADDITIONS} SELECT term, count, CAST(row_number() OVER (ORDER BY count DESC, lower(term), term) AS INTEGER) AS pos FROM g ORDER BY pos LIMIT 100")
+@query(f"WITH {ADDITIONS} SELECT term, count, CAST(row_number() OVER (ORDER BY count DESC, lower(term), term) AS INTEGER) AS pos FROM g")
 def glossary_order(spark: SparkSession, d: str) -> DataFrame:
-    top = glossary.ordered(glossary.merge(_additions(spark, d))).limit(100)
-    return top.select("term", "count", F.expr("row_number() OVER (ORDER BY count DESC, lower(term), term)").alias("pos"))
+    return glossary.placed(glossary.merge(_additions(spark, d))).select("term", "count", "pos")
 
 
-@query(f"""WITH {ADDITIONS}, early AS (SELECT k, count(*) AS n, arg_min(term, seq) AS term FROM o WHERE r = 1 AND seq < 400 GROUP BY k), late AS (SELECT k, count(*) AS n, arg_min(term, seq) AS term FROM o WHERE r = 1 AND seq >= 400 GROUP BY k)
-SELECT coalesce(early.term, late.term) AS term, CAST(coalesce(early.n, 0) + coalesce(late.n, 0) AS INTEGER) AS count FROM early FULL JOIN late USING (k)""")
+@query(f"""WITH {ADDITIONS}, split AS (SELECT *, seq >= (SELECT max(doc_id) // 2 FROM documents) AS later FROM o WHERE r = 1),
+early AS (SELECT k, count(*) AS n, arg_min(term, seq) AS term, arg_min(seen_at, seq) FILTER (seen_at IS NOT NULL) AS first_at, max(strlen(trim(definition, {WS}))) AS size FROM split WHERE NOT later GROUP BY k),
+late AS (SELECT k, count(*) AS n, arg_min(term, seq) AS term, arg_min(seen_at, seq) FILTER (seen_at IS NOT NULL) AS first_at, max(strlen(trim(definition, {WS}))) AS size, arg_max_null(seen_at, seq) AS last_at FROM split WHERE later GROUP BY k),
+old AS (SELECT k, arg_max_null(seen_at, seq) AS last_at FROM split WHERE NOT later GROUP BY k)
+SELECT coalesce(early.term, late.term) AS term, CAST(coalesce(early.n, 0) + coalesce(late.n, 0) AS INTEGER) AS count, greatest(early.size, late.size) AS definition_bytes,
+coalesce(early.first_at, late.first_at) AS first_seen_at, CASE WHEN late.k IS NULL THEN old.last_at ELSE late.last_at END AS last_seen_at FROM early FULL JOIN late USING (k) LEFT JOIN old USING (k)""")
 def glossary_upsert(spark: SparkSession, d: str) -> DataFrame:
-    rows = _additions(spark, d)
-    return glossary.merge(rows.filter("seq >= 400"), glossary.merge(rows.filter("seq < 400"))).select("term", "count")
+    """The glossary of the first half of the documents, and then the other half merged into it."""
+    half = table(spark, d, "documents").agg(F.floor(F.max("doc_id") / 2).alias("half"))
+    rows = _additions(spark, d).crossJoin(F.broadcast(half))  # one row
+    prior = glossary.merge(rows.filter("seq < half").drop("half"))
+    merged = glossary.merge(rows.filter("seq >= half").drop("half"), prior)
+    return merged.select("term", "count", F.octet_length("definition").cast("bigint").alias("definition_bytes"), "first_seen_at", "last_seen_at")
 
 
 # ---- graphs
@@ -338,15 +355,17 @@ def linearize_tree(spark: SparkSession, d: str) -> DataFrame:
     return linearize.messages(found).select("conversation_id", "msg_idx", "role", "text")
 
 
-@query("SELECT CAST(conv_id AS VARCHAR) AS conversation_id, conv_id || '-' || max(turn) AS leaf FROM conversations GROUP BY conv_id HAVING max(turn) > 0")
+@query("SELECT CAST(conv_id AS VARCHAR) AS conversation_id, CASE WHEN max(turn) > 0 THEN conv_id || '-' || max(turn) ELSE conv_id || '-side0' END AS leaf FROM conversations GROUP BY conv_id")
 def best_leaf(spark: SparkSession, d: str) -> DataFrame:
-    rows = _trees(spark, d).select("conversation_id", linearize.best_leaf(F.col("mapping")).alias("leaf"))
-    return rows.filter("leaf NOT LIKE '%side%'")
+    """The last message, but where there is one alone the side branch, which is as late and has the greater id."""
+    return _trees(spark, d).select("conversation_id", linearize.best_leaf(F.col("mapping")).alias("leaf"))
 
 
-@query("SELECT user_id, arg_max(event_id, row(value, event_id)) AS best FROM events GROUP BY 1")
-def best_event(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "events").groupBy("user_id").agg(F.max_by("event_id", F.struct("value", "event_id")).alias("best"))
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'c' || user_id WHEN event_id % 3 = 1 THEN CAST(event_id AS VARCHAR) END AS conversation_id, CASE WHEN event_id % 3 = 2 THEN 'no id' END AS err FROM events")
+def conversation_projection(spark: SparkSession, d: str) -> DataFrame:
+    e, k = table(spark, d, "events"), F.col("event_id") % 3
+    raw = e.select("event_id", F.when(k == 0, F.concat(F.lit("c"), F.col("user_id").cast("string"))).when(k == 1, F.lit("")).alias("conversation_id"), F.when(k == 2, F.lit("")).otherwise(F.col("event_id").cast("string")).alias("id"))
+    return linearize.project(raw).select("event_id", "conversation_id", "err")
 
 
 RAW = """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'system' WHEN event_id % 4 = 1 THEN 'tool' WHEN event_id % 4 = 2 THEN ' user ' ELSE '' END AS role,
@@ -414,24 +433,40 @@ def two_level_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH w AS ({WORDS}), x AS (SELECT doc_id, trim(unnest(w), {WS}) AS s, generate_subscripts(w, 1) AS i FROM w), f AS (SELECT doc_id, s, i, row_number() OVER (PARTITION BY doc_id, lower(s) ORDER BY i) AS r FROM x WHERE s <> ''),
-k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM f WHERE r = 1), g AS (SELECT doc_id, string_agg(s, '|' ORDER BY i) FILTER (j <= 5) AS tags, string_agg(s, '|' ORDER BY i) FILTER (j <= 15) AS terms FROM k GROUP BY 1)
-SELECT CAST(doc_id AS VARCHAR) AS conversation_id, quality AS chunk_number, coalesce(tags, '') AS tags, coalesce(terms, '') AS terms FROM labels JOIN documents USING (doc_id) LEFT JOIN g USING (doc_id)""")
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM f WHERE r = 1), g AS (SELECT doc_id, string_agg(s, '|' ORDER BY i) FILTER (j <= 5) AS tags, string_agg(s, '|' ORDER BY i) FILTER (j <= 15) AS terms FROM k GROUP BY 1),
+t AS (SELECT doc_id, trim(text, {WS}) AS s FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS conversation_id, quality AS chunk_number, coalesce(tags, '') AS tags, coalesce(terms, '') AS terms, {cut("s", 600)} AS summary FROM labels JOIN t USING (doc_id) LEFT JOIN g USING (doc_id)""")
 def index_inner_join(spark: SparkSession, d: str) -> DataFrame:
     key = F.col("doc_id").cast("string")
-    chunks = table(spark, d, "labels").select(key.alias("rel_path"), key.alias("chunk_path"), key.alias("conversation_id"), F.lit(1.0).alias("thread_start_time"), F.col("quality").alias("chunk_number"), F.lit(0).alias("turn_start"), F.lit(1).alias("turn_end"))
-    made = _words(spark, d).select(key.alias("rel_path"), key.alias("summary_path"), F.lit("s").alias("summary"), F.col("w").alias("tags"), F.col("w").alias("terms"))
-    return index.chunk_index(chunks, made).select("conversation_id", "chunk_number", F.array_join("tags", "|").alias("tags"), F.array_join("terms", "|").alias("terms"))
+    made = _words(spark, d).select(key.alias("rel_path"), key.alias("summary_path"), F.col("text").alias("summary"), F.col("w").alias("tags"), F.col("w").alias("terms"))
+    return index.chunk_index(_labelled_chunks(spark, d), made).select("conversation_id", "chunk_number", F.array_join("tags", "|").alias("tags"), F.array_join("terms", "|").alias("terms"), "summary")
 
 
-@query("SELECT doc_id AS conversation_id, toxic AS mood FROM documents JOIN labels USING (doc_id) WHERE doc_id % 2 = 0")
-def sentiment_driven_join(spark: SparkSession, d: str) -> DataFrame:
-    semantic = table(spark, d, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("conversation_id"))
-    return rollup.driven_by(semantic, table(spark, d, "labels").select(F.col("doc_id").alias("conversation_id"), F.col("toxic").alias("mood")))
+def _labelled_chunks(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("doc_id").cast("string")
+    return table(spark, d, "labels").select(key.alias("rel_path"), key.alias("chunk_path"), key.alias("conversation_id"), F.lit(1.0).alias("thread_start_time"), F.col("quality").alias("chunk_number"), F.lit(0).alias("turn_start"), F.lit(1).alias("turn_end"))
+
+
+@query(f"""WITH t AS (SELECT doc_id, trim(text, {WS}) AS s, string_split(text, ' ') AS w, lang, source FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS conversation_id, quality AS chunk_number, 's/' || doc_id AS path, {cut("s", 600)} AS emotional_summary, array_to_string(w[1:5], '|') AS dominant_emotions, array_to_string(w, '|') AS present_emotions,
+array_to_string(w[1:5], '|') AS themes, lang AS relational_shift, source AS emotional_arc FROM labels JOIN t USING (doc_id)""")
+def sentiment_index_join(spark: SparkSession, d: str) -> DataFrame:
+    key, none = F.col("doc_id").cast("string"), F.array().cast("array<string>")
+    words = F.split("text", " ")
+    made = table(spark, d, "documents").select(
+        key.alias("rel_path"), F.concat(F.lit("s/"), key).alias("sentiment_summary_path"), F.col("text").alias("emotional_summary"), words.alias("dominant_emotions"), none.alias("remembered_emotions"),
+        words.alias("present_emotions"), none.alias("emotional_tensions"), words.alias("themes"), none.alias("symbols_or_metaphors"), none.alias("tone_markers"),
+        F.concat(F.lit(" "), "lang", F.lit("\n")).alias("relational_shift"), F.concat("source", F.lit("  ")).alias("emotional_arc"), F.lit("").alias("resonance_notes"),
+    )
+    found = index.chunk_sentiment_index(_labelled_chunks(spark, d), made)
+    lists = [F.array_join(c, "|").alias(c) for c in ("dominant_emotions", "present_emotions", "themes")]
+    return found.select("conversation_id", "chunk_number", F.col("sentiment_summary_path").alias("path"), "emotional_summary", *lists, "relational_shift", "emotional_arc")
 
 
-@query("SELECT d.doc_id, d.lang, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
-def sentiment_left_join(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "lang").join(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left")
+@query("SELECT doc_id AS conversation_id, lang AS mood FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def sentiment_driven_join(spark: SparkSession, d: str) -> DataFrame:
+    semantic = table(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias("conversation_id"))
+    return rollup.driven_by(semantic, table(spark, d, "documents").select(F.col("doc_id").alias("conversation_id"), F.col("lang").alias("mood")))
 
 
 @query("SELECT doc_id AS out_path, source FROM documents ANTI JOIN labels USING (doc_id)")
@@ -487,21 +522,90 @@ def render_prompt(spark: SparkSession, d: str) -> DataFrame:
     return prompts.chunk_prompts(chunks, "- a: b\n").select("conversation_id", "chunk_number", "prompt")
 
 
-@query(f"""{THREADED} SELECT conversation_id, 'conversation_id=' || conversation_id || chr(10) || 'chunks=' || len(kp) || chr(10) || chr(10) || 'chunk_summaries:' || chr(10) ||
-array_to_string(list_transform(range(len(kp)), lambda i: '- chunk=' || (i + 1) || ' turn_range=' || i || '..' || (i + 1) || chr(10) || '  summary=' || title || chr(10) || '  key_points=x; y' || chr(10) || '  tags=' || array_to_string(tags, ', ') || chr(10) || '  terms=' || chr(10)), '') AS prompt FROM t""")
+#: Texts of a thread's messages many times over, so that caps are reached.
+LONG = f"trim(repeat(text || ' ', 30), {WS})"
+
+
+def _capped(field: str, s: str, most: int) -> str:
+    return f"'  {field}=' || {cut(s, most)} || chr(10)"
+
+
+def _messages(spark: SparkSession, d: str) -> DataFrame:
+    rows = talk(spark, d).withColumn("long", F.repeat(F.concat("text", F.lit(" ")), 30))
+    return rows.select("conversation_id", (F.col("msg_idx") + 1).alias("chunk_number"), F.col("msg_idx").alias("turn_start"), (F.col("msg_idx") + 1).alias("turn_end"), "role", "text", "long", F.col("msg_idx").alias("i"))
+
+
+_HEADS = "'- chunk=' || (msg_idx + 1) || ' turn_range=' || msg_idx || '..' || (msg_idx + 1) || chr(10)"
+
+
+def _prompt_sql(head: str, first: str, section: str, fields: str, most: int) -> str:
+    return f"""WITH m AS (SELECT *, {LONG} AS long, trim(text, {WS}) AS short FROM ({TALK})), l AS (SELECT conversation_id, msg_idx, {head} || {fields} AS line FROM m),
+r AS (SELECT *, sum(strlen(line)) OVER (PARTITION BY conversation_id ORDER BY msg_idx ROWS UNBOUNDED PRECEDING) AS b FROM l)
+SELECT conversation_id, 'conversation_id=' || conversation_id || chr(10) || '{first}=' || count(*) || chr(10) || chr(10) || '{section}:' || chr(10) || coalesce(string_agg(line, '' ORDER BY msg_idx) FILTER (b <= {most}), '')
+|| CASE WHEN bool_and(b <= {most}) THEN '' ELSE '... [{section} truncated]' || chr(10) END AS prompt FROM r GROUP BY 1"""
+
+
+@query(_prompt_sql(_HEADS, "chunks", "chunk_summaries", " || ".join((_capped("summary", "long", 1200), _capped("key_points", "(long || '; ' || short)", 1800), "'  tags=' || role || chr(10)", "'  terms=' || chr(10)")), 80000))
 def render_rollup_prompt(spark: SparkSession, d: str) -> DataFrame:
-    rows = _summaries(spark, d).select("conversation_id", "title", "tags", F.posexplode("key_points").alias("i", "t"))
-    made = rows.select("conversation_id", (F.col("i") + 1).alias("chunk_number"), F.col("i").alias("turn_start"), (F.col("i") + 1).alias("turn_end"), F.col("title").alias("summary"), F.array(F.lit("x"), F.lit("y")).alias("key_points"), "tags", F.array().cast("array<string>").alias("terms"))
+    m = _messages(spark, d)
+    made = m.select("conversation_id", "chunk_number", "turn_start", "turn_end", F.col("long").alias("summary"), F.array(text.trim("long"), text.trim("text")).alias("key_points"), F.array("role").alias("tags"), F.array().cast("array<string>").alias("terms"))
     return prompts.rollup_prompts(made)
 
 
-@query(f"""WITH {TURNED}, u AS (SELECT conversation_id, turn_index, CAST(conversation_id AS DOUBLE) AS start_time FROM turned GROUP BY ALL)
-SELECT conversation_id, CAST(count(*) AS BIGINT) AS total_turns, string_agg(CAST(turn_index AS VARCHAR), ',' ORDER BY turn_index) AS turns FROM u GROUP BY 1""")
+_PART = "'- part=' || (msg_idx + 1) || ' title=Talk ' || conversation_id || ' thread_start_time=' || printf('%.3f', CAST(conversation_id AS DOUBLE) * 1000 + 0.5) || chr(10)"
+
+
+def _parts(spark: SparkSession, d: str) -> DataFrame:
+    start = F.col("conversation_id").cast("double") * 1000 + 0.5
+    return _messages(spark, d).withColumns({"part": F.col("chunk_number"), "title": F.concat(F.lit("Talk "), "conversation_id"), "thread_start_time": start})
+
+
+@query(_prompt_sql(_PART, "partial_rollups", "partial_thread_summaries", " || ".join((_capped("summary", "long", 2500), _capped("key_points", "(long || '; ' || short)", 2500), "'  tags=' || role || chr(10)", _capped("terms", "long", 800))), 60000))
+def render_merge_prompt(spark: SparkSession, d: str) -> DataFrame:
+    made = _parts(spark, d).select("conversation_id", "part", "title", "thread_start_time", F.col("long").alias("summary"), F.array(text.trim("long"), text.trim("text")).alias("key_points"), F.array("role").alias("tags"), F.array(text.trim("long")).alias("terms"))
+    return prompts.merge_prompts(made)
+
+
+def _moods(rows: DataFrame, *keys: str) -> DataFrame:
+    none = F.array().cast("array<string>")
+    return rows.select(
+        *keys, F.col("long").alias("emotional_summary"), F.array("role", text.trim("long")).alias("dominant_emotions"), none.alias("remembered_emotions"), F.array("role").alias("present_emotions"), none.alias("emotional_tensions"),
+        F.col("long").alias("relational_shift"), F.col("long").alias("emotional_arc"), F.array(text.trim("long")).alias("themes"), none.alias("symbols_or_metaphors"),
+    )
+
+
+def _mood_fields(summary: int, dominant: int, shift: int, arc: int, themes: int) -> str:
+    fields = (_capped("emotional_summary", "long", summary), _capped("dominant_emotions", "(role || ', ' || long)", dominant), "'  remembered_emotions=' || chr(10)", "'  present_emotions=' || role || chr(10)", "'  emotional_tensions=' || chr(10)")
+    return " || ".join((*fields, _capped("relational_shift", "long", shift), _capped("emotional_arc", "long", arc), _capped("themes", "long", themes), "'  symbols_or_metaphors=' || chr(10)"))
+
+
+@query(_prompt_sql(_HEADS, "chunks", "chunk_sentiment_summaries", _mood_fields(1200, 600, 600, 600, 800), 80000))
+def render_sentiment_rollup_prompt(spark: SparkSession, d: str) -> DataFrame:
+    return prompts.sentiment_rollup_prompts(_moods(_messages(spark, d), "conversation_id", "chunk_number", "turn_start", "turn_end"))
+
+
+@query(_prompt_sql(_PART, "partial_rollups", "partial_thread_sentiment_summaries", _mood_fields(2500, 1200, 600, 1000, 1500), 60000))
+def render_sentiment_merge_prompt(spark: SparkSession, d: str) -> DataFrame:
+    return prompts.sentiment_merge_prompts(_moods(_parts(spark, d), "conversation_id", "part", "title", "thread_start_time"))
+
+
+@query(f"""WITH {TURNED}, u AS (SELECT conversation_id, turn_index, coalesce(string_agg(trim(text, {WS}), '') FILTER (role = 'user'), '') AS a,
+coalesce(string_agg(trim(text, {WS}), chr(10) ORDER BY msg_idx) FILTER (role <> 'user' AND trim(text, {WS}) <> ''), '') AS b, min(CAST(conversation_id AS DOUBLE) * 1000 + msg_idx + 0.5) AS t FROM turned GROUP BY ALL)
+SELECT conversation_id, 'Talk ' || conversation_id AS title, CAST(20 AS BIGINT) AS target, CAST(count(*) AS BIGINT) AS total_turns, string_agg(turn_index || ' ' || printf('%.1f', t) || ' ' || {cut("a", 400)} || '/' || {cut("b", 600)}, '|' ORDER BY turn_index) AS turns FROM u GROUP BY 1""")
 def breakpoint_request(spark: SparkSession, d: str) -> DataFrame:
     m = talk(spark, d)
     asked = prompts.breakpoint_requests(turns.turns(full(m)), threads_of(m), 20)
     v = F.try_parse_json("request")
-    return asked.select("conversation_id", F.variant_get(v, "$.total_turns", "bigint").alias("total_turns"), F.array_join(F.transform(F.variant_get(v, "$.turns", "array<struct<turn:int>>"), lambda x: x.turn.cast("string")), ",").alias("turns"))
+    said = lambda x, c: F.coalesce(x[c], F.lit(""))
+    each = F.transform(F.variant_get(v, "$.turns", "array<struct<turn:int,start_time:double,user:string,assistant:string>>"), lambda x: F.concat(x.turn.cast("string"), F.lit(" "), F.format_string("%.1f", x.start_time), F.lit(" "), said(x, "user"), F.lit("/"), said(x, "assistant")))
+    return asked.select("conversation_id", F.variant_get(v, "$.title", "string").alias("title"), F.variant_get(v, "$.target_turns_per_chunk", "bigint").alias("target"), F.variant_get(v, "$.total_turns", "bigint").alias("total_turns"), F.array_join(each, "|").alias("turns"))
+
+
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'rate_limit' WHEN 1 THEN 'server' WHEN 2 THEN 'truncated' WHEN 3 THEN 'rate_limit' ELSE 'other' END AS kind FROM events""")
+def error_classes(spark: SparkSession, d: str) -> DataFrame:
+    said = F.array(*map(F.lit, ("HTTP 429 for ", "503 Service Unavailable ", "the answer was Truncated at ", "Rate-limit reached by ", "500000 rows of ", "")))
+    message = F.concat(F.element_at(said, (F.col("event_id") % 6 + 1).cast("int")), F.lit("\u00b6"), "event_type")
+    return table(spark, d, "events").select("event_id", jsonx.error_class(message).alias("kind"))
 
 
 @query("""SELECT event_id, CASE event_id % 5 WHEN 3 THEN 'truncated' WHEN 4 THEN 'empty' ELSE 'ok' END AS status, CASE WHEN event_id % 5 < 3 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""")
@@ -510,8 +614,6 @@ def json_lenient_decode(spark: SparkSession, d: str) -> DataFrame:
     said = F.when(k == 0, F.col("props")).when(k == 1, F.concat(F.lit("here you go:\n"), "props", F.lit("\nbye"))).when(k == 2, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(k == 3, F.lit('{"k": 1')).otherwise(F.lit("  "))
     rows = table(spark, d, "events").select("event_id", said.alias("s"))
     kind = F.col("s")
-    from . import schemas
-
     return rows.select("event_id", jsonx.decode_status(kind).alias("status"), jsonx.decode(kind, schemas.struct("k int"))["k"].alias("k"))
 
 
@@ -522,10 +624,54 @@ def memory_index(spark: SparkSession, d: str) -> DataFrame:
     return pack.memory_index(rows, 600).select("conversation_id", "anchor", "summary", F.array_join("terms", "|").alias("terms"))
 
 
-@query(None)
+FULL_SECTION = f"{SECTION} || {POINTS} || '**tags**: ' || array_to_string(tags, ', ') || chr(10) || chr(10) || '**terms**: A, b' || chr(10) || chr(10) || chr(10) || '---' || chr(10) || chr(10)"
+MEMORY = f"""WITH RECURSIVE x AS ({THREADED} SELECT conversation_id, thread_start_time, {FULL_SECTION} AS section FROM t),
+s AS (SELECT row_number() OVER (ORDER BY thread_start_time, conversation_id) AS i, conversation_id, section, strlen(section) AS bytes FROM x),
+p AS (SELECT i, conversation_id, section, bytes, 21 + bytes AS open, CAST(1 AS BIGINT) AS shard_no FROM s WHERE i = 1
+UNION ALL SELECT s.i, s.conversation_id, s.section, s.bytes, CASE WHEN p.open + s.bytes > {SHARD_BYTES} THEN 21 + s.bytes ELSE p.open + s.bytes END,
+CASE WHEN p.open + s.bytes > {SHARD_BYTES} THEN p.shard_no + 1 ELSE p.shard_no END FROM p JOIN s ON s.i = p.i + 1)"""
+
+
+@query(f"{MEMORY} SELECT conversation_id, shard_no, 'memories_' || printf('%04d', shard_no) || '.md' AS shard_file, bytes AS _bytes FROM p")
 def memory_pack(spark: SparkSession, d: str) -> DataFrame:
-    """Whole packing of rendered sections; tests hold it against a fold."""
-    return pack.memory_shards(_summaries(spark, d), SHARD_BYTES).select("conversation_id", "shard_no", "shard_file", "_bytes")
+    """Whole packing of rendered sections."""
+    return pack.memory_shards(_summaries(spark, d), SHARD_BYTES).select("conversation_id", "shard_no", "shard_file", F.col("_bytes").cast("bigint").alias("_bytes"))
+
+
+@query(f"{MEMORY} SELECT 'memories_' || printf('%04d', shard_no) || '.md' AS shard_file, '# Memory Shard ' || printf('%04d', shard_no) || chr(10) || chr(10) || string_agg(section, '' ORDER BY i) AS content FROM p GROUP BY shard_no")
+def memory_files(spark: SparkSession, d: str) -> DataFrame:
+    """Shards as files called by their names, and read again."""
+    path = f"{shared_dir(spark)}/memory-{uuid.uuid4().hex}"
+    writers.documents(pack.shard_files(pack.memory_shards(_summaries(spark, d), SHARD_BYTES)), path, "shard_file", "content")
+    read = spark.read.text(path, wholetext=True)
+    return read.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("shard_file"), F.expr("left(value, length(value) - 1)").alias("content"))  # the line's own end
+
+
+@query(f"{MEMORY} SELECT conversation_id, 'thread-' || conversation_id AS anchor, section FROM p")
+def index_to_shard(spark: SparkSession, d: str) -> DataFrame:
+    """Index rows followed to their sections in the shards."""
+    packed = stored(pack.memory_shards(_summaries(spark, d), SHARD_BYTES), "packed")
+    return pack.with_shards(pack.memory_index(packed), pack.shard_files(packed)).select("conversation_id", "anchor", "section")
+
+
+@query(f"""WITH m AS ({TALK}), t AS (SELECT conversation_id, trim(arg_min(text, msg_idx), {WS}) AS s, list(DISTINCT role ORDER BY role) AS roles FROM m GROUP BY 1)
+SELECT conversation_id, 'thread-' || conversation_id AS anchor, strftime(make_timestamp(CAST(floor(CAST(conversation_id AS DOUBLE) * 1000 + 0.5) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS iso, {cut("s", 400)} AS emotional_summary, array_to_string(roles, '|') AS dominant_emotions, 'A|b' AS themes, 'up' AS emotional_arc FROM t""")
+def sentiment_memory_index(spark: SparkSession, d: str) -> DataFrame:
+    found = pack.sentiment_index(_thread_moods(spark, d).withColumn("shard_file", F.lit("sentiment_memories_0001.md")), 600)
+    return found.select("conversation_id", "anchor", F.col("thread_start_time_iso8601").alias("iso"), "emotional_summary", F.array_join("dominant_emotions", "|").alias("dominant_emotions"), F.array_join("themes", "|").alias("themes"), "emotional_arc")
+
+
+def _thread_moods(spark: SparkSession, d: str) -> DataFrame:
+    none = F.array().cast("array<string>")
+    return _summaries(spark, d).withColumns({"emotional_summary": F.col("summary"), "dominant_emotions": F.concat(F.col("tags"), F.array(F.upper(F.col("tags")[0]))), "remembered_emotions": none, "present_emotions": F.array(F.lit(" ")), "emotional_tensions": none, "themes": F.col("terms"), "relational_shift": F.lit(" "), "emotional_arc": F.lit(" up\n")})
+
+
+@query(f"""WITH m AS ({TALK}), t AS (SELECT conversation_id, trim(arg_min(text, msg_idx), {WS}) AS s, list(DISTINCT role ORDER BY role) AS roles FROM m GROUP BY 1)
+SELECT conversation_id, 'Talk ' || conversation_id AS title, conversation_id || '.thread.sentiment.summary.json' AS path, {cut("s", 300)} AS emotional_summary, array_to_string(roles[1:2], '|') AS dominant_emotions, 'A' AS themes, '' AS relational_shift FROM t""")
+def thread_sentiment_index(spark: SparkSession, d: str) -> DataFrame:
+    rows = _thread_moods(spark, d).withColumn("thread_sentiment_summary_path", F.concat(text.file_component("conversation_id"), F.lit(".thread.sentiment.summary.json")))
+    found = index.thread_sentiment_index(rows, 300, 1, 2)
+    return found.select("conversation_id", "title", F.col("thread_sentiment_summary_path").alias("path"), "emotional_summary", F.array_join("dominant_emotions", "|").alias("dominant_emotions"), F.array_join("themes", "|").alias("themes"), "relational_shift")
 
 
 @query(f"{THREADED} SELECT conversation_id, thread_start_time, title, conversation_id || '.thread.summary.json' AS thread_summary_path, array_to_string(tags[1:2], '|') AS tags, 'A|b' AS terms FROM t")
@@ -536,8 +682,126 @@ def thread_index(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT count(*) AS n_threads, CAST(sum(n) AS BIGINT) AS n_messages, CAST(sum(b) AS BIGINT) AS n_bytes FROM (SELECT conv_id, count(*) AS n, sum(strlen(text)) AS b FROM conversations GROUP BY 1)")
 def run_counters(spark: SparkSession, d: str) -> DataFrame:
-    m = talk(spark, d)
-    return m.agg(F.count_distinct("conversation_id").alias("n_threads"), F.count(F.lit(1)).alias("n_messages"), F.sum(F.octet_length("text")).alias("n_bytes"))
+    return stats.thread_counters(threads_of(talk(spark, d)))
+
+
+# ---- sources and sinks: written to the shared folder and read again
+
+
+def _fresh(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_CHAIN = f"SELECT conversation_id, msg_idx, role, text FROM ({TALK}) WHERE trim(text, {WS}) <> ''"
+
+
+def _archive(spark: SparkSession, d: str, head: str, tail: str) -> str:
+    """An archive of several files, each with some conversations as one JSON document."""
+    path = _fresh(spark, "archive")
+    rows = _trees(spark, d).select((F.xxhash64("conversation_id") % 4).alias("part"), F.to_json(F.struct("*")).alias("json"))
+    whole = rows.groupBy("part").agg(F.concat(F.lit(head), F.array_join(F.collect_list("json"), ",\n"), F.lit(tail)).alias("value"))
+    whole.repartition("part").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def _as_messages(found: DataFrame) -> DataFrame:
+    m = linearize.messages(linearize.good(linearize.threads(found)))
+    return m.select("conversation_id", F.expr("CAST(row_number() OVER (PARTITION BY conversation_id ORDER BY msg_idx) - 1 AS INT)").alias("msg_idx"), "role", "text")
+
+
+_NUMBERED = f"SELECT conversation_id, CAST(row_number() OVER (PARTITION BY conversation_id ORDER BY msg_idx) - 1 AS INTEGER) AS msg_idx, role, text FROM ({_CHAIN})"
+# where a conversation has one message and no current leaf, the side branch is as late and wins
+_READ = f"""SELECT n.conversation_id, n.msg_idx, n.role, n.text FROM ({_NUMBERED}) n UNION ALL
+SELECT CAST(conv_id AS VARCHAR), CAST(CASE WHEN trim(min(text), {WS}) <> '' THEN 1 ELSE 0 END AS INTEGER), min(role), 'aside' FROM conversations GROUP BY conv_id HAVING max(turn) = 0 AND conv_id % 2 <> 0"""
+
+
+@query(_READ)
+def archive_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Archives that are arrays."""
+    return _as_messages(readers.archive(spark, _archive(spark, d, "[", "]\n")))
+
+
+@query(_READ)
+def archive_scan_wrapped(spark: SparkSession, d: str) -> DataFrame:
+    """Archives that hold their array in an object's first array field."""
+    return _as_messages(readers.archive(spark, _archive(spark, d, '{"version": 3, "conversations": [', '], "more": [1]}\n')))
+
+
+def _chunk_rows(spark: SparkSession, d: str) -> DataFrame:
+    made = turns.chunks(threads_of(talk(spark, d)), TARGET)
+    return made.withColumn("rel_path", turns.chunk_path(text.file_component("conversation_id")))
+
+
+@query(f"""WITH {TURNED}, c AS (SELECT *, turn_index // {TARGET} + 1 AS chunk_number FROM turned)
+SELECT conversation_id || '/' || CAST(floor(CAST(conversation_id AS DOUBLE) * 1000 + 0.5) AS BIGINT) || '_' || chunk_number || '.json' AS rel_path, conversation_id, CAST(chunk_number AS INTEGER) AS chunk_number, min(turn_index) AS turn_start,
+max(turn_index) + 1 AS turn_end, string_agg(role || ':' || text, '|' ORDER BY msg_idx) AS messages FROM c GROUP BY conversation_id, c.chunk_number""")
+def chunk_files(spark: SparkSession, d: str) -> DataFrame:
+    """A file for each chunk; those of summaries beside them are left out when the chunks are read."""
+    path, rows = _fresh(spark, "chunks"), _chunk_rows(spark, d)
+    writers.documents(rows.withColumn("json", writers.pretty_json(rows, schemas.names(schemas.CHUNK), True)), path, "rel_path", "json")
+    beside = rows.select(F.regexp_replace("rel_path", r"\.json$", readers.SUMMARY).alias("file"), F.to_json(F.struct("conversation_id", "chunk_number")).alias("json"))
+    writers.documents(beside, path, "file", "json")
+    said = F.array_join(F.transform("messages", lambda m: F.concat(m.role, F.lit(":"), m.text)), "|")
+    return readers.chunks(spark, path).select("rel_path", "conversation_id", "chunk_number", "turn_start", "turn_end", said.alias("messages"))
+
+
+@query(f"""WITH m AS ({TALK}) SELECT conversation_id || '.json' AS rel_path, conversation_id, 'Talk ' || conversation_id AS title, CAST(count(*) AS INTEGER) AS n_messages, string_agg(text, '|' ORDER BY msg_idx) AS texts FROM m GROUP BY conversation_id""")
+def thread_files(spark: SparkSession, d: str) -> DataFrame:
+    """A file for each thread, read again."""
+    path, rows = _fresh(spark, "threads"), threads_of(talk(spark, d))
+    named = linearize.numbered_names(rows, "conversation_id", "conversation_id").withColumn("file_name", F.concat("file_name", F.lit(".json")))
+    writers.documents(named.withColumn("json", writers.pretty_json(named, schemas.names(schemas.THREAD))), path, "file_name", "json")
+    return readers.threads(spark, path).select("rel_path", "conversation_id", "title", F.size("messages").alias("n_messages"), F.array_join("messages.text", "|").alias("texts"))
+
+
+def _summary_files(spark: SparkSession, d: str, schema: str, suffix: str) -> str:
+    """A file for each labelled document: its text as the summary, its words as the lists."""
+    path = _fresh(spark, "summaries")
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("conversation_id"), "text", F.split("text", " ").alias("w"))
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.struct(schema)}
+    own = {"conversation_id": F.col("conversation_id"), "thread_start_time": F.lit(1.5), "chunk_number": F.lit(2), "turn_start": F.lit(0), "turn_end": F.lit(4), "title": F.lit("T")}
+    of = {c: own.get(c, F.col("text") if k == "string" else F.col("w")).alias(c) for c, k in kinds.items()}
+    writers.documents(rows.select(F.concat(F.lit("a/"), "conversation_id", F.lit(suffix)).alias("file"), F.to_json(F.struct(*of.values())).alias("json")), path, "file", "json")
+    return path
+
+
+_ALL_WORDS = "array_to_string(string_split(text, ' '), '|')"
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS conversation_id, 'a/' || doc_id || '.summary.json' AS rel_path, text AS summary, {_ALL_WORDS} AS terms, CAST(2 AS INTEGER) AS chunk_number FROM documents")
+def summary_files(spark: SparkSession, d: str) -> DataFrame:
+    path = _summary_files(spark, d, schemas.CHUNK_SUMMARY, readers.SUMMARY)
+    return readers.summaries(spark, path).select("conversation_id", "rel_path", "summary", F.array_join("terms", "|").alias("terms"), "chunk_number")
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS conversation_id, text AS emotional_summary, {_ALL_WORDS} AS themes FROM documents")
+def sentiment_files(spark: SparkSession, d: str) -> DataFrame:
+    path = _summary_files(spark, d, schemas.CHUNK_SENTIMENT, readers.SENTIMENT)
+    return readers.sentiments(spark, path).select("conversation_id", "emotional_summary", F.array_join("themes", "|").alias("themes"))
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS conversation_id, text AS summary, {_ALL_WORDS} AS tags, text AS emotional_summary FROM documents")
+def thread_summary_files(spark: SparkSession, d: str) -> DataFrame:
+    a = readers.thread_summaries(spark, _summary_files(spark, d, schemas.THREAD_SUMMARY, readers.THREAD_SUMMARY)).select("conversation_id", "summary", F.array_join("tags", "|").alias("tags"))
+    b = readers.thread_sentiments(spark, _summary_files(spark, d, schemas.THREAD_SENTIMENT, readers.THREAD_SENTIMENT)).select("conversation_id", "emotional_summary")
+    return a.join(b, "conversation_id")
+
+
+@query(f"WITH {ADDITIONS} SELECT *, CAST(row_number() OVER (ORDER BY count DESC, lower(term), term) AS BIGINT) AS pos FROM g")
+def glossary_file(spark: SparkSession, d: str) -> DataFrame:
+    """The glossary written as one document, and read again in its order."""
+    path = _fresh(spark, "glossary")
+    writers.glossary(glossary.merge(_additions(spark, d)), path)
+    return readers.glossary(spark, path, "pos")
+
+
+@query(f"SELECT doc_id, CASE WHEN lang = 'en' THEN NULL ELSE lang END AS lang, {_ALL_WORDS} AS words FROM documents")
+def index_lines(spark: SparkSession, d: str) -> DataFrame:
+    """JSON lines sorted by a path; empty fields are left out."""
+    path = _fresh(spark, "index")
+    rows = table(spark, d, "documents").select("doc_id", F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("path"), F.when(F.col("lang") == "en", F.lit("")).otherwise(F.col("lang")).alias("lang"), F.split("text", " ").alias("words"))
+    writers.index_lines(writers.without_empty(rows), path, "path")
+    return spark.read.schema("doc_id bigint, path string, lang string, words array<string>").json(path).select("doc_id", "lang", F.array_join("words", "|").alias("words"))
 
 
 def queries() -> dict[str, Query]:

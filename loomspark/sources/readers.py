@@ -64,6 +64,8 @@ def threads(spark: SparkSession, path: str) -> DataFrame:
 def chunks(spark: SparkSession, path: str) -> DataFrame:
     """Valid chunk files below a folder; folders of summaries and indexes are left out, so are invalid files."""
     rows = json_files(spark, path, schemas.CHUNK, ".json", SUMMARY)
+    if path.rstrip("/").rpartition("/")[2].lower() in SKIPPED_DIRS:
+        rows = rows.limit(0)
     inside = rows.filter(~F.lower("rel_path").rlike("(^|/)(" + "|".join(SKIPPED_DIRS) + ")/"))
     return inside.filter("conversation_id != '' AND chunk_number != 0")
 
@@ -90,12 +92,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def glossary(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of a glossary file, none if it is missing."""
+def glossary(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
+    """Entries of a glossary file, none if it is missing; place: a column for their place, from 1."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schemas.GLOSSARY_ENTRY)
+        return spark.createDataFrame([], schemas.GLOSSARY_ENTRY + (f", {place} bigint" if place else ""))
     entries = f"version int, entries array<struct<{schemas.GLOSSARY_ENTRY.replace(' string', ':string').replace(' int', ':int').replace(' double', ':double')}>>"
-    return spark.read.schema(entries).option("multiLine", True).json(path).select(F.inline(F.coalesce("entries", F.array().cast(schemas.struct(entries)["entries"].dataType))))
+    rows = spark.read.schema(entries).option("multiLine", True).json(path).select(F.posexplode(F.coalesce("entries", F.array().cast(schemas.struct(entries)["entries"].dataType))).alias("_at", "e"))
+    return rows.select("e.*", *([(F.col("_at") + 1).cast("bigint").alias(place)] if place else []))
 
 
 def prompt_header(spark: SparkSession, path: str) -> str:

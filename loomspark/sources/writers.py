@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,8 +41,40 @@ def index_lines(df: DataFrame, path: str, order: str, overwrite: bool = True, ig
 
 
 def documents(df: DataFrame, path: str, name: str, content: str, overwrite: bool = False) -> None:
-    """One text file for each row: <path>/<name>=<value>/part-*."""
-    df.select(F.col(content).cast("string").alias("value"), F.col(name).alias("name")).repartition("name").write.mode(mode(overwrite)).option("lineSep", "\n").partitionBy("name").text(path)
+    """One text file for each row, called by its name; a slash in it begins a folder below the path.
+
+    Rows are written by the executors under the commit protocol, into a folder beside; the driver then
+    only renames. Without overwrite a file that is there already is an error, and nothing is moved.
+    """
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    df.select(F.col(content).cast("string").alias("value"), F.col(name).alias("name")).repartition("name").write.option("lineSep", "\n").option("maxRecordsPerFile", 1).partitionBy("name").text(staging)
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    store = at(path).getFileSystem(conf)
+    try:
+        moves = []
+        for found in store.globStatus(at(staging + "/name=*/part-*")) or ():
+            own = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(found.getPath().getParent().getName().removeprefix("name="))
+            moves.append((found.getPath(), at(f"{path.rstrip('/')}/{own}")))
+        targets = [str(to) for _, to in moves]
+        if len(set(targets)) < len(targets):
+            raise ValueError("two rows have one file name")
+        if not overwrite and (there := [t for _, t in moves if store.exists(t)]):
+            raise FileExistsError(str(there[0]))
+        store.mkdirs(at(path))
+        for folder in {str(to.getParent()) for _, to in moves}:
+            store.mkdirs(at(folder))
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda move: _move(store, *move), moves))
+    finally:
+        store.delete(at(staging), True)
+
+
+def _move(store, source, target) -> None:
+    if store.exists(target):
+        store.delete(target, False)
+    if not store.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 def pretty_json(df: DataFrame, columns: list[str], pretty: bool = False):
@@ -48,12 +83,17 @@ def pretty_json(df: DataFrame, columns: list[str], pretty: bool = False):
 
 
 def glossary(entries: DataFrame, path: str) -> None:
-    """The glossary as one JSON document with its version, in order; it holds terms, not their uses."""
-    from ..operators.glossary import ordered
+    """The glossary as one JSON document with its version, an entry a line, in order.
+
+    Lines are sorted by ranges; the one task that writes the file passes them on one by one.
+    """
+    from ..operators.order import numbered
 
-    rank = F.struct((-F.col("count")).alias("c"), F.lower("term").alias("l"), F.col("term").alias("t"), F.struct("term", "definition", "count", "first_seen_at", "last_seen_at").alias("e"))
-    one = ordered(entries).agg(F.transform(F.array_sort(F.collect_list(rank)), lambda x: x.e).alias("entries")).select(F.lit(1).alias("version"), "entries")
-    one.select(F.to_json(F.struct("version", "entries"), {"pretty": "true"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    own = F.to_json(F.struct("term", "definition", "count", "first_seen_at", "last_seen_at"))
+    ranked = numbered(entries, [-F.col("count"), F.lower("term"), F.col("term")], "pos", "bigint").select("pos", F.concat(F.when(F.col("pos") > 1, F.lit(",")).otherwise(F.lit("")), own).alias("value"))
+    spark = entries.sparkSession
+    ends = spark.createDataFrame([(0, '{"version": 1, "entries": ['), ((1 << 62), "]}")], "pos bigint, value string")
+    ranked.unionByName(ends).repartition(1).sortWithinPartitions("pos").select("value").write.mode("overwrite").text(path)
 
 
 def copy_if_exists(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> bool:

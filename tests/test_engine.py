@@ -218,7 +218,7 @@ def test_pipeline_end_to_end_and_resume(spark, archive, tmp_path):
     assert Pipeline(spark, c).run() == []
     assert p.stats()["threads"] == 6 and p.stats()["text_bytes"] > 0
     p.export(str(tmp_path / "files"))
-    back = spark.read.schema(schemas.CHUNK).json(str(tmp_path / "files" / "chunks"))
+    back = readers.chunks(spark, str(tmp_path / "files" / "chunks"))
     assert back.count() == chunks and {r.conversation_id for r in back.collect()} == ids
 
 
@@ -268,3 +268,175 @@ def test_activity_stream(spark, tmp_path):
     q = incremental.activity_stream(live).writeStream.format("memory").queryName("activity").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("activity").agg(F.sum("n")).first()[0] == events.count()
+
+
+class Scripted:
+    """A provider that answers by a function of the request, and counts how often it is asked."""
+
+    def __init__(self, answer, log):
+        self.answer, self.log = answer, log
+
+    def complete(self, requests):
+        rows = [(r.request_id, *self.answer(r)) for r in requests.collect()]
+        self.log.extend(r.asDict() for r in requests.collect())
+        return requests.sparkSession.createDataFrame(rows, providers.ANSWER)
+
+
+SUMMARY = json.dumps({"summary": "s", "key_points": ["k"], "tags": ["t"], "terms": ["m"], "emotional_summary": "e", "dominant_emotions": ["joy"], "remembered_emotions": [], "present_emotions": [], "emotional_tensions": [], "relational_shift": "", "emotional_arc": "", "themes": ["x"], "symbols_or_metaphors": [], "resonance_notes": "", "tone_markers": []})
+
+
+@pytest.fixture
+def talks(tmp_path):
+    rows = [chain(c, *(message(r, [f"{c} {i} {r}"]) for i in range(n) for r in ("user", "assistant"))) for c, n in (("a", 4), ("b", 1), ("long", 6))]
+    path = tmp_path / "talks.json"
+    path.write_text(json.dumps(rows))
+    return path
+
+
+def test_breakpoint_models(spark, talks, tmp_path):
+    from loomspark.plans import deciders
+
+    def answer(r):
+        assert json.loads(r.schema)["properties"]["breakpoints"]["items"]["type"] == "integer" and r.max_tokens == 1500
+        asked = json.loads(r.prompt)
+        if asked["conversation_id"] == "long":
+            return None, "HTTP 500"
+        return ('{"breakpoints": [1, 9, 1]}' if asked["conversation_id"] == "a" else '{"breakpo'), None
+
+    log = []
+    p = Pipeline(spark, Config(str(talks), str(tmp_path / "m"), target_turns=3), decider=deciders.ModelDecider(Scripted(answer, log)))
+    assert p.split() and p.chunk() and len(log) == 3
+    made = {}
+    for r in p.table("chunks").orderBy("conversation_id", "chunk_number").collect():
+        made.setdefault(r.conversation_id, []).append((r.turn_start, r.turn_end))
+    assert made == {"a": [(0, 1), (1, 4)], "b": [(0, 1)]}
+    assert [(r.stage, r.status) for r in p.table("errors").collect()] == [("chunk", "error: HTTP 500")]
+    # the thread without a decision is asked for again
+    p = Pipeline(spark, p.c, decider=deciders.FunctionDecider(lambda t, n: t.groupBy("conversation_id").agg(F.array(F.lit(2), F.max("turn_index")).alias("breakpoints"))))
+    assert p.chunk() and not p.chunk()
+    assert [(r.turn_start, r.turn_end) for r in p.table("chunks").filter("conversation_id = 'long'").orderBy("chunk_number").collect()] == [(0, 2), (2, 5), (5, 6)]
+
+
+def test_second_tries_errors_and_partial_resume(spark, talks, tmp_path):
+    """A thread of which a part fails isn't merged; the next run asks for that part alone."""
+    log, broken = [], {"on": True}
+
+    def answer(r):
+        if "part=" in r.prompt and "partial_rollups=" in r.prompt:
+            return (SUMMARY if r.max_tokens == 4500 else SUMMARY[:-9]), None
+        if broken["on"] and "chunks=1" in r.prompt and "conversation_id=long" in r.prompt and "turn_range=4..6" in r.prompt:
+            return None, "HTTP 400 no"
+        return SUMMARY, None
+
+    c = Config(str(talks), str(tmp_path / "r"), target_turns=2, max_chunks_per_thread=1, glossary_min_count=1)
+    p = Pipeline(spark, c, Scripted(answer, log))
+    for stage in ("split", "chunk", "summarize"):
+        assert getattr(p, stage)()
+    log.clear()
+    assert p.rollup()
+    assert {r.conversation_id for r in p.table("thread_summaries").collect()} == {"a", "b"}
+    merges = [r for r in log if "partial_rollups=" in r["prompt"]]
+    assert sorted(r["max_tokens"] for r in merges) == [2600, 2600, 4500, 4500]
+    assert all('title=T a' in r["prompt"] for r in merges)
+    failed = p.table("errors").collect()
+    assert {(r.stage, r.status) for r in failed} == {("thread_summaries_parts", "error: HTTP 400 no"), ("thread_sentiments_parts", "error: HTTP 400 no")}
+    broken["on"] = False
+    log.clear()
+    assert p.rollup() and {r.conversation_id for r in p.table("thread_summaries").collect()} == {"a", "b", "long"}
+    assert len([r for r in log if "chunks=1" in r["prompt"]]) == 2  # one part of either kind
+    assert p.table("thread_summaries").count() == 3 and not p.rollup()
+    assert p.stats()["errors"] == 2
+    strict = Pipeline(spark, Config(str(talks), str(tmp_path / "s"), strict=True), Scripted(lambda r: (None, "HTTP 400"), []))
+    with pytest.raises(RuntimeError, match="HTTP 400"):
+        strict.run()
+
+
+def test_pack_modes_and_own_folders(spark, talks, tmp_path):
+    c = Config(str(talks), str(tmp_path / "base"), mode="sentiment", memory_dir=str(tmp_path / "memory"), chunks_dir=str(tmp_path / "cut"), max_shard_bytes=300)
+    p = Pipeline(spark, c)
+    assert p.run() == ["split", "chunk", "summarize", "rollup", "pack"]
+    assert (tmp_path / "memory" / "sentiment_memory" / "sentiment_memories_0001.md").exists() and not (tmp_path / "memory" / "memory").exists()
+    assert (tmp_path / "cut" / "chunks" / "_SUCCESS").exists() and not (tmp_path / "base" / "chunks").exists()
+    both = Pipeline(spark, Config(str(talks), str(tmp_path / "base"), memory_dir=str(tmp_path / "memory"), chunks_dir=str(tmp_path / "cut")))
+    assert both.pack() and (tmp_path / "memory" / "memory" / "memories_0001.md").read_text().startswith("# Memory Shard 0001\n\n<a id=")
+    with pytest.raises(ValueError, match="mode"):
+        Config("a", "b", mode="x").validate()
+
+
+def test_one_file_for_each_row(spark, tmp_path):
+    rows = spark.createDataFrame([("a/x 1.json", "one"), ("b=é.json", "two\nlines"), ("c.json", None)], "n string, t string")
+    path = tmp_path / "out"
+    writers.documents(rows, str(path), "n", "t")
+    assert (path / "a" / "x 1.json").read_text() == "one\n" and (path / "b=é.json").read_text() == "two\nlines\n" and [x.name for x in tmp_path.iterdir()] == ["out"]
+    with pytest.raises(FileExistsError):
+        writers.documents(rows.limit(1), str(path), "n", "t")
+    writers.documents(rows.withColumn("t", F.lit("new")), str(path), "n", "t", overwrite=True)
+    assert (path / "c.json").read_text() == "new\n"
+    with pytest.raises(ValueError, match="one file name"):
+        writers.documents(rows.withColumn("n", F.lit("same")), str(path), "n", "t")
+
+
+def test_http_provider(spark):
+    """Requests as the service sees them, its errors, and the key from the environment."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            seen.append((body, self.headers.get("Authorization")))
+            busy = body["input"] == "busy" and sum(b["input"] == "busy" for b, _ in seen) < 3
+            self.send_response(429 if busy else 400 if body["input"] == "bad" else 200)
+            self.end_headers()
+            said = {"output": [{"type": "reasoning"}, {"content": [{"type": "output_text", "text": '{"k": '}, {"text": "7}"}]}]}
+            self.wfile.write(json.dumps(said).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        rows = spark.createDataFrame([("a", "fine"), ("b", "busy"), ("c", "bad")], "conversation_id string, prompt string")
+        provider = providers.HttpProvider(f"http://127.0.0.1:{server.server_port}/", "m", "HOME", tasks=1, waits=((0, 0), (0, 0)))
+        got = {r.conversation_id: (r.k, r.status[:10]) for r in providers.ask(provider, rows, ["conversation_id"], "k int", "do it", 99).collect()}
+    finally:
+        server.shutdown()
+    assert got == {"a": (7, "ok"), "b": (7, "ok"), "c": (None, "error: HTT")}
+    assert len(seen) == 5 and all(key.startswith("Bearer ") for _, key in seen)
+    body = next(b for b, _ in seen if b["input"] == "fine")
+    assert (body["model"], body["instructions"], body["max_output_tokens"]) == ("m", "do it", 99) and body["text"]["format"]["schema"]["required"] == ["k"]
+
+
+def test_places_without_a_single_task(spark):
+    from loomspark.operators import order
+
+    rows = spark.createDataFrame([(i % 3 if i % 5 else None, i % 7) for i in range(500)], "g int, v int").repartition(6)
+    got = order.numbered(rows, [F.coalesce("g", F.lit(-1)), F.col("v")], "pos").orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(1, 501)) and [(r.g if r.g is not None else -1, r.v) for r in got] == sorted((r.g if r.g is not None else -1, r.v) for r in got)
+    nth = order.nth_of(rows, F.col("g"), [F.col("v")]).collect()
+    for g in (None, 0, 1, 2):
+        own = sorted((r.nth, r.v) for r in nth if r.g == g)
+        assert [n for n, _ in own] == list(range(1, len(own) + 1)) and [v for _, v in own] == sorted(v for _, v in own)
+    assert order.numbered(rows.limit(0), [F.col("v")]).count() == 0
+
+
+def test_next_fit_of_null_and_empty_sections(spark):
+    sizes = [(i, None if i % 9 == 0 else 0 if i % 4 else 120) for i in range(400)]
+    rows = spark.createDataFrame(sizes, "i int, b int").repartition(5)
+    got = {r.i: (r.shard_no, r.b) for r in pack.next_fit(rows, "b", ["i"], 300, 21).collect()}
+    assert [got[i][0] for i in range(400)] == pack.fold_pack((b or 0 for _, b in sizes), 300, 21) and {i: b for i, (_, b) in got.items()} == dict(sizes)
+
+
+def test_long_graphs_walk_in_linear_time(spark):
+    import time
+
+    n = 20_000
+    value = lambda i: F.struct(i.cast("string").alias("id"), F.struct(F.struct(F.lit("user").alias("role"), F.lit("").alias("name")).alias("author"), i.cast("double").alias("create_time"), F.lit('{"parts": ["x"]}').alias("content"), F.lit("{}").alias("metadata")).alias("message"), F.when(i > 0, (i - 1).cast("string")).alias("parent"), F.array().cast("array<string>").alias("children"))
+    ids = F.sequence(F.lit(0), F.lit(n - 1))
+    raw = spark.range(1).select(F.lit("c").alias("conversation_id"), F.lit("").alias("id"), F.lit("").alias("title"), F.lit(1.0).alias("create_time"), F.lit(1.0).alias("update_time"), F.lit(str(n - 1)).alias("current_node"), F.map_from_arrays(F.transform(ids, lambda i: i.cast("string")), F.transform(ids, value)).alias("mapping"))
+    began = time.time()
+    r = linearize.threads(raw).select(F.size("messages").alias("n"), "err").first()
+    assert (r.n, r.err) == (n, None) and time.time() - began < 40
