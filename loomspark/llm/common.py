@@ -64,16 +64,21 @@ def discard(*frames: DataFrame) -> None:
 
 
 def mark() -> int:
-    """What release() takes to mean that everything named from now on may go."""
+    """A point in time, for stored_since."""
     return len(_named)
 
 
-def release(spark: SparkSession, since: int = 0, but: str | None = None) -> None:
-    """Remove what was stored since a mark, except one folder. Frames that read the rest are void then."""
-    gone = [p for p in _named[since:] if p != but]
-    _named[since:] = [p for p in _named[since:] if p == but]
-    for path in gone:
-        drop_path(spark, path)
+def stored_since(point: int) -> list[str]:
+    """Folders named since a point and not removed yet."""
+    return _named[point:]
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove folders that fresh_path has named, all of them if none are given. Frames that read them are void then."""
+    for path in list(_named) if paths is None else paths:
+        if path in _named:
+            _named.remove(path)
+            drop_path(spark, path)
 
 
 def _path(spark: SparkSession, path: str):
