@@ -34,6 +34,7 @@ and keeps of rows that are alike in id and text one.
 
 import bisect
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -168,11 +169,18 @@ def common_bits(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
+def _ratio(threshold: float) -> tuple[int, int]:
+    """A similarity as p / q: bounds are compared as whole numbers, so that a pair just on one isn't lost."""
+    exact = Fraction(threshold).limit_denominator(10_000)
+    return exact.numerator, exact.denominator
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
     """Shingles that a banded alignment of two sequences matches, repeated ones at any of their places; 0 if too few can."""
     n, m = len(a), len(b)
-    need = -(-(n + m) * threshold // (1 + threshold)) if threshold else 0
-    if min(n, m) < need - 1e-9:
+    p, q = _ratio(threshold)
+    need = -(-(n + m) * p // (p + q))
+    if min(n, m) < need:
         return 0
     # what both begin and end with is matched as it stands
     least = min(n, m)
@@ -187,7 +195,7 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
         return same
     at = np.flatnonzero(np.isin(a, b))
     of = np.flatnonzero(np.isin(b, a))
-    if same + min(len(at), len(of)) < need - 1e-9:
+    if same + min(len(at), len(of)) < need:
         return 0
     if not len(at):
         return same
@@ -277,7 +285,8 @@ def verify(pairs: DataFrame, nodes: DataFrame, source: DataFrame, threshold: flo
 
 
 def _similar(threshold: float):
-    return (F.col("matched") > 0) & (F.col("matched") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("matched")))
+    p, q = _ratio(threshold)
+    return (F.col("matched") > 0) & (F.col("matched").cast("bigint") * q >= p * (F.col("n_a") + F.col("n_b") - F.col("matched")).cast("bigint"))
 
 
 def prefix_pairs(members: DataFrame, nodes: DataFrame, source: DataFrame, threshold: float) -> DataFrame:
@@ -304,19 +313,21 @@ def prefix_pairs(members: DataFrame, nodes: DataFrame, source: DataFrame, thresh
     often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("f"), F.min("class").alias("lo"), F.max("class").alias("hi")).filter("f > 1")
     often = stored(often.select("s", "f", (F.col("lo") != F.col("hi")).alias("mixed")), "shingle-counts")
     ranked = rows.join(often, "s", "left").withColumns({"f": F.coalesce("f", F.lit(1)), "mixed": F.coalesce("mixed", F.lit(False))}).groupBy("node", "class", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s", "mixed"))).alias("r"))
-    rare = F.slice("r", F.lit(1), (F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1).cast("int"))
+    p, q = _ratio(threshold)
+    rare = F.slice("r", F.lit(1), F.expr(f"CAST(n - (CAST(n AS BIGINT) * {p} + {q - 1}) DIV {q} + 1 AS INT)"))
     common = F.size(F.filter("r", lambda x: x.f > RARE)).alias("c")
     heads = ranked.select("node", "class", "n", common, F.explode(F.filter(rare, lambda x: x.mixed)).alias("x")).select("node", "class", "n", "c", (F.col("x.f") <= RARE).alias("rare"), F.col("x.s").alias("s"))
     # lengths of similar texts fall into one class of lengths or two neighbouring ones
-    length = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold)) + 1e-9)
-    heads = stored(heads.filter(F.col("rare") | (F.col("c") >= threshold * F.col("n") - 1e-6)).withColumn("length", length), "prefixes")
+    length = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / threshold * 1.001)))
+    heads = stored(heads.filter(F.col("rare") | (F.col("c").cast("bigint") * q >= F.col("n").cast("bigint") * p)).withColumn("length", length), "prefixes")
     largest = heads.groupBy("s", "class").count().groupBy("s").agg(F.max(F.struct("count", "class")).alias("l")).select("s", F.col("l.class").alias("largest"))
     largest = stored(largest, "largest-classes")
     near = F.explode(F.array(F.col("length") - 1, F.col("length"), F.col("length") + 1)).alias("length")
     a = heads.join(largest, "s").filter("class != largest").select("s", F.col("node").alias("x"), F.col("class").alias("class_x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), near)
     b = heads.select("s", F.col("node").alias("y"), F.col("class").alias("class_y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), "rare", "length")
-    need = threshold / (1 + threshold) * (F.col("n_x") + F.col("n_y")) - 1e-6
-    fits = (F.col("class_x") != F.col("class_y")) & (F.least("n_x", "n_y") >= need) & (F.col("rare") | (F.least("c_x", "c_y") >= need))
+    need = (F.col("n_x") + F.col("n_y")).cast("bigint") * p
+    reaches = lambda n: n.cast("bigint") * (p + q) >= need
+    fits = (F.col("class_x") != F.col("class_y")) & reaches(F.least("n_x", "n_y")) & (F.col("rare") | reaches(F.least("c_x", "c_y")))
     found = stored(a.join(b, ["s", "length"]).filter(fits).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "prefix-pairs")
     discard(held, often, heads, largest)
     return found
@@ -350,8 +361,10 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     left = few.select("key", F.col("node").alias("a"), F.col("class").alias("class_a"), F.col("n").alias("n_a"), F.col("indel").alias("d_a"))
     right = few.select("key", F.col("node").alias("b"), F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("indel").alias("d_b"))
     # similar texts differ by at most this share of their shingles together
-    far = (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b"))
-    near = (F.abs(F.col("n_a") - F.col("n_b")) <= far) & F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= far, F.lit(True))
+    p, q = _ratio(threshold)
+    far = (F.col("n_a") + F.col("n_b")).cast("bigint") * (q - p)
+    within = lambda x: F.abs(x).cast("bigint") * (q + p) <= far
+    near = within(F.col("n_a") - F.col("n_b")) & F.coalesce(within(F.col("d_a") - F.col("d_b")), F.lit(True))
     across = left.join(right, "key").filter((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & near).select("a", "b")
     many = known.join(mixed.filter(F.col("size") > FEW), "key").select("node", "class").distinct()
     pairs = across.unionByName(prefix_pairs(many, nodes, source, threshold)).distinct()

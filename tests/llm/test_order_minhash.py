@@ -137,6 +137,28 @@ def test_short_texts_meet_exactly(spark):
     assert {r.doc_id: r.class_id for r in order_minhash.classes(d).collect()} == {i: i - i % 2 for i, _ in rows}
 
 
+def test_pairs_just_on_the_threshold():
+    """Whole numbers decide: of n shingles all but n / 9 match at exactly 0.8."""
+    for n in range(1, 400):
+        a, b = np.arange(5 * n, dtype=np.uint64), np.arange(5 * n, dtype=np.uint64)
+        b = b[: 4 * n]
+        assert order_minhash.aligned(a, b) == 4 * n and order_minhash.similarity(a, b) == pytest.approx(0.8)
+        assert order_minhash.aligned(a, b[:-1]) == 0
+
+
+def test_links_between_copies_of_a_hub_on_the_threshold(spark):
+    """Texts of few shingles that meet in small buckets, where distances to the hub stand just on the bound."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(60):
+        words = [f"h{k}x{i}" for i in range(rng.choice((9, 14, 18, 22, 40)))]
+        for j in range(5):
+            cut = rng.randint(0, max(1, len(words) // 9))
+            rows.append((5 * k + j, " ".join(words[cut:] if rng.random() < 0.5 else words[: len(words) - cut])))
+    d = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOC)
+    assert {r.doc_id: r.class_id for r in order_minhash.classes(d).collect()} == brute(rows)
+
+
 def test_buckets_of_many_classes(spark, monkeypatch):
     """Texts of common lines in many variants: large mixed buckets, searched by their rarest shingles."""
     monkeypatch.setattr(order_minhash, "FEW", 3)
