@@ -365,13 +365,14 @@ def templates(own: DataFrame) -> DataFrame:
     a section's template counts in full. What stands on other hosts too may be a shared passage and is
     template only with a share of its host's pages, and never as an article's prose.
     """
-    different = own.groupBy("host", "main").agg(F.first("hashes").alias("hashes"))
-    n = different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
-    counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("hash", "host").count()
-    # of a hash: its hosts, and those with enough pages
-    per_hash = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("n_hosts"), F.collect_list(F.when(F.col("count") >= MIN_PAGES, F.struct("host", "count"))).alias("often"))
-    often = per_hash.select("hash", "n_hosts", F.explode("often").alias("x")).select("hash", "n_hosts", "x.host", "x.count")
-    return often.join(n, "host").filter((F.col("n_hosts") == 1) | (F.col("hash").bitwiseAND(1) == 0) & (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
+    different = stored(own.groupBy("host", "main").agg(F.first("hashes").alias("hashes")), "different-pages")
+    n = stored(different.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages")), "host-pages")
+    counts = stored(different.select("host", F.explode("hashes").alias("hash")).groupBy("hash", "host").count(), "subtree-counts")
+    # a hash may stand on any number of hosts, so these are counted and never gathered
+    shared = stored(counts.groupBy("hash").agg(F.count(F.lit(1)).alias("n_hosts")).filter("n_hosts > 1"), "shared-subtrees")
+    often = counts.filter(F.col("count") >= MIN_PAGES).join(shared, "hash", "left")
+    alone = F.col("n_hosts").isNull()
+    return often.join(n, "host").filter(alone | (F.col("hash").bitwiseAND(1) == 0) & (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
 
 
 def _digest():
