@@ -60,7 +60,7 @@ _FACTORS = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) +
 _PLACES = _rng.integers(0, 1 << 63, max(WORDS, PICKS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Rows of a hub that one task aligns with it at a time.
-PART_ROWS = 256
+PART_ROWS = 128
 
 SIGNED = "doc_id bigint, raw bigint, digest binary, n_shingles int, samples array<bigint>"
 
