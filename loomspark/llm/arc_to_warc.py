@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path, stored
+from .common import discard, fresh_path, release, stored
 
 #: Field lists of the two header lines (fixed values of the format).
 ARC_FIELDS = {
@@ -349,7 +349,9 @@ def responses(digests: DataFrame) -> DataFrame:
 def convert(spark: SparkSession, arc: str, warc: str, strict: bool = True) -> None:
     """ARC files under arc, rewritten as gzipped WARC files under warc. They are parsed twice: for the digests, and to be written."""
     records = read_arc(spark, arc, strict).withColumn("digest", F.sha1("payload"))
-    losers = stored(responses(stored(records.select("page_id", "digest"), "digests")), "revisits")
+    digests = stored(records.select("page_id", "digest"), "digests")
+    losers = stored(responses(digests), "revisits")
+    discard(digests)
     side = F.broadcast(losers) if losers.count() <= BROADCAST_ROWS else losers
     marked = records.join(side.withColumnsRenamed({"page_id": "_page", "digest": "_digest"}), (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page")), "left")
     most = FILE_BYTES
@@ -377,6 +379,7 @@ def convert(spark: SparkSession, arc: str, warc: str, strict: bool = True) -> No
 
     values = marked.select("page_id", "url", "archived", "mime", "http", "extra", "payload", "refers_to").mapInArrow(rows, "value binary")
     _write(values, warc, "\r\n\r\n")
+    discard(losers)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -408,5 +411,5 @@ def archive_pages(pages: DataFrame, version: int | None = None) -> DataFrame:
     arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
     write_arc(pages, arc, version)
     convert(spark, arc, warc)
-    drop_path(spark, arc)
+    release(spark, [arc])
     return read_warc(spark, warc)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 WINDOW = 13
 #: Bytes of a table that may be sent to every task.
@@ -91,7 +91,9 @@ def index_of(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFram
     counts = stored(term_counts(rows, wins.select(F.explode("words").alias("term")).distinct()), "term-counts")
     anchored = stored(anchors(wins, counts), "anchors")
     index = postings(rows, anchored.select(F.explode(F.array("term", "term2")).alias("term")).distinct())
-    return stored(index.distinct(), "postings"), anchored, wins  # rows that are alike are one document
+    index = stored(index.distinct(), "postings")  # rows that are alike are one document
+    discard(counts)
+    return index, anchored, wins
 
 
 def _anchored_bytes() -> Column:
@@ -148,10 +150,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     index, anchored, wins = index_of(docs, benchmark)
     matched = _verdict(phrase_matches(rows_of(docs, F.col("doc_id")), index, anchored)).withColumn("wins", F.array_distinct(F.transform("hits", lambda h: h.win)))
     found = stored(matched.select(F.col("row").alias("doc_id"), "doc", "n_words", "n_hit", "contaminated", "wins"), "matched")
+    discard(index, anchored)
     hits = found.filter("n_hit > 0").select("doc", F.explode("wins").alias("win")).distinct()
     named = wins.select("win", F.col("item_id").cast("string").alias("item"))
     items = hits.join(_few(named, F.coalesce(F.octet_length("item"), F.lit(0)) + 16), "win").groupBy("doc").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     items = stored(items, "items")
+    discard(wins)
     all_ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     joined = found.join(_few(items, F.aggregate("item_ids", F.lit(16), lambda n, x: n + F.octet_length(x) + 16)), "doc", "left").withColumn("item_ids", all_ids)
     return joined.select(
@@ -162,6 +166,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of docs that aren't contaminated."""
-    index, anchored, _ = index_of(docs, benchmark)
+    index, anchored, wins = index_of(docs, benchmark)
     found = _verdict(phrase_matches(rows_of(docs, F.struct("*")), index, anchored))
+    discard(index, anchored, wins)  # the places to compare are stored by now
     return found.filter("NOT contaminated").select("row.*")

@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 #: A subtree is template if it recurs on so many different pages of its host and on no other host,
 MIN_PAGES = 5
@@ -372,7 +372,10 @@ def templates(own: DataFrame) -> DataFrame:
     shared = stored(counts.groupBy("hash").agg(F.count(F.lit(1)).alias("n_hosts")).filter("n_hosts > 1"), "shared-subtrees")
     often = counts.filter(F.col("count") >= MIN_PAGES).join(shared, "hash", "left")
     alone = F.col("n_hosts").isNull()
-    return often.join(n, "host").filter(alone | (F.col("hash").bitwiseAND(1) == 0) & (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
+    found = often.join(n, "host").filter(alone | (F.col("hash").bitwiseAND(1) == 0) & (F.col("count") >= MIN_SHARE * F.col("n_pages"))).select("host", "hash")
+    found = stored(found, "templates")
+    discard(different, n, counts, shared)
+    return found
 
 
 def _digest():
@@ -411,7 +414,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of pages(page_id, url, html)."""
     pages = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
     own = subtree_hashes(pages)
-    found = stored(templates(own), "templates")
+    found = templates(own)
     rows = pages.withColumn("host", _host())
     if found.limit(BROADCAST_HASHES + 1).count() <= BROADCAST_HASHES:
         of_hosts: dict[str, array] = {}
