@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,33 +24,40 @@ def _kind(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once: inside lambdas Spark doesn't share equal expressions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def content(raw: Column) -> Column:
     """struct(content_type, text, domain, title, url) of a message's raw content.
 
     String elements of parts joined by line breaks, else text. A field of a wrong type empties all.
     """
-    v = F.try_parse_json(raw)
     none = F.lit("").cast("string")
-    fine = _kind(v).startswith("OBJECT")
-    for name in _TEXT_FIELDS:
-        fine &= _kind(_field(v, name)).isin("STRING", "VOID")
-    parts = _field(v, "parts")
-    fine &= (_kind(parts) == "VOID") | _kind(parts).startswith("ARRAY")
-    elements = F.coalesce(F.try_variant_get(v, "$.parts", "array<variant>"), F.array().cast("array<variant>"))
-    strings = F.transform(F.filter(elements, lambda x: _kind(x) == "STRING"), lambda x: F.variant_get(x, "$", "string"))
 
-    def of(name: str) -> Column:
-        return F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), none)
+    def fields(v: Column) -> Column:
+        fine = _kind(v).startswith("OBJECT")
+        for name in _TEXT_FIELDS:
+            fine &= _kind(_field(v, name)).isin("STRING", "VOID")
+        fine &= once(_kind(_field(v, "parts")), lambda kind: (kind == "VOID") | kind.startswith("ARRAY"))
+        elements = F.coalesce(F.try_variant_get(v, "$.parts", "array<variant>"), F.array().cast("array<variant>"))
+        strings = F.transform(F.filter(elements, lambda x: _kind(x) == "STRING"), lambda x: F.variant_get(x, "$", "string"))
+
+        def of(name: str) -> Column:
+            return F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), none)
+
+        text = once(strings, lambda x: F.when(F.size(x) > 0, F.array_join(x, "\n")).otherwise(of("text")))
+        own = F.struct(trim(of("content_type")).alias("content_type"), text.alias("text"), *(trim(of(k)).alias(k) for k in ("domain", "title", "url")))
+        return F.when(fine, own).otherwise(F.struct(*(none.alias(k) for k in _TEXT_FIELDS)))
 
-    text = F.when(F.size(strings) > 0, F.array_join(strings, "\n")).otherwise(of("text"))
-    own = {"content_type": trim(of("content_type")), "text": text, "domain": trim(of("domain")), "title": trim(of("title")), "url": trim(of("url"))}
-    return F.struct(*(F.when(fine, x).otherwise(none).alias(k) for k, x in own.items()))
+    return once(F.try_parse_json(raw), fields)
 
 
 def hidden(metadata: Column) -> Column:
     """Whether the metadata hold the hidden flag as the JSON value true."""
-    flag = _field(F.try_parse_json(metadata), HIDDEN)
-    return F.coalesce((_kind(flag) == "BOOLEAN") & F.coalesce(F.try_variant_get(flag, "$", "boolean"), F.lit(False)), F.lit(False))
+    flag = once(_field(F.try_parse_json(metadata), HIDDEN), lambda f: (_kind(f) == "BOOLEAN") & F.coalesce(F.try_variant_get(f, "$", "boolean"), F.lit(False)))
+    return F.coalesce(flag, F.lit(False))
 
 
 def image_like(content_type: Column) -> Column:
@@ -91,7 +99,7 @@ def decode_status(s: Column) -> Column:
 
 def decode(s: Column, schema: T.StructType) -> Column:
     """A model's answer as a struct, null if no object can be found in it."""
-    return F.when(lenient_object(s).isNotNull(), F.from_json(lenient_object(s), schema))
+    return once(lenient_object(s), lambda found: F.when(found.isNotNull(), F.from_json(found, schema)))
 
 
 #: What an error message says: the kind, and a pattern over its lower-cased text; the first that fits holds.

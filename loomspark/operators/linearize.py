@@ -53,19 +53,22 @@ def walk(mapping: Column, leaf: Column) -> Column:
 
 def message(raw: Column) -> Column:
     """A raw message as the thread's message struct, null if one of the three drop rules holds."""
-    c = jsonx.content(raw.content)
     role = F.coalesce(F.nullif(text.trim(raw.author.role), F.lit("")), F.lit("unknown"))
-    no_text = text.blank(c["text"])
-    drop = (
-        ((role == "system") & no_text & jsonx.hidden(raw.metadata))
-        | ((role == "tool") & no_text & text.blank(c["title"]) & text.blank(c["url"]) & jsonx.image_like(c["content_type"]))
-        | (no_text & (c["content_type"] == "") & (c["url"] == "") & (c["title"] == ""))
-    )
-    own = F.struct(
-        role.alias("role"), F.coalesce(text.trim(raw.author["name"]), F.lit("")).alias("name"), raw.create_time.alias("create_time"),
-        *(c[k].alias(k) for k in ("content_type", "text", "domain", "title", "url")),
-    )
-    return F.when(raw.isNotNull() & ~drop, own)
+
+    def own(c: Column) -> Column:
+        no_text = text.blank(c["text"])
+        drop = (
+            ((role == "system") & no_text & jsonx.hidden(raw.metadata))
+            | ((role == "tool") & no_text & text.blank(c["title"]) & text.blank(c["url"]) & jsonx.image_like(c["content_type"]))
+            | (no_text & (c["content_type"] == "") & (c["url"] == "") & (c["title"] == ""))
+        )
+        fields = F.struct(
+            role.alias("role"), F.coalesce(text.trim(raw.author["name"]), F.lit("")).alias("name"), raw.create_time.alias("create_time"),
+            *(c[k].alias(k) for k in ("content_type", "text", "domain", "title", "url")),
+        )
+        return F.when(~drop, fields)
+
+    return F.when(raw.isNotNull(), jsonx.once(jsonx.content(raw.content), own))
 
 
 def project(raw: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from . import schemas
 from .functions import jsonx, text
 from .operators import budget, glossary, index, linearize, pack, render, rollup, stats, turns
 from .plans import prompts
-from .shared import shared_dir, stored
+from .shared import shared_dir, spread, stored
 from .sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,7 +241,7 @@ WORDS = "SELECT doc_id, string_split(text, ' ') AS w FROM documents"
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.split("text", " ").alias("w"), "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.split("text", " ").alias("w"), "text")
 
 
 @query(f"""WITH w AS ({WORDS}), x AS (SELECT doc_id, trim(unnest(w), {WS}) AS s, generate_subscripts(w, 1) AS i FROM w),
@@ -278,7 +278,7 @@ arg_min(seen_at, seq) FILTER (seen_at IS NOT NULL) AS first_seen_at, arg_max_nul
 
 
 def _additions(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select("doc_id", "source", F.posexplode(F.split("text", " ")).alias("p", "s"))
+    rows = spread(table(spark, d, "documents").select("doc_id", "source", "text")).select("doc_id", "source", F.posexplode(F.split("text", " ")).alias("p", "s"))
     i = F.col("p") + 1
     return rows.select(F.col("doc_id").alias("seq"), F.when(F.col("doc_id") % 5 != 0, F.col("doc_id").cast("double")).alias("seen_at"), i.alias("pos"), F.col("s").alias("term"), F.when(i % 2 == 0, F.concat(F.left("s", F.lit(3)), "source")).otherwise(F.lit("")).alias("definition"))
 
@@ -341,7 +341,7 @@ def _trees(spark: SparkSession, d: str) -> DataFrame:
     own = F.struct(node(i).alias("key"), value(node(i), i, F.col("text"), last).alias("value"))
     side = F.struct(node(i, True).alias("key"), value(node(i, True), i, F.lit("aside"), F.lit(True), True).alias("value"))
     entries = m.groupBy("conversation_id", "last").agg(F.collect_list(own).alias("a"), F.collect_list(F.when(i == 0, side)).alias("b"))
-    return entries.select(
+    return spread(entries).select(
         "conversation_id", F.lit("").alias("id"), F.concat(F.lit("Talk "), "conversation_id").alias("title"), F.lit(1.0).alias("create_time"), F.lit(None).cast("double").alias("update_time"),
         F.when(F.col("conversation_id").cast("bigint") % 2 == 0, node(F.col("last"))).otherwise(F.lit("")).alias("current_node"), F.map_from_entries(F.concat("a", "b")).alias("mapping"),
     )
@@ -373,7 +373,7 @@ CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'text' WHEN 2 THEN ' Image_asset '
 
 
 def _raw_messages(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
+    e = spread(table(spark, d, "events").select("event_id", "event_type"))
     k = F.col("event_id")
     pick = lambda n, *v: F.element_at(F.array(*map(F.lit, v)), (k % n + 1).cast("int"))
     content = F.to_json(F.struct(pick(5, "", "text", " Image_asset ", "code", "").alias("content_type"), F.array(F.when(k % 3 == 0, F.col("event_type")).otherwise(F.lit(""))).alias("parts"), F.when(k % 7 == 0, F.lit("http://x")).otherwise(F.lit("")).alias("url")))

@@ -37,3 +37,9 @@ def release(spark: SparkSession) -> None:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
     _written.clear()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where its files are too few for them; tables of many files are read as they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
