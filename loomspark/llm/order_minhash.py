@@ -366,10 +366,13 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     within = lambda x: F.abs(x).cast("bigint") * (q + p) <= far
     near = within(F.col("n_a") - F.col("n_b")) & F.coalesce(within(F.col("d_a") - F.col("d_b")), F.lit(True))
     across = left.join(right, "key").filter((F.col("a") > F.col("b")) & (F.col("class_a") != F.col("class_b")) & near).select("a", "b")
-    many = known.join(mixed.filter(F.col("size") > FEW), "key").select("node", "class").distinct()
-    pairs = across.unionByName(prefix_pairs(many, nodes, source, threshold)).distinct()
-    second = stored(verify(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), nodes, source, threshold), "aligned")
-    more = second.filter(_similar(threshold)).select("a", "b")
+    many = stored(known.join(mixed.filter(F.col("size") > FEW), "key").select("node", "class").distinct(), "searched")
+    if many.limit(1).count():
+        across = across.unionByName(prefix_pairs(many, nodes, source, threshold))
+    pairs = stored(across.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    more = pairs
+    if pairs.limit(1).count():
+        more = stored(verify(pairs, nodes, source, threshold), "aligned").filter(_similar(threshold)).select("a", "b")
     all_links = links.unionByName(more).distinct()
     final = class_of
     if more.limit(1).count():  # only the classes that the further links join are looked at again
@@ -382,7 +385,7 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     stands = linked.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "raw")).alias("c"))
     per_text = linked.join(stands, "component", "left").select("digest", F.coalesce("c", F.struct("doc_id", "raw")).alias("c"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     per_text = stored(per_text.select("digest", F.col("c.doc_id").alias("class_id"), F.col("c.raw").alias("class_raw"), "n_links"), "text-classes")
-    discard(nodes, placed, members, mixed, second)
+    discard(nodes, placed, members, mixed, many, pairs)
     named = signed.select("doc_id", "raw", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("digest")).alias("digest")).join(per_text, "digest", "left")
     return named.select("doc_id", "raw", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_raw", "raw").alias("class_raw"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_verified_links"))
 
