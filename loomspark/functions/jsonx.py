@@ -97,9 +97,10 @@ def decode_status(s: Column) -> Column:
     )
 
 
-def decode(s: Column, schema: T.StructType) -> Column:
-    """A model's answer as a struct, null if no object can be found in it."""
-    return once(lenient_object(s), lambda found: F.when(found.isNotNull(), F.from_json(found, schema)))
+def decode(s: Column, schema: T.StructType | T.ArrayType) -> Column:
+    """A model's answer as a struct, or as an array where one is asked for; null if there is none in it."""
+    find = lenient_array if isinstance(schema, T.ArrayType) else lenient_object
+    return once(find(s), lambda found: F.when(found.isNotNull(), F.from_json(found, schema)))
 
 
 #: What an error message says: the kind, and a pattern over its lower-cased text; the first that fits holds.

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas
 from .functions import jsonx, text
@@ -483,7 +484,8 @@ def resume_both_outputs(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, source || '/' || doc_id || '.json' AS path FROM documents ORDER BY source || '/' || doc_id || '.json' LIMIT 25")
 def limit_sorted(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("path")).orderBy("path").limit(25)
+    rows = table(spark, d, "documents").select("doc_id", F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("path"))
+    return index.sorted_rows(rows, "path").limit(25)
 
 
 THREADED = f"""WITH m AS ({TALK}), t AS (SELECT conversation_id, 'Talk ' || conversation_id AS title, min(CAST(conversation_id AS DOUBLE) * 1000 + 0.5) AS thread_start_time, trim(arg_min(text, msg_idx), {WS}) AS summary,
@@ -617,6 +619,15 @@ def json_lenient_decode(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", jsonx.decode_status(kind).alias("status"), jsonx.decode(kind, schemas.struct("k int"))["k"].alias("k"))
 
 
+@query("""SELECT event_id, CASE WHEN event_id % 4 < 2 THEN '1|2|' || json_extract_string(props, '$.k') END AS found FROM events""")
+def json_lenient_array(spark: SparkSession, d: str) -> DataFrame:
+    """Lists in answers; an object or nothing where a list is asked for is none."""
+    k, own = F.col("event_id") % 4, F.get_json_object("props", "$.k")
+    said = F.when(k == 0, F.concat(F.lit("[1, 2, "), own, F.lit("]"))).when(k == 1, F.concat(F.lit("prefix [1,2,"), own, F.lit("] suffix"))).when(k == 2, F.col("props")).otherwise(F.lit(""))
+    found = jsonx.decode(F.col("said"), T.ArrayType(T.IntegerType()))
+    return table(spark, d, "events").select("event_id", said.alias("said")).select("event_id", F.array_join(found.cast("array<string>"), "|").alias("found"))
+
+
 @query(f"""WITH m AS ({TALK}), t AS (SELECT conversation_id, trim(arg_min(text, msg_idx), {WS}) AS s FROM m GROUP BY 1)
 SELECT conversation_id, 'thread-' || conversation_id AS anchor, CASE WHEN strlen(s) > 400 THEN left(s, CAST(list_max(list_filter(range(0, 401), lambda i: strlen(left(s, CAST(i AS INTEGER))) <= 400)) AS INTEGER)) || '…' ELSE s END AS summary, 'A|b' AS terms FROM t""")
 def memory_index(spark: SparkSession, d: str) -> DataFrame:
