@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.jsonx import once
 from ..functions.text import relative_path
 
 SUMMARY, SENTIMENT = ".summary.json", ".sentiment.summary.json"
@@ -31,7 +32,8 @@ def _starts_with_array(spark: SparkSession, path: str) -> bool:
 
 def wrapped(texts: DataFrame, field: str | None = None) -> DataFrame:
     """Raw conversations of objects in the column value; an error if an object holds no array."""
-    fields = F.lit(field) if field else F.try_element_at(F.filter(F.json_object_keys("value"), lambda k: _is_array(k)), F.lit(1))
+    members = F.try_variant_get(F.try_parse_json(F.col("value")), "$", "map<string,variant>")
+    fields = F.lit(field) if field else once(members, lambda v: F.try_element_at(F.filter(F.json_object_keys("value"), lambda k: _is_array(v, k)), F.lit(1)))
     body = F.call_function("get_json_object", F.col("value"), F.concat(F.lit("$['"), F.col("_field"), F.lit("']")))
     rows = texts.withColumn("_field", fields).withColumn("_body", body)
     checked = rows.filter(F.assert_true(F.col("_body").isNotNull(), F.lit("the archive has no array of conversations")).isNull())
@@ -39,9 +41,8 @@ def wrapped(texts: DataFrame, field: str | None = None) -> DataFrame:
     return checked.select(F.inline(F.from_json("_body", kind)))
 
 
-def _is_array(k: Column) -> Column:
-    v = F.try_variant_get(F.try_parse_json(F.col("value")), "$", "map<string,variant>")
-    return F.startswith(F.coalesce(F.schema_of_variant(F.element_at(v, k)), F.lit("")), F.lit("ARRAY"))
+def _is_array(members: Column, k: Column) -> Column:
+    return F.startswith(F.coalesce(F.schema_of_variant(F.element_at(members, k)), F.lit("")), F.lit("ARRAY"))
 
 
 def archive_lines(spark: SparkSession, path: str) -> DataFrame:
