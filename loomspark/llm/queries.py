@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_to_warc, decontamination, html_extraction, order_minhash, packing, pitman_yor, quality_ledger, sharding, suffix_index, toxicity_crf
+from . import arc_to_warc, decontamination, dual_tree_lloyd, html_extraction, order_minhash, packing, pitman_yor, quality_ledger, rotation_codes, sharding, suffix_index, token_alignment, toxicity_crf
 from .common import stored, table
 
 
@@ -70,8 +70,20 @@ def op10_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"))
 
 
+def op11_postings_cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation_codes.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree_lloyd.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_extraction, op2_pitman_yor, op3_suffix_levels, op4_jump_sharding, op5_toxicity_crf, op6_arc_to_warc, op7_quality_ledger, op8_order_minhash, op9_positional_index, op10_power_of_two_packing, quality_ablation, language_model_counts)}
+    return {f.__name__: f for f in (op1_html_extraction, op2_pitman_yor, op3_suffix_levels, op4_jump_sharding, op5_toxicity_crf, op6_arc_to_warc, op7_quality_ledger, op8_order_minhash, op9_positional_index, op10_power_of_two_packing, op11_postings_cogroup, op12_rotation_codes, op13_dual_tree_lloyd, quality_ablation, language_model_counts)}
 
 
 _WORDS = r"[^\x20\x09-\x0D]+"
