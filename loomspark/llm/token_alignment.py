@@ -4,11 +4,11 @@ Both tokenizers cut a text, a space put before it, at byte offsets; where both c
 tokens of one side link with all of the other's in the group. A pair of ids weighs as much as there are
 documents that link it.
 
-A text falls into units before both tokenizers see it: at a space or line feed that stands behind a
-letter, digit or ASCII sign and, if a line feed, before one. Neither tokenizer has a token across such a
-place, nor looks past it, so a unit's tokens are those that the text would give, and each distinct unit is
-encoded once while a worker remembers it. A unit that doesn't give its own bytes back makes its text be
-encoded and compared whole.
+A text falls into units before both tokenizers see it: at a space or line feed behind a letter, digit or
+ASCII sign. Neither tokenizer has a token across such a place, nor looks past it from the left, so a unit's
+tokens are those that the text would give, also if other units stand beside it: unknown ones are encoded
+many at a time, and a worker remembers those that it meets most. A unit that doesn't give its own bytes
+back makes its text be encoded and compared whole.
 
 A task packs some documents at a time and writes, beside their own numbers, the postings of each id of side
 A: its pairs, and for each pair the documents with its multiplicity. The postings are shuffled by the id.
@@ -16,7 +16,7 @@ Those of an id with more than its share of all are dealt over several keys; how
 of the counts, one for each id of the vocabulary at most. With each key go, before its postings in
 the sort, the corpus-wide counts of the id's pairs, at most as many as side B has ids. So a task reads a
 sorted stream, which Spark spills as needed: first the counts, from which it takes the highest, then
-the postings, which it turns into what they add to their documents, summed up before the last shuffle.
+the postings, which it turns into what they add to their documents, summed up by chunks of documents before the last shuffle.
 
 Defined results: a null or empty text, and one whose tokens don't give its bytes back on both sides, has
 zeros and an empty digest. Each row is a document of its own, also where ids repeat or are null. Texts of any
@@ -38,10 +38,12 @@ from pyspark.sql import functions as F
 
 from .common import caches, lean, mark, release, stored, stored_since
 
-#: Units that a Python worker remembers; beyond, it begins anew.
-UNITS_KEPT = 500_000
+#: Units that a Python worker remembers; beyond, the half that it met more often stays.
+UNITS_KEPT = 1_000_000
 #: Code points up to which a unit is remembered.
-UNIT_CHARS = 100
+UNIT_CHARS = 60
+#: Units that are encoded together.
+TOGETHER = 2000
 #: Code points whose postings are packed together, and that are split into units together.
 CHUNK_CHARS, PART_CHARS = 6_000_000, 1_000_000
 #: Documents of a chunk: their numbers within it are 16-bit.
@@ -51,10 +53,7 @@ HELD = 1 << 20
 #: Keys of an id in all partitions together, for one that had all postings: parts of this many to a partition.
 PARTS = 4
 
-_SIGN = r"[^\W]|[!-/:-@\[-`{-~]"
-_CUT = re.compile(rf"(?:(?<=\w)|(?<=[!-/:-@\[-`{{-~]))(?= |\n(?:{_SIGN}))")
-#: A space or line feed and then letters, digits and ASCII signs alone: units that can be encoded side by side.
-_PLAIN = re.compile(rf"[ \n](?:{_SIGN})+")
+_CUT = re.compile(r"(?=[ \n])(?:(?<=\w)|(?<=[!-/:-@\[-`{-~]))")
 
 DOCUMENTS = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string"
 POSTINGS = "a int, b binary, held binary, docs binary, times binary"
@@ -90,18 +89,18 @@ class Aligner:
             self.a_bytes[i] = token.encode() if token in special else bytes(level[c] for c in token)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.b_space = self.b.piece_to_id("▁")
-        self.forget()
+        self.a_size, self.b_size = (np.array([len(x) for x in side]) for side in (self.a_bytes, self.b_bytes))
+        self.a_text, self.b_text = ([np.array([f"{i}{end}" for i in range(len(side))], object) for end in ends] for side, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
+        self.known: dict[str, int] = {}
+        self.groups: list[str | None] = []  # of each unit, with a semicolon behind each; None where it doesn't give its bytes back
+        # of each unit: tokens, groups and links, where its pairs end, how often it was met; of each pair: a << 15 | b and its links
+        self.numbers, self.ends, self.met, self.pairs, self.times = np.zeros((0, 4), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._new: list[tuple] = []
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.groups: list[str] = []  # of each unit; None where it doesn't give its bytes back
-        self.numbers: list[tuple[int, int, int, int]] = []
-        self.pairs: list[np.ndarray] = []  # a << 15 | b of each distinct pair, and how often it's linked, one row each
-
     def tokens(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of a text that begins with a space or line feed."""
         a = self.a.encode(text, add_special_tokens=False).ids
@@ -109,59 +108,91 @@ class Aligner:
             return a, self.b.encode(text[1:]) if len(text) > 1 else [self.b_space]
         return a, self.b.encode(text)[1:]
 
-    def sound(self, text: str, a: list[int], b: list[int]) -> bool:
+    def aligned(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Of units that stand side by side: groups, numbers, ends of their pairs, pairs and times; None if their bytes don't come back."""
+        text = "".join(units)
+        a, b = self.tokens(text)
         data = text.encode("utf-8", "surrogatepass")
-        return b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b])
-
-    def align(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """Groups of ids between the places where both sides end."""
-        out, i, j, at_a, at_b, from_i, from_j = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if j == len(b) or i < len(a) and at_a <= at_b:
-                at_a += len(self.a_bytes[a[i]])
-                i += 1
-            else:
-                at_b += len(self.b_bytes[b[j]])
-                j += 1
-            if at_a == at_b and (i == len(a) or self.a_bytes[a[i]]) and (j == len(b) or self.b_bytes[b[j]]):
-                out.append((a[from_i:i], b[from_j:j]))
-                from_i, from_j = i, j
-        return out
-
-    def _add(self, unit: str, a: list[int], b: list[int]) -> int:
-        groups = self.align(a, b) if self.sound(unit, a, b) else None
-        if groups is None:
-            self.groups.append(None)
-            self.numbers.append((0, 0, 0, 0))
-            self.pairs.append(np.zeros((2, 0), np.int64))
-        else:
-            found: dict[int, int] = {}
-            for x, y in groups:
-                for p in x:
-                    for q in y:
-                        found[p << 15 | q] = found.get(p << 15 | q, 0) + 1
-            self.groups.append(";".join([",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups]))
-            self.numbers.append((len(a), len(b), len(groups), sum(len(x) * len(y) for x, y in groups)))
-            self.pairs.append(np.array([list(found), list(found.values())], np.int64))
-        return len(self.groups) - 1
+        if b"".join([self.a_bytes[i] for i in a]) != data or b"".join([self.b_bytes[i] for i in b]) != data:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_at, b_at = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        both = np.intersect1d(a_at, b_at, assume_unique=True)
+        till = np.cumsum([len(u) for u in units] if len(data) == len(text) else [len(u.encode("utf-8", "surrogatepass")) for u in units])
+        last = np.searchsorted(both, till)
+        if not np.array_equal(both[np.minimum(last, len(both) - 1)], till):
+            return None
+        of_a, of_b = np.searchsorted(both, a_at), np.searchsorted(both, b_at)
+        n_a, n_b = np.bincount(of_a, minlength=len(both)), np.bincount(of_b, minlength=len(both))
+        a_end, b_end = np.cumsum(n_a), np.cumsum(n_b)
+        unit = np.searchsorted(last, np.arange(len(both)))
+        total = lambda x: np.add.reduceat(x, np.append(0, last[:-1] + 1))
+        numbers = np.stack([total(n_a), total(n_b), np.diff(np.append(-1, last)), total(n_a * n_b)], axis=1)
+        # all tokens of side B in its group for each of side A
+        times = n_b[of_a]
+        first = np.repeat(a, times)
+        second = b[np.repeat((b_end - n_b)[of_a] - np.cumsum(times) + times, times) + np.arange(times.sum())]
+        keys, count = np.unique(np.repeat(unit[of_a], times) << 31 | first << 15 | second, return_counts=True)
+        # ids with what stands behind them, side A's of a group before side B's
+        written = np.empty(len(a) + len(b), object)
+        a_to, b_to = np.arange(len(a)) + (b_end - n_b)[of_a], np.arange(len(b)) + a_end[of_b]
+        a_last, b_last = np.arange(1, len(a) + 1) == a_end[of_a], np.arange(1, len(b) + 1) == b_end[of_b]
+        written[a_to], written[b_to] = np.where(a_last, self.a_text[1][a], self.a_text[0][a]), np.where(b_last, self.b_text[1][b], self.b_text[0][b])
+        written = written.tolist()
+        begin, groups = 0, []
+        for end in (a_end + b_end)[last].tolist():
+            groups.append("".join(written[begin:end]))
+            begin = end
+        return groups, numbers, np.searchsorted(keys >> 31, np.arange(len(units)), side="right"), keys & (1 << 31) - 1, count
+
+    def _add(self, units: list[str]) -> None:
+        found = self.aligned(units)
+        if found is None and len(units) > 1:
+            for u in units:
+                self._add([u])
+            return
+        groups, *rest = found or ([None], np.zeros((1, 4), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.known.update(zip(units, range(len(self.groups), len(self.groups) + len(units)), strict=True))
+        self.groups += groups
+        self._new.append(tuple(rest))
 
     def learn(self, units: list[str]) -> None:
-        """Remember units that aren't known, plain ones encoded side by side."""
-        plain = [u for u in units if _PLAIN.fullmatch(u)]
-        for u in set(units).difference(plain):
-            self.known[u] = self._add(u, *self.tokens(u))
-        for k in range(0, len(plain), 1000):
-            some = [" .", *plain[k : k + 1000]]
-            a, b = self.tokens("".join(some))
-            a_cuts = [i for i, x in enumerate(a) if self.a_bytes[x][:1] in b" \n"] + [len(a)]
-            b_cuts = [i for i, x in enumerate(b) if self.b_bytes[x][:1] in b" \n"] + [len(b)]
-            if len(a_cuts) == len(b_cuts) == len(some) + 1:
-                for n, u in enumerate(some):
-                    if n:
-                        self.known[u] = self._add(u, a[a_cuts[n] : a_cuts[n + 1]], b[b_cuts[n] : b_cuts[n + 1]])
-            else:
-                for u in some[1:]:
-                    self.known[u] = self._add(u, *self.tokens(u))
+        """Remember units that aren't known; those that could end anywhere in a text are encoded side by side."""
+        inner = [u for u in units if _CUT.search(u + " ", len(u))]
+        for u in set(units).difference(inner):
+            self._add([u])
+        inner.sort(key=lambda u: u[0] != " ")  # a space at the start of all
+        for k in range(0, len(inner), TOGETHER):
+            self._add(inner[k : k + TOGETHER])
+
+    def settle(self) -> None:
+        """Put what was learned lately behind the rest."""
+        if self._new:
+            numbers, ends, pairs, times = ([x[k] for x in self._new] for k in range(4))
+            base = np.cumsum([0, *map(len, pairs)])[:-1] + len(self.pairs)
+            self.ends = np.concatenate([self.ends, *(e + k for e, k in zip(ends, base, strict=True))])
+            self.numbers, self.pairs, self.times = np.concatenate([self.numbers, *numbers]), np.concatenate([self.pairs, *pairs]), np.concatenate([self.times, *times])
+            self.met = np.append(self.met, np.zeros(len(self.ends) - len(self.met), np.int64))
+            self._new = []
+
+    def forget(self) -> None:
+        """Keep the half of the units that was met more often, if there are too many."""
+        if len(self.groups) <= UNITS_KEPT:
+            return
+        stay = np.sort(np.argsort(-self.met, kind="stable")[: UNITS_KEPT // 2])
+        at, size = self.of(stay)
+        number = np.full(len(self.ends), -1)
+        number[stay] = np.arange(len(stay))
+        number = number.tolist()
+        self.known = {u: number[k] for u, k in self.known.items() if number[k] >= 0}
+        self.groups = [self.groups[k] for k in stay.tolist()]
+        self.numbers, self.pairs, self.times, self.ends, self.met = self.numbers[stay], self.pairs[at], self.times[at], np.cumsum(size), self.met[stay] // 2
+
+    def of(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs of units, and their number for each."""
+        begin = np.append(0, self.ends[:-1])[units]
+        size = self.ends[units] - begin
+        return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum()), size
 
     def units(self, text: str) -> Iterator[list[int]]:
         """Numbers of a text's units, a part of the text at a time; long ones are encoded but not looked up again."""
@@ -169,16 +200,14 @@ class Aligner:
         while begin < len(text):
             found = None if begin + PART_CHARS >= len(text) else _CUT.search(text, begin + PART_CHARS)
             end = found.start() if found else len(text)
-            units = _CUT.split(text[begin:end])
-            known = self.known
+            units, known = _CUT.split(text[begin:end]), self.known
             fresh = {u for u in units if u not in known}
             if fresh:
                 self.learn(sorted(fresh))
-            out = [known[u] for u in units]
+            yield [known[u] for u in units]
             for u in fresh:
                 if len(u) > UNIT_CHARS:
                     del known[u]
-            yield out
             begin = end
 
 
@@ -192,92 +221,104 @@ def _aligner(paths: tuple[str, str]) -> Aligner:
     return _aligners[paths]
 
 
-def _whole(code: Aligner, text: str) -> tuple[str | None, tuple, np.ndarray]:
-    """A text with units that don't give their bytes back, encoded whole."""
-    k = code._add(text, *code.tokens(text))
-    return code.groups.pop(), code.numbers.pop(), code.pairs.pop() if k >= 0 else None
-
-
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sum of n of each."""
+def _summed(keys: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the sums of what belongs to each."""
     if not len(keys):
-        return keys, n
+        return keys, *sums
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[head], np.add.reduceat(n[order], head)
+    return keys[head], *(np.add.reduceat(x[order], head) for x in sums)
+
+
+def _packed(pairs: np.ndarray, times: np.ndarray, row: int) -> pa.RecordBatch:
+    """Postings of a chunk: for each id of side A its ids of side B, how many documents hold each, which, and how often."""
+    pair, doc = pairs >> 16, (pairs & 0xFFFF).astype("<u2")
+    heads = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+    a, b, held = (pair[heads] >> 15).astype(np.int32), (pair[heads] & 0x7FFF).astype("<u2"), np.diff(np.append(heads, len(pair))).astype("<u4")
+    firsts = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+    ends, marks = np.append(firsts, len(a))[1:], np.append(heads, len(pair))
+
+    def cut(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+        data, w = x.tobytes(), x.itemsize
+        return pa.array([data[i:j] for i, j in zip((lo * w).tolist(), (hi * w).tolist(), strict=True)], pa.binary())
+
+    void = [pa.nulls(len(firsts), pa.int64())] * 5 + [pa.nulls(len(firsts), pa.string())]
+    columns = [pa.array(np.full(len(firsts), row)), *void, pa.array(a[firsts]), cut(b, firsts, ends), cut(held, firsts, ends), cut(doc, marks[firsts], marks[ends]), cut(times.astype("<u4"), marks[firsts], marks[ends])]
+    return pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+
+_NAMES = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "held", "docs", "times"]
+
+
+class _Chunk:
+    """Documents that a task packs together, in the order in which they come."""
+
+    def __init__(self, code: Aligner, row: int):
+        self.code, self.row, self.size = code, row, 0
+        self.ids: list[int | None] = []
+        self.digests: list[str] = []
+        self.units: list[np.ndarray] = []  # document << 32 | unit
+        self.whole: list[tuple] = []  # document, numbers, pairs and times of texts that were encoded whole
+
+    def add(self, doc: int | None, text: str | None) -> None:
+        k, code, digest = len(self.ids), self.code, ""
+        if text:
+            sha, units = hashlib.sha256(), []
+            for found in code.units(" " + text):
+                groups = [code.groups[u] for u in found]
+                if None in groups:
+                    units = None
+                    break
+                sha.update(((";" if units else "") + "".join(groups)[:-1]).encode())
+                units.append(np.array(found, np.int64) | k << 32)
+            if units:
+                self.units += units
+                digest = sha.hexdigest()
+            elif aligned := code.aligned([" " + text]):
+                self.whole.append((k, aligned[1][0], aligned[3], aligned[4]))
+                digest = hashlib.sha256(aligned[0][0][:-1].encode()).hexdigest()
+        self.ids.append(doc)
+        self.digests.append(digest)
+        self.size += len(text or "")
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        code, n = self.code, len(self.ids)
+        code.settle()
+        keys, met = np.unique(np.concatenate([np.zeros(0, np.int64), *self.units]), return_counts=True)
+        doc, unit = keys >> 32, keys & (1 << 32) - 1
+        np.add.at(code.met, unit, met)
+        numbers = np.zeros((n, 4), np.int64)
+        np.add.at(numbers, doc, code.numbers[unit] * met[:, None])
+        at, size = code.of(unit)
+        pairs, times = [code.pairs[at] << 16 | np.repeat(doc, size)], [code.times[at] * np.repeat(met, size)]
+        for k, own, found, count in self.whole:
+            numbers[k] = own
+            pairs.append(found << 16 | k)
+            times.append(count)
+        pairs, times = _summed(np.concatenate(pairs), np.concatenate(times))
+        void = [pa.nulls(n, pa.int32())] + [pa.nulls(n, pa.binary())] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(self.row + np.arange(n)), pa.array(self.ids, pa.int64()), *(pa.array(x) for x in numbers.T.copy()), pa.array(self.digests), *void], names=_NAMES)
+        out = _packed(pairs, times, self.row)
+        yield from (out.slice(i, 5000) for i in range(0, out.num_rows, 5000))
+        code.forget()
 
 
 def _encode(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     """Rows of documents, and of the postings of each chunk of them by their id of side A."""
-    code, chunk, base = _aligner(paths), 0, TaskContext.get().partitionId() << 40
-    docs: list[tuple] = []
-    at: list[np.ndarray] = []  # document << 31 | pair
-    times: list[np.ndarray] = []
-    size = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal chunk, size
-        empty = pa.nulls(len(docs), pa.binary())
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*docs, strict=True), [pa.int64()] * 6 + [pa.string()], strict=True)), pa.nulls(len(docs), pa.int32()), empty, empty, empty, empty], names=names)
-        keys, n = np.concatenate(at), np.concatenate(times)
-        # by pair, then by document
-        order = np.argsort((keys & (1 << 31) - 1) << 16 | keys >> 31)
-        pair, doc, n = (keys & (1 << 31) - 1)[order], (keys >> 31)[order].astype("<u2"), n[order].astype("<u4")
-        heads = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
-        a, b, held = (pair[heads] >> 15).astype(np.int32), (pair[heads] & 0x7FFF).astype("<u2"), np.diff(np.append(heads, len(pair))).astype("<u4")
-        firsts = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
-        ends = np.append(firsts, len(a))[1:]
-        marks = np.append(heads, len(pair))
-        cut = lambda x, lo, hi: pa.array([x[i:j].tobytes() for i, j in zip(lo, hi, strict=True)], pa.binary())
-        void = [pa.nulls(len(firsts), pa.int64())] * 5 + [pa.nulls(len(firsts), pa.string())]
-        rows = pa.array(np.full(len(firsts), base + (chunk << 16)))
-        out = pa.RecordBatch.from_arrays([rows, *void, pa.array(a[firsts]), cut(b, firsts, ends), cut(held, firsts, ends), cut(doc, marks[firsts], marks[ends]), cut(n, marks[firsts], marks[ends])], names=names)
-        yield from (out.slice(i, 5000) for i in range(0, out.num_rows, 5000))
-        chunk, size = chunk + 1, 0
-        for x in (docs, at, times):
-            x.clear()
-        if len(code.groups) > UNITS_KEPT:
-            code.forget()
-
-    names = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "held", "docs", "times"]
+    code = _aligner(paths)
+    code.settle()
+    code.forget()
+    base = TaskContext.get().partitionId() << 40
+    chunk = _Chunk(code, base)
     for batch in batches:
-        for i in range(batch.num_rows):
-            text = batch.column(1)[i].as_py()
-            row = base + (chunk << 16) + len(docs)
-            numbers, digest, pairs = np.zeros(4, np.int64), "", []
-            if text:
-                sha, sound = hashlib.sha256(), True
-                for found in code.units(" " + text):
-                    sound = sound and not any(code.groups[u] is None for u in found)
-                    if not sound:
-                        break
-                    sha.update(((";" if pairs else "") + ";".join([code.groups[u] for u in found])).encode())
-                    unit, n = np.unique(np.array(found), return_counts=True)
-                    numbers += np.array([code.numbers[u] for u in unit.tolist()]).T @ n
-                    of = [code.pairs[u] for u in unit.tolist()]
-                    lengths = [x.shape[1] for x in of]
-                    every = np.concatenate(of, axis=1)
-                    pairs.append(_summed(every[0], every[1] * np.repeat(n, lengths)))
-                if not sound:
-                    groups, own, every = _whole(code, " " + text)
-                    sound, numbers, pairs = groups is not None, np.array(own), [(every[0], every[1])]
-                    sha = hashlib.sha256((groups or "").encode())
-                if sound:
-                    digest = sha.hexdigest()
-                    keys, n = pairs[0] if len(pairs) == 1 else _summed(np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]))
-                    at.append(len(docs) << 31 | keys)
-                    times.append(n)
-            docs.append((row, batch.column(0)[i].as_py(), *numbers.tolist(), digest))
-            size += len(text or "")
-            if size >= CHUNK_CHARS or len(docs) >= CHUNK_ROWS:
-                at.append(np.zeros(0, np.int64))
-                times.append(np.zeros(0, np.int64))
-                yield from flush()
-    if docs:
-        at.append(np.zeros(0, np.int64))
-        times.append(np.zeros(0, np.int64))
-        yield from flush()
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            chunk.add(doc, text.as_py())
+            if chunk.size >= CHUNK_CHARS or len(chunk.ids) >= CHUNK_ROWS:
+                yield from chunk.out()
+                chunk = _Chunk(code, chunk.row + (1 << 16))
+    if chunk.ids:
+        yield from chunk.out()
 
 
 def _flat(column: pa.Array, kind: str) -> np.ndarray:
@@ -304,17 +345,18 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _by_chunk(rows: np.ndarray, best: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    """Sums of documents, a row for each chunk of them."""
+    rows, best, total = _summed(rows, best, total)
+    chunk = rows >> 16
+    head = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+    cut = lambda x: pa.array([p.tobytes() for p in np.split(x, head[1:])], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(chunk[head] << 16), cut((rows & 0xFFFF).astype("<u2")), cut(best.astype("<i8")), cut(total.astype("<i8"))], names=["row", "docs", "best", "total"])
+
+
 def _cogroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each document gets from the links of the ids of this task; rows: an id's counts, then its postings."""
     waiting, size, b, n = [], 0, None, None
-
-    def out() -> pa.RecordBatch:
-        rows, best, total = (np.concatenate([w[k] for w in waiting]) for k in range(3))
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
-        head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        return pa.RecordBatch.from_arrays([pa.array(rows[head]), pa.array(np.add.reduceat(best[order], head)), pa.array(np.add.reduceat(total[order], head))], names=["row", "n_best", "count_sum"])
-
     for batch in batches:
         counted, begin = batch.column(1).is_valid().to_pylist(), 0
         while begin < len(counted):
@@ -335,9 +377,33 @@ def _cogroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting.append((rows, times * best, times * count))
             size, begin = size + len(rows), end
             if size >= HELD:
-                yield out()
+                yield _by_chunk(*(np.concatenate([w[k] for w in waiting]) for k in range(3)))
                 waiting, size = [], 0
     if waiting:
+        yield _by_chunk(*(np.concatenate([w[k] for w in waiting]) for k in range(3)))
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of each document; a chunk's rows come one after the other."""
+
+    def out() -> pa.RecordBatch:
+        found = np.flatnonzero(seen)
+        return pa.RecordBatch.from_arrays([pa.array(last + found), pa.array(best[found]), pa.array(total[found])], names=["row", "n_best", "count_sum"])
+
+    last, seen, best, total = None, np.zeros(1 << 16, bool), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        for row, docs, b, t in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            if row != last:
+                if last is not None:
+                    yield out()
+                last = row
+                for x in (seen, best, total):
+                    x[:] = 0
+            at = np.frombuffer(docs, "<u2")
+            seen[at] = True
+            best[at] += np.frombuffer(b, "<i8")
+            total[at] += np.frombuffer(t, "<i8")
+    if last is not None:
         yield out()
 
 
@@ -361,8 +427,8 @@ def align(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFra
         "a", F.pmod(F.xxhash64("row"), F.coalesce("keys", F.lit(1))).cast("int").alias("key"), F.lit(None).cast("array<int>").alias("bs"), F.lit(None).cast("array<bigint>").alias("ns"), "row", "b", "held", "docs", "times"
     )
     both = first.unionByName(rest).repartition("a", "key").sortWithinPartitions("a", "key", F.col("bs").isNull())
-    added = both.select("a", "bs", "ns", "row", "b", "held", "docs", "times").mapInArrow(lean(_cogroup), "row bigint, n_best bigint, count_sum bigint")
-    sums = added.groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    added = both.select("a", "bs", "ns", "row", "b", "held", "docs", "times").mapInArrow(lean(_cogroup), "row bigint, docs binary, best binary, total binary")
+    sums = added.repartition("row").sortWithinPartitions("row").mapInArrow(lean(_added), "row bigint, n_best bigint, count_sum bigint")
     zero = F.lit(0).cast("bigint")
     out = own.join(sums, "row", "left").select("doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256")
     done = stored(out, "aligned")
