@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,7 @@ UNIT_CHARS = 60
 TOGETHER = 2000
 #: Code points whose postings are packed together, and that are split into units together.
 CHUNK_CHARS, PART_CHARS = 6_000_000, 1_000_000
-#: Documents of a chunk: their numbers within it are 16-bit.
+#: Documents of a chunk; with those that are learned together, their numbers within it are 16-bit.
 CHUNK_ROWS = 50_000
 #: Entries that are summed up before they are passed on.
 HELD = 1 << 20
@@ -194,20 +194,25 @@ class Aligner:
         size = self.ends[units] - begin
         return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum()), size
 
-    def units(self, text: str) -> Iterator[list[int]]:
-        """Numbers of a text's units, a part of the text at a time; long ones are encoded but not looked up again."""
+    def numbered(self, texts: list[str]) -> list[list[int]]:
+        """Numbers of the units of texts, which are learned together; long units are encoded but not looked up again."""
+        units = [_CUT.split(t) for t in texts]
+        fresh = set().union(*units).difference(self.known)
+        if fresh:
+            self.learn(sorted(fresh))
+        found = [list(map(self.known.__getitem__, u)) for u in units]
+        for u in fresh:
+            if len(u) > UNIT_CHARS:
+                del self.known[u]
+        return found
+
+    def parts(self, text: str) -> Iterator[list[int]]:
+        """Numbers of a long text's units, a part of the text at a time."""
         begin = 0
         while begin < len(text):
             found = None if begin + PART_CHARS >= len(text) else _CUT.search(text, begin + PART_CHARS)
             end = found.start() if found else len(text)
-            units, known = _CUT.split(text[begin:end]), self.known
-            fresh = {u for u in units if u not in known}
-            if fresh:
-                self.learn(sorted(fresh))
-            yield [known[u] for u in units]
-            for u in fresh:
-                if len(u) > UNIT_CHARS:
-                    del known[u]
+            yield from self.numbered([text[begin:end]])
             begin = end
 
 
@@ -261,26 +266,33 @@ class _Chunk:
         self.units: list[np.ndarray] = []  # document << 32 | unit
         self.whole: list[tuple] = []  # document, numbers, pairs and times of texts that were encoded whole
 
-    def add(self, doc: int | None, text: str | None) -> None:
-        k, code, digest = len(self.ids), self.code, ""
-        if text:
-            sha, units = hashlib.sha256(), []
-            for found in code.units(" " + text):
-                groups = [code.groups[u] for u in found]
-                if None in groups:
-                    units = None
-                    break
-                sha.update(((";" if units else "") + "".join(groups)[:-1]).encode())
-                units.append(np.array(found, np.int64) | k << 32)
-            if units:
-                self.units += units
-                digest = sha.hexdigest()
-            elif aligned := code.aligned([" " + text]):
-                self.whole.append((k, aligned[1][0], aligned[3], aligned[4]))
-                digest = hashlib.sha256(aligned[0][0][:-1].encode()).hexdigest()
+    def add(self, docs: list[tuple[int | None, str | None]]) -> None:
+        """Some documents, together of bounded length unless it is one."""
+        code = self.code
+        texts = [" " + t for _, t in docs if t]
+        found = iter(code.parts(t) for t in texts) if len(texts) == 1 else iter([u] for u in code.numbered(texts))
+        for doc, text in docs:
+            self._add(doc, text, next(found) if text else ())
+            self.size += len(text or "")
+
+    def _add(self, doc: int | None, text: str | None, parts: Iterable[list[int]]) -> None:
+        k, code, digest, sha = len(self.ids), self.code, "", hashlib.sha256()
+        units: list[np.ndarray] | None = []
+        for numbers in parts:
+            groups = [code.groups[u] for u in numbers]
+            if None in groups:
+                units = None
+                break
+            sha.update(((";" if units else "") + "".join(groups)[:-1]).encode())
+            units.append(np.array(numbers, np.int64) | k << 32)
+        if units:
+            self.units += units
+            digest = sha.hexdigest()
+        elif text and (aligned := code.aligned([" " + text])):
+            self.whole.append((k, aligned[1][0], aligned[3], aligned[4]))
+            digest = hashlib.sha256(aligned[0][0][:-1].encode()).hexdigest()
         self.ids.append(doc)
         self.digests.append(digest)
-        self.size += len(text or "")
 
     def out(self) -> Iterator[pa.RecordBatch]:
         code, n = self.code, len(self.ids)
@@ -310,14 +322,20 @@ def _encode(batches: Iterator[pa.RecordBatch], paths: tuple[str, str]) -> Iterat
     code.settle()
     code.forget()
     base = TaskContext.get().partitionId() << 40
-    chunk = _Chunk(code, base)
+    chunk, some, size = _Chunk(code, base), [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            chunk.add(doc, text.as_py())
-            if chunk.size >= CHUNK_CHARS or len(chunk.ids) >= CHUNK_ROWS:
-                yield from chunk.out()
-                chunk = _Chunk(code, chunk.row + (1 << 16))
-    if chunk.ids:
+        for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            text = value.as_py()
+            if some and size + len(text or "") > PART_CHARS:
+                chunk.add(some)
+                some, size = [], 0
+                if chunk.size >= CHUNK_CHARS or len(chunk.ids) >= CHUNK_ROWS:
+                    yield from chunk.out()
+                    chunk = _Chunk(code, chunk.row + (1 << 16))
+            some.append((doc, text))
+            size += len(text or "") + 100
+    if some:
+        chunk.add(some)
         yield from chunk.out()
 
 

@@ -15,4 +15,4 @@ def test_matches_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries() if n.startswith("op")) == list(range(1, 14))
