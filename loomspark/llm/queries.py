@@ -178,8 +178,8 @@ s AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c
 SELECT doc_id, held_out, n_tokens, n_known, CAST((SELECT n FROM n) AS BIGINT) AS train_tokens, round(b, 3) AS base_score FROM d JOIN s USING (r)"""
 
 
-NEAR_VECTORS_SQL = """WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings),
-f AS MATERIALIZED (SELECT r, vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM e WHERE len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, x -> x <> 0)) > 0),
+NEAR_VECTORS_SQL = """WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+f AS MATERIALIZED (SELECT r, vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
 l AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM f a JOIN f b ON a.r <> b.r AND len(a.v) = len(b.v) AND list_dot_product(a.v, b.v) >= 0.95 * a.n * b.n),
 w AS (SELECT r AS a, r AS b FROM f UNION SELECT w.a, l.b FROM w JOIN l ON l.a = w.b),
 c AS (SELECT w.a AS r, min(f.vec_id) AS least FROM w JOIN f ON f.r = w.b GROUP BY w.a), n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
@@ -189,10 +189,10 @@ FROM e LEFT JOIN c USING (r) LEFT JOIN n USING (r)"""
 
 def _lloyd_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, seed: int = 2) -> str:
     """Rounds of assignments and means, one after the other."""
-    away = "list_sum(list_transform(list_zip(x.v, c.v), z -> (z[1] - z[2]) * (z[1] - z[2])))"
+    away = "list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
     steps = [
-        f"""e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> {scale} * x::DOUBLE) AS y FROM embeddings WHERE len(embedding) = {dims}),
-x AS MATERIALIZED (SELECT r, vec_id, list_transform(y, z -> CAST(floor(z) AS BIGINT)) AS v FROM e WHERE len(list_filter(y, z -> z IS NULL OR NOT isfinite(z) OR floor(z) <= -134217728 OR floor(z) >= 134217728)) = 0),
+        f"""e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: {scale} * x::DOUBLE) AS y FROM embeddings WHERE len(embedding) = {dims}),
+x AS MATERIALIZED (SELECT r, vec_id, list_transform(y, lambda z: CAST(floor(z) AS BIGINT)) AS v FROM e WHERE len(list_filter(y, lambda z: z IS NULL OR NOT isfinite(z) OR floor(z) <= -134217728 OR floor(z) >= 134217728)) = 0),
 c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS INTEGER) AS k, v FROM (SELECT sha256('{seed}:' || vec_id) AS h, v FROM x ORDER BY h, v LIMIT {k}))"""
     ]
     for i in range(rounds + 1):

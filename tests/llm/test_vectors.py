@@ -105,7 +105,7 @@ def test_clusters_equal_plain_rounds(spark, scale, dims, k):
     """Few values, so that vectors and distances tie, and large ones beyond double precision's integers."""
     rng = np.random.default_rng(8)
     v = groups(rng, 1500, [300, 200], 0.05, dims)
-    v = np.concatenate([v, v[:50], 1000 * v[:20] if scale == 100_000 else v[:1]])
+    v = np.concatenate([v, v[:50], 200 * v[:20] if scale == 100_000 else v[:1]])
     x = np.floor(scale * v.astype(np.float64)).astype(np.int64)
     cluster, distance, c = plain(x, range(len(x)), k, 5)
     got = D.cluster(frame(spark, enumerate(v)), k=k, dims=dims, scale=scale).orderBy("vec_id").collect()
