@@ -52,6 +52,8 @@ _MARKS = re.compile(
     r"(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu\w*|breadcrumbs?|pagination|pager|footer|sidebar|side|widget\w*|cookies?|consent|gdpr|notice\w*|popup|modal|overlay|newsletter|subscri\w+|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus\w*|respond|replies|reply|toolbar|skip|outbrain|taboola)",
     re.I,
 )
+#: Of these the ones for what readers wrote.
+_COMMENT_MARKS = re.compile(r"comments?|commentlist|disqus\w*|respond|replies|reply", re.I)
 _HEADER_MARKS = re.compile(r"header|masthead|topbar", re.I)
 _CONTENT_MARKS = re.compile(r"article|content|main|entry|post|story|body", re.I)
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
@@ -186,8 +188,11 @@ def _has_heading(node: Node) -> bool:
     return any(isinstance(c, Node) and (c.tag in ("h1", "h2", "h3") or _has_heading(c)) for c in node.children)
 
 
-def unwanted(node: Node, inside: bool) -> bool:
-    """Whether tag, role, class or id say that an element isn't article text. inside: within the article."""
+def unwanted(node: Node, inside: bool, whole: int = 0) -> bool:
+    """Whether tag, role, class or id say that an element isn't article text. inside: within the article, of so much text.
+
+    A mark that is only a part of a name doesn't count for an element that holds more than half of the article.
+    """
     if node.tag in _DROP:
         return True
     if node.tag == "header" and not (inside and _has_heading(node)):
@@ -195,19 +200,34 @@ def unwanted(node: Node, inside: bool) -> bool:
     a = attributes(node)
     if not a:
         return False
-    if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in _ROLES or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")):
+    if _hidden(a):
         return True
     if node.tag in ("html", "body"):
         return False
     for name in f"{a.get('class', '')} {a.get('id', '')}".split():
         parts = re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", name)
-        if any(_MARKS.fullmatch(x) for x in parts):
+        if any(_MARKS.fullmatch(x) for x in parts) and (2 * node.n_text <= whole or not whole or _sure(name, parts)):
             return True
         if any(_HEADER_MARKS.fullmatch(x) for x in parts) and not (inside or any(_CONTENT_MARKS.fullmatch(x) for x in parts) or _has_heading(node)):
             return True
     return False
 
 
+def _hidden(a: dict[str, str]) -> bool:
+    return "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in _ROLES or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style", "")))
+
+
+def _sure(name: str, parts: list[str]) -> bool:
+    """Whether a name is a mark as a whole, or one of readers' comments."""
+    return bool(_MARKS.fullmatch(name)) or any(_COMMENT_MARKS.fullmatch(x) for x in parts)
+
+
+def doubtful(node: Node) -> bool:
+    """Whether a marked article has a name that says it is something else, such as a comment."""
+    a = attributes(node)
+    return any(_sure(name, re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", name)) for name in f"{a.get('class', '')} {a.get('id', '')}".split())
+
+
 def measure(node: Node) -> None:
     """Hash of every subtree, an even number, and the characters of text below it."""
     parts, n = [node.tag], 0
@@ -227,23 +247,32 @@ def measure(node: Node) -> None:
 def _find(node: Node, out: list[Node], template: frozenset[int] | set[int] = frozenset()) -> None:
     for c in node.children:
         if isinstance(c, Node) and c.hash not in template:
-            if (c.tag in ("article", "main") or "role" in c.attrs and attributes(c).get("role") in ("main", "article")) and not unwanted(c, False):
-                out.append(c)
+            if c.tag in ("article", "main") or "role" in c.attrs and attributes(c).get("role") in ("main", "article"):
+                if not _hidden(attributes(c)):
+                    out.append(c)
             elif not unwanted(c, False):
                 _find(c, out, template)
 
 
 def article(root: Node, template: frozenset[int] | set[int] = frozenset()) -> Node | None:
-    """The element that holds the article, if one is marked as such and isn't template."""
-    found: list[Node] = []
-    _find(root, found, template)
+    """The element that holds the article, if one is marked as such and isn't template.
+
+    One whose name is that of something else counts only where no other is marked, and if it holds more text
+    than all of the page beside it.
+    """
+    marked: list[Node] = []
+    _find(root, marked, template)
+    found = [x for x in marked if not doubtful(x)]
+    if not found and marked:
+        best = max(marked, key=lambda x: x.n_text)
+        return best if best.n_text > sum(map(len, blocks(body(root), False, template, set(map(id, marked))))) else None
     if not found:
         return None
     best = max(found, key=lambda x: x.n_text)
     inner: list[Node] = []
     if best.tag != "article":
         _find(best, inner, template)
-    inner = [x for x in inner if x.n_text * 2 >= best.n_text]
+    inner = [x for x in inner if x.n_text * 2 >= best.n_text and not doubtful(x)]
     return max(inner, key=lambda x: x.n_text) if inner else best
 
 
@@ -265,7 +294,7 @@ def edges(node: Node, template: frozenset[int] | set[int]) -> set[int]:
             if isinstance(c, str):
                 if c.strip():
                     units.append(0)
-            elif unwanted(c, True) or not c.n_text:
+            elif unwanted(c, True, node.n_text) or not c.n_text:
                 continue
             elif c.tag in _PROSE and c.hash | 1 in template:
                 units.append(id(c))
@@ -277,8 +306,8 @@ def edges(node: Node, template: frozenset[int] | set[int]) -> set[int]:
     return set(units[: own[0]] + units[own[-1] + 1 :]) if own else set()
 
 
-def blocks(node: Node, inside: bool, template: frozenset[int] | set[int]) -> list[str]:
-    """Texts of the blocks under node that are neither unwanted nor template."""
+def blocks(node: Node, inside: bool, template: frozenset[int] | set[int], without: set[int] | frozenset[int] = frozenset()) -> list[str]:
+    """Texts of the blocks under node that are neither unwanted nor template, nor among the elements of the ids without."""
     out: list[str] = []
     line: list[str] = []
     outer = edges(node, template) if inside and template else set()
@@ -300,7 +329,7 @@ def blocks(node: Node, inside: bool, template: frozenset[int] | set[int]) -> lis
                 line.append(c)
             elif c.tag == "br":
                 line.append(" ")
-            elif unwanted(c, inside) or recurs(c):
+            elif id(c) in without or unwanted(c, inside, node.n_text if inside else 0) or recurs(c):
                 continue
             elif c.tag in _BLOCK:
                 flush()

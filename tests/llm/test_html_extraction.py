@@ -3,6 +3,8 @@
 import html
 import re
 
+import pytest
+
 from loomspark.llm import html_extraction as H
 
 PAGE = "page_id bigint, url string, html string, text string"
@@ -163,3 +165,29 @@ def test_templates_match_counts_by_brute_force(spark):
     want = {(h, k) for (h, k), mains in counts.items() if len(mains) >= 5 and (len(hosts[k]) == 1 or not k[1] and len(mains) >= 0.2 * len(pages[h]))}
     got = {(r.host, of_hash[r.hash]) for r in H.templates(H.subtree_hashes(spark.createDataFrame(rows, PAGE))).collect()}
     assert got == want and 20 < len(want) < len(counts)
+
+
+WORDS = "ad ads adv advert sponsor promo banner nav navbar navigation menu breadcrumb pagination pager footer sidebar side widget cookie consent gdpr notice popup modal overlay newsletter subscribe signup login share sharing social related recommend comment comments commentlist disqus respond replies reply toolbar skip outbrain taboola".split()
+
+
+@pytest.mark.parametrize("form", ["{}", "post {}-story", "entry the-{}", "{}_of_the_day"])
+@pytest.mark.parametrize("tag", ["article", "main", "div role=main"])
+def test_a_marked_article_isnt_lost_by_its_names(form, tag):
+    prose = "A long walk through the old town begins at the river. " * 6
+    for word in WORDS:
+        for attribute in ("class", "id"):
+            page = f"<body><nav><a href=/>Home</a></nav><{tag} {attribute}='{form.format(word)}'><h1>Old town</h1><p>{prose}</p><p>{prose}</p></{tag.split()[0]}><footer>Imprint</footer></body>"
+            assert H.main_text(page) == f"Old town\n\n{prose.strip()}\n\n{prose.strip()}", (word, form)
+
+
+def test_most_of_an_article_isnt_lost_by_part_of_a_name():
+    prose = "A long walk through the old town begins at the river. " * 6
+    page = f"<article><div class='text side-by-side'><p>{prose}</p></div><div class='social-links'><a href=/>Send</a></div><div class='comment-list'><p>{prose[:60]}</p></div></article>"
+    assert H.main_text(page) == prose.strip()
+
+
+def test_comments_marked_as_articles_stay_out():
+    prose = "A long walk through the old town begins at the river. " * 6
+    comment = "<article class='comment'><p>Well said, and well written too.</p></article>"
+    assert H.main_text(f"<body><article class=post><p>{prose}</p></article>{comment * 9}</body>") == prose.strip()
+    assert H.main_text(f"<body><div class=text><p>{prose}</p></div>{comment}</body>").startswith(prose.strip())
