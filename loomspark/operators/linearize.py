@@ -78,7 +78,7 @@ def project(raw: DataFrame) -> DataFrame:
 
 
 def threads(raw: DataFrame) -> DataFrame:
-    """One thread for each raw conversation; err names what is wrong with rows to quarantine, else is null."""
+    """One thread for each raw conversation; err names what is wrong with rows to quarantine, else is null. Its place in an archive stays."""
     mapping = F.col("mapping")
     leaf = F.coalesce(F.nullif("current_node", F.lit("")), best_leaf(mapping))
     walked = project(raw).withColumn("_walk", F.when(F.size(mapping) > 0, walk(mapping, leaf)))
@@ -86,6 +86,7 @@ def threads(raw: DataFrame) -> DataFrame:
     return walked.select(
         "conversation_id", F.coalesce("title", F.lit("")).alias("title"), "create_time", "update_time",
         F.when(F.col("_walk.err").isNull(), found).alias("messages"), F.coalesce("err", F.col("_walk.err")).alias("err"),
+        *(c for c in ("_file", "_place") if c in raw.columns),
     )
 
 

@@ -71,8 +71,8 @@ class Pipeline:
             return False
         found = linearize.threads(readers.archive(self.spark, self.c.archive, self.c.array_field))
         self._save(linearize.quarantine(found), "quarantine")
-        named = linearize.numbered_names(linearize.good(found, self.c.strict).withColumn("_order", F.monotonically_increasing_id()), "conversation_id", "_order")
-        self._save(named.drop("_order"), "threads")
+        named = linearize.numbered_names(linearize.good(found, self.c.strict).withColumn("_order", F.struct("_file", "_place")), "conversation_id", "_order")
+        self._save(named.drop("_order", "_file", "_place"), "threads")
         return True
 
     def chunk(self) -> bool:

@@ -738,6 +738,18 @@ def archive_scan_wrapped(spark: SparkSession, d: str) -> DataFrame:
     return _as_messages(readers.archive(spark, _archive(spark, d, '{"version": 3, "conversations": [', '], "more": [1]}\n')))
 
 
+@query(_READ)
+def archive_scan_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """One archive file of all conversations, cut into some 64 byte ranges; lines go through the writer's one task."""
+    path = _fresh(spark, "archive")
+    rows = stored(_trees(spark, d).select(F.to_json(F.struct("*")).alias("json")).withColumn("at", F.monotonically_increasing_id() + 1), "lines")
+    ends = spark.createDataFrame([(0, '{"note": "} [ {\\"\\\\", "names": {"a}b": [{"id": "x"}]}, "conversations": [{}'), (1 << 62, '], "more": [{"id": "y"}]}')], "at bigint, json string")
+    lines = rows.withColumn("json", F.concat(F.lit(","), F.col("json"))).unionByName(ends)
+    lines.repartition(1).sortWithinPartitions("at").select(F.col("json").alias("value")).write.text(path)
+    size = rows.agg(F.sum(F.octet_length("json"))).first()[0] or 0
+    return _as_messages(readers.archive(spark, path, "conversations", max(1 << 12, size // 64)))
+
+
 def _chunk_rows(spark: SparkSession, d: str) -> DataFrame:
     made = turns.chunks(threads_of(talk(spark, d)), TARGET)
     return made.withColumn("rel_path", turns.chunk_path(text.file_component("conversation_id")))

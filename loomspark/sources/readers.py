@@ -2,47 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.jsonx import once
 from ..functions.text import relative_path
+from . import json_ranges
 
 SUMMARY, SENTIMENT = ".summary.json", ".sentiment.summary.json"
 THREAD_SUMMARY, THREAD_SENTIMENT = ".thread.summary.json", ".thread.sentiment.summary.json"
 SKIPPED_DIRS = ("summaries", "summary", "index")
 
 
-def archive(spark: SparkSession, path: str, field: str | None = None) -> DataFrame:
-    """Raw conversations of an archive: a top-level array, or an object that holds one.
+def archive(spark: SparkSession, path: str, field: str | None = None, range_bytes: int | None = None) -> DataFrame:
+    """Raw conversations of an archive, a top-level array or an object that holds one, with _file and _place in it.
 
-    In an object the field is the one named, else the first in document order that is an array. A file
-    of JSON can't be split; large archives are better converted to lines once, with ``archive_lines``.
+    In an object the field is the one named, else the first in document order that is an array; an error if
+    there is none. Files of any size are cut into byte ranges, which many tasks read.
     """
-    if field is None and _starts_with_array(spark, path):
-        return spark.read.schema(schemas.RAW_CONVERSATION).option("multiLine", True).json(path)
-    return wrapped(spark.read.text(path, wholetext=True), field)
-
-
-def _starts_with_array(spark: SparkSession, path: str) -> bool:
-    row = spark.read.text(path).filter("length(trim(value)) > 0").limit(1).first()
-    return row is not None and row.value.lstrip("﻿ \t").startswith("[")
-
-
-def wrapped(texts: DataFrame, field: str | None = None) -> DataFrame:
-    """Raw conversations of objects in the column value; an error if an object holds no array."""
-    members = F.try_variant_get(F.try_parse_json(F.col("value")), "$", "map<string,variant>")
-    fields = F.lit(field) if field else once(members, lambda v: F.try_element_at(F.filter(F.json_object_keys("value"), lambda k: _is_array(v, k)), F.lit(1)))
-    body = F.call_function("get_json_object", F.col("value"), F.concat(F.lit("$['"), F.col("_field"), F.lit("']")))
-    rows = texts.withColumn("_field", fields).withColumn("_body", body)
-    checked = rows.filter(F.assert_true(F.col("_body").isNotNull(), F.lit("the archive has no array of conversations")).isNull())
-    kind = f"array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in schemas.struct(schemas.RAW_CONVERSATION))}>>"
-    return checked.select(F.inline(F.from_json("_body", kind)))
-
-
-def _is_array(members: Column, k: Column) -> Column:
-    return F.startswith(F.coalesce(F.schema_of_variant(F.element_at(members, k)), F.lit("")), F.lit("ARRAY"))
+    rows = json_ranges.elements(spark, path, field, range_bytes)
+    return rows.select(F.from_json("value", schemas.RAW_CONVERSATION).alias("c"), F.col("file").alias("_file"), F.col("place").alias("_place")).select("c.*", "_file", "_place")
 
 
 def archive_lines(spark: SparkSession, path: str) -> DataFrame:

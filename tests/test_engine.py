@@ -12,7 +12,7 @@ from loomspark.operators import budget, glossary, index, linearize, pack, render
 from loomspark.plans import prompts, providers
 from loomspark.plans.config import Config
 from loomspark.plans.pipeline import Pipeline
-from loomspark.sources import readers, writers
+from loomspark.sources import json_ranges, readers, writers
 
 
 def value(spark, column, *args):
@@ -76,6 +76,24 @@ def test_wrapped_archives(spark, archive):
         readers.archive(spark, str(archive.parent / "none.json")).collect()
 
 
+@pytest.mark.parametrize("size", [300, 1 << 20])
+def test_ranges_of_a_document_give_its_elements(spark, tmp_path, size):
+    """Wherever a range begins: in strings with brackets, behind escapes, between and inside elements."""
+    odd = ['}', '{', '"', '\\\\', '\\\\"}', '}]', 'a}b{c', '\\n}', '\u00e9\U0001f642}', ' ]} , {"x": [1]} ']
+    values = [{"id": str(i), "t": odd[i % len(odd)] * (i % 4), "n": [{"deep": [{}, [], {"}": odd[-i % len(odd)]}]}] * (i % 3)} for i in range(40)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps(values, indent=1), encoding="utf-8")
+    (folder / "b.json").write_text(" \n" + json.dumps({"x": {"conversations": [{"no": 1}]}, "s": "[{", "q}": [[{}], 5, None, {"id": "q"}], "conversations": values[:9], "z": [{"z": 1}]}, ensure_ascii=False) + ' [{"behind": 1}]', encoding="utf-8")
+    for field, want in ((None, [[], {"id": "q"}]), ("conversations", values[:9])):
+        found = json_ranges.elements(spark, str(folder), field, size).collect()
+        own = {n: [json.loads(r.value) for r in sorted(found, key=lambda r: r.place) if r.file.endswith(n)] for n in ("a.json", "b.json")}
+        assert own["a.json"] == values
+        assert own["b.json"] == ([[{}], {"id": "q"}] if field is None else want)
+    with pytest.raises(ValueError, match="no array"):
+        json_ranges.elements(spark, str(folder), "absent", size)
+
+
 def thread_rows(spark, *messages):
     names = schemas.names(schemas.MESSAGE)
     made = [tuple({"role": r, "text": t, "name": "", "content_type": "", "domain": "", "title": "", "url": "", "create_time": float(i)}[n] for n in names) for i, (r, t) in enumerate(messages)]
