@@ -46,6 +46,28 @@ def merge(additions: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     return merged
 
 
+def combine(states: list[DataFrame]) -> DataFrame:
+    """The glossary after several, each made by merge from later additions than the one before.
+
+    The same rows as one merge of all additions: every rule of merge holds for parts as well. A key that the
+    first one has more than once stays so; its last entry is the one that goes on.
+    """
+    if len(states) == 1:
+        return states[0]
+    rows = [s.select(*ENTRY, F.monotonically_increasing_id().alias("_at")).withColumn("_of", F.lit(i)) for i, s in enumerate(states)]
+    ranked = rows[0].withColumn("_r", F.row_number().over(W.partitionBy(key("term")).orderBy(F.desc("_at")))).drop("_at")
+    first, later = ranked.filter("_r = 1").drop("_r"), [r.drop("_at") for r in rows[1:]]
+    every = first
+    for r in later:
+        every = every.unionByName(r)
+    given = F.coalesce("definition", F.lit("")) != ""
+    merged = every.groupBy(key("term").alias("k")).agg(
+        F.min_by("term", "_of").alias("term"), F.coalesce(F.max_by(F.when(given, F.col("definition")), F.when(given, F.struct(F.octet_length("definition"), -F.col("_of")))), F.lit("")).alias("definition"),
+        F.sum("count").cast("int").alias("count"), F.min_by("first_seen_at", F.when(F.col("first_seen_at").isNotNull(), F.col("_of"))).alias("first_seen_at"), F.max_by("last_seen_at", "_of").alias("last_seen_at"),
+    )
+    return merged.select(*ENTRY).unionByName(ranked.filter("_r > 1").select(*ENTRY))
+
+
 def additions_of(summaries: DataFrame, seq: str = "seq", seen_at: str = "thread_start_time") -> DataFrame:
     """A summary's glossary additions, then each of its terms without a definition."""
     given = F.coalesce(F.col("glossary_additions"), F.array().cast("array<struct<term:string,definition:string>>"))

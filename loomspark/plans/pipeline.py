@@ -1,7 +1,9 @@
 """The five stages from a chat archive to a memory pack, each resumable.
 
-Results of a stage are Parquet tables under the base folder, so a later stage reads columns and not files,
-and model answers are never asked for twice; JSON lines, markdown and the glossary are written beside.
+Results of a stage are Parquet tables under the base folder, so a later stage reads columns and not files;
+JSON lines, markdown and the glossary are written beside. Answers about chunks count batch by batch, by
+a journal: a run that is ended goes on behind the last batch that it has entered, and what an overwriting run
+replaces stays until the run is through.
 """
 
 from __future__ import annotations
@@ -16,37 +18,58 @@ from ..operators import index, linearize, pack, rollup, turns
 from ..operators.budget import fixed_windows
 from ..operators.order import numbered
 from ..operators.stats import thread_counters
-from ..shared import stored
+from ..shared import mark, release, stored
 from ..sources import readers, writers
 from . import prompts
 from .config import Config
 from .deciders import Decider
+from .journal import Entry, Journal
 from .providers import ExtractiveProvider, Provider, ask_with_fallback, recoverable
 
 SUMMARY_INSTRUCTIONS = "Summarise the chunk. " + prompts.SENTIMENT_TAIL
 ROLLUP_INSTRUCTIONS = "Summarise the whole conversation from its parts. " + prompts.SENTIMENT_TAIL
+#: Rows of the tables that the journal keeps.
+JOURNALED = {
+    "summaries": f"{schemas.CHUNK_KEYS}, rel_path string, {schemas.SUMMARY_PAYLOAD}, glossary_additions array<struct<term:string,definition:string>>",
+    "sentiments": f"{schemas.CHUNK_KEYS}, rel_path string, {schemas.SENTIMENT_PAYLOAD}",
+}
 KEYS = ["conversation_id", "chunk_number", "turn_start", "turn_end", "rel_path"]
+SENTIMENT_ROLLUP_INSTRUCTIONS = "Describe how feelings run through the whole conversation, from what its parts say of them; add none that no part has. " + prompts.SENTIMENT_TAIL
+#: Further instructions where partial results of one conversation are merged, and for a second try.
+MERGE_WORDS = " The parts are results for stretches of one conversation, in order: make one of them, without repeats."
+AGAIN_WORDS = " The answer before was cut off or wasn't JSON: keep all fields, but be brief."
 #: Output tokens of the first and the second try (fixed values).
 CHUNK_TOKENS, ROLLUP_TOKENS = (2500, 2500), (2600, 4500)
 
 
 class Pipeline:
-    """decider: what splits a thread into chunks; without one every target_turns-th turn does.
+    """decider: what splits a thread into chunks; without one every target_turns-th turn does. sentiment_provider: where sentiments have a model of their own.
 
     What a model doesn't answer is listed in ``errors`` and left undone, so the next run asks for it again;
     with ``strict`` it ends the run. Nothing is made from a part of its input.
     """
 
-    def __init__(self, spark: SparkSession, config: Config, provider: Provider | None = None, decider: Decider | None = None):
+    def __init__(self, spark: SparkSession, config: Config, provider: Provider | None = None, decider: Decider | None = None, sentiment_provider: Provider | None = None):
         config.validate()
+        self.sentiment_provider = sentiment_provider
         self.spark, self.c, self.provider, self.decider = spark, config, provider or ExtractiveProvider(), decider
+        self.journal = Journal(spark, self.path("answers"))
+
+    def provider_of(self, payload: str) -> Provider:
+        """What answers about sentiments may be another model."""
+        return self.sentiment_provider or self.provider if payload == schemas.SENTIMENT_PAYLOAD else self.provider
 
     def path(self, name: str) -> str:
         return self.c.path(name)
 
     def table(self, name: str) -> DataFrame:
+        if name in JOURNALED and not readers.exists(self.spark, self.path(name)):
+            return self.journal.read(name, JOURNALED[name])
         return self.spark.read.parquet(self.path(name))
 
+    def _there(self, name: str) -> bool:
+        return readers.exists(self.spark, self.path(name)) or name in JOURNALED and self.journal.finished() > 0
+
     def _save(self, df: DataFrame, name: str, append: bool = False) -> None:
         df.write.mode("append" if append else "overwrite").parquet(self.path(name))
 
@@ -64,7 +87,15 @@ class Pipeline:
 
     def run(self) -> list[str]:
         """Names of the stages that did something."""
-        return [s for s in self.c.stages() if getattr(self, s)()]
+        did = []
+        for stage in self.c.stages():
+            point = mark()
+            try:
+                if getattr(self, stage)():
+                    did.append(stage)
+            finally:
+                release(self.spark, point)
+        return did
 
     def split(self) -> bool:
         if self._done("threads", "quarantine"):
@@ -95,53 +126,87 @@ class Pipeline:
 
     def summarize(self) -> bool:
         """Batches of chunks in the order of their paths; each sees the glossary that the one before left."""
-        chunks = self.table("chunks")
-        if self.c.max_chunks:
-            chunks = chunks.orderBy("rel_path").limit(self.c.max_chunks)
-        fresh = not self._done("summaries", "sentiments")
-        todo = chunks if fresh or not self.c.resume else rollup.pending_chunks(chunks, self.table("summaries"), self.table("sentiments"))
-        if not todo.limit(1).count():
+        chunks, journal, c = self.table("chunks"), self.journal, self.c
+        if c.max_chunks:
+            chunks = chunks.orderBy("rel_path").limit(c.max_chunks)
+        generation = journal.begin(c.overwrite or not c.resume)
+        done = {name: stored(journal.read(name, schema, generation).select("rel_path"), "done") for name, schema in JOURNALED.items()}
+        todo = rollup.pending_chunks(chunks, done["summaries"], done["sentiments"])
+        left = todo.limit(1).count() > 0
+        if not left and journal.finished() == generation:
             return False
-        size = self.c.batch_size or 25
+        if left:
+            self._batches(todo, done, generation)
+        glossary = journal.entries("glossary", generation)
+        kept = G.cull(self._glossary(generation), c.glossary_min_count)
+        path = journal.fresh("glossary")
+        kept.write.parquet(path)
+        journal.add(generation, "glossary", path, weight=0, replaces=glossary)
+        for name, schema in JOURNALED.items():
+            journal.fold(generation, name, schema)
+        journal.finish(generation)
+        writers.glossary(self._glossary(), self.path("glossary.json"))
+        self._chunk_indexes()
+        return True
+
+    def _batches(self, todo: DataFrame, done: dict[str, DataFrame], generation: int) -> None:
+        """Ask about the chunks that are left, and enter each batch's answers once they are written."""
+        journal, size = self.journal, self.c.batch_size or 25
         # each round reads its own batch alone
-        begun = 0 if fresh else self.table("summaries").agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
-        batched = numbered(todo, [F.col("rel_path")], "_place", "bigint").withColumn("batch", (F.floor((F.col("_place") - 1) / size) + begun).cast("int")).drop("_place")
+        batched = numbered(todo, [F.col("rel_path")], "_place", "bigint").withColumn("batch", F.floor((F.col("_place") - 1) / size).cast("int")).drop("_place")
         path = self.path("chunks_todo")
         batched.repartition("batch").write.mode("overwrite").partitionBy("batch").parquet(path)
         batches = [r.batch for r in self.spark.read.parquet(path).select("batch").distinct().orderBy("batch").collect()]
-        glossary = self._glossary() if not fresh else self.spark.createDataFrame([], schemas.GLOSSARY_ENTRY)
         header = readers.prompt_header(self.spark, self.c.sentiment_header_file) if self.c.sentiment_header_file else ""
-        kind = todo.schema
         for i in batches:
-            said = G.excerpt(glossary, self.c.glossary_max_terms).first()[0]
-            own = self.spark.read.schema(kind).parquet(f"{path}/batch={i}")
-            full, short = (prompts.chunk_prompts(own, said, most, tools, ("rel_path",)) for most, tools in ((prompts.CHUNK_BYTES, True), (prompts.CHUNK_RETRY_BYTES, False)))
+            point = mark()
+            said = G.excerpt(self._glossary(generation), self.c.glossary_max_terms).first()[0] if self.c.glossary_max_terms > 0 else ""
+            own = self.spark.read.schema(todo.schema).parquet(f"{path}/batch={i}")
+            print_ = str(own.agg(F.sum(F.xxhash64("rel_path", F.to_json("messages")).cast("decimal(38,0)"))).first()[0])
             keyed = own.select(*KEYS, "thread_start_time")
-            for name, payload, words in (("summaries", schemas.SUMMARY_PAYLOAD + ", glossary_additions array<struct<term:string,definition:string>>", SUMMARY_INSTRUCTIONS), ("sentiments", schemas.SENTIMENT_PAYLOAD, prompts.sentiment_instructions(header))):
-                answers = ask_with_fallback(self.provider, full, short, KEYS, payload, words, CHUNK_TOKENS)
-                good = keyed.join(self._answered(answers, name, KEYS), KEYS)
-                if not fresh and self._done(name):  # a chunk that lacks one of the two has the other already
-                    good = good.join(self.table(name).select("rel_path"), "rel_path", "left_anti")
-                good.write.mode("overwrite").parquet(self.path(f"{name}/batch={i}"))
-            new = self.spark.read.parquet(self.path(f"summaries/batch={i}")).withColumn("seq", F.dense_rank().over(_by_path()))
-            self._save(G.merge(G.additions_of(new), glossary), f"glossary/batch={i:06d}")
-            glossary = self.table(f"glossary/batch={i:06d}")
-        for name in ("summaries", "sentiments"):
-            self._commit(name)
-        kept = G.cull(glossary, self.c.glossary_min_count)
-        self._save(kept, "glossary/final")
-        writers.glossary(kept, self.path("glossary.json"))
-        self._chunk_indexes()
-        return True
-
-    def _commit(self, name: str) -> None:
-        """Say that a table of batches is there as a whole."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(self.path(f"{name}/_SUCCESS"))
-        where.getFileSystem(conf).create(where, True).close()
-
-    def _glossary(self) -> DataFrame:
-        return self.table("glossary/final") if readers.exists(self.spark, self.path("glossary/final")) else self.spark.createDataFrame([], schemas.GLOSSARY_ENTRY)
+            for name, words in (("summaries", SUMMARY_INSTRUCTIONS), ("sentiments", prompts.sentiment_instructions(header))):
+                lacking = own.join(done[name], "rel_path", "left_anti")  # a chunk that lacks one of the two isn't asked about for the other
+                full, short = (prompts.chunk_prompts(lacking, said, most, tools, ("rel_path",)) for most, tools in ((prompts.CHUNK_BYTES, True), (prompts.CHUNK_RETRY_BYTES, False)))
+                payload = schemas.SUMMARY_PAYLOAD + ", glossary_additions array<struct<term:string,definition:string>>" if name == "summaries" else schemas.SENTIMENT_PAYLOAD
+                good = self._answered(ask_with_fallback(self.provider_of(payload), full, short, KEYS, payload, words, CHUNK_TOKENS), name, KEYS)
+                rows = keyed.join(good, KEYS).select(*schemas.names(JOURNALED[name]))
+                made = journal.fresh(name)
+                rows.write.parquet(made)
+                if name == "summaries":
+                    self._enter_terms(generation, made, print_)
+                else:
+                    journal.add(generation, name, made, print_)
+            release(self.spark, point)
+
+    def _enter_terms(self, generation: int, made: str, print_: str) -> None:
+        """Enter a batch's summaries and, before them, what they add to the glossary.
+
+        Additions are kept as deltas; two of the same weight are merged, so few are ever there and an entry is
+        written as often as the logarithm of the number of batches says.
+        """
+        journal = self.journal
+        new = self.spark.read.schema(JOURNALED["summaries"]).parquet(made).withColumn("seq", F.dense_rank().over(_by_path()))
+        path = journal.fresh("glossary")
+        G.merge(G.additions_of(new)).write.parquet(path)
+        known = self._deltas(generation)
+        latest = journal.add(generation, "glossary", path, print_, replaces=[e for e in journal.entries("glossary", generation) if e not in known])
+        journal.add(generation, "summaries", made, print_)
+        while True:
+            deltas = [e for e in journal.entries("glossary", generation) if e.weight]
+            if len(deltas) < 2 or deltas[-2].weight != deltas[-1].weight:
+                return
+            path = journal.fresh("glossary")
+            G.combine([self.spark.read.schema(schemas.GLOSSARY_ENTRY).parquet(e.path) for e in deltas[-2:]]).write.parquet(path)
+            latest = journal.add(generation, "glossary", path, f"{deltas[-2].inputs} {deltas[-1].inputs}", latest.weight + deltas[-2].weight, deltas[-2:])
+
+    def _deltas(self, generation: int | None = None) -> list[Entry]:
+        """Parts of the glossary; one whose summaries aren't entered is from a run that ended between the two, and doesn't count."""
+        entered = {e.inputs for e in self.journal.entries("summaries", generation)}
+        return [e for e in self.journal.entries("glossary", generation) if not e.weight or set(e.inputs.split()) <= entered]
+
+    def _glossary(self, generation: int | None = None) -> DataFrame:
+        states = [self.spark.read.schema(schemas.GLOSSARY_ENTRY).parquet(e.path) for e in self._deltas(generation)]
+        return G.combine(states) if states else self.spark.createDataFrame([], schemas.GLOSSARY_ENTRY)
 
     def _chunk_indexes(self) -> None:
         c, chunks = self.c, self.table("chunks").withColumn("chunk_path", F.concat(F.lit("chunks/"), F.col("rel_path")))
@@ -172,9 +237,10 @@ class Pipeline:
             self._thread_indexes()
         return did
 
-    def _ask_twice(self, asked: DataFrame, keys: list[str], payload: str, stage: str) -> DataFrame:
-        """Answers cut off or without JSON are asked for once more, with more room."""
-        answers = ask_with_fallback(self.provider, asked, asked, keys, payload, ROLLUP_INSTRUCTIONS, ROLLUP_TOKENS, recoverable())
+    def _ask_twice(self, asked: DataFrame, keys: list[str], payload: str, stage: str, merge: bool = False) -> DataFrame:
+        """Answers cut off or without JSON are asked for once more, with more room and a word about it."""
+        words = (SENTIMENT_ROLLUP_INSTRUCTIONS if payload == schemas.SENTIMENT_PAYLOAD else ROLLUP_INSTRUCTIONS) + MERGE_WORDS * merge
+        answers = ask_with_fallback(self.provider_of(payload), asked, asked, keys, payload, (words, words + AGAIN_WORDS), ROLLUP_TOKENS, recoverable())
         return self._answered(answers, stage, keys)
 
     def _rollup(self, rows: DataFrame, name: str, payload: str, makers: tuple, said: str) -> DataFrame:
@@ -209,7 +275,7 @@ class Pipeline:
         parts = there.join(sizes.join(whole, ["conversation_id", "n_parts"]), "conversation_id")
         columns = ["conversation_id", "title", "thread_start_time", *fields]
         many = parts.filter("n_parts > 1")
-        merged = self._ask_twice(makers[1](many, said), ["conversation_id"], payload, name)
+        merged = self._ask_twice(makers[1](many, said), ["conversation_id"], payload, name, merge=True)
         merged = merged.join(sizes.withColumnRenamed("_start", "thread_start_time"), "conversation_id")
         return parts.filter("n_parts = 1").select(*columns).unionByName(merged.select(*columns))
 
@@ -242,7 +308,7 @@ class Pipeline:
 
     def stats(self) -> dict[str, int]:
         """Rows of each table that is there, and bytes of the threads' texts."""
-        names = [n for n in ("quarantine", "threads", "chunks", "summaries", "sentiments", "thread_summaries", "thread_sentiments", "packed") if readers.exists(self.spark, self.path(n))]
+        names = [n for n in ("quarantine", "threads", "chunks", "summaries", "sentiments", "thread_summaries", "thread_sentiments", "packed") if self._there(n)]
         out = {n: self.table(n).count() for n in names}
         if readers.exists(self.spark, self.path("errors")):
             out["errors"] = self.table("errors").count()
@@ -259,7 +325,7 @@ class Pipeline:
             ("summaries", schemas.CHUNK_SUMMARY, F.concat(stem, F.lit(readers.SUMMARY))), ("sentiments", schemas.CHUNK_SENTIMENT, F.concat(stem, F.lit(readers.SENTIMENT))),
             ("thread_summaries", schemas.THREAD_SUMMARY, F.concat(thread, F.lit(readers.THREAD_SUMMARY))), ("thread_sentiments", schemas.THREAD_SENTIMENT, F.concat(thread, F.lit(readers.THREAD_SENTIMENT))),
         ):
-            if readers.exists(self.spark, self.path(name)):
+            if self._there(name):
                 rows = self.table(name).withColumns({"_file": file, "_json": writers.pretty_json(self.table(name), schemas.names(schema), pretty)})
                 writers.documents(rows, f"{path.rstrip('/')}/{name}", "_file", "_json", self.c.overwrite)
 

@@ -162,11 +162,12 @@ def ask(provider: Provider, prompts: DataFrame, keys: list[str], payload: str, i
     return both.withColumns({"status": status, "_p": jsonx.decode(F.col("response"), schema)}).select(*keys, *(F.col("_p")[c].alias(c) for c in schema.fieldNames()), "status")
 
 
-def ask_with_fallback(provider: Provider, first: DataFrame, second: DataFrame, keys: list[str], payload: str, instructions: str, max_tokens: tuple[int, int] = (0, 0), again: Column | None = None) -> DataFrame:
-    """As ask; rows that fail, or those of them that again says, are asked again with the prompts of second. The last status holds."""
-    tried = ask(provider, first, keys, payload, instructions, max_tokens[0])
+def ask_with_fallback(provider: Provider, first: DataFrame, second: DataFrame, keys: list[str], payload: str, instructions: str | tuple[str, str], max_tokens: tuple[int, int] = (0, 0), again: Column | None = None) -> DataFrame:
+    """As ask; rows that fail, or those of them that again says, are asked again with the prompts of second, and its instructions if there are two. The last status holds."""
+    words = (instructions, instructions) if isinstance(instructions, str) else instructions
+    tried = ask(provider, first, keys, payload, words[0], max_tokens[0])
     failed = tried.filter("status != 'ok'") if again is None else tried.filter((F.col("status") != "ok") & again)
-    more = ask(provider, second.join(failed.select(*keys), keys, "left_semi"), keys, payload, instructions, max_tokens[1])
+    more = ask(provider, second.join(failed.select(*keys), keys, "left_semi"), keys, payload, words[1], max_tokens[1])
     return tried.join(failed.select(*keys), keys, "left_anti").unionByName(more)
 
 

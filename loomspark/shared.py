@@ -30,13 +30,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Remove all that was stored; results that still read it are void then."""
+def mark() -> int:
+    """A point in time, for release."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove all that was stored since a point in time; results that still read it are void then."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written:
+    for path in _written[since:]:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
-    _written.clear()
+    del _written[since:]
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -458,3 +458,86 @@ def test_long_graphs_walk_in_linear_time(spark):
     began = time.time()
     r = linearize.threads(raw).select(F.size("messages").alias("n"), "err").first()
     assert (r.n, r.err) == (n, None) and time.time() - began < 40
+
+
+class Killed(Exception):
+    pass
+
+
+def test_batches_are_entered_and_never_asked_for_twice(spark, talks, tmp_path):
+    """A run that ends in the midst goes on behind its last batch; one that overwrites leaves one row a chunk and no old files."""
+    log, left = [], {"calls": 99}
+
+    def answer(r):
+        return json.dumps({**json.loads(SUMMARY), "terms": ["m", f"t{len(r.prompt) % 7}"]}), None
+
+    class Mortal(Scripted):
+        def complete(self, requests):
+            left["calls"] -= 1
+            if left["calls"] < 0:
+                raise Killed
+            return super().complete(requests)
+
+    def pipeline(**settings):
+        return Pipeline(spark, Config(str(talks), str(tmp_path / "j"), target_turns=2, glossary_min_count=1, **settings), Mortal(answer, log))
+
+    p = pipeline(batch_size=1)
+    p.split(), p.chunk()
+    n = p.table("chunks").count()
+    left["calls"] = 4 + 2  # a request and its empty second try for each kind; the second batch ends after its summaries
+    with pytest.raises(Killed):
+        p.summarize()
+    assert p.table("summaries").count() == 0 and not p.journal.finished() and len(log) == 3
+    left["calls"] = 999
+    assert pipeline(batch_size=1).summarize() and len(log) == 2 * n
+    p = pipeline(batch_size=1)
+    assert not p.summarize() and p.table("summaries").count() == p.table("sentiments").count() == n
+    whole = {(r.term, r["count"]) for r in p._glossary().collect()}
+    assert dict(whole)["m"] == n
+    p = pipeline(batch_size=25, overwrite=True)
+    left["calls"] = 2
+    with pytest.raises(Killed):
+        p.summarize()
+    assert p.table("sentiments").count() == n, "what is there stays until the run is through"
+    left["calls"] = 999
+    assert pipeline(batch_size=25).summarize() and len(log) == 4 * n
+    p = pipeline()
+    for name in ("summaries", "sentiments"):
+        rows = p.table(name).collect()
+        assert len(rows) == n == len({r.rel_path for r in rows})
+        assert len([x for x in (tmp_path / "j" / "answers" / name).iterdir() if x.is_dir()]) == 1
+    assert {(r.term, r["count"]) for r in p._glossary().collect()} == whole and not p.summarize()
+    p = pipeline()
+    assert p.rollup() and {r.conversation_id for r in p.table("thread_summaries").collect()} == {"a", "b", "long"}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_parts_of_a_glossary_combine_to_the_whole(spark, seed):
+    rng = random.Random(seed)
+    rows = [(s, rng.choice([None, float(s)]), i, rng.choice([" Vix", "vix", "Ox ", "ox", "Élan", ""]), rng.choice(["", "x", "longer", "équal", None])) for s in range(12) for i in range(4)]
+    kind = "seq bigint, seen_at double, pos bigint, term string, definition string"
+    prior = spark.createDataFrame([("Vix", "old", 4, 1.0, 2.0), ("vix", "newer", 2, None, 3.0), ("lone", "", 1, None, None)], schemas.GLOSSARY_ENTRY)
+    whole = glossary.merge(spark.createDataFrame(rows, kind), prior)
+    cuts = [(0, 5), (5, 6), (6, 12)]
+    states = [prior, *(glossary.merge(spark.createDataFrame([r for r in rows if a <= r[0] < b], kind)) for a, b in cuts)]
+    last_two = glossary.combine(states[2:])
+    assert sorted(map(repr, glossary.combine([*states[:2], last_two]).collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_sentiments_have_instructions_and_a_model_of_their_own(spark, talks, tmp_path):
+    seen, sentiments = [], []
+
+    def answer(r):
+        seen.append((r.instructions, r.max_tokens))
+        return (SUMMARY if r.max_tokens != 2600 else SUMMARY[:-9]), None
+
+    def feel(r):
+        sentiments.append((r.instructions, r.max_tokens))
+        return SUMMARY, None
+
+    p = Pipeline(spark, Config(str(talks), str(tmp_path / "s"), target_turns=2, max_chunks_per_thread=2), Scripted(answer, []), sentiment_provider=Scripted(feel, []))
+    assert p.run() == ["split", "chunk", "summarize", "rollup", "pack"]
+    words = {w for w, _ in sentiments}
+    assert not words & {w for w, _ in seen} and len(words) == 3  # of chunks, of threads, of threads from parts
+    assert all("feelings" in w for w, n in sentiments if n == 2600)
+    assert any("brief" in w for w, n in seen if n == 4500) and not any("brief" in w for w, n in seen if n == 2600)
