@@ -31,10 +31,10 @@ def main(args: list[str] | None = None) -> int:
     c = parse(sys.argv[1:] if args is None else args)
     from pyspark.sql import SparkSession
 
-    from .plans.pipeline import Pipeline
+    from .plans.pipeline import pipeline_of
 
     spark = SparkSession.builder.appName("loomspark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    pipeline = Pipeline(spark, c)
+    pipeline = pipeline_of(spark, c)
     did = pipeline.run()
     print(json.dumps({"stages": did, **pipeline.stats()}))
     return 0

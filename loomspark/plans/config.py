@@ -8,7 +8,7 @@ STAGES = ("split", "chunk", "summarize", "rollup", "pack")
 MODES = ("semantic", "sentiment", "both")
 #: Which setting says where a table lies, by the first part of its name.
 FOLDERS = {
-    "threads": "threads_dir", "quarantine": "threads_dir", "chunks": "chunks_dir", "summaries": "summaries_dir", "sentiments": "summaries_dir", "glossary": "summaries_dir", "glossary.json": "summaries_dir",
+    "threads": "threads_dir", "quarantine": "threads_dir", "chunks": "chunks_dir", "summaries": "summaries_dir", "sentiments": "summaries_dir", "answers": "summaries_dir", "glossary": "summaries_dir", "glossary.json": "summaries_dir",
     "thread_summaries": "thread_summaries_dir", "thread_sentiments": "thread_summaries_dir", "thread_summaries_parts": "thread_summaries_dir", "thread_sentiments_parts": "thread_summaries_dir",
     "packed": "memory_dir", "packed_sentiment": "memory_dir", "memory": "memory_dir", "sentiment_memory": "memory_dir", "memory_glossary.json": "memory_dir",
 }
@@ -41,6 +41,21 @@ class Config:
     only_stage: str = ""
     #: What pack packs: semantic, sentiment, or both.
     mode: str = "both"
+    #: What answers: offline, or a service that takes requests by HTTP, with its models; a sentiment_model of its own if given.
+    provider: str = "offline"
+    provider_url: str = ""
+    model: str = ""
+    sentiment_model: str = ""
+    #: What cuts threads into chunks: stride, or model (breakpoint_model if given).
+    decider: str = "stride"
+    breakpoint_model: str = ""
+    #: Environment variable of the executors that holds the service's key.
+    key_env: str = "MODEL_API_KEY"
+    #: Tasks that call, and calls of each that are under way at a time.
+    concurrency: int = 6
+    calls_per_task: int = 1
+    #: Write the indexes anew from what is there.
+    reindex: bool = False
     #: Folders of single stages; below base_dir where not given.
     threads_dir: str = ""
     chunks_dir: str = ""
@@ -52,7 +67,7 @@ class Config:
         for name in ("archive", "base_dir"):
             if not getattr(self, name):
                 raise ValueError(f"missing {name}")
-        for name in ("target_turns", "max_shard_bytes"):
+        for name in ("target_turns", "max_shard_bytes", "concurrency", "calls_per_task"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be > 0")
         for name in ("batch_size", "max_chunks", "max_chunks_per_thread", "glossary_max_terms", "glossary_min_count", "index_summary_bytes", "index_tags_max", "index_terms_max"):
@@ -60,6 +75,10 @@ class Config:
                 raise ValueError(f"{name} must be >= 0")
         if self.from_stage and self.only_stage:
             raise ValueError("use only one of from_stage and only_stage")
+        if self.provider not in ("offline", "http") or self.decider not in ("stride", "model"):
+            raise ValueError(f"unknown provider {self.provider} or decider {self.decider}")
+        if self.provider == "http" and not (self.provider_url and self.model):
+            raise ValueError("provider http needs provider_url and model")
         if self.mode not in MODES:
             raise ValueError(f"unknown mode {self.mode}")
         if self.only_stage and self.only_stage not in STAGES:

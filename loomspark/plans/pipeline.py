@@ -22,9 +22,9 @@ from ..shared import mark, release, stored
 from ..sources import readers, writers
 from . import prompts
 from .config import Config
-from .deciders import Decider
+from .deciders import Decider, ModelDecider
 from .journal import Entry, Journal
-from .providers import ExtractiveProvider, Provider, ask_with_fallback, recoverable
+from .providers import ExtractiveProvider, HttpProvider, Provider, ask_with_fallback, recoverable
 
 SUMMARY_INSTRUCTIONS = "Summarise the chunk. " + prompts.SENTIMENT_TAIL
 ROLLUP_INSTRUCTIONS = "Summarise the whole conversation from its parts. " + prompts.SENTIMENT_TAIL
@@ -134,7 +134,9 @@ class Pipeline:
         todo = rollup.pending_chunks(chunks, done["summaries"], done["sentiments"])
         left = todo.limit(1).count() > 0
         if not left and journal.finished() == generation:
-            return False
+            if c.reindex:
+                self._chunk_indexes()
+            return c.reindex
         if left:
             self._batches(todo, done, generation)
         glossary = journal.entries("glossary", generation)
@@ -233,9 +235,9 @@ class Pipeline:
             did = True
             made = self._rollup(rows.select(*schemas.names(schemas.CHUNK_KEYS), *schemas.names(payload)), name, payload, makers, said)
             self._save(made.select(*schemas.names(schemas.THREAD_KEYS), *schemas.names(payload)), name, append=there)
-        if did:
+        if did or self.c.reindex and readers.exists(self.spark, self.path("thread_summaries")):
             self._thread_indexes()
-        return did
+        return did or self.c.reindex
 
     def _ask_twice(self, asked: DataFrame, keys: list[str], payload: str, stage: str, merge: bool = False) -> DataFrame:
         """Answers cut off or without JSON are asked for once more, with more room and a word about it."""
@@ -334,3 +336,16 @@ def _by_path():
     from pyspark.sql import Window as W
 
     return W.orderBy("rel_path")
+
+
+def pipeline_of(spark: SparkSession, c: Config) -> Pipeline:
+    """A pipeline with the provider, models and decider that the settings name."""
+    c.validate()
+
+    def of(model: str) -> Provider:
+        if c.provider == "offline":
+            return ExtractiveProvider()
+        return HttpProvider(c.provider_url, model or c.model, c.key_env, c.concurrency, calls=c.calls_per_task, strict=c.strict)
+
+    decider = ModelDecider(of(c.breakpoint_model)) if c.decider == "model" else None
+    return Pipeline(spark, c, of(c.model), decider, of(c.sentiment_model) if c.sentiment_model else None)

@@ -8,12 +8,15 @@ that cost money belong in a written table before anything else reads them.
 
 from __future__ import annotations
 
+import heapq
 import json
 import os
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from functools import partial
 from typing import Protocol
 
 import pandas as pd
@@ -69,18 +72,16 @@ class TableProvider:
 
 
 class CallableProvider:
-    """call(instructions, prompt) -> text on the executors, with retries; ``tasks`` bounds the calls at a time."""
+    """call(instructions, prompt) -> text on the executors, with retries; ``tasks`` times ``calls`` bounds the calls at a time."""
 
-    def __init__(self, call: Callable[[str, str], str], tasks: int = 6, waits: tuple = (RATE_LIMIT_WAITS, SERVER_WAITS), sleep: Callable[[float], None] = time.sleep):
-        self.call, self.tasks, self.waits, self.sleep = call, tasks, waits, sleep
+    def __init__(self, call: Callable[[str, str], str], tasks: int = 6, waits: tuple = (RATE_LIMIT_WAITS, SERVER_WAITS), sleep: Callable[[float], None] = time.sleep, calls: int = 1, strict: bool = False):
+        self.call, self.tasks, self.waits, self.sleep, self.calls, self.strict = call, tasks, waits, sleep, calls, strict
 
     def complete(self, requests: DataFrame) -> DataFrame:
-        call, waits, sleep = self.call, self.waits, self.sleep
+        call, how = self.call, (self.calls, self.waits, self.sleep, self.strict)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                answers = [retried(call, i, p, waits, sleep) for i, p in zip(batch["instructions"], batch["prompt"], strict=True)]
-                yield pd.DataFrame({"request_id": batch["request_id"], "response": [a for a, _ in answers], "error": [e for _, e in answers]})
+            return _answers(batches, lambda r: call(r.instructions, r.prompt), *how)
 
         return requests.select("request_id", "instructions", "prompt").repartition(self.tasks).mapInPandas(run, ANSWER)
 
@@ -89,26 +90,27 @@ class HttpProvider:
     """A service that takes a JSON request by POST: instructions, input, the answer's schema, and a limit of tokens.
 
     The key is read on the executors, from the environment variable that ``key_env`` names; it is no part
-    of the plan. ``post`` may stand in for the network.
+    of the plan. Each of ``tasks`` has up to ``calls`` under way.
     """
 
-    def __init__(self, url: str, model: str, key_env: str = "MODEL_API_KEY", tasks: int = 6, timeout: float = 300, waits: tuple = (RATE_LIMIT_WAITS, SERVER_WAITS), sleep: Callable[[float], None] = time.sleep):
-        self.url, self.model, self.key_env, self.tasks, self.timeout, self.waits, self.sleep = url, model, key_env, tasks, timeout, waits, sleep
+    def __init__(self, url: str, model: str, key_env: str = "MODEL_API_KEY", tasks: int = 6, timeout: float = 300, waits: tuple = (RATE_LIMIT_WAITS, SERVER_WAITS), sleep: Callable[[float], None] = time.sleep, calls: int = 1, strict: bool = False):
+        self.url, self.model, self.key_env, self.tasks, self.timeout, self.waits, self.sleep, self.calls, self.strict = url, model, key_env, tasks, timeout, waits, sleep, calls, strict
 
     def complete(self, requests: DataFrame) -> DataFrame:
-        url, model, key_env, timeout, waits, sleep = self.url, self.model, self.key_env, self.timeout, self.waits, self.sleep
+        url, model, key_env, timeout, how = self.url, self.model, self.key_env, self.timeout, (self.calls, self.waits, self.sleep, self.strict)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                answers = []
-                for r in batch.itertuples():
-                    body = request_body(model, r.instructions, r.prompt, r.schema, int(r.max_tokens))
-                    answers.append(retried(lambda *_, body=body: post(url, body, os.environ.get(key_env, ""), timeout), "", "", waits, sleep))
-                yield pd.DataFrame({"request_id": batch["request_id"], "response": [a for a, _ in answers], "error": [e for _, e in answers]})
+            return _answers(batches, lambda r: post(url, request_body(model, r.instructions, r.prompt, r.schema, int(r.max_tokens)), os.environ.get(key_env, ""), timeout), *how)
 
         return requests.select("request_id", "instructions", "prompt", "schema", "max_tokens").repartition(self.tasks).mapInPandas(run, ANSWER)
 
 
+def _answers(batches: Iterator[pd.DataFrame], call: Callable, calls: int, waits: tuple, sleep: Callable[[float], None], strict: bool) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = scheduled([partial(call, r) for r in batch.itertuples()], calls, waits, sleep, strict)
+        yield pd.DataFrame({"request_id": batch["request_id"], "response": [a for a, _ in found], "error": [e for _, e in found]})
+
+
 def request_body(model: str, instructions: str, prompt: str, schema: str, max_tokens: int) -> dict:
     body = {"model": model, "instructions": instructions, "input": prompt}
     if max_tokens > 0:
@@ -135,19 +137,41 @@ def answer_text(answer: dict) -> str:
     return "".join(part.get("text", "") for item in answer.get("output", ()) for part in item.get("content") or ())
 
 
-def retried(call: Callable[[str, str], str], instructions: str, prompt: str, waits: tuple, sleep: Callable[[float], None]) -> tuple[str | None, str | None]:
-    """Up to three tries; rate limits and server errors wait, other errors end at once."""
-    error = ""
-    for attempt in range(len(waits[0]) + 1):
-        try:
-            return call(instructions, prompt), None
-        except Exception as e:  # the error becomes a column, the row isn't lost
-            error = str(e) or type(e).__name__
-            kind = jsonx.error_kind(error)
-            if kind not in ("rate_limit", "server") or attempt == len(waits[0]):
-                break
-            sleep(waits[kind == "server"][attempt])
-    return None, error
+def scheduled(calls: list[Callable[[], str]], at_once: int, waits: tuple, sleep: Callable[[float], None] = time.sleep, strict: bool = False) -> list[tuple[str | None, str | None]]:
+    """(answer, error) of each call, in their order, with so many under way at a time and up to three tries of each.
+
+    A call that met a rate limit or a server's error waits in a queue by the time it is due, and holds up no
+    other; other errors end it at once. strict: the first error ends all that haven't begun.
+    """
+    found: list[tuple[str | None, str | None]] = [(None, "cancelled")] * len(calls)
+    due, ahead = [(0.0, i, 0) for i in range(len(calls))], 0.0  # ahead: of the clock, where sleep returned early
+    now = lambda: time.monotonic() + ahead
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        running: dict = {}
+        while due or running:
+            while due and due[0][0] <= now() and len(running) < max(1, at_once):
+                _, i, tries = heapq.heappop(due)
+                running[pool.submit(calls[i])] = i, tries
+            rest = due[0][0] - now() if due else None
+            if not running:
+                began = time.monotonic()
+                sleep(max(0.0, rest))
+                ahead += max(0.0, rest - (time.monotonic() - began))
+                continue
+            for f in wait(running, max(0.0, rest) if due and len(running) < at_once else None, FIRST_COMPLETED).done:
+                i, tries = running.pop(f)
+                if f.exception() is None:
+                    found[i] = f.result(), None
+                    continue
+                error = str(f.exception()) or type(f.exception()).__name__  # it becomes a column, the row isn't lost
+                kind = jsonx.error_kind(error)
+                if kind in ("rate_limit", "server") and tries < len(waits[0]):
+                    heapq.heappush(due, (now() + waits[kind == "server"][tries], i, tries + 1))
+                else:
+                    found[i] = None, error
+                    if strict:
+                        due.clear()
+    return found
 
 
 def ask(provider: Provider, prompts: DataFrame, keys: list[str], payload: str, instructions: str, max_tokens: int = 0) -> DataFrame:

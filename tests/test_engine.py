@@ -188,9 +188,9 @@ def test_providers_retry_and_fall_back(spark):
             raise RuntimeError("429 slow down")
         return "{}"
 
-    assert providers.retried(call, "", "p", (providers.RATE_LIMIT_WAITS, providers.SERVER_WAITS), waits.append) == ("{}", None) and waits == [65, 100]
+    assert providers.scheduled([lambda: call("", "p")], 1, (providers.RATE_LIMIT_WAITS, providers.SERVER_WAITS), waits.append) == [("{}", None)] and [round(w) for w in waits] == [65, 100]
     bad = lambda *_: (_ for _ in ()).throw(ValueError("no"))
-    assert providers.retried(bad, "", "p", ((1, 2), (3, 4)), waits.append) == (None, "no") and len(waits) == 2
+    assert providers.scheduled([bad], 1, ((1, 2), (3, 4)), waits.append) == [(None, "no")] and len(waits) == 2
     asked = spark.createDataFrame([("a", "long"), ("b", "short")], "conversation_id string, prompt string")
     small = asked.withColumn("prompt", F.lit("small"))
     got = providers.ask_with_fallback(providers.CallableProvider(lambda i, p: '{"k": 1' if p == "long" else f'{{"k": {len(p)}}}', 2), asked, small, ["conversation_id"], "k int", "x").collect()
@@ -541,3 +541,65 @@ def test_sentiments_have_instructions_and_a_model_of_their_own(spark, talks, tmp
     assert not words & {w for w, _ in seen} and len(words) == 3  # of chunks, of threads, of threads from parts
     assert all("feelings" in w for w, n in sentiments if n == 2600)
     assert any("brief" in w for w, n in seen if n == 4500) and not any("brief" in w for w, n in seen if n == 2600)
+
+
+def test_a_waiting_request_holds_up_no_other():
+    import threading
+
+    waited, seen, lock = [], {}, threading.Lock()
+
+    def call(i):
+        with lock:
+            seen[i] = seen.get(i, 0) + 1
+        if i % 10 == 3 and seen[i] == 1:
+            raise RuntimeError("HTTP 429 Too Many Requests")
+        if i == 50:
+            raise RuntimeError("HTTP 400 no")
+        return str(i)
+
+    calls = [lambda i=i: call(i) for i in range(100)]
+    found = providers.scheduled(calls, 4, (providers.RATE_LIMIT_WAITS, providers.SERVER_WAITS), waited.append)
+    assert [a for a, _ in found] == [None if i == 50 else str(i) for i in range(100)] and found[50][1] == "HTTP 400 no"
+    assert sum(waited) < 66 and sum(seen.values()) == 110, "ten requests wait together"
+    found = providers.scheduled([lambda: 1 / 0, *calls], 1, ((), ()), waited.append, strict=True)
+    assert found[0][1] == "division by zero" and {e for _, e in found[1:]} == {"cancelled"}
+    busy = [lambda: (_ for _ in ()).throw(RuntimeError("HTTP 503 busy"))] * 3
+    waited.clear()
+    assert [e for _, e in providers.scheduled(busy, 2, (providers.RATE_LIMIT_WAITS, providers.SERVER_WAITS), waited.append)] == ["HTTP 503 busy"] * 3
+    assert 34 < sum(waited) < 36
+
+
+def test_a_run_from_the_command_line_reaches_a_service(spark, talks, tmp_path, monkeypatch):
+    """Flags alone: the service's address, models for summaries, sentiments and breakpoints, calls at a time."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    from loomspark import __main__ as command
+
+    models = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            models.append(body["model"])
+            self.send_response(200)
+            self.end_headers()
+            said = '{"breakpoints": [1]}' if "breakpoints" in json.dumps(body["text"]) else SUMMARY
+            self.wfile.write(json.dumps({"output_text": said}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        flags = ["--archive", str(talks), "--base-dir", str(tmp_path / "c"), "--provider", "http", "--provider-url", f"http://127.0.0.1:{server.server_port}/", "--model", "m1", "--sentiment-model", "m2", "--decider", "model", "--breakpoint-model", "m3", "--concurrency", "2", "--calls-per-task", "3"]
+        monkeypatch.setattr(type(spark), "stop", lambda *_: None)
+        assert command.main(flags) == 0
+        assert set(models) == {"m1", "m2", "m3"} and models.count("m3") == 3
+        n = len(models)
+        assert command.main([*flags, "--only-stage", "summarize", "--reindex"]) == 0 and len(models) == n
+    finally:
+        server.shutdown()
+    with pytest.raises(SystemExit):
+        command.parse(["--archive", "a", "--base-dir", "b", "--provider", "http"])
