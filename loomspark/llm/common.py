@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table; where its files are too few for the cores, its rows are dealt out over them."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df if name == "benchmark" or df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
+    return df if name == "benchmark" or len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def shared_dir(spark: SparkSession) -> str:

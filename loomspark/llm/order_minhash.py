@@ -33,7 +33,7 @@ and keeps of rows that are alike in id and text one.
 """
 
 import bisect
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -54,6 +54,10 @@ FEW = 16
 #: Texts up to which a shingle is rare in that search.
 RARE = 32
 
+#: Matches of an alignment that are listed at a time, and bytes of bits that one keeps.
+EXPANDED = 1 << 20
+MASK_BYTES = 1 << 26
+
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _SEEDS = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
 _FACTORS = _rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -66,9 +70,10 @@ SIGNED = "doc_id bigint, raw bigint, digest binary, n_shingles int, samples arra
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    with np.errstate(over="ignore"):  # said of single numbers alone
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
 
 
 class Shingler:
@@ -137,34 +142,48 @@ def samples(labelled: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def longest_rising(values: np.ndarray) -> int:
-    """Length of the longest strictly rising subsequence."""
-    if len(values) < 2 or (values[1:] > values[:-1]).all():
-        return len(values)
+def longest_rising(parts: Iterable[np.ndarray]) -> int:
+    """Length of the longest strictly rising subsequence of values that come in parts."""
     tails: list[int] = []
+    for values in parts:
+        _lengthen(tails, values)
+    return len(tails)
+
+
+def _lengthen(tails: list[int], values: np.ndarray) -> None:
+    """tails: the least end of a rising subsequence of each length so far."""
+    if not tails and (values[1:] > values[:-1]).all():
+        tails += values.tolist()
+        return
     for v in values.tolist():
         i = bisect.bisect_left(tails, v)
         if i == len(tails):
             tails.append(v)
         else:
             tails[i] = v
-    return len(tails)
 
 
 def common_bits(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer."""
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer.
+
+    The bits of MASK_BYTES' worth of shingles are kept, of those with the most places; others are made when asked for.
+    """
     where: dict[int, list[int]] = {}
     for i, x in enumerate(a.tolist()):
         where.setdefault(x, []).append(i)
-    masks: dict[int, int] = {}
-    for x, places in where.items():
+
+    def bits(x: int) -> int:
         flags = np.zeros(len(a), dtype=np.uint8)
-        flags[places] = 1
-        masks[x] = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+        flags[where[x]] = 1
+        return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+    kept = sorted(where, key=lambda x: -len(where[x]))[: 1 + MASK_BYTES * 8 // (len(a) + 1)]
+    masks = {x: bits(x) for x in kept}
     full = (1 << len(a)) - 1
     row = full
     for x in b.tolist():
-        hit = row & masks.get(x, 0)
+        mask = masks.get(x)
+        hit = row & (mask if mask is not None else bits(x) if x in where else 0)
         row = ((row + hit) | (row - hit)) & full
     return len(a) - row.bit_count()
 
@@ -206,15 +225,23 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
     times = np.searchsorted(ranked, x, "right") - first
     matches = int(times.sum())
     # all matches of many repeats cost more than the table's rows as bits
-    if matches > 4 * len(x) + len(x) * len(y) // 1000:
+    if matches > 4 * len(x) + len(x) * len(y) // 10_000:
         return same + common_bits(x, y)
-    # each place of a with its places of b backwards, so a rising run takes one of them at most
-    left = np.repeat(np.arange(len(x)), times)
-    nth = np.arange(matches) - np.repeat(np.cumsum(times) - times, times)
-    right = order[np.repeat(first + times - 1, times) - nth]
     # before a match and behind it, the unmatched of either text shift the diagonal at most so far
-    band = max(n, m) - need + 1
-    return same + longest_rising(of[right[np.abs(at[left] - of[right]) <= band]])
+    band, ends = max(n, m) - need + 1, np.cumsum(times)
+
+    def parts() -> Iterator[np.ndarray]:
+        """Places in b of the matches, for some places of a at a time; of each backwards, so a rising run takes one of them at most."""
+        lo = 0
+        while lo < len(x):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + EXPANDED)))
+            n = times[lo:hi]
+            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            right = of[order[np.repeat(first[lo:hi] + n - 1, n) - nth]]
+            yield right[np.abs(np.repeat(at[lo:hi], n) - right) <= band]
+            lo = hi
+
+    return same + longest_rising(parts())
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:

@@ -62,7 +62,7 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
