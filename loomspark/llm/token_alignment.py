@@ -39,13 +39,13 @@ from pyspark.sql import functions as F
 from .common import caches, lean, mark, release, stored, stored_since
 
 #: Units that a Python worker remembers; beyond, the half that it met more often stays.
-UNITS_KEPT = 1_000_000
+UNITS_KEPT = 400_000
 #: Code points up to which a unit is remembered.
 UNIT_CHARS = 60
 #: Units that are encoded together.
 TOGETHER = 2000
 #: Code points whose postings are packed together, and that are split into units together.
-CHUNK_CHARS, PART_CHARS = 6_000_000, 1_000_000
+CHUNK_CHARS, PART_CHARS = 4_000_000, 500_000
 #: Documents of a chunk; with those that are learned together, their numbers within it are 16-bit.
 CHUNK_ROWS = 50_000
 #: Entries that are summed up before they are passed on.
