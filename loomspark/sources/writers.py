@@ -44,7 +44,8 @@ def documents(df: DataFrame, path: str, name: str, content: str, overwrite: bool
     """One text file for each row, called by its name; a slash in it begins a folder below the path.
 
     Rows are written by the executors under the commit protocol, into a folder beside; the driver then
-    only renames. Without overwrite a file that is there already is an error, and nothing is moved.
+    only renames. Without overwrite a file that is there already is an error, and nothing is moved. A file
+    that is replaced is put aside first; if a move fails, all that were made are taken back.
     """
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     df.select(F.col(content).cast("string").alias("value"), F.col(name).alias("name")).repartition("name").write.option("lineSep", "\n").option("maxRecordsPerFile", 1).partitionBy("name").text(staging)
@@ -64,15 +65,25 @@ def documents(df: DataFrame, path: str, name: str, content: str, overwrite: bool
         store.mkdirs(at(path))
         for folder in {str(to.getParent()) for _, to in moves}:
             store.mkdirs(at(folder))
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda move: _move(store, *move), moves))
+        store.mkdirs(at(f"{staging}/before"))
+        made: list[tuple] = []
+        try:
+            with ThreadPoolExecutor(16) as pool:
+                list(pool.map(lambda i: _move(store, *moves[i], at(f"{staging}/before/{i}"), made), range(len(moves))))
+        except Exception:
+            for target, aside in made:
+                store.delete(target, False)
+                if store.exists(aside):
+                    store.rename(aside, target)
+            raise
     finally:
         store.delete(at(staging), True)
 
 
-def _move(store, source, target) -> None:
-    if store.exists(target):
-        store.delete(target, False)
+def _move(store, source, target, aside, made: list[tuple]) -> None:
+    if store.exists(target) and not store.rename(target, aside):
+        raise OSError(f"{target} could not be put aside")
+    made.append((target, aside))
     if not store.rename(source, target):
         raise OSError(f"{source} could not be moved to {target}")
 

@@ -603,3 +603,20 @@ def test_a_run_from_the_command_line_reaches_a_service(spark, talks, tmp_path, m
         server.shutdown()
     with pytest.raises(SystemExit):
         command.parse(["--archive", "a", "--base-dir", "b", "--provider", "http"])
+
+
+def test_a_failed_move_takes_all_back(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(f"{i}.txt", "old") for i in range(4)], "n string, t string")
+    path = tmp_path / "out"
+    writers.documents(rows, str(path), "n", "t")
+    move = writers._move
+
+    def failing(store, source, target, aside, made):
+        if target.getName() == "3.txt":
+            raise OSError("lost")
+        move(store, source, target, aside, made)
+
+    monkeypatch.setattr(writers, "_move", failing)
+    with pytest.raises(OSError, match="lost"):
+        writers.documents(rows.withColumn("t", F.lit("new")).unionByName(spark.createDataFrame([("5.txt", "new")], "n string, t string")), str(path), "n", "t", overwrite=True)
+    assert {f.name: f.read_text() for f in path.iterdir() if f.suffix == ".txt"} == {f"{i}.txt": "old\n" for i in range(4)} and [x.name for x in tmp_path.iterdir()] == ["out"]
