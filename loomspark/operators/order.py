@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from ..shared import stored
 
 
-def dealt(rows: DataFrame, keys: list[Column]) -> DataFrame:
+def dealt(rows: DataFrame, keys: list[Column], parts: int | None = None) -> DataFrame:
     """(row, k0, k1, .., task, at): rows dealt out by ranges of their keys, with their place in their task.
 
     Ties are told apart at random, so that rows alike in their keys don't land in one task.
@@ -17,7 +17,7 @@ def dealt(rows: DataFrame, keys: list[Column]) -> DataFrame:
     named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
     order = [*(f"k{i}" for i in range(len(keys))), "tie"]
     packed = rows.select(F.struct("*").alias("row"), *named).withColumn("tie", F.rand(0))
-    ranged = packed.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
+    ranged = packed.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order).drop("tie")
     place = F.monotonically_increasing_id()
     return stored(ranged.withColumns({"task": F.spark_partition_id(), "at": place.bitwiseAND((1 << 33) - 1)}), "dealt")
 

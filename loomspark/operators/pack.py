@@ -2,19 +2,20 @@
 
 Each section's shard depends on all before it, yet only through the bytes of the open shard. So the
 sorted sizes are dealt out by range; a partition says, for each place at which an incoming shard could
-overflow, how its own packing would end; these tables are chained in order, and the partitions then
-number their sections. No task sees all sections, and texts stay out of it.
+overflow, how its own packing would end. Such tables compose: neighbours are put together in a tree of
+tasks, shards are followed down the tree, and the partitions number their sections. No task sees all
+sections, nothing goes through the driver, and only keys and sizes are dealt out.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import distinct_strings, iso8601, trim, truncate_bytes
 from ..shared import stored
@@ -62,7 +63,7 @@ def _assign(sizes: np.ndarray, most: int, header: int, state: int, number: int)
     """Shard number of each section, given the bytes of the open shard and its number."""
     ends, to = _ends(sizes, most, header)
     out = np.empty(len(sizes), dtype=np.int64)
-    at = int(np.searchsorted(ends, most - state, side="right")) if state else 0
+    at = int(np.searchsorted(ends, most - state, side="right")) if state != NONE else 0
     out[:at] = number
     while at < len(sizes):
         number += 1
@@ -71,50 +72,107 @@ def _assign(sizes: np.ndarray, most: int, header: int, state: int, number: int)
     return out
 
 
+def _then(a: dict[str, np.ndarray], b: dict[str, np.ndarray], most: int) -> dict[str, np.ndarray]:
+    """The table of two neighbours from their own: shards that a begins go on into b, one that overflows in neither takes both totals."""
+    total = int(a["total"][0])
+    at = np.searchsorted(b["upto"], most - a["last"], side="right")
+    out = at < len(b["upto"])
+    at = np.minimum(at, len(b["upto"]) - 1)
+    through = {"upto": a["upto"], "begun": a["begun"] + np.where(out, b["begun"][at], 0), "last": np.where(out, b["last"][at], a["last"] + b["total"][0])}
+    keep = (b["upto"] + total > a["upto"][-1]) & (a["upto"][-1] <= most)
+    keep &= np.cumsum(keep & (b["upto"] + total > most)) <= 1  # all behind the first beyond an open shard's bytes are alike
+    both = {"upto": b["upto"][keep] + total, "begun": b["begun"][keep], "last": b["last"][keep]}
+    joined = {k: np.concatenate([through[k], both[k]]) for k in through}
+    return joined | {"total": np.full(len(joined["upto"]), total + int(b["total"][0]))}
+
+
+def _after(t: dict[str, np.ndarray], most: int, state: int, number: int) -> tuple[int, int]:
+    """Bytes of the open shard and its number behind a table's sections; NONE is open before the first."""
+    at = int(np.searchsorted(t["upto"], most - state, side="right")) if state != NONE else 0
+    if at < len(t["upto"]):
+        return int(t["last"][at]), number + int(t["begun"][at])
+    return state + int(t["total"][0]), number
+
+
+_EXITS = "task int, upto bigint, begun bigint, last bigint, total bigint"
+_OPEN = "task int, state bigint, number bigint"
+NONE = -1
+FAN = 16  # tables put together by one task; each has at most as many rows as an open shard has bytes
+ROWS = 1 << 20  # rows of a range, on average
+
+
+def _of_tasks(rows: pa.Table) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """The tables of tasks, in their order."""
+    rows = rows.sort_by([("task", "ascending"), ("upto", "ascending")])
+    task = rows.column("task").to_numpy()
+    begin = np.flatnonzero(np.append(True, task[1:] != task[:-1])) if len(task) else np.zeros(0, dtype=np.int64)
+    for i, j in zip(begin, np.append(begin[1:], len(task)), strict=True):
+        yield int(task[i]), {c: rows.column(c).to_numpy()[i:j] for c in ("upto", "begun", "last", "total")}
+
+
+def _opens(tables: DataFrame, most: int, tasks: int) -> DataFrame:
+    """(task, state, number): the shard that is open before each task, by a tree over the tasks' tables."""
+
+    def together(keys: tuple, rows: pa.Table) -> pa.Table:
+        done = None
+        for _, t in _of_tasks(rows):
+            done = t if done is None else _then(done, t, most)
+        return pa.table({"task": pa.array(np.full(len(done["upto"]), keys[0].as_py()), pa.int32()), **done})
+
+    def follow(rows: pa.Table, state: int, number: int) -> pa.Table:
+        out = []
+        for task, t in _of_tasks(rows):
+            out.append((task, state, number))
+            state, number = _after(t, most, state, number)
+        task, states, numbers = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"task": pa.array(task, pa.int32()), "state": pa.array(states, pa.int64()), "number": pa.array(numbers, pa.int64())})
+
+    def down(keys: tuple, own: pa.Table, opened: pa.Table) -> pa.Table:
+        return follow(own, opened.column("state")[0].as_py(), opened.column("number")[0].as_py())
+
+    group = F.floor(F.col("task") / FAN).cast("int")
+    levels = [tables]
+    while tasks > FAN:
+        levels.append(stored(levels[-1].groupBy(group.alias("g")).applyInArrow(together, _EXITS), "shard-exits"))
+        tasks = -(-tasks // FAN)
+    opened = levels.pop().groupBy(group.alias("g")).applyInArrow(lambda keys, rows: follow(rows, NONE, 0), _OPEN)
+    while levels:
+        opened = levels.pop().groupBy(group.alias("g")).cogroup(opened.groupBy(F.col("task").alias("g"))).applyInArrow(down, _OPEN)
+    return opened
+
+
 def next_fit(sections: DataFrame, size: str, order: list[str], most: int = DEFAULT_BYTES, header: int = 0, name: str = "shard_no") -> DataFrame:
     """sections with the number (from 1) of the shard that each falls into.
 
-    size: column of bytes, null counts as 0; order: columns that fix the sequence. The driver follows one
-    shard from task to task, and holds one task's table at a time.
+    size: column of bytes, null counts as 0; order: columns that fix the sequence, ties stand as they fall.
+    Sections are stored once as they lie; where they have more columns than these, only a row's number is
+    dealt out with its size, and the shards are joined to the rows.
     """
     most = most if most > 0 else DEFAULT_BYTES
-    bytes_ = F.coalesce(F.col(size).cast("bigint"), F.lit(0))
-    ranged = dealt(sections.select("*", bytes_.alias("__bytes")), [F.col(c) for c in order])
-    slim = ranged.select("task", "at", F.col("row.__bytes").alias("size"))
-    state_of = pa.schema([("task", pa.int32()), ("upto", pa.int64()), ("begun", pa.int64()), ("last", pa.int64()), ("total", pa.int64())])
-
-    def sizes_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        at = rows.column("at").to_numpy()
-        rank = np.argsort(at)
-        return at[rank], rows.column("size").to_numpy()[rank]
+    more = bool(set(sections.columns) - {size, *order})
+    kept = stored(sections.withColumn("__row", F.monotonically_increasing_id()) if more else sections, "sections")
+    own = ["__row"] if more else sections.columns
+    usual, parts = int(sections.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-kept.count() // ROWS)
+    slim = kept.select(F.struct(*own).alias("own"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(order)), F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias("bytes"))
+    ranged = dealt(slim, [F.col(f"k{i}") for i in range(len(order))], parts if parts > usual else None)
+    placed = ranged.select("task", "at", "row.bytes", "row.own")
 
     def table(keys: tuple, rows: pa.Table) -> pa.Table:
-        _, sizes = sizes_of(rows)
+        sizes = rows.sort_by("at").column("bytes").to_numpy()
         out = _exits(sizes, most, header)
         n = len(out["upto"])
-        return pa.table({"task": np.full(n, keys[0].as_py(), dtype=np.int32), **out, "total": np.full(n, sizes.sum())}, schema=state_of)
-
-    tables = stored(slim.groupBy("task").applyInArrow(table, "task int, upto bigint, begun bigint, last bigint, total bigint"), "shard-exits")
-    begin, state, number = {}, 0, 0
-    for task, own in itertools.groupby(tables.orderBy("task", "upto").toLocalIterator(), key=lambda r: r.task):
-        begin[task] = (state, number)
-        chosen, total = None, 0
-        for r in own:
-            total = r.total
-            if chosen is None and (not state or state + r.upto > most):
-                chosen = r
-        if chosen is None:
-            state += total
-        else:
-            number, state = number + chosen.begun, chosen.last
-
-    def assign(keys: tuple, rows: pa.Table) -> pa.Table:
-        at, sizes = sizes_of(rows)
-        state, number = begin[keys[0].as_py()]
-        return pa.table({"task": np.full(len(at), keys[0].as_py(), dtype=np.int32), "at": at, "shard": _assign(sizes, most, header, state, number)})
-
-    shards = slim.groupBy("task").applyInArrow(assign, "task int, at bigint, shard bigint")
-    return ranged.join(shards, ["task", "at"]).select("row.*", F.col("shard").alias(name)).drop("__bytes")
+        return pa.table({"task": np.full(n, keys[0].as_py(), dtype=np.int32), **out, "total": np.full(n, sizes.sum())})
+
+    def assign(keys: tuple, rows: pa.Table, opened: pa.Table) -> pa.Table:
+        rows = rows.sort_by("at")
+        shard = _assign(rows.column("bytes").to_numpy(), most, header, opened.column("state")[0].as_py(), opened.column("number")[0].as_py())
+        return rows.select(["own"]).append_column("shard", pa.array(shard, pa.int64()))
+
+    tables = stored(placed.drop("own").groupBy("task").applyInArrow(table, _EXITS), "shard-exits")
+    opened = _opens(tables, most, max(usual, parts))
+    shape = T.StructType([placed.schema["own"], T.StructField("shard", T.LongType())])
+    shards = placed.groupBy("task").cogroup(opened.groupBy("task")).applyInArrow(assign, shape).select("own.*", F.col("shard").alias(name))
+    return kept.join(shards, "__row").drop("__row") if more else shards
 
 
 def _packed(threads: DataFrame, section: Column, header: str, file: str, most: int) -> DataFrame:
@@ -166,7 +224,7 @@ def fold_pack(sizes: Iterator[int], most: int, header: int) -> list[int]:
     state = number = 0
     out = []
     for s in sizes:
-        if state == 0 or state + s > most:
+        if not number or state + s > most:
             number, state = number + 1, header
         state += s
         out.append(number)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from . import schemas
 from .functions import jsonx, text
-from .operators import budget, glossary, index, linearize, pack, render, rollup, stats, turns
+from .operators import asof, budget, glossary, index, linearize, pack, render, rollup, stats, turns
 from .plans import prompts
 from .shared import shared_dir, spread, stored
 from .sources import readers, writers
@@ -154,6 +154,17 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
     return talk(spark, d).groupBy("conversation_id").agg(F.sum(F.octet_length("text")).alias("_bytes"))
 
 
+@query("""WITH v AS (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'view')
+SELECT e.event_id, e.user_id, v.event_id AS view_id, v.value AS view_value
+FROM (SELECT * FROM events WHERE event_type <> 'view') e ASOF LEFT JOIN v ON e.user_id = v.user_id AND e.ts >= v.ts""")
+def events_as_of_view(spark: SparkSession, d: str) -> DataFrame:
+    """Each event beside its user's last view."""
+    e = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    views = e.filter(F.col("event_type") == "view").select("user_id", "ts", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    rows = asof.as_of(e.filter(F.col("event_type") != "view"), views, ["user_id"], "ts", "ts", ["view_id", "view_value"])
+    return rows.select("event_id", "user_id", "view_id", "view_value")
+
+
 @query(f"{PACKED} SELECT conversation_id, bytes, shard_no FROM p")
 def next_fit_shards(spark: SparkSession, d: str) -> DataFrame:
     packed = pack.next_fit(_sizes(spark, d), "_bytes", ["conversation_id"], SHARD_BYTES, 21)

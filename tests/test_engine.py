@@ -3,12 +3,13 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loomspark import schemas
 from loomspark.functions import jsonx, text
-from loomspark.operators import budget, glossary, index, linearize, pack, render, rollup, turns
+from loomspark.operators import asof, budget, glossary, index, linearize, pack, render, rollup, turns
 from loomspark.plans import prompts, providers
 from loomspark.plans.config import Config
 from loomspark.plans.pipeline import Pipeline
@@ -156,6 +157,60 @@ def test_next_fit_equals_a_fold(spark, most):
     assert pack.next_fit(rows.limit(0), "b", ["i"], most, 21).count() == 0
 
 
+@pytest.mark.parametrize("header", [0, 21])
+def test_exit_tables_compose(header):
+    rng = random.Random(header)
+    for most in (30, 100, 1000):
+        sizes = [rng.choice((0, 0, 1, 7, 20, 45, 120)) for _ in range(600)]
+        cuts = [0, *sorted(rng.sample(range(1, 600), 40)), 600]
+        tables = []
+        for i, j in zip(cuts, cuts[1:]):
+            own = np.array(sizes[i:j])
+            tables.append(pack._exits(own, most, header) | {"total": np.full(j - i, own.sum())})
+        while len(tables) > 1:
+            tables = [pack._then(*tables[i : i + 2], most) if i + 1 < len(tables) else tables[i] for i in range(0, len(tables), 2)]
+        own, n = tables[0], len(tables[0]["upto"])
+        assert (np.diff(own["upto"]) > 0).all() and n <= most + 2
+        for state in (pack.NONE, 0, 1, most // 2, most - 1, most, most + 5):
+            now, number = state, 0
+            for b in sizes:
+                if now == pack.NONE or now + b > most:
+                    now, number = header, number + 1
+                now += b
+            assert pack._after(own, most, state, 0) == (now, number)
+
+
+def test_next_fit_by_a_tree_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pack, "ROWS", 7)
+    rng = random.Random(5)
+    sizes = [(i, rng.choice((0, 1, 20, 90, 400)), "text" * i) for i in range(2000)]
+    rows = spark.createDataFrame(sizes, "i int, b int, task string").repartition(3)
+    packed = pack.next_fit(rows, "b", ["i"], 500, 21)
+    got = {r.i: (r.shard_no, r.task) for r in packed.collect()}
+    want = pack.fold_pack((b for _, b, _ in sizes), 500, 21)
+    assert got == {i: (want[i], t) for i, _, t in sizes}
+    plan = packed.select("i", "shard_no")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<i:int,__row:bigint>" in plan and "task:string" not in plan
+
+
+def test_as_of_equals_a_search(spark, monkeypatch):
+    """One key with half of the rows, over ranges of few rows: the last value is carried across them."""
+    monkeypatch.setattr(asof, "ROWS", 40)
+    rng = random.Random(3)
+    key = lambda: rng.choice(("hot", "hot", "a", "b", "c", None))
+    left = [(i, key(), rng.choice((None, *range(60)))) for i in range(400)] + [(i, "hot", 1000 + i) for i in range(400, 700)]
+    right = [(key(), rng.choice((None, *range(60))), rng.choice((None, "x", "y", "z"))) for _ in range(60)] + [("late", 0, "q")]
+    l, r = spark.createDataFrame(left, "i int, k string, t int"), spark.createDataFrame(right, "k string, t int, v string")
+    for strict in (False, True):
+        got = {x.i: (x.k, x.t, x.found_t, x.v) for x in asof.as_of(l, r, ["k"], "t", "t", ["v"], strict, found="found_t").collect()}
+        for i, k, t in left:
+            own = [(b, v or "", v) for a, b, v in right if None not in (a, b, k, t) and a == k and (b < t or b == t and not strict)]
+            assert got[i] == (k, t, *((max(own)[0], max(own)[2]) if own else (None, None)))
+        assert len(got) == 700
+    assert [tuple(x) for x in asof.as_of(l.limit(3), r.limit(0), ["k"], "t", "t", ["v"]).select("v").collect()] == [(None,)] * 3
+    assert asof.as_of(l.limit(0), r, ["k"], "t", "t", ["v"]).columns == ["i", "k", "t", "v"] and asof.as_of(l.limit(0), r, ["k"], "t", "t", ["v"]).count() == 0
+
+
 def test_rendered_head(spark):
     rows = spark.createDataFrame([("c 1", " ", 1735689600.0, " s ", [" "], ["Foo", "foo"], [])], schemas.THREAD_SUMMARY)
     want = '<a id="thread-c-1"></a>\n## c 1\n\n- conversation_id: `c 1`\n- thread_start_time: `1735689600.000` (`2025-01-01T00:00:00Z`)\n\ns\n\n### Key points\n\n**tags**: Foo\n\n\n---\n\n'
