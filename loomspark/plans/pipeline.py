@@ -318,8 +318,12 @@ class Pipeline:
             out["text_bytes"] = thread_counters(self.table("threads")).first().n_bytes
         return out
 
-    def export(self, path: str, pretty: bool = False) -> None:
-        """Threads, chunks and summaries as one JSON file each, named by thread and chunk as the tables' paths say."""
+    def export(self, path: str, pretty: bool = False, bundled: bool = False) -> None:
+        """Threads, chunks and summaries as one JSON file each, named by thread and chunk as the tables' paths say.
+
+        bundled: as documents of bundles, for more of them than a store and the driver bear as files.
+        """
+        write = writers.bundle if bundled else writers.documents
         stem = F.regexp_replace("rel_path", r"\.json$", "")
         thread = file_component("conversation_id")
         for name, schema, file in (
@@ -329,7 +333,7 @@ class Pipeline:
         ):
             if self._there(name):
                 rows = self.table(name).withColumns({"_file": file, "_json": writers.pretty_json(self.table(name), schemas.names(schema), pretty)})
-                writers.documents(rows, f"{path.rstrip('/')}/{name}", "_file", "_json", self.c.overwrite)
+                write(rows, f"{path.rstrip('/')}/{name}", "_file", "_json", self.c.overwrite)
 
 
 def _by_path():

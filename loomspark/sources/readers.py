@@ -29,41 +29,59 @@ def archive_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_CONVERSATION).json(path)
 
 
-def json_files(spark: SparkSession, path: str, schema: str, suffix: str = ".json", without: str | None = None, recursive: bool = True) -> DataFrame:
-    """One row a file with its path and rel_path; columns are pruned in the reader, paths by name."""
-    reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", f"*{suffix}")
-    rows = reader.json(path).withColumn("path", F.col("_metadata.file_path")).withColumn("rel_path", relative_path("path", path))
+def bundle(spark: SparkSession, path: str) -> DataFrame:
+    """(name, content) of the documents of a bundle."""
+    return spark.read.schema("name string, content string").parquet(path)
+
+
+def _pattern(suffix: str) -> str:
+    """A suffix of a glob, whose only signs are sets of characters, as a regular expression."""
+    return suffix.replace(".", "[.]") + r"\z"
+
+
+def json_files(spark: SparkSession, path: str, schema: str, suffix: str = ".json", without: str | None = None, recursive: bool = True, bundled: bool = False) -> DataFrame:
+    """One row a document with its path and rel_path; columns are pruned in the reader, paths by name.
+
+    Each is a file of its own, or a row of a bundle (see writers.bundle), which is read without a list of names.
+    """
+    if bundled:
+        rows = bundle(spark, path).filter(F.col("name").rlike(_pattern(suffix)))
+        rows = rows if recursive else rows.filter(~F.contains("name", F.lit("/")))
+        rows = rows.select(F.from_json("content", schemas.struct(schema)).alias("c"), F.concat(F.lit(path.rstrip("/") + "/"), "name").alias("path"), F.col("name").alias("rel_path")).select("c.*", "path", "rel_path")
+    else:
+        reader = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", recursive).option("pathGlobFilter", f"*{suffix}")
+        rows = reader.json(path).withColumn("path", F.col("_metadata.file_path")).withColumn("rel_path", relative_path("path", path))
     return rows.filter(~F.endswith("path", F.lit(without))) if without else rows
 
 
-def threads(spark: SparkSession, path: str) -> DataFrame:
+def threads(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
     """Thread files of a folder, not of those below it, with any case of the extension."""
-    return json_files(spark, path, schemas.THREAD, ".[jJ][sS][oO][nN]", recursive=False)
+    return json_files(spark, path, schemas.THREAD, ".[jJ][sS][oO][nN]", recursive=False, bundled=bundled)
 
 
-def chunks(spark: SparkSession, path: str) -> DataFrame:
+def chunks(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
     """Valid chunk files below a folder; folders of summaries and indexes are left out, so are invalid files."""
-    rows = json_files(spark, path, schemas.CHUNK, ".json", SUMMARY)
+    rows = json_files(spark, path, schemas.CHUNK, ".json", SUMMARY, bundled=bundled)
     if path.rstrip("/").rpartition("/")[2].lower() in SKIPPED_DIRS:
         rows = rows.limit(0)
     inside = rows.filter(~F.lower("rel_path").rlike("(^|/)(" + "|".join(SKIPPED_DIRS) + ")/"))
     return inside.filter("conversation_id != '' AND chunk_number != 0")
 
 
-def summaries(spark: SparkSession, path: str) -> DataFrame:
-    return json_files(spark, path, schemas.CHUNK_SUMMARY, SUMMARY, SENTIMENT)
+def summaries(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    return json_files(spark, path, schemas.CHUNK_SUMMARY, SUMMARY, SENTIMENT, bundled=bundled)
 
 
-def sentiments(spark: SparkSession, path: str) -> DataFrame:
-    return json_files(spark, path, schemas.CHUNK_SENTIMENT, SENTIMENT)
+def sentiments(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    return json_files(spark, path, schemas.CHUNK_SENTIMENT, SENTIMENT, bundled=bundled)
 
 
-def thread_summaries(spark: SparkSession, path: str) -> DataFrame:
-    return json_files(spark, path, schemas.THREAD_SUMMARY, THREAD_SUMMARY)
+def thread_summaries(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    return json_files(spark, path, schemas.THREAD_SUMMARY, THREAD_SUMMARY, bundled=bundled)
 
 
-def thread_sentiments(spark: SparkSession, path: str) -> DataFrame:
-    return json_files(spark, path, schemas.THREAD_SENTIMENT, THREAD_SENTIMENT)
+def thread_sentiments(spark: SparkSession, path: str, bundled: bool = False) -> DataFrame:
+    return json_files(spark, path, schemas.THREAD_SENTIMENT, THREAD_SENTIMENT, bundled=bundled)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

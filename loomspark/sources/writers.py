@@ -1,4 +1,4 @@
-"""Sinks: JSON rows, index lines, documents by name, the glossary. All go through Spark's commit protocol."""
+"""Sinks: JSON rows, index lines, documents by name (a file each, or bundled), the glossary. All go through Spark's commit protocol."""
 
 from __future__ import annotations
 
@@ -80,6 +80,33 @@ def documents(df: DataFrame, path: str, name: str, content: str, overwrite: bool
         store.delete(at(staging), True)
 
 
+def bundle(df: DataFrame, path: str, name: str, content: str, overwrite: bool = False) -> None:
+    """Documents by name as rows of a table: as many as there are, in as many files as there are tasks.
+
+    For documents too many for a file, a folder and a rename each. They appear all at once: written beside,
+    then checked for names that occur twice, then moved as one folder. Only their names are shuffled.
+    """
+    own = path.rstrip("/")
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    target, staging, aside = (jvm.org.apache.hadoop.fs.Path(x) for x in (own, f"{own}.staging-{uuid.uuid4().hex}", f"{own}.before-{uuid.uuid4().hex}"))
+    store = target.getFileSystem(conf)
+    if not overwrite and store.exists(target):
+        raise FileExistsError(own)
+    try:
+        df.select(F.col(name).cast("string").alias("name"), F.col(content).cast("string").alias("content")).write.option("compression", "zstd").parquet(str(staging))
+        written = df.sparkSession.read.schema("name string, content string").parquet(str(staging))
+        if not written.groupBy("name").count().filter("count > 1").isEmpty():
+            raise ValueError("two rows have one file name")
+        replaced = store.exists(target) and store.rename(target, aside)
+        if not store.rename(staging, target):
+            if replaced:
+                store.rename(aside, target)
+            raise OSError(f"{staging} could not be moved to {own}")
+        store.delete(aside, True)
+    finally:
+        store.delete(staging, True)
+
+
 def _move(store, source, target, aside, made: list[tuple]) -> None:
     if store.exists(target) and not store.rename(target, aside):
         raise OSError(f"{target} could not be put aside")

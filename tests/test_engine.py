@@ -1,13 +1,14 @@
 """Operators on hand-made rows: cases that the driver's tables don't hold."""
 
 import json
+import os
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomspark import schemas
+from loomspark import queries, schemas
 from loomspark.functions import jsonx, text
 from loomspark.operators import asof, budget, glossary, index, linearize, pack, render, rollup, turns
 from loomspark.plans import prompts, providers
@@ -675,3 +676,32 @@ def test_a_failed_move_takes_all_back(spark, tmp_path, monkeypatch):
     with pytest.raises(OSError, match="lost"):
         writers.documents(rows.withColumn("t", F.lit("new")).unionByName(spark.createDataFrame([("5.txt", "new")], "n string, t string")), str(path), "n", "t", overwrite=True)
     assert {f.name: f.read_text() for f in path.iterdir() if f.suffix == ".txt"} == {f"{i}.txt": "old\n" for i in range(4)} and [x.name for x in tmp_path.iterdir()] == ["out"]
+
+
+def test_bundles_hold_what_files_hold(spark, tmp_path):
+    """Many documents in few files, read as files are; a name is there once, and a set of documents is replaced as a whole."""
+    made = {"a/x.summary.json": "c", "a/x.sentiment.summary.json": "c", "a/x.json": "c", "summaries/y.json": "c", "a/y.json": "", "t.JSON": "c", "s/xjson": "c"}
+    rows = spark.createDataFrame([(n, json.dumps({"conversation_id": c, "chunk_number": 1, "summary": n, "title": n}, indent=2)) for n, c in made.items()], "n string, t string")
+    files, packed = str(tmp_path / "files"), str(tmp_path / "packed")
+    writers.documents(rows, files, "n", "t")
+    writers.bundle(rows, packed, "n", "t")
+    for read in (readers.summaries, readers.sentiments, readers.chunks, readers.threads, readers.thread_summaries):
+        a, b = (sorted(tuple(r) for r in read(spark, p, *more).drop("path").collect()) for p, more in ((files, ()), (packed, (True,))))
+        assert a == b and (a or read is readers.thread_summaries), read
+    with pytest.raises(FileExistsError):
+        writers.bundle(rows, packed, "n", "t")
+    with pytest.raises(ValueError, match="one file name"):
+        writers.bundle(rows.withColumn("n", F.lit("same")), packed, "n", "t", overwrite=True)
+    assert readers.bundle(spark, packed).count() == len(made)
+    writers.bundle(rows.limit(1).withColumn("t", F.lit("new")), packed, "n", "t", overwrite=True)
+    assert [r.content for r in readers.bundle(spark, packed).collect()] == ["new"] and {x.name for x in tmp_path.iterdir()} == {"files", "packed"}
+
+
+@pytest.mark.parametrize("name", ["chunk_files", "thread_files", "summary_files", "sentiment_files", "thread_summary_files"])
+def test_files_are_fewer_than_documents(spark, name):
+    """A file a document took a folder, a file, a checksum and a rename each."""
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    n = queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    left = [f for d in set(os.listdir(shared)) - before for _, _, fs in os.walk(os.path.join(shared, d)) for f in fs if f.startswith("part-")]
+    assert len(left) <= 24 and len(left) < n
