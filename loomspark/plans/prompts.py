@@ -10,6 +10,7 @@ from ..operators.budget import prefix_text
 
 #: Byte budgets and caps (fixed values).
 CHUNK_BYTES, CHUNK_RETRY_BYTES, ROLLUP_BYTES, MERGE_BYTES, LINE_BYTES = 80_000, 40_000, 80_000, 60_000, 2000
+WHOLE = 1 << 62  # no budget
 REQUEST_BYTES, REQUEST_TURNS, USER_BYTES, ASSISTANT_BYTES = 250_000, 250, 400, 600
 
 ROLLUP_CAPS = {"summary": 1200, "key_points": 1800, "tags": 600, "terms": 600}
@@ -31,8 +32,8 @@ def _of(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def transcript_line(tool_text: bool = True) -> Column:
-    """'- role[:name]: text' of a message row; without tool_text, tool messages shrink to a reference."""
+def transcript_line(tool_text: bool = True, most: int = LINE_BYTES) -> Column:
+    """'- role[:name]: text' of a message row, cut at most bytes (0: whole); without tool_text, tool messages shrink to a reference."""
     role = F.coalesce(F.nullif("role", F.lit("")), F.lit("unknown"))
     name = F.when(_of("name") != "", F.concat(F.lit(":"), F.col("name"))).otherwise(F.lit(""))
     said = (
@@ -43,19 +44,22 @@ def transcript_line(tool_text: bool = True) -> Column:
     if not tool_text:
         kind = F.when(blank("content_type"), F.lit("tool")).otherwise(trim("content_type"))
         said = F.when(role == "tool", trim(F.concat_ws(" ", F.lit("[tool"), _of("name"), kind, _of("title"), _of("url")))).otherwise(said)
-    return F.concat(F.lit("- "), role, name, F.lit(": "), escape_newlines(truncate_bytes(said, LINE_BYTES)), F.lit("\n"))
+    return F.concat(F.lit("- "), role, name, F.lit(": "), escape_newlines(truncate_bytes(said, most)), F.lit("\n"))
 
 
 def _glossary(excerpt: str) -> str:
     return f"glossary:\n{excerpt}\n" if excerpt else ""
 
 
-def chunk_prompts(chunks: DataFrame, excerpt: str = "", most: int = CHUNK_BYTES, tool_text: bool = True, more: tuple[str, ...] = ()) -> DataFrame:
-    """(conversation_id, chunk_number, turn_start, turn_end, prompt) of chunk rows; more: further key columns."""
+def chunk_prompts(chunks: DataFrame, excerpt: str = "", most: int = CHUNK_BYTES, tool_text: bool = True, more: tuple[str, ...] = (), line_bytes: int = LINE_BYTES) -> DataFrame:
+    """(conversation_id, chunk_number, turn_start, turn_end, prompt) of chunk rows; more: further key columns.
+
+    Whole texts, however long: most=WHOLE, line_bytes=0.
+    """
     own = ["conversation_id", "chunk_number", "turn_start", "turn_end"]
     keys = [*own, *more]
     rows = chunks.select(*keys, F.posexplode_outer("messages").alias("i", "m")).select(*keys, "i", "m.*")
-    lines = prefix_text(rows.filter("i IS NOT NULL"), keys, ["i"], transcript_line(tool_text), most or CHUNK_BYTES, "... [transcript truncated]\n", "_lines")
+    lines = prefix_text(rows.filter("i IS NOT NULL"), keys, ["i"], transcript_line(tool_text, line_bytes), most or CHUNK_BYTES, "... [transcript truncated]\n", "_lines")
     head = F.format_string("chunk_metadata:\nconversation_id=%s\nchunk_number=%d\nturn_range=%d..%d\n\n", *own)
     empty = chunks.select(*keys)
     full = empty.join(lines.select(*keys, "_lines"), keys, "left")

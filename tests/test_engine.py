@@ -16,6 +16,8 @@ from loomspark.plans.config import Config
 from loomspark.plans.pipeline import Pipeline
 from loomspark.sources import json_ranges, readers, writers
 
+from .oracle import differ
+
 
 def value(spark, column, *args):
     return spark.range(1).select(column.alias("v")).first().v
@@ -705,3 +707,10 @@ def test_files_are_fewer_than_documents(spark, name):
     n = queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
     left = [f for d in set(os.listdir(shared)) - before for _, _, fs in os.walk(os.path.join(shared, d)) for f in fs if f.startswith("part-")]
     assert len(left) <= 24 and len(left) < n
+
+
+def test_prompts_of_whole_texts_equal_their_sql(spark, tmp_path):
+    """Messages and transcripts beyond the budgets of a model's prompt, which the SQL doesn't cut at."""
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{c} {t}\n" + "wörd " * (5 if t % 5 else 6000 * c)) for c in (1, 2, 3) for t in range(9)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").toPandas().to_parquet(tmp_path / "conversations.parquet")
+    assert differ(queries.render_prompt(spark, str(tmp_path)), str(tmp_path), queries.SQL["render_prompt"])[:600] == ""
