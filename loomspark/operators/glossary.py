@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import blank, key, trim
 from .order import numbered
 
+#: Bytes of texts whose words one task takes out and sorts.
+TASK_BYTES = 16 << 20
 ENTRY = ["term", "definition", "count", "first_seen_at", "last_seen_at"]
 
 
@@ -19,31 +21,43 @@ def merge(additions: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     definition is the longest in bytes (the earliest of equally long ones), first_seen_at the first time
     that is known, last_seen_at that of the last merge, even if unknown. prior enters as an earlier merge
     with its counts; of its entries with one key the last is the one that is updated.
+
+    Rows that lie dealt out by seq, as those of dealt_by_seq, aren't shuffled themselves: a task drops what
+    repeats within a merge and combines what is left by key, and only that moves on.
     """
     each = additions.filter(~blank("term")).select(
         F.col("seq").cast("bigint").alias("seq"), F.col("pos").cast("bigint").alias("pos"), key("term").alias("k"), trim("term").alias("term"),
         F.coalesce(trim("definition"), F.lit("")).alias("definition"), F.lit(1).cast("bigint").alias("n"), F.col("seen_at").cast("double").alias("first_at"), F.col("seen_at").cast("double").alias("last_at"),
     )
     once = each.withColumn("_r", F.row_number().over(W.partitionBy("k", "seq").orderBy("pos"))).filter("_r = 1").drop("_r", "pos")
-    untouched = None
+    by = ["k"]
     if prior is not None:
         old = prior.withColumn("_at", F.monotonically_increasing_id()).select(
             F.lit(None).cast("bigint").alias("seq"), key("term").alias("k"), trim("term").alias("term"), F.coalesce("definition", F.lit("")).alias("definition"),
             F.col("count").cast("bigint").alias("n"), F.col("first_seen_at").alias("first_at"), F.col("last_seen_at").alias("last_at"), "_at",
         )
         ranked = old.withColumn("_r", F.row_number().over(W.partitionBy("k").orderBy(F.desc("_at"))))
-        once = once.unionByName(ranked.filter("_r = 1").drop("_r", "_at"))
-        untouched = ranked.filter("_r > 1")
+        # entries before the last of their key are groups of their own, and come out as they are
+        by = ["k", "_own"]
+        once = once.withColumn("_own", F.lit(None).cast("bigint")).unionByName(ranked.withColumn("_own", F.when(F.col("_r") > 1, F.col("_at"))).drop("_r", "_at"))
     at = F.coalesce("seq", F.lit(-(1 << 62)))
-    merged = once.groupBy("k").agg(
+    merged = once.groupBy(*by).agg(
         F.min_by("term", at).alias("term"),
         F.coalesce(F.max_by(F.when(F.col("definition") != "", F.col("definition")), F.when(F.col("definition") != "", F.struct(F.octet_length("definition"), -at))), F.lit("")).alias("definition"),
         F.sum("n").cast("int").alias("count"), F.min_by("first_at", F.when(F.col("first_at").isNotNull(), at)).alias("first_seen_at"), F.max_by("last_at", at).alias("last_seen_at"),
     )
-    merged = merged.select(*ENTRY)
-    if untouched is not None:
-        merged = merged.unionByName(untouched.select("term", "definition", F.col("n").cast("int").alias("count"), F.col("first_at").alias("first_seen_at"), F.col("last_at").alias("last_seen_at")))
-    return merged
+    return merged.select(*ENTRY)
+
+
+def dealt_by_seq(rows: DataFrame, seq: str, size: Column | None = None) -> DataFrame:
+    """Rows before their additions are taken out: whole merges lie in one task then (see merge).
+
+    size: bytes of a row's additions, so that each task's additions can be sorted in memory.
+    """
+    if size is None:
+        return rows.repartition(seq)
+    total = rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES)), seq)
 
 
 def combine(states: list[DataFrame]) -> DataFrame:
@@ -72,7 +86,8 @@ def additions_of(summaries: DataFrame, seq: str = "seq", seen_at: str = "thread_
     """A summary's glossary additions, then each of its terms without a definition."""
     given = F.coalesce(F.col("glossary_additions"), F.array().cast("array<struct<term:string,definition:string>>"))
     terms = F.transform(F.coalesce(F.col("terms"), F.array().cast("array<string>")), lambda t: F.struct(t.alias("term"), F.lit("").alias("definition")))
-    return summaries.select(F.col(seq).alias("seq"), F.col(seen_at).alias("seen_at"), F.posexplode(F.concat(given, terms)).alias("pos", "a")).select("seq", "seen_at", "pos", "a.term", "a.definition")
+    slim = dealt_by_seq(summaries.select(F.col(seq).alias("seq"), F.col(seen_at).alias("seen_at"), F.concat(given, terms).alias("all")), "seq")
+    return slim.select("seq", "seen_at", F.posexplode("all").alias("pos", "a")).select("seq", "seen_at", "pos", "a.term", "a.definition")
 
 
 def cull(glossary: DataFrame, least: int) -> DataFrame:

@@ -714,3 +714,19 @@ def test_prompts_of_whole_texts_equal_their_sql(spark, tmp_path):
     rows = [(c, t, ("user", "assistant")[t % 2], f"{c} {t}\n" + "wörd " * (5 if t % 5 else 6000 * c)) for c in (1, 2, 3) for t in range(9)]
     spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").toPandas().to_parquet(tmp_path / "conversations.parquet")
     assert differ(queries.render_prompt(spark, str(tmp_path)), str(tmp_path), queries.SQL["render_prompt"])[:600] == ""
+
+
+def test_glossary_shuffles_whole_texts_and_not_each_word(spark, tmp_path):
+    """Repeats within a merge go where its text lies, also of rows that share their seq; the words are dealt out once, by key."""
+    rows = [(i % 40, f"a B b w{i} A   end{i % 7} a", "s") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    plan = queries.glossary_merge(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 2 and "hashpartitioning(doc_id" in plan and "seq" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    got = {r.term: r["count"] for r in queries.glossary_merge(spark, str(tmp_path)).collect()}
+    assert got["a"] == got["B"] == 40 and got["w3"] == 1 and sum(c for t, c in got.items() if t.startswith("end")) == len({(i % 40, i % 7) for i in range(60)})
+
+
+def test_entries_that_share_a_key_stay_and_the_last_goes_on(spark):
+    prior = spark.createDataFrame([("A", "first", 2, 1.0, 1.0), ("a", None, 3, None, 2.0), ("b", "x", 1, None, None)], schemas.GLOSSARY_ENTRY).coalesce(1)
+    new = spark.createDataFrame([(5, 9.0, 0, "a ", "new"), (5, 9.0, 1, "A", "again")], "seq bigint, seen_at double, pos int, term string, definition string")
+    assert sorted(map(tuple, glossary.merge(new, prior).collect())) == [("A", "first", 2, 1.0, 1.0), ("a", "new", 4, 9.0, 9.0), ("b", "x", 1, None, None)]
