@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.llm import decontamination, order_minhash, packing, quality_ledger, suffix_index
-from loomspark.llm.common import fresh_path, mark, release, stored_since, table
+from loomspark.llm.common import bounded_batches, fresh_path, mark, release, stored_since, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,11 +27,15 @@ _left: list[str] = []
 
 
 def stage(run: Stage) -> Stage:
-    """A stage that first removes what the one before has stored: its result is written by then, as run() does."""
+    """A stage that first removes what the one before has stored: its result is written by then, as run() does.
+
+    Stages share executors, whose memory keeps what the largest took, so all read bounded batches.
+    """
 
     @wraps(run)
     def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(spark, _left)
+        bounded_batches(spark)
         point = mark()
         out = run(spark, docs, sf_dir)
         _left[:] = stored_since(point)

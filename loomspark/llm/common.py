@@ -108,6 +108,21 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
+#: Bytes of rows that Spark hands to a Python worker at a time, where bounded_batches was called.
+BATCH_BYTES = 4_000_000
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of BATCH_BYTES, unless the session sets a bound itself.
+
+    By Spark's own, 10,000 rows or 64 MB, a task holds tens of MB of documents several times over: as columns
+    that double while they grow, in the worker, and as what comes back. The executor keeps much of that.
+    """
+    if spark.conf.get(_BATCHES, None) is None:
+        spark.conf.set(_BATCHES, str(BATCH_BYTES))
+
+
 #: What empties the caches that a Python worker keeps from task to task, by the operator that they belong to.
 caches: dict[str, Callable[[], None]] = {}
 

@@ -47,9 +47,9 @@ LENGTH = 50
 GRAM = 8
 #: Text that a bucket stands for. The number of buckets follows the input.
 BUCKET_BYTES = 6_000_000
-#: Text whose suffixes a map task deals out together, and text that it anchors at a time.
+#: Text whose suffixes a map task deals out together, and text that it anchors at a time (of longer texts four times as much).
 CHUNK_BYTES = 4_000_000
-PART_BYTES = 1_000_000
+PART_BYTES = 250_000
 #: Least share of all suffixes that makes a gram frequent; so at most this many are sent to all tasks.
 LEAST_SHARE = 1e-5
 #: Suffixes of a batch, and a quarter of its windows.
@@ -201,6 +201,17 @@ def _unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _columns(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """Tuples of arrays joined kind by kind; parts is emptied, and what is joined is let go at once."""
+    kinds = [list(x) for x in zip(*parts, strict=True)]
+    parts.clear()
+    out = []
+    for own in kinds:
+        out.append(own[0] if len(own) == 1 else np.concatenate(own))
+        own.clear()
+    return out
+
+
 _SUFFIXES = "u1 u1 u1 <u2 <i8 <i8 <i4"  # bytes, windows, anchor - first, document's number (planes); the documents' ids (planes) and row hashes; start (planes)
 _SPANS = "<i8 <i8 <i4 <i4"
 
@@ -252,13 +263,15 @@ class Levels:
             return
         self.levels.append((keys, ids))
         while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
-            (a, x), (b, y) = self.levels[-2:]
-            both, ids = np.concatenate([a, b]), np.concatenate([x, y])
-            order = np.argsort(both, kind="stable")
-            both, ids = both[order], ids[order]
-            fresh = np.append(True, both[1:] != both[:-1])
-            at = np.flatnonzero(fresh)
-            self.levels[-2:] = [(both[at], np.minimum.reduceat(ids, at))]
+            parts = self.levels[-2:]
+            del self.levels[-2:], keys, ids
+            keys, ids = _columns(parts)
+            order = np.argsort(keys, kind="stable")
+            keys, ids = keys[order], ids[order]
+            at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            if len(at) < len(keys):
+                keys, ids = keys[at], np.minimum.reduceat(ids, at)
+            self.levels.append((keys, ids))
 
 
 def _windows(keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,11 +287,14 @@ def _windows(keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out.view(f"S{wide}").ravel(), owner, place
 
 
-def _may_share(keys: np.ndarray, count: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Suffixes with a window of which half the bytes, next to the anchor, stand in another suffix too."""
-    flat = np.append(np.frombuffer(keys.tobytes(), dtype=np.uint8), np.zeros(_KEY, dtype=np.uint8))
-    base, out = np.arange(len(keys)) * _KEY, np.zeros(len(keys), dtype=bool)
-    before, count = before.astype(np.int64), count.astype(np.int64)
+def _may_share(keys: np.ndarray, some: np.ndarray, count: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Which of some suffixes have a window of which half the bytes, next to the anchor, stand in another one of them too."""
+    out = np.zeros(len(some), dtype=bool)
+    if not len(some):
+        return out
+    # these bytes lie within a key, so no copy with bytes to spare is needed
+    flat, base = keys.view(np.uint8), some * _KEY
+    before, count = before[some].astype(np.int64), count[some].astype(np.int64)
     near, far = before - count + 1, before  # bytes before the anchor in the last and the first window
     wide = -(-max(_PROBE, _HALF + GRAM) // 8) * 8
     for own, shift, width in ((np.flatnonzero(near <= _HALF), 0, _PROBE), (np.flatnonzero(far >= _HALF), _HALF, _HALF + GRAM)):
@@ -341,7 +357,7 @@ def bucket_spans(keys: np.ndarray, count: np.ndarray, before: np.ndarray, docs:
                 twins.setdefault(int(h), []).append(int(i))
     whole.levels.clear()
     heads = np.concatenate(heads) if heads else np.zeros(0, dtype=np.int64)
-    partly = heads[_may_share(keys[heads], count[heads], before[heads])]
+    partly = heads[_may_share(keys, heads, count, before)]
     partly = partly[np.argsort(docs[partly], kind="stable")]
     dense, at = Levels("window"), 0
     while at < len(partly):
@@ -493,8 +509,7 @@ def _suffix_blobs(buckets: int, shards: int, frequent: np.ndarray):
         found = [x for x in found if x]
         if not found:
             return
-        keys, text, start, count, before, gram = (np.concatenate(x) for x in zip(*found, strict=True))
-        found.clear()
+        keys, text, start, count, before, gram = _columns(found)
         order, heads = suffix_array(keys, ids[text])
         head = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
         copy = order[ids[text[order]] > ids[text[head]]]
@@ -505,8 +520,8 @@ def _suffix_blobs(buckets: int, shards: int, frequent: np.ndarray):
         left = left[wide]
         for own, part, n, ahead, skipped, shared in _halves(keys[left], count[left], before[left]) if len(left) else ():
             split.append((left[own], part, n, ahead, start[left[own]] + skipped, _mix(shared)))
-        left, keys, count, before, start, dealt = (np.concatenate(x) for x in zip(*split, strict=True))
-        split.clear()
+        del keys
+        left, keys, count, before, start, dealt = _columns(split)
         text = text[left]
         bucket = (dealt % np.uint64(buckets)).astype(np.int64)
         left = np.argsort(bucket, kind="stable")
@@ -580,14 +595,14 @@ def _bucket_runs(shards: int, level: bool = False):
     """Reduce side: a bucket's suffixes in, stretches to remove out. level: stored suffixes come along (kind -1), and those that they lack go out (kind 3)."""
 
     def solve(bucket: int, blobs: list[bytes], old: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-        parts = [_unpack(b, _SUFFIXES) for b in blobs]
+        parts = []
+        for i, blob in enumerate(blobs):
+            data, count, before, number, ids, hashes, start = _unpack(blob, _SUFFIXES)
+            blobs[i], number = b"", _whole(number)
+            parts.append((_laid_out(data, count), count.copy(), before.copy(), _whole(start), _whole(ids)[number], hashes[number]))
+            del data, count, before, number, ids, hashes, start  # they hold the whole blob
         blobs.clear()
-        count, before = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
-        start = np.concatenate([_whole(p[6]) for p in parts])
-        docs = np.concatenate([_whole(p[4])[_whole(p[3])] for p in parts])
-        rows = np.concatenate([p[5][_whole(p[3])] for p in parts])
-        keys = _laid_out(np.concatenate([p[0] for p in parts]), count)
-        parts.clear()
+        keys, count, before, start, docs, rows = _columns(parts)
         known = _level_of(old)
         own, first, last = bucket_spans(keys, count, before, docs, BATCH_ROWS, known)
         yield from _span_blobs(rows[own], docs[own], start[own] + first, start[own] + last + LENGTH, shards)

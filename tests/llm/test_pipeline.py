@@ -113,3 +113,27 @@ def test_run_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(empty + "/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
     common.release(spark)
+
+
+def test_stages_read_bounded_batches(spark):
+    """Workers of a stage get few MB at a time, however many short rows there are; a session's own bound stands."""
+    import pyarrow as pa
+
+    from loomspark.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    rows = spark.range(0, 9_000, 1, 1).selectExpr("id AS doc_id", "repeat(cast(id AS string), 1000) AS text", "'' AS lang", "'' AS source", "0L AS n_chars")
+    own = spark.conf.get(common._BATCHES, None)
+    try:
+        spark.conf.unset(common._BATCHES)
+        corpus_pipeline.STAGES[2][1](spark, rows.limit(0), SF)
+        found = [r.n for r in rows.mapInArrow(sizes, "n bigint").collect()]
+        assert sum(found) > 30_000_000 and max(found) < 1.2 * common.BATCH_BYTES
+        spark.conf.set(common._BATCHES, "9000000")
+        corpus_pipeline.STAGES[2][1](spark, rows.limit(0), SF)
+        assert spark.conf.get(common._BATCHES) == "9000000"
+    finally:
+        spark.conf.unset(common._BATCHES) if own is None else spark.conf.set(common._BATCHES, own)
