@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import relative_path
+from ..shared import stored
 from . import json_ranges
 
 SUMMARY, SENTIMENT = ".summary.json", ".sentiment.summary.json"
 THREAD_SUMMARY, THREAD_SENTIMENT = ".thread.summary.json", ".thread.sentiment.summary.json"
 SKIPPED_DIRS = ("summaries", "summary", "index")
+#: First and last line of a glossary that is written an entry a line.
+GLOSSARY_HEAD, GLOSSARY_END = '{"version": 1, "entries": [', "]}"
+#: Bytes of a glossary in other forms up to which it is parsed as one document.
+PARSED_BYTES = 64 << 20
 
 
 def archive(spark: SparkSession, path: str, field: str | None = None, range_bytes: int | None = None) -> DataFrame:
@@ -91,14 +97,55 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def glossary(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
-    """Entries of a glossary file, none if it is missing; place: a column for their place, from 1."""
+    """Entries of a glossary file, none if it is missing; place: a column for their place, from 1.
+
+    What writers.glossary has written is read by its lines, so no task holds more of it than an entry at a
+    time. Other documents are parsed as they are, and large ones by ranges of their bytes.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], schemas.GLOSSARY_ENTRY + (f", {place} bigint" if place else ""))
+    by_line, largest = _form(spark, path)
+    if by_line:
+        return _entry_lines(spark, path, place)
+    if largest > PARSED_BYTES:
+        each = json_ranges.elements(spark, path, "entries")
+        return each.select(F.from_json("value", schemas.struct(schemas.GLOSSARY_ENTRY)).alias("e"), "place").select("e.*", *([F.col("place").cast("bigint").alias(place)] if place else []))
     entries = f"version int, entries array<struct<{schemas.GLOSSARY_ENTRY.replace(' string', ':string').replace(' int', ':int').replace(' double', ':double')}>>"
     rows = spark.read.schema(entries).option("multiLine", True).json(path).select(F.posexplode(F.coalesce("entries", F.array().cast(schemas.struct(entries)["entries"].dataType))).alias("_at", "e"))
     return rows.select("e.*", *([(F.col("_at") + 1).cast("bigint").alias(place)] if place else []))
 
 
+def _form(spark: SparkSession, path: str) -> tuple[bool, int]:
+    """Whether a glossary is written an entry a line, by its first line, and the bytes of its largest file."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath().getName(), f) for f in store.listStatus(where) if f.isFile() and f.getPath().getName()[0] not in "_.")
+    if not files:
+        return False, 0
+    stream = store.open(files[0][1].getPath())
+    try:
+        by_line = all(stream.read() == b for b in f"{GLOSSARY_HEAD}\n".encode())
+    finally:
+        stream.close()
+    return by_line, max(f.getLen() for _, f in files)
+
+
+def _entry_lines(spark: SparkSession, path: str, place: str | None) -> DataFrame:
+    """Entries of a glossary that is written an entry a line, whatever the number and size of its files."""
+    own = schemas.struct(schemas.GLOSSARY_ENTRY)
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.filter(~F.col("value").isin(GLOSSARY_HEAD, GLOSSARY_END))
+    entry = F.from_json(F.regexp_replace("value", "^,", ""), own, {"mode": "FAILFAST"})
+    if not place:
+        return lines.select(entry.alias("e")).select("e.*")
+    held = stored(lines.select(entry.alias("e"), "file", "block", F.monotonically_increasing_id().alias("at")).select("e.*", "file", "block", "at"), "glossary-lines")
+    # a row for each range of bytes; of the names of parts the longer are the later ones
+    earlier = W.orderBy(F.length("file"), "file", "block").rowsBetween(W.unboundedPreceding, -1)
+    ranges = held.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = ranges.select("file", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1).alias("adds"))
+    return held.join(F.broadcast(before), ["file", "block"]).select(*own.names, (F.col("at") + F.col("adds")).cast("bigint").alias(place))
+
+
 def prompt_header(spark: SparkSession, path: str) -> str:
     """The text of a header file; an error if it is blank."""
     text = spark.read.text(path, wholetext=True).first()

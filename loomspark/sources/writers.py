@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .readers import exists
+from ..shared import mark, release
+from .readers import GLOSSARY_END, GLOSSARY_HEAD, exists
+
+#: Bytes of a glossary that one file holds, about; and those of an entry beside its term and definition, about.
+PART_BYTES, ENTRY_BYTES = 16 << 20, 96
 
 
 def mode(overwrite: bool) -> str:
@@ -123,15 +127,22 @@ def pretty_json(df: DataFrame, columns: list[str], pretty: bool = False):
 def glossary(entries: DataFrame, path: str) -> None:
     """The glossary as one JSON document with its version, an entry a line, in order.
 
-    Lines are sorted by ranges; the one task that writes the file passes them on one by one.
+    A document of more than PART_BYTES is cut at ends of lines into several files, which give it when they
+    are joined in the order of their names; no task sorts or writes it all.
     """
     from ..operators.order import numbered
 
+    spark, point = entries.sparkSession, mark()
     own = F.to_json(F.struct("term", "definition", "count", "first_seen_at", "last_seen_at"))
-    ranked = numbered(entries, [-F.col("count"), F.lower("term"), F.col("term")], "pos", "bigint").select("pos", F.concat(F.when(F.col("pos") > 1, F.lit(",")).otherwise(F.lit("")), own).alias("value"))
-    spark = entries.sparkSession
-    ends = spark.createDataFrame([(0, '{"version": 1, "entries": ['), ((1 << 62), "]}")], "pos bigint, value string")
-    ranked.unionByName(ends).repartition(1).sortWithinPartitions("pos").select("value").write.mode("overwrite").text(path)
+    ranked = numbered(entries, [-F.col("count"), F.lower("term"), F.col("term")], "pos", "bigint")
+    about = F.coalesce(F.octet_length("term"), F.lit(0)) + F.coalesce(F.octet_length("definition"), F.lit(0)) + ENTRY_BYTES
+    n, size = ranked.agg(F.count("*"), F.coalesce(F.sum(about.cast("bigint")), F.lit(0))).first()
+    parts = max(1, -(-size // PART_BYTES))
+    part = F.floor((F.col("pos") - 1) * parts / max(n, 1)).cast("int")
+    lines = ranked.select("pos", F.least(part, F.lit(parts - 1)).alias("part"), F.concat(F.when(F.col("pos") > 1, F.lit(",")).otherwise(F.lit("")), own).alias("value"))
+    ends = spark.createDataFrame([(0, 0, GLOSSARY_HEAD), (n + 1, parts - 1, GLOSSARY_END)], "pos bigint, part int, value string")
+    lines.unionByName(ends).repartitionById(parts, F.col("part")).sortWithinPartitions("pos").select("value").write.mode("overwrite").option("lineSep", "\n").text(path)
+    release(spark, point)
 
 
 def copy_if_exists(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> bool:

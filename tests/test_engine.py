@@ -738,3 +738,40 @@ def test_shards_are_documents_of_few_files(spark):
     n = queries.memory_files(spark, "/root/testdata/sf0.01").count()
     left = [f for d in set(os.listdir(shared)) - before if d.startswith("memory-") for _, _, fs in os.walk(os.path.join(shared, d)) for f in fs if f.startswith("part-")]
     assert n > 50 and 0 < len(left) <= 8
+
+
+def test_a_glossary_of_several_files_is_one_document_and_no_row_holds_it(spark, tmp_path, monkeypatch):
+    """The document was one file from one task, and one row when it was read, which took all of an executor's memory."""
+    monkeypatch.setattr(writers, "PART_BYTES", 3000, raising=False)
+    rows = [(f"t{i:03}" + "\nä\"]}" * (i % 3), "" if i % 4 else "]}\r\n{,\\" + "x" * (i % 50), 1 + i % 7, None if i % 5 else i / 3, float(i)) for i in range(400)]
+    path = str(tmp_path / "glossary.json")
+    writers.glossary(spark.createDataFrame(rows, schemas.GLOSSARY_ENTRY).repartition(3), path)
+    want = sorted(rows, key=lambda r: (-r[2], r[0].lower(), r[0]))
+    files = sorted(tmp_path.glob("glossary.json/part-*"))
+    document = json.loads(b"".join(f.read_bytes() for f in files))
+    assert len(files) > 5 and document["version"] == 1 and [tuple(e.get(c) for c in glossary.ENTRY) for e in document["entries"]] == want
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")  # files are cut as well
+        read = readers.glossary(spark, path, "pos")
+        assert [tuple(r) for r in sorted(read.collect(), key=lambda r: r.pos)] == [(*r, i + 1) for i, r in enumerate(want)]
+        plain = readers.glossary(spark, path)
+        assert plain.rdd.getNumPartitions() > len(files) and sorted(map(repr, map(tuple, plain.collect()))) == sorted(map(repr, want))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("parsed", [1 << 26, 0])
+def test_glossaries_in_other_forms_are_read(spark, tmp_path, monkeypatch, parsed):
+    monkeypatch.setattr(readers, "PARSED_BYTES", parsed, raising=False)
+    entries = [{"term": f"t{i}", "definition": "]} {", "count": i, "first_seen_at": None, "last_seen_at": 1.5} for i in range(9)]
+    (tmp_path / "g.json").write_text(json.dumps({"version": 1, "entries": entries, "meta": {"a": "b"}}, indent=2))
+    got = sorted(map(tuple, readers.glossary(spark, str(tmp_path / "g.json"), "pos").collect()), key=lambda r: r[-1])
+    assert got == [(*e.values(), i + 1) for i, e in enumerate(entries)]
+
+
+def test_an_empty_glossary_is_a_document(spark, tmp_path):
+    path = str(tmp_path / "glossary.json")
+    writers.glossary(spark.createDataFrame([], schemas.GLOSSARY_ENTRY), path)
+    assert json.loads(b"".join(f.read_bytes() for f in tmp_path.glob("glossary.json/part-*"))) == {"version": 1, "entries": []}
+    assert readers.glossary(spark, path).count() == readers.glossary(spark, path, "pos").count() == 0
